@@ -109,12 +109,88 @@ M6_JSON = T.StructType([
 # -- queries --------------------------------------------------------------------------
 
 
-def q_results_control_score_2(spark: SparkSession, sf_dir: str) -> DataFrame:
+def q_stg_documents_controlled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    co, _ = staged(spark, sf_dir)
+    return co
+
+
+def q_stg_documents_created(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, cr = staged(spark, sf_dir)
+    return cr
+
+
+def q_documents_controled_detailed(spark: SparkSession, sf_dir: str) -> DataFrame:
     co, cr = staged(spark, sf_dir)
-    m7 = M.results_control_score_2(M.latest_control_base(co, cr, CFG), CFG)
-    return json_leaves(comparable(M.order_results_score_2(m7)), "metrics_json", M7_JSON)
+    return M.documents_controlled_detailed(co, cr, CFG)
+
+
+def q_control_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    co, cr = staged(spark, sf_dir)
+    return comparable(M.control_results(co, cr, CFG))
+
+
+def q_ctl_control_results_over_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    co, cr = staged(spark, sf_dir)
+    return M.ctl_control_results_over_time(spark, co, cr, CFG).orderBy(
+        F.col("issue_date").desc(), "channel_acquisition_id", "document_category"
+    )
+
+
+def q_control_aggregation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    co, cr = staged(spark, sf_dir)
+    return M.control_aggregation(spark, co, cr, CFG, "date_validation", "ctl07")
+
+
+def q_status_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    co, _ = staged(spark, sf_dir)
+    return comparable(M.status_bundle(co, "control_name"))
+
+
+def _m7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    co, cr = staged(spark, sf_dir)
+    return M.results_control_score_2(M.latest_control_base(co, cr, CFG), CFG)
+
+
+def q_results_control_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    co, cr = staged(spark, sf_dir)
+    m6 = M.results_control_score(M.latest_control_base(co, cr, CFG), CFG).orderBy("control_score")
+    return json_leaves(comparable(m6), "metrics_json", M6_JSON)
+
+
+def q_results_control_score_2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return json_leaves(comparable(M.order_results_score_2(_m7(spark, sf_dir))), "metrics_json", M7_JSON)
+
+
+def q_control_monthly_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    co, _ = staged(spark, sf_dir)
+    m8 = M.control_monthly_trends(co, CFG).orderBy("control_score", F.col("issue_month_date").desc())
+    return comparable(m8)
+
+
+def q_control_score_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return comparable(M.control_score_summary(_m7(spark, sf_dir)))
+
+
+def q_results_control_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return json_leaves(comparable(M.results_control_latest(_m7(spark, sf_dir))), "metrics_json", M7_JSON)
+
+
+def q_results_control_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return comparable(M.results_control_summary(_m7(spark, sf_dir)))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "stg_documents_controlled": q_stg_documents_controlled,
+    "stg_documents_created": q_stg_documents_created,
+    "documents_controled_detailed": q_documents_controled_detailed,
+    "control_results": q_control_results,
+    "ctl_control_results_over_time": q_ctl_control_results_over_time,
+    "control_aggregation": q_control_aggregation,
+    "status_bundle": q_status_bundle,
+    "results_control_score": q_results_control_score,
     "results_control_score_2": q_results_control_score_2,
+    "control_monthly_trends": q_control_monthly_trends,
+    "control_score_summary": q_control_score_summary,
+    "results_control_latest": q_results_control_latest,
+    "results_control_summary": q_results_control_summary,
 }

@@ -20,7 +20,7 @@ from docsentinel.functions import exprs as X
 from docsentinel.operators.dedupe import latest_per_key
 from docsentinel.operators.snapshot import latest_snapshot
 from docsentinel.operators.spine import densify_pivot, month_spine, spine_size
-from docsentinel.operators.status import COUNT_COLUMNS, FLAGS, count_flagged, document_flags
+from docsentinel.operators.status import COUNT_COLUMNS, FLAGS, count_flagged, distinct_status_counts, document_flags
 from docsentinel.operators.trend import month_over_month
 
 DOC = "document_id"
@@ -136,20 +136,17 @@ def control_prefixes(cfg: Config) -> list[str]:
     return [f"ctl{i:02d}" for i in range(1, len(cfg.control_names) + 1)]
 
 
-def ctl_control_results_over_time(spark: SparkSession, co: DataFrame, cr: DataFrame, cfg: Config) -> DataFrame:
-    """M5: month x channel x category spine with 5 counts for each of the 11 controls.
+def monthly_control_facts(co: DataFrame, cr: DataFrame, cfg: Config) -> DataFrame:
+    """Per (month, channel, category, control) distinct-document status counts.
 
-    Only rows whose month, channel and category lie on the spine survive the
-    spine join, so those domains are applied as filters on both inputs first.
-    A document counts for (month, channel, control, category) iff it has a
-    control event there and a creation event of that category, so each side is
-    reduced per document before the join. The aggregated facts then have at
-    most one row per (spine row, control): a bound known before the run, which
-    is what makes broadcasting them into the spine join safe.
+    Row-level definition: ``co ⟕ cr`` in the lookback, month of ``issue_at``,
+    NULL channel as ``client na``. Only spine values (configured channels,
+    categories and controls, months up to ``as_of``) are kept, as filters on
+    the inputs. A document counts for (month, channel, control, category) iff
+    it has a control event there and a creation event of that category, so
+    each side is reduced per document before the join. The result has at most
+    one row per (spine row, control).
     """
-    first_month = cfg.lookback_start.replace(day=1)
-    dims = {"channel_acquisition_id": cfg.channels, "document_category": cfg.document_categories}
-    spine = month_spine(spark, first_month, cfg.as_of, **dims)
     co_l = (
         co.filter(X.lookback("issue_at", cfg.as_of, cfg.lookback_days))
         .select(
@@ -167,19 +164,54 @@ def ctl_control_results_over_time(spark: SparkSession, co: DataFrame, cr: DataFr
     cr_cat = cr.select(DOC, "document_category").filter(
         F.col("document_category").isin(list(cfg.document_categories))
     ).distinct()
-    facts = count_flagged(
+    return count_flagged(
         co_flags.join(cr_cat, DOC, "inner"), ["issue_date", "channel_acquisition_id", "document_category", "control_name"]
     )
-    keys = ["issue_date", "channel_acquisition_id", "document_category"]
+
+
+SPINE_KEYS = ["issue_date", "channel_acquisition_id", "document_category"]
+
+
+def control_spine(spark: SparkSession, cfg: Config) -> tuple[DataFrame, int]:
+    """Month x channel x category spine of the lookback window, and its row count."""
+    first_month = cfg.lookback_start.replace(day=1)
+    dims = {"channel_acquisition_id": cfg.channels, "document_category": cfg.document_categories}
+    return month_spine(spark, first_month, cfg.as_of, **dims), spine_size(first_month, cfg.as_of, **dims)
+
+
+def ctl_control_results_over_time(spark: SparkSession, co: DataFrame, cr: DataFrame, cfg: Config) -> DataFrame:
+    """M5: month x channel x category spine with 5 counts for each of the 11 controls.
+
+    The facts are aggregated before the spine join (one pivot, not one join per
+    control) and their size is bounded by the spine size times the number of
+    controls, which is known before the run: that bound is what makes
+    broadcasting them into the spine join safe.
+    """
+    spine, n_spine = control_spine(spark, cfg)
+    facts = monthly_control_facts(co, cr, cfg)
     dense = densify_pivot(
-        spine, facts, keys, "control_name", cfg.control_names, COUNT_COLUMNS, control_prefixes(cfg),
-        max_broadcast_rows=spine_size(first_month, cfg.as_of, **dims),
+        spine, facts, SPINE_KEYS, "control_name", cfg.control_names, COUNT_COLUMNS, control_prefixes(cfg),
+        max_broadcast_rows=n_spine,
     )
     key = X.surrogate_key(F.col("issue_date").cast("string"), "channel_acquisition_id", "document_category",
                           null_as_empty=False)
     return dense.select("*", key.alias("unique_key"))
 
 
+def control_aggregation(spark: SparkSession, co: DataFrame, cr: DataFrame, cfg: Config, control: str,
+                        prefix: str) -> DataFrame:
+    """A14: status counts of one control per spine cell that has data (``{prefix}_count_*``).
+
+    The source macro left-joins the spine to the base and then filters on the
+    control name, which turns it into an inner join: cells without data do not
+    appear. The spine has unique keys, so that join is a (broadcast) semi join.
+    """
+    spine, _ = control_spine(spark, cfg)
+    facts = monthly_control_facts(co, cr, cfg).filter(F.col("control_name") == control)
+    on_spine = facts.join(F.broadcast(spine), SPINE_KEYS, "left_semi")
+    return on_spine.select(*SPINE_KEYS, *[F.col(c).alias(f"{prefix}_{c}") for c in COUNT_COLUMNS])
+
+
 # -- M6 / M7 shared base ------------------------------------------------------------
 
 
@@ -399,3 +431,12 @@ def results_control_summary(results: DataFrame) -> DataFrame:
         X.pct("count_ok", "total_documents").alias("perc_ok"), X.pct("count_ko", "total_documents").alias("perc_ko"),
         "last_snapshot",
     ).orderBy("control_score")
+
+
+# -- A13 / E2 --------------------------------------------------------------------------
+
+
+def status_bundle(co: DataFrame, by: str = "control_name") -> DataFrame:
+    """A13 + E2: distinct-document status counts and their percentages per ``by``."""
+    counts = distinct_status_counts(co, [by])
+    return counts.select(by, *COUNT_COLUMNS, *X.status_percentages())
