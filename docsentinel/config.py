@@ -87,10 +87,15 @@ class Config:
     freshness_warn_hours: int = FRESHNESS_WARN_HOURS
     freshness_error_hours: int = FRESHNESS_ERROR_HOURS
     late_days: int = 0
+    # Partition size of the incremental tables: "day" keeps a nightly rewrite to
+    # the touched days; "month" suits small or sparse data (fewer, larger files).
+    partition_granularity: str = "day"
 
     def __post_init__(self):
         if not isinstance(self.as_of, dt.date) or isinstance(self.as_of, dt.datetime):
             raise TypeError("Config.as_of must be a datetime.date")
+        if self.partition_granularity not in ("day", "month"):
+            raise ValueError("partition_granularity must be 'day' or 'month'")
         if self.lookback_days < 0 or self.trend_months < 0:
             raise ValueError("lookback_days and trend_months must be >= 0")
 

@@ -15,12 +15,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+import datetime as dt
+
 from docsentinel.config import Config
+from docsentinel.plans import incremental as INC
 from docsentinel.plans import models as M
 from docsentinel.plans.staging import stage_controlled, stage_created
+from docsentinel.session import work_path
 from docsentinel.sources.fixtures import FIXTURE_AS_OF, fixture_sources
 
-CFG = Config(as_of=FIXTURE_AS_OF)
+CFG = Config(as_of=FIXTURE_AS_OF, partition_granularity="month")
+# The source "as it was" at the first of two incremental runs.
+FIRST_RUN_CUT = dt.datetime(2001, 1, 1)
 
 
 def staged(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -179,6 +185,49 @@ def q_results_control_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(M.results_control_summary(_m7(spark, sf_dir)))
 
 
+def q_documents_detailed_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Full load of the source as of the cut, then one high-water-mark run on everything."""
+    co, cr = staged(spark, sf_dir)
+    path = work_path(spark, "fixture", "documents_detailed", unique=True)
+    cut = F.lit(FIRST_RUN_CUT)
+    INC.load_detailed(spark, path, co.filter(F.col("issue_at") <= cut), cr.filter(F.col("issue_at") <= cut), CFG)
+    INC.load_detailed(spark, path, co, cr, CFG)
+    return INC.read_without_partition(INC.detailed_table(spark, path))
+
+
+def q_stg_controlled_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw_co, _ = fixture_sources(spark, sf_dir)
+    path = work_path(spark, "fixture", "stg_controlled", unique=True)
+    INC.load_controlled(spark, path, raw_co.filter(F.col("data_eventdate") <= F.lit(FIRST_RUN_CUT)), CFG)
+    INC.load_controlled(spark, path, raw_co, CFG)
+    return INC.read_without_partition(INC.controlled_table(spark, path))
+
+
+def q_schema_evolution_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An older fact version lacking two columns, then a run under ``append_new_columns``."""
+    co, cr = staged(spark, sf_dir)
+    path = work_path(spark, "fixture", "evolution_append", unique=True)
+    table = INC.detailed_table(spark, path)
+    cut = F.lit(FIRST_RUN_CUT)
+    old = M.documents_controlled_detailed(co.filter(F.col("issue_at") <= cut), cr.filter(F.col("issue_at") <= cut), CFG)
+    table.upsert(old.drop("control_subject", "control_name")
+                 .withColumn(INC.DETAILED_PARTITION, INC.partition_value("control_controled_issue_at", CFG)))
+    INC.load_detailed(spark, path, co, cr, CFG, policy="append_new_columns")
+    return INC.read_without_partition(table)
+
+
+def q_schema_evolution_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An older staging version (one extra, one missing column), then ``sync_all_columns``."""
+    raw_co, _ = fixture_sources(spark, sf_dir)
+    path = work_path(spark, "fixture", "evolution_sync", unique=True)
+    table = INC.controlled_table(spark, path)
+    old = stage_controlled(raw_co.filter(F.col("data_eventdate") <= F.lit(FIRST_RUN_CUT)))
+    table.upsert(old.drop("control_subject").withColumn("legacy_score", F.col("control_score"))
+                 .withColumn(INC.CONTROLLED_PARTITION, INC.partition_value("receipt_at", CFG)))
+    INC.load_controlled(spark, path, raw_co, CFG, policy="sync_all_columns")
+    return INC.read_without_partition(table)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stg_documents_controlled": q_stg_documents_controlled,
     "stg_documents_created": q_stg_documents_created,
@@ -193,4 +242,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "control_score_summary": q_control_score_summary,
     "results_control_latest": q_results_control_latest,
     "results_control_summary": q_results_control_summary,
+    "documents_detailed_incremental": q_documents_detailed_incremental,
+    "stg_controlled_incremental": q_stg_controlled_incremental,
+    "schema_evolution_append": q_schema_evolution_append,
+    "schema_evolution_sync": q_schema_evolution_sync,
 }
