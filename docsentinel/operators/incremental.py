@@ -70,3 +70,30 @@ def delete_insert(target: DataFrame, batch: DataFrame, key: str, policy: str = "
     cols = evolve_columns(target.columns, batch.columns, policy)
     kept = target.join(batch.select(key).distinct(), key, "left_anti")
     return kept.unionByName(batch, allowMissingColumns=True).select(*cols)
+
+
+def merge_on_conflict(existing: DataFrame, batch: DataFrame, keys: Sequence[str],
+                      update_cols: Sequence[str]) -> DataFrame:
+    """``INSERT batch ON CONFLICT (keys) DO UPDATE SET update_cols = EXCLUDED.*``.
+
+    A full outer join on the keys; per column, the side is chosen by a match
+    flag, never by a NULL test, so a NULL in the batch still overwrites:
+    ``update_cols`` come from the batch when the key is in it, every other
+    column keeps the existing value when the key already existed. Keys must be
+    non-NULL (they are a primary key). Output columns follow ``batch``.
+    """
+    keys, upd = list(keys), set(update_cols)
+    others = [c for c in batch.columns if c not in keys]
+    e = existing.select(*keys, *[F.col(c).alias(f"_e_{c}") for c in others], F.lit(True).alias("_in_e"))
+    b = batch.select(*keys, *[F.col(c).alias(f"_b_{c}") for c in others], F.lit(True).alias("_in_b"))
+    j = e.join(b, keys, "full_outer")
+    in_e, in_b = F.col("_in_e").isNotNull(), F.col("_in_b").isNotNull()
+    out = []
+    for c in batch.columns:
+        if c in keys:
+            out.append(F.col(c))
+        elif c in upd:
+            out.append(F.when(in_b, F.col(f"_b_{c}")).otherwise(F.col(f"_e_{c}")).alias(c))
+        else:
+            out.append(F.when(in_e, F.col(f"_e_{c}")).otherwise(F.col(f"_b_{c}")).alias(c))
+    return j.select(*out)

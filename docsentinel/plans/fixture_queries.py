@@ -15,9 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+import dataclasses
 import datetime as dt
 
 from docsentinel.config import Config
+from docsentinel.plans import history as H
 from docsentinel.plans import incremental as INC
 from docsentinel.plans import models as M
 from docsentinel.plans.staging import stage_controlled, stage_created
@@ -228,6 +230,24 @@ def q_schema_evolution_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     return INC.read_without_partition(table)
 
 
+ARCHIVE_RUNS = (
+    CFG,
+    dataclasses.replace(CFG, lookback_days=365),  # same day, changed results: a re-archive
+    dataclasses.replace(CFG, as_of=dt.date(2001, 7, 31)),  # previous day, same month partition
+)
+
+
+def q_archive_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archive the results three times into a fresh history; return the history."""
+    co, cr = staged(spark, sf_dir)
+    path = work_path(spark, "fixture", "history", unique=True)
+    for cfg in ARCHIVE_RUNS:
+        m7 = M.results_control_score_2(M.latest_control_base(co, cr, cfg), cfg)
+        H.SnapshotHistory(spark, path, cfg).archive(m7)
+    hist = H.SnapshotHistory(spark, path, CFG).read()
+    return json_leaves(comparable(hist), "metrics_json", M7_JSON)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stg_documents_controlled": q_stg_documents_controlled,
     "stg_documents_created": q_stg_documents_created,
@@ -246,4 +266,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stg_controlled_incremental": q_stg_controlled_incremental,
     "schema_evolution_append": q_schema_evolution_append,
     "schema_evolution_sync": q_schema_evolution_sync,
+    "archive_upsert": q_archive_upsert,
 }
