@@ -21,7 +21,9 @@ import datetime as dt
 from docsentinel.config import Config
 from docsentinel.plans import history as H
 from docsentinel.plans import incremental as INC
+from docsentinel.operators.quality import run_checks
 from docsentinel.plans import models as M
+from docsentinel.plans import quality_checks as QC
 from docsentinel.plans.staging import stage_controlled, stage_created
 from docsentinel.session import work_path
 from docsentinel.sources.fixtures import FIXTURE_AS_OF, fixture_sources
@@ -230,6 +232,33 @@ def q_schema_evolution_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     return INC.read_without_partition(table)
 
 
+# Fixed check time of the freshness report.
+FRESHNESS_NOW = dt.datetime(2001, 8, 2, 12, 0, 0)
+
+
+def q_quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Declared checks of the sources, staging, detailed fact and score results."""
+    raw_co, raw_cr = fixture_sources(spark, sf_dir)
+    co, cr = stage_controlled(raw_co), stage_created(raw_cr)
+    m7 = M.results_control_score_2(M.latest_control_base(co, cr, CFG), CFG)
+    relations = {
+        "raw_controlled": raw_co, "raw_created": raw_cr,
+        "stg_documents_controlled": co, "stg_documents_created": cr,
+        "documents_controled_detailed": M.documents_controlled_detailed(co, cr, CFG),
+        "results_control_score_2": m7, "control_score_summary": M.control_score_summary(m7),
+    }
+    checks = [
+        c for c in QC.source_checks(CFG) + QC.staging_checks(CFG) + QC.detailed_checks(CFG) + QC.model_checks(CFG)
+        if c.relation in relations and c.columns != ("created_at",)
+    ]
+    return run_checks(relations, checks, FRESHNESS_NOW)
+
+
+def q_freshness_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw_co, raw_cr = fixture_sources(spark, sf_dir)
+    return run_checks({"raw_controlled": raw_co, "raw_created": raw_cr}, QC.freshness_checks(CFG), FRESHNESS_NOW)
+
+
 ARCHIVE_RUNS = (
     CFG,
     dataclasses.replace(CFG, lookback_days=365),  # same day, changed results: a re-archive
@@ -267,4 +296,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "schema_evolution_append": q_schema_evolution_append,
     "schema_evolution_sync": q_schema_evolution_sync,
     "archive_upsert": q_archive_upsert,
+    "quality_report": q_quality_report,
+    "freshness_report": q_freshness_report,
 }
