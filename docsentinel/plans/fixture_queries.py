@@ -23,6 +23,7 @@ from docsentinel.plans import history as H
 from docsentinel.plans import incremental as INC
 from docsentinel.operators.quality import run_checks
 from docsentinel.plans import models as M
+from docsentinel.plans import pipeline as P
 from docsentinel.plans import quality_checks as QC
 from docsentinel.plans.staging import stage_controlled, stage_created
 from docsentinel.session import work_path
@@ -277,6 +278,51 @@ def q_archive_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return json_leaves(comparable(hist), "metrics_json", M7_JSON)
 
 
+def q_partition_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """History partitions after archiving two run dates in different months."""
+    co, cr = staged(spark, sf_dir)
+    path = work_path(spark, "fixture", "history_layout", unique=True)
+    for cfg in (CFG, dataclasses.replace(CFG, as_of=dt.date(2001, 6, 30))):
+        H.SnapshotHistory(spark, path, cfg).archive(M.results_control_score_2(M.latest_control_base(co, cr, cfg), cfg))
+    return H.SnapshotHistory(spark, path, CFG).partitions()
+
+
+def q_verify_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Migrate + archive over the results table, then the existence report."""
+    co, cr = staged(spark, sf_dir)
+    root = work_path(spark, "fixture", "verify", unique=True)
+    results = P.replace_table(spark, M.results_control_score_2(M.latest_control_base(co, cr, CFG), CFG),
+                              f"{root}/results_control_score_2")
+    history = H.SnapshotHistory(spark, f"{root}/{H.HISTORY_TABLE}", CFG)
+    H.migrate(spark, history, results)
+    history.archive(results)
+    return H.verify(spark, history, f"{root}/results_control_score_2")
+
+
+def q_nightly_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole nightly run on the derived sources; returns the archived history."""
+    raw_co, raw_cr = fixture_sources(spark, sf_dir)
+    root = work_path(spark, "fixture", "nightly", unique=True)
+    P.run_nightly(spark, CFG, raw_co, raw_cr, root, analyze=False)
+    hist = H.SnapshotHistory(spark, f"{root}/{H.HISTORY_TABLE}", CFG).read()
+    return json_leaves(comparable(hist), "metrics_json", M7_JSON)
+
+
+def q_stg_controlled_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two nightly stream runs over files landing in two parts; returns the staged table."""
+    from docsentinel.streaming import ingest_controlled
+
+    raw_co, _ = fixture_sources(spark, sf_dir)
+    root = work_path(spark, "fixture", "stream", unique=True)
+    landing, table, ckpt = f"{root}/landing", f"{root}/stg_documents_controlled", f"{root}/_checkpoint"
+    cut = F.col("data_eventdate") <= F.lit(FIRST_RUN_CUT)
+    raw_co.filter(cut).write.parquet(f"{landing}/part=1")
+    ingest_controlled(spark, landing, table, ckpt, CFG)
+    raw_co.filter(~cut).write.parquet(f"{landing}/part=2")
+    ingest_controlled(spark, landing, table, ckpt, CFG)
+    return INC.read_without_partition(INC.controlled_table(spark, table))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stg_documents_controlled": q_stg_documents_controlled,
     "stg_documents_created": q_stg_documents_created,
@@ -298,4 +344,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "archive_upsert": q_archive_upsert,
     "quality_report": q_quality_report,
     "freshness_report": q_freshness_report,
+    "partition_layout": q_partition_layout,
+    "verify_objects": q_verify_objects,
+    "nightly_run": q_nightly_run,
+    "stg_controlled_stream": q_stg_controlled_stream,
 }
