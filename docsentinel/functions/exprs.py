@@ -64,6 +64,19 @@ def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _q(name: str) -> str:
+    """Backquoted SQL identifier (a possibly dotted column name stays one name)."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _lit_sql(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _case_sql(arms: Sequence[tuple[str, str]]) -> str:
+    return "CASE " + " ".join(f"WHEN {c} THEN {v}" for c, v in arms) + " END"
+
+
 def _first_match(pairs: Sequence[tuple[Column, Column]]) -> Column:
     """``CASE WHEN c1 THEN v1 WHEN c2 THEN v2 ... END`` (NULL when none matches)."""
     (cond0, val0), *rest = pairs
@@ -86,6 +99,13 @@ def pct(numerator: ColumnOrName, denominator: ColumnOrName, precision: int = 2)
     keeps. ``greatest`` skips NULLs (a NULL denominator acts as 1); a NULL
     numerator gives NULL. Returns ``decimal(38, precision)``.
     """
+    if isinstance(numerator, str) and isinstance(denominator, str):
+        n, d = f"CAST({_q(numerator)} AS BIGINT)", f"greatest(CAST({_q(denominator)} AS BIGINT), 1L)"
+        num, den = f"(abs({n}) * {2 * 10 ** (precision + 2)}L + {d})", f"({d} * 2L)"
+        units = f"CAST(CAST({num} - {num} % {den} AS DECIMAL(38,0)) / CAST({den} AS DECIMAL(38,0)) AS DECIMAL(38,0))"
+        return F.expr(
+            f"CAST(CASE WHEN {n} < 0 THEN -{units} ELSE {units} END / {10 ** precision} AS DECIMAL(38,{precision}))"
+        )
     n = _col(numerator).cast("long")
     d = F.greatest(_col(denominator).cast("long"), F.lit(1).cast("long"))
     num = F.abs(n) * F.lit(2 * 10 ** (precision + 2)) + d
@@ -114,6 +134,11 @@ def surrogate_key(*parts: ColumnOrName, null_as_empty: bool = True) -> Column:
     ``False`` mirrors plain ``||``, where one NULL part makes the key NULL.
     (``concat_ws`` is not used: it silently drops NULL parts.)
     """
+    if all(isinstance(p, str) for p in parts):
+        items = [f"CAST({_q(p)} AS STRING)" for p in parts]
+        if null_as_empty:
+            items = [f"coalesce({i}, '')" for i in items]
+        return F.expr("md5(concat(" + ", '|', ".join(items) + "))")
     cols = [_col(p).cast("string") for p in parts]
     if null_as_empty:
         cols = [F.coalesce(c, F.lit("")) for c in cols]
@@ -148,12 +173,18 @@ def to_json_keep_nulls(struct_col: Column) -> Column:
 
 def control_subject(identifier: ColumnOrName) -> Column:
     """Subject from a lower-cased identifier; first listed substring wins."""
+    if isinstance(identifier, str):
+        return F.expr(_case_sql([(f"contains({_q(identifier)}, {_lit_sql(a)})", _lit_sql(b))
+                                 for a, b in CONTROL_SUBJECT_RULES]))
     c = _col(identifier)
     return _first_match([(c.contains(sub), F.lit(name)) for sub, name in CONTROL_SUBJECT_RULES])
 
 
 def control_name(identifier: ColumnOrName) -> Column:
     """Control name from a lower-cased identifier; first listed substring wins."""
+    if isinstance(identifier, str):
+        return F.expr(_case_sql([(f"contains({_q(identifier)}, {_lit_sql(a)})", _lit_sql(b))
+                                 for a, b in CONTROL_NAME_RULES]))
     c = _col(identifier)
     return _first_match([(c.contains(sub), F.lit(name)) for sub, name in CONTROL_NAME_RULES])
 
@@ -172,6 +203,23 @@ def issuing_country(subtype: ColumnOrName) -> Column:
 
     First matching arm wins; ``_`` inside a LIKE pattern is a wildcard.
     """
+    if isinstance(subtype, str):
+        q = _q(subtype)
+
+        def like(p):
+            return f"{q} LIKE {_lit_sql(p)}"
+
+        no_xyz, dl = f"{q} NOT LIKE {_lit_sql(UNKNOWN_COUNTRY_PATTERN)}", like("%DRIVING_LICENSE%")
+        return F.expr(_case_sql([
+            ("(" + " OR ".join(like(p) for p in COUNTRY_SUFFIX_PATTERNS) + ")", f"right({q}, 3)"),
+            (f"{dl} AND {like('%CARD%')}", f"left(right({q}, 13), 3)"),
+            (f"{dl} AND {like('%PAPER%')}", f"left(right({q}, 14), 3)"),
+            (f"{like('%DRIVING_LICENSE_%')} AND {no_xyz}", f"left(right({q}, 8), 3)"),
+            (like(UNKNOWN_COUNTRY_PATTERN), _lit_sql(UNKNOWN_COUNTRY)),
+            (like("%ID_CARD%"), f"left(right({q}, 8), 3)"),
+            (f"{like('%PASSPORT%')} AND {no_xyz}", f"left(right({q}, 8), 3)"),
+            (f"{like('%RESIDENCE_PERMIT%')} AND {no_xyz}", f"left(right({q}, 8), 3)"),
+        ]))
     s = _col(subtype)
     no_xyz = ~s.like(UNKNOWN_COUNTRY_PATTERN)
     suffix_doc = reduce(lambda a, b: a | b, [s.like(p) for p in COUNTRY_SUFFIX_PATTERNS])
@@ -192,6 +240,11 @@ def issuing_country(subtype: ColumnOrName) -> Column:
 
 def issue_year(subtype: ColumnOrName) -> Column:
     """Issue year: last four characters of an identity-document subtype."""
+    if isinstance(subtype, str):
+        q = _q(subtype)
+        identity = " OR ".join(f"{q} LIKE {_lit_sql(p)}" for p in YEAR_PATTERNS)
+        return F.expr(f"CASE WHEN ({identity}) AND {q} NOT LIKE {_lit_sql(UNKNOWN_COUNTRY_PATTERN)} "
+                      f"THEN right({q}, 4) END")
     s = _col(subtype)
     identity = reduce(lambda a, b: a | b, [s.like(p) for p in YEAR_PATTERNS])
     return F.when(identity & ~s.like(UNKNOWN_COUNTRY_PATTERN), _right(s, 4))
@@ -225,6 +278,12 @@ def days_between(later: ColumnOrName, earlier: ColumnOrName) -> Column:
 
 def status_flags(status: ColumnOrName = "control_status") -> list[Column]:
     """Per-row 0/1 flags ``is_ok, is_ko, is_na, is_null`` for two-phase counting."""
+    if isinstance(status, str):
+        q = _q(status)
+        return [F.expr(f"CASE WHEN {q} = 'OK' THEN 1 ELSE 0 END AS is_ok"),
+                F.expr(f"CASE WHEN {q} = 'KO' THEN 1 ELSE 0 END AS is_ko"),
+                F.expr(f"CASE WHEN {q} = 'NA' THEN 1 ELSE 0 END AS is_na"),
+                F.expr(f"CASE WHEN {q} IS NULL THEN 1 ELSE 0 END AS is_null")]
     s = _col(status)
     return [
         F.when(s == "OK", 1).otherwise(0).alias("is_ok"),

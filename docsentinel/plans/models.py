@@ -136,16 +136,19 @@ def control_prefixes(cfg: Config) -> list[str]:
     return [f"ctl{i:02d}" for i in range(1, len(cfg.control_names) + 1)]
 
 
-def monthly_control_facts(co: DataFrame, cr: DataFrame, cfg: Config) -> DataFrame:
+def monthly_control_facts(spark: SparkSession, co: DataFrame, cr: DataFrame, cfg: Config) -> DataFrame:
     """Per (month, channel, category, control) distinct-document status counts.
 
     Row-level definition: ``co ⟕ cr`` in the lookback, month of ``issue_at``,
     NULL channel as ``client na``. Only spine values (configured channels,
-    categories and controls, months up to ``as_of``) are kept, as filters on
-    the inputs. A document counts for (month, channel, control, category) iff
-    it has a control event there and a creation event of that category, so
-    each side is reduced per document before the join. The result has at most
-    one row per (spine row, control).
+    categories and controls, months up to ``as_of``) can survive the spine
+    join, so each side is restricted to them first, by semi joins against the
+    (broadcast, fixed-size) value lists rather than by filters, which Catalyst
+    would push below the JSON parsing of raw inputs and so evaluate it twice.
+    A document counts for (month, channel, control, category) iff it has a
+    control event there and a creation event of that category, so each side
+    is reduced per document before the join. The result has at most one row
+    per (spine row, control).
     """
     co_l = (
         co.filter(X.lookback("issue_at", cfg.as_of, cfg.lookback_days))
@@ -154,21 +157,30 @@ def monthly_control_facts(co: DataFrame, cr: DataFrame, cfg: Config) -> DataFram
             X.month_start("issue_at").alias("issue_date"),
             F.coalesce(F.col("channel_acquisition_id"), F.lit(CHANNEL_NA)).alias("channel_acquisition_id"),
         )
-        .filter(
-            F.col("channel_acquisition_id").isin(list(cfg.channels))
-            & F.col("control_name").isin(list(cfg.control_names))
-            & (F.col("issue_date") <= F.lit(cfg.as_of))
-        )
+        .filter(F.col("issue_date") <= F.lit(cfg.as_of))
     )
     co_flags = document_flags(co_l, ["issue_date", "channel_acquisition_id", "control_name"])
-    cr_cat = cr.select(DOC, "document_category").filter(
-        F.col("document_category").isin(list(cfg.document_categories))
-    ).distinct()
+    co_flags = in_values(spark, in_values(spark, co_flags, "channel_acquisition_id", cfg.channels),
+                         "control_name", cfg.control_names)
+    cr_cat = in_values(spark, cr.select(DOC, "document_category").distinct(), "document_category",
+                       cfg.document_categories)
     return count_flagged(
         co_flags.join(cr_cat, DOC, "inner"), ["issue_date", "channel_acquisition_id", "document_category", "control_name"]
     )
 
 
+def in_values(spark: SparkSession, df: DataFrame, column: str, values) -> DataFrame:
+    """Rows whose ``column`` is one of ``values``: a broadcast semi join on ``<=>``.
+
+    Same rows as ``filter(col.isin(values))`` when ``values`` has no NULL, but
+    not a predicate: an ``isin`` (or the ``isnotnull`` an equi-join infers)
+    on a column derived from JSON text would be pushed by Catalyst down to
+    the raw scan, re-parsing the JSON there.
+    """
+    lst = spark.createDataFrame([(v,) for v in values], f"`{column}` string").withColumnRenamed(column, "_value")
+    return df.join(F.broadcast(lst), df[column].eqNullSafe(lst["_value"]), "left_semi")
+
+
 SPINE_KEYS = ["issue_date", "channel_acquisition_id", "document_category"]
 
 
@@ -188,7 +200,7 @@ def ctl_control_results_over_time(spark: SparkSession, co: DataFrame, cr: DataFr
     broadcasting them into the spine join safe.
     """
     spine, n_spine = control_spine(spark, cfg)
-    facts = monthly_control_facts(co, cr, cfg)
+    facts = monthly_control_facts(spark, co, cr, cfg)
     dense = densify_pivot(
         spine, facts, SPINE_KEYS, "control_name", cfg.control_names, COUNT_COLUMNS, control_prefixes(cfg),
         max_broadcast_rows=n_spine,
@@ -207,7 +219,7 @@ def control_aggregation(spark: SparkSession, co: DataFrame, cr: DataFrame, cfg:
     appear. The spine has unique keys, so that join is a (broadcast) semi join.
     """
     spine, _ = control_spine(spark, cfg)
-    facts = monthly_control_facts(co, cr, cfg).filter(F.col("control_name") == control)
+    facts = in_values(spark, monthly_control_facts(spark, co, cr, cfg), "control_name", [control])
     on_spine = facts.join(F.broadcast(spine), SPINE_KEYS, "left_semi")
     return on_spine.select(*SPINE_KEYS, *[F.col(c).alias(f"{prefix}_{c}") for c in COUNT_COLUMNS])
 

@@ -56,23 +56,16 @@ def stage_controlled(raw: DataFrame) -> DataFrame:
         ctl.alias("_ctl"),
         face.alias("_face"),
     )
-    identifier = X.lower_trim(F.col("_ctl.identifier"))
-    return staged.select(
-        "event_id",
-        "control_applied_status",
-        "receipt_at",
-        "document_id",
-        "control_score",
-        "issue_at",
-        F.col("_ctl.status").alias("control_status"),
-        F.col("_ctl.scores").alias("control_scores"),
-        F.col("_face.id").alias("document_face_id"),
-        F.col("_face.type").alias("document_type"),
-        F.col("_face.domain").alias("control_domain"),
-        F.col("_face.organizationId").alias("channel_acquisition_id"),
-        identifier.alias("control_identifier"),
-        X.control_subject(identifier).alias("control_subject"),
-        X.control_name(identifier).alias("control_name"),
+    flat = staged.selectExpr(
+        "event_id", "control_applied_status", "receipt_at", "document_id", "control_score", "issue_at",
+        "_ctl.status AS control_status", "_ctl.scores AS control_scores", "_face.id AS document_face_id",
+        "_face.type AS document_type", "_face.domain AS control_domain",
+        "_face.organizationId AS channel_acquisition_id", "lower(trim(_ctl.identifier)) AS control_identifier",
+    )
+    return flat.select(
+        "*",
+        X.control_subject("control_identifier").alias("control_subject"),
+        X.control_name("control_identifier").alias("control_name"),
     )
 
 

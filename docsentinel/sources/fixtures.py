@@ -14,6 +14,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docsentinel.sources.readers import spread_small_input
 from docsentinel.sources.schemas import RAW_CONTROLLED, RAW_CREATED
 
 # Fixture run date: the latest order date at every scale factor.
@@ -82,6 +83,9 @@ CREATED_EXPRS: dict[str, str] = {
     "data_eventdate": "o_orderdate + INTERVAL '1' HOUR",
     "time": "o_orderdate",
 }
+LINEITEM_COLUMNS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus",
+                    "l_shipdate")
+ORDERS_COLUMNS = ("o_orderkey", "o_custkey", "o_orderdate")
 CREATED_FILTER = "o_orderkey % 17 <> 0 AND (r = 1 OR o_orderkey % 23 = 0)"
 
 
@@ -110,9 +114,10 @@ def raw_created_from_orders(orders: DataFrame) -> DataFrame:
 
 def fixture_sources(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """``(raw_controlled, raw_created)`` derived from ``sf_dir``'s parquet tables."""
-    lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    return raw_controlled_from_lineitem(lineitem), raw_created_from_orders(orders)
+    lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(*LINEITEM_COLUMNS)
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(*ORDERS_COLUMNS)
+    return (raw_controlled_from_lineitem(spread_small_input(spark, lineitem)),
+            raw_created_from_orders(spread_small_input(spark, orders)))
 
 
 def oracle_raw_ctes() -> str:

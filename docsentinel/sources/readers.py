@@ -3,14 +3,56 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from docsentinel.sources.schemas import RAW_CONTROLLED, RAW_CREATED
 
+# Inputs below this size are cheap to redistribute; above it, files are many
+# and Spark's own splits already give every core a task.
+SMALL_INPUT_BYTES = 256 * 1024 * 1024
+
+
+def _input_bytes(spark: SparkSession, df: DataFrame) -> tuple[int, int]:
+    """(number of files, total bytes) of a file scan, from filesystem metadata only."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    files = df.inputFiles()
+    total = 0
+    for f in files:
+        p = jvm.org.apache.hadoop.fs.Path(f)
+        total += p.getFileSystem(conf).getFileStatus(p).getLen()
+    return len(files), total
+
+
+def spread_small_input(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """Round-robin a small scan over all cores before per-row CPU work.
+
+    A parquet row group is the smallest unit Spark splits a file into, so a
+    small table written as one row group is scanned by a single task however
+    many cores there are. When the input is both small (< ``SMALL_INPUT_BYTES``)
+    and in fewer files than cores, one cheap shuffle restores parallelism for
+    the expensive row-level work that follows (JSON parsing). Large inputs
+    are never redistributed: they already arrive in many splits.
+
+    The spread hashes a seeded ``rand`` (no local sort, unlike round-robin;
+    identical rows still spread). Being nondeterministic, it also stops
+    Catalyst from pushing later filters below it: a filter on a JSON-derived
+    column would otherwise be evaluated, JSON parse included, in the
+    single-task scan. The cost is that filters no longer reach the scan,
+    which only matters for large inputs, and those are never spread. Spark
+    reruns the whole downstream stage if such a shuffle's map output is lost.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    n_files, size = _input_bytes(spark, df)
+    if n_files < cores and size < SMALL_INPUT_BYTES:
+        return df.repartition(cores, F.rand(seed=17))
+    return df
+
 
 def read_raw_controlled(spark: SparkSession, path: str) -> DataFrame:
     """Parquet scan with the declared schema; projections prune columns."""
-    return spark.read.schema(RAW_CONTROLLED).parquet(path)
+    return spread_small_input(spark, spark.read.schema(RAW_CONTROLLED).parquet(path))
 
 
 def read_raw_created(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(RAW_CREATED).parquet(path)
+    return spread_small_input(spark, spark.read.schema(RAW_CREATED).parquet(path))
