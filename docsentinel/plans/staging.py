@@ -71,16 +71,16 @@ def stage_controlled(raw: DataFrame) -> DataFrame:
 
 def stage_created(raw: DataFrame) -> DataFrame:
     """M2: one row per creation event, with category / country / year decoded."""
-    subtype = F.col("data_documentclass_documentsubtype")
+    subtype = "data_documentclass_documentsubtype"
     return raw.select(
         F.col("id").alias("event_id"),
         F.col("data_eventdate").alias("receipt_at"),
         F.col("time").alias("issue_at"),
         F.col("data_id_id").alias("document_id"),
         F.col("data_acquisitionid_organizationid").alias("channel_acquisition_id"),
-        X.lower_trim("data_acquisitionid_type").alias("acquisition_type"),
-        X.lower_trim(subtype).alias("document_subtype"),
-        X.lower_trim("data_documentclass_documenttype").alias("document_category"),
+        F.expr("lower(trim(data_acquisitionid_type))").alias("acquisition_type"),
+        F.expr(f"lower(trim({subtype}))").alias("document_subtype"),
+        F.expr("lower(trim(data_documentclass_documenttype))").alias("document_category"),
         X.lower_trim(X.issuing_country(subtype)).alias("document_issuing_country"),
         X.lower_trim(X.issue_year(subtype)).alias("document_issue_year"),
     )
