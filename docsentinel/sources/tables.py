@@ -82,32 +82,40 @@ class PartitionedTable:
          .partitionBy(self.partition_col).parquet(self.path))
 
     def _stage(self, df: DataFrame) -> tuple[DataFrame, str]:
+        """Write ``df`` under the shared checkpoint folder and read it back (schema kept)."""
         staging = work_path(self.spark, "staging", unique=True)
         self._rebalanced(df).write.mode("errorifexists").partitionBy(self.partition_col).parquet(staging)
-        return self.spark.read.parquet(staging), staging
+        return self.spark.read.schema(df.schema).parquet(staging), staging
 
     def upsert(self, batch: DataFrame, policy: str = "ignore") -> None:
-        """delete+insert ``batch`` by ``key`` with schema policy ``policy``."""
+        """delete+insert ``batch`` by ``key`` with schema policy ``policy``.
+
+        The batch is computed once (written to staging); partitions to touch
+        and the merge are derived from that copy.
+        """
         if self.partition_col not in batch.columns:
             raise ValueError(f"batch lacks partition column {self.partition_col}")
         target = self.read()
         if target is None:
             self._write(batch, "errorifexists")
             return
-        data_cols = [c for c in target.columns if c != self.partition_col]
-        batch_cols = [c for c in batch.columns if c != self.partition_col]
-        schema_changes = evolve_columns(data_cols, batch_cols, policy) != data_cols
-        if schema_changes:
-            touched = None  # every partition is rewritten with the new column list
-        else:
-            touched = self._touched_partitions(target, batch)
-            if not touched:
-                return  # empty batch: nothing to delete or insert
-        scope = target if touched is None else target.filter(F.col(self.partition_col).isin(touched))
-        merged = delete_insert(scope, batch, self.key, policy)
-        staged, staging = self._stage(merged)
-        self._write(staged, "overwrite")
-        delete_path(self.spark, staging)
+        staged_batch, batch_path = self._stage(batch)
+        try:
+            data_cols = [c for c in target.columns if c != self.partition_col]
+            batch_cols = [c for c in staged_batch.columns if c != self.partition_col]
+            if evolve_columns(data_cols, batch_cols, policy) != data_cols:
+                scope = target  # schema change: every partition is rewritten with the new column list
+            else:
+                touched = self._touched_partitions(target, staged_batch)
+                if not touched:
+                    return  # empty batch: nothing to delete or insert
+                scope = target.filter(F.col(self.partition_col).isin(touched))
+            merged = delete_insert(scope, staged_batch, self.key, policy)
+            staged, staging = self._stage(merged)
+            self._write(staged, "overwrite")
+            delete_path(self.spark, staging)
+        finally:
+            delete_path(self.spark, batch_path)
 
     def _touched_partitions(self, target: DataFrame, batch: DataFrame) -> list:
         """Partition values to rewrite: a small list (one value per partition)."""
