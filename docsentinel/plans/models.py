@@ -101,19 +101,28 @@ def control_results(co: DataFrame, cr: DataFrame, cfg: Config) -> DataFrame:
     reductions and stacked, so the fan-out is never materialised.
     ``dimension_name`` is appended last: without it the output is ambiguous.
     """
-    co_l = co.filter(X.lookback("issue_at", cfg.as_of, cfg.lookback_days)).select(DOC, STATUS, *CONTROL_SIDE_DIMENSIONS)
+    # A NULL document never joins; filtering it here, once, keeps both consumers
+    # of co_flags identical (so they share one shuffle) instead of each getting
+    # its own inferred not-null filter at a different depth.
+    co_l = co.filter(X.lookback("issue_at", cfg.as_of, cfg.lookback_days) & F.col(DOC).isNotNull()).select(
+        DOC, STATUS, *CONTROL_SIDE_DIMENSIONS
+    )
     co_long = co_l.unpivot([DOC, STATUS], list(CONTROL_SIDE_DIMENSIONS), "dimension_name", "dimension_value")
     co_flags = document_flags(co_long, ["dimension_name", "dimension_value"])
-    per_doc = co_flags.filter(F.col("dimension_name") == CONTROL_SIDE_DIMENSIONS[0]).groupBy(DOC).agg(
-        *[F.max(f).alias(f) for f in FLAGS]
-    )
+    # Every control row appears once per dimension, so the per-document maximum
+    # over all of a document's rows equals the one over any single dimension.
+    # No filter here: both consumers then share co_flags' shuffle (one scan).
+    per_doc = co_flags.groupBy(DOC).agg(*[F.max(f).alias(f) for f in FLAGS])
     cr_long = (
         cr.select(DOC, *CREATION_SIDE_DIMENSIONS)
         .unpivot([DOC], list(CREATION_SIDE_DIMENSIONS), "dimension_name", "dimension_value")
         .distinct()
     )
-    created_docs = cr.select(DOC).distinct()
-    control_side = co_flags.join(created_docs, DOC, "left_semi")
+    # Every creation row yields a row for each dimension (NULL values included).
+    created_docs = cr_long.select(DOC).distinct()
+    # An inner join with the (distinct) document list, not a semi join: Catalyst
+    # would push a semi join below co_flags' aggregate and shuffle raw rows.
+    control_side = co_flags.join(created_docs, DOC, "inner")
     creation_side = cr_long.join(per_doc, DOC, "inner")
     counts = count_flagged(control_side.unionByName(creation_side), ["dimension_name", "dimension_value"])
     key = X.surrogate_key("dimension_name", "dimension_value", _date_text(cfg.as_of))
@@ -265,15 +274,20 @@ RESULTS_SCORE_COLUMNS = (
 
 def results_control_score(base: DataFrame, cfg: Config) -> DataFrame:
     """M6: per score, distinct documents overall and per status, dates, attributes, JSON."""
-    per_doc = document_flags(base, ["control_score"])
-    counts = count_flagged(per_doc, ["control_score"])
-    attrs = base.groupBy("control_score").agg(
+    # One aggregate over the base (as written in the source): the base is then
+    # computed once; the distinct counts share one expanded partial aggregation.
+    d, s = F.col(DOC), F.col(STATUS)
+    m = base.groupBy("control_score").agg(
+        F.count_distinct(d).alias("total_documents"),
+        F.count_distinct(F.when(s == "OK", d)).alias("count_ok"),
+        F.count_distinct(F.when(s == "KO", d)).alias("count_ko"),
+        F.count_distinct(F.when(s == "NA", d)).alias("count_na"),
+        F.count_distinct(F.when(s.isNull(), d)).alias("count_null"),
         F.max("issue_at").cast("date").alias("last_issue_date"),
         F.min("issue_at").cast("date").alias("first_issue_date"),
         F.count_distinct("document_category").alias("unique_categories"),
         F.count_distinct("document_issuing_country").alias("unique_countries"),
     )
-    m = counts.join(attrs, "control_score").withColumnRenamed("count_document", "total_documents")
     pcts = {k: X.pct(f"count_{k}", "total_documents") for k in ("ok", "ko", "na", "null")}
     span = X.days_between("last_issue_date", "first_issue_date")
     metrics = F.struct(

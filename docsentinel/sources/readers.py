@@ -34,18 +34,17 @@ def spread_small_input(spark: SparkSession, df: DataFrame) -> DataFrame:
     the expensive row-level work that follows (JSON parsing). Large inputs
     are never redistributed: they already arrive in many splits.
 
-    The spread hashes a seeded ``rand`` (no local sort, unlike round-robin;
-    identical rows still spread). Being nondeterministic, it also stops
-    Catalyst from pushing later filters below it: a filter on a JSON-derived
-    column would otherwise be evaluated, JSON parse included, in the
-    single-task scan. The cost is that filters no longer reach the scan,
-    which only matters for large inputs, and those are never spread. Spark
-    reruns the whole downstream stage if such a shuffle's map output is lost.
+    The spread hashes all columns: deterministic, so a retried task places rows
+    as before and exchanges above it can be reused, and without the local sort
+    a round-robin repartition performs. Filters still push through it to the
+    scan, so the plans keep predicates on JSON-derived columns out of them
+    (``models.in_values``). Identical rows share a partition, which is harmless
+    at the sizes this applies to.
     """
     cores = spark.sparkContext.defaultParallelism
     n_files, size = _input_bytes(spark, df)
     if n_files < cores and size < SMALL_INPUT_BYTES:
-        return df.repartition(cores, F.rand(seed=17))
+        return df.repartition(cores, *[F.col(c) for c in df.columns])
     return df
 
 
