@@ -72,6 +72,25 @@ class PartitionedTable:
     def read(self) -> DataFrame | None:
         return read_table(self.spark, self.path)
 
+    def partition_values(self) -> list[str]:
+        """Partition values present, from the directory names (metadata only)."""
+        prefix = f"{self.partition_col}="
+        return [d[len(prefix):] for d in list_dirs(self.spark, self.path) if d.startswith(prefix)]
+
+    def max_in_last_partition(self, column: str):
+        """``max(column)`` when the partition value is monotone in ``column``.
+
+        The partition column is the day (or month) of ``column``, so the
+        maximum lies in the greatest partition: only that one is read,
+        not the whole table. Returns None when the table is absent or empty.
+        """
+        target = self.read()
+        values = self.partition_values()
+        if target is None or not values:
+            return None
+        last = max(values)  # ISO dates order as strings
+        return target.filter(F.col(self.partition_col) == F.lit(last).cast("date")).agg(F.max(column)).first()[0]
+
     def _rebalanced(self, df: DataFrame) -> DataFrame:
         # AQE sizes the write tasks: small partitions are coalesced, a skewed one
         # split, so files per partition stay few without one task per partition.

@@ -100,3 +100,16 @@ def test_archive_rejects_dates_outside_window(spark):
     m7 = M.results_control_score_2(M.latest_control_base(co, cr, CFG), dataclasses.replace(CFG, as_of=dt.date(2001, 7, 1)))
     hist.archive(m7)
     assert hist.read().count() == 0
+
+
+def test_last_partition_mark_equals_full_max(spark):
+    co, cr = staged(spark, SF_SMALL)
+    for gran in ("day", "month"):
+        cfg = dataclasses.replace(CFG, partition_granularity=gran)
+        path = work_path(spark, "test", f"mark_{gran}", unique=True)
+        INC.load_detailed(spark, path, co, cr, cfg)
+        table = INC.detailed_table(spark, path)
+        full = table.read().agg(F.max("control_controled_issue_at")).first()[0]
+        assert table.max_in_last_partition("control_controled_issue_at") == full
+    empty = INC.detailed_table(spark, work_path(spark, "test", "absent", unique=True))
+    assert empty.max_in_last_partition("control_controled_issue_at") is None
