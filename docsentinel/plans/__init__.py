@@ -1 +1 @@
-"""Dataset plans: staging, analytic models, history and the nightly pipeline."""
+"""Dataset plans: staging, analytic models, history and the nightly run."""

@@ -23,7 +23,7 @@ from docsentinel.plans import history as H
 from docsentinel.plans import incremental as INC
 from docsentinel.operators.quality import run_checks
 from docsentinel.plans import models as M
-from docsentinel.plans import pipeline as P
+from docsentinel.plans import nightly as P
 from docsentinel.plans import quality_checks as QC
 from docsentinel.plans.staging import stage_controlled, stage_created
 from docsentinel.session import work_path

@@ -9,7 +9,7 @@ from docsentinel.functions.exprs import to_json_keep_nulls
 from docsentinel.plans import history as H
 from docsentinel.plans import models as M
 from docsentinel.plans.fixture_queries import CFG, staged
-from docsentinel.plans.pipeline import replace_table
+from docsentinel.plans.nightly import replace_table
 from docsentinel.session import work_path
 from docsentinel.sources.tables import path_exists
 
