@@ -157,15 +157,17 @@ class PartitionedTable:
         delete_path(self.spark, staging)
 
 
-def checkpoint_table(spark: SparkSession, df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Materialise ``df`` as parquet in the shared checkpoint folder and read it back.
+def checkpoint_table(spark: SparkSession, df: DataFrame, name: str,
+                     partition_by: Sequence[str] = ()) -> tuple[DataFrame, str]:
+    """Materialise ``df`` as parquet in the shared checkpoint folder; return it re-read, and its path.
 
     Cuts lineage for a result several downstream plans share (instead of
-    caching it in executor memory, which a lost executor would drop).
+    caching it in executor memory, which a lost executor would drop). The
+    caller deletes the path once the consumers have run.
     """
     path = work_path(spark, "tables", name, unique=True)
     w = df.write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
