@@ -12,16 +12,25 @@ from docsentinel.sources.schemas import RAW_CONTROLLED, RAW_CREATED
 SMALL_INPUT_BYTES = 256 * 1024 * 1024
 
 
-def _input_bytes(spark: SparkSession, df: DataFrame) -> tuple[int, int]:
-    """(number of files, total bytes) of a file scan, from filesystem metadata only."""
+def _small_input(spark: SparkSession, df: DataFrame, max_files: int) -> bool:
+    """Fewer than ``max_files`` files and under ``SMALL_INPUT_BYTES`` in total.
+
+    The file count comes from the scan's own listing; sizes are looked up only
+    when the count is already small, so a many-file input costs no extra
+    filesystem calls.
+    """
+    files = df.inputFiles()
+    if len(files) >= max_files:
+        return False
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    files = df.inputFiles()
     total = 0
     for f in files:
         p = jvm.org.apache.hadoop.fs.Path(f)
         total += p.getFileSystem(conf).getFileStatus(p).getLen()
-    return len(files), total
+        if total >= SMALL_INPUT_BYTES:
+            return False
+    return True
 
 
 def spread_small_input(spark: SparkSession, df: DataFrame) -> DataFrame:
@@ -42,8 +51,7 @@ def spread_small_input(spark: SparkSession, df: DataFrame) -> DataFrame:
     at the sizes this applies to.
     """
     cores = spark.sparkContext.defaultParallelism
-    n_files, size = _input_bytes(spark, df)
-    if n_files < cores and size < SMALL_INPUT_BYTES:
+    if _small_input(spark, df, cores):
         return df.repartition(cores, *[F.col(c) for c in df.columns])
     return df
 
