@@ -52,6 +52,15 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
+def _partition_dir_values(spark: SparkSession, path: str, partition_col: str) -> list[str]:
+    prefix = f"{partition_col}="
+    return [d[len(prefix):] for d in list_dirs(spark, path) if d.startswith(prefix)]
+
+
+# Broadcast a batch's keys for the old-copy lookup only up to this many batch rows.
+BROADCAST_KEYS_LIMIT = 2_000_000
+
+
 class PartitionedTable:
     """A parquet table partitioned by one column, maintained by key-replacing upserts.
 
@@ -74,8 +83,7 @@ class PartitionedTable:
 
     def partition_values(self) -> list[str]:
         """Partition values present, from the directory names (metadata only)."""
-        prefix = f"{self.partition_col}="
-        return [d[len(prefix):] for d in list_dirs(self.spark, self.path) if d.startswith(prefix)]
+        return _partition_dir_values(self.spark, self.path, self.partition_col)
 
     def max_in_last_partition(self, column: str):
         """``max(column)`` when the partition value is monotone in ``column``.
@@ -124,6 +132,7 @@ class PartitionedTable:
             batch_cols = [c for c in staged_batch.columns if c != self.partition_col]
             if evolve_columns(data_cols, batch_cols, policy) != data_cols:
                 scope = target  # schema change: every partition is rewritten with the new column list
+                touched = self.partition_values()
             else:
                 touched = self._touched_partitions(target, staged_batch)
                 if not touched:
@@ -131,19 +140,32 @@ class PartitionedTable:
                 scope = target.filter(F.col(self.partition_col).isin(touched))
             merged = delete_insert(scope, staged_batch, self.key, policy)
             staged, staging = self._stage(merged)
+            written = set(_partition_dir_values(self.spark, staging, self.partition_col))
             self._write(staged, "overwrite")
+            # Dynamic overwrite replaces only partitions present in the output; a
+            # touched partition whose rows all moved or went is removed here.
+            for value in {str(v) for v in touched} - written:
+                delete_path(self.spark, f"{self.path}/{self.partition_col}={value}")
             delete_path(self.spark, staging)
         finally:
             delete_path(self.spark, batch_path)
 
     def _touched_partitions(self, target: DataFrame, batch: DataFrame) -> list:
-        """Partition values to rewrite: a small list (one value per partition)."""
+        """Partition values to rewrite: a small list (one value per partition).
+
+        Finding partitions that hold older copies of batch keys reads only the
+        target's key and partition columns. The batch's row count (cheap on
+        the staged parquet) bounds its key set; below ``BROADCAST_KEYS_LIMIT``
+        the keys are broadcast, so the target's key column is scanned but
+        never shuffled; above it, a shuffled semi join does the same work.
+        """
         parts = batch.select(self.partition_col)
         if not self.key_determines_partition:
-            holders = target.select(self.key, self.partition_col).join(
-                batch.select(self.key).distinct(), self.key, "left_semi"
-            ).select(self.partition_col)
-            parts = parts.unionByName(holders)
+            keys = batch.select(self.key).distinct()
+            if batch.count() <= BROADCAST_KEYS_LIMIT:
+                keys = F.broadcast(keys)
+            holders = target.select(self.key, self.partition_col).join(keys, self.key, "left_semi")
+            parts = parts.unionByName(holders.select(self.partition_col))
         return [r[0] for r in parts.distinct().collect()]
 
     def overwrite(self, df: DataFrame) -> None:
