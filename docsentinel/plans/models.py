@@ -114,7 +114,8 @@ def control_results(co: DataFrame, cr: DataFrame, cfg: Config) -> DataFrame:
     # No filter here: both consumers then share co_flags' shuffle (one scan).
     per_doc = co_flags.groupBy(DOC).agg(*[F.max(f).alias(f) for f in FLAGS])
     cr_long = (
-        cr.select(DOC, *CREATION_SIDE_DIMENSIONS)
+        cr.filter(F.col(DOC).isNotNull())
+        .select(DOC, *CREATION_SIDE_DIMENSIONS)
         .unpivot([DOC], list(CREATION_SIDE_DIMENSIONS), "dimension_name", "dimension_value")
         .distinct()
     )
