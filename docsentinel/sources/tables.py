@@ -7,7 +7,6 @@ usually do for existence checks and deletes.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession

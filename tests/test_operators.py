@@ -4,7 +4,6 @@ import datetime as dt
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from docsentinel.functions.exprs import status_counts
 from docsentinel.operators.dedupe import latest_per_key
@@ -109,3 +108,17 @@ def test_merge_on_conflict_partial_update(spark):
     assert out[("s", "OK")]["first"] == "2001-01-01"  # not in the update list: first value kept
     assert out[("s", "KO")]["js"] == "keep"
     assert out[("t", "OK")]["n"] == 7
+
+
+def test_high_water_mark_and_after_mark(spark):
+    from docsentinel.operators.incremental import after_mark, high_water_mark
+
+    t = [dt.datetime(2001, 1, d) for d in (1, 2, 3)]
+    df = spark.createDataFrame([(x,) for x in t], "ts timestamp_ntz")
+    assert high_water_mark(None, "ts") is None
+    assert high_water_mark(df.limit(0), "ts") is None
+    mark = high_water_mark(df.filter(df.ts < t[2]), "ts")
+    assert mark == t[1]
+    assert [r[0] for r in after_mark(df, "ts", mark).collect()] == [t[2]]  # strict: the mark itself is not re-read
+    assert sorted(r[0] for r in after_mark(df, "ts", mark, dt.timedelta(days=1)).collect()) == t[1:]
+    assert after_mark(df, "ts", None).count() == 3
