@@ -253,14 +253,26 @@ def issue_year(subtype: ColumnOrName) -> Column:
 # -- dates -----------------------------------------------------------------------
 
 
+def ts_ntz(value: dt.datetime | dt.date) -> Column:
+    """A wall-clock ``TIMESTAMP_NTZ`` literal.
+
+    ``F.lit(datetime)`` would go through the Python process's local time zone
+    and the comparison with an NTZ column through the session's; a literal
+    written as text involves neither, and still reaches the parquet scan as a
+    pushed filter.
+    """
+    if not isinstance(value, dt.datetime):
+        value = dt.datetime.combine(value, dt.time())
+    return F.expr(f"TIMESTAMP_NTZ '{value.isoformat(sep=' ')}'")
+
+
 def lookback(ts: ColumnOrName, as_of: dt.date, days: int) -> Column:
     """``ts::date >= as_of - days`` with no upper bound.
 
     Written as ``ts >= <midnight literal>`` on the bare column, which is the
     same predicate for timestamps and lets the parquet scan push it down.
     """
-    start = as_of - dt.timedelta(days=days)
-    return _col(ts) >= F.lit(dt.datetime.combine(start, dt.time()))
+    return _col(ts) >= ts_ntz(as_of - dt.timedelta(days=days))
 
 
 def month_start(ts: ColumnOrName) -> Column:

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docsentinel.functions.exprs import ts_ntz
+
 SCHEMA_POLICIES = ("ignore", "append_new_columns", "sync_all_columns", "fail")
 
 
@@ -37,7 +39,7 @@ def after_mark(source: DataFrame, column: str, mark, late: dt.timedelta | None =
     if mark is None:
         return source
     bound = mark - late if late else mark
-    return source.filter(F.col(column) > F.lit(bound))
+    return source.filter(F.col(column) > ts_ntz(bound))
 
 
 def evolve_columns(target_cols: Sequence[str], batch_cols: Sequence[str], policy: str) -> list[str]:

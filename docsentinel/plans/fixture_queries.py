@@ -19,6 +19,7 @@ import dataclasses
 import datetime as dt
 
 from docsentinel.config import Config
+from docsentinel.functions.exprs import ts_ntz
 from docsentinel.plans import history as H
 from docsentinel.plans import incremental as INC
 from docsentinel.operators.quality import run_checks
@@ -194,7 +195,7 @@ def q_documents_detailed_incremental(spark: SparkSession, sf_dir: str) -> DataFr
     """Full load of the source as of the cut, then one high-water-mark run on everything."""
     co, cr = staged(spark, sf_dir)
     path = work_path(spark, "fixture", "documents_detailed", unique=True)
-    cut = F.lit(FIRST_RUN_CUT)
+    cut = ts_ntz(FIRST_RUN_CUT)
     INC.load_detailed(spark, path, co.filter(F.col("issue_at") <= cut), cr.filter(F.col("issue_at") <= cut), CFG)
     INC.load_detailed(spark, path, co, cr, CFG)
     return INC.read_without_partition(INC.detailed_table(spark, path))
@@ -203,7 +204,7 @@ def q_documents_detailed_incremental(spark: SparkSession, sf_dir: str) -> DataFr
 def q_stg_controlled_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw_co, _ = fixture_sources(spark, sf_dir)
     path = work_path(spark, "fixture", "stg_controlled", unique=True)
-    INC.load_controlled(spark, path, raw_co.filter(F.col("data_eventdate") <= F.lit(FIRST_RUN_CUT)), CFG)
+    INC.load_controlled(spark, path, raw_co.filter(F.col("data_eventdate") <= ts_ntz(FIRST_RUN_CUT)), CFG)
     INC.load_controlled(spark, path, raw_co, CFG)
     return INC.read_without_partition(INC.controlled_table(spark, path))
 
@@ -213,7 +214,7 @@ def q_schema_evolution_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     co, cr = staged(spark, sf_dir)
     path = work_path(spark, "fixture", "evolution_append", unique=True)
     table = INC.detailed_table(spark, path)
-    cut = F.lit(FIRST_RUN_CUT)
+    cut = ts_ntz(FIRST_RUN_CUT)
     old = M.documents_controlled_detailed(co.filter(F.col("issue_at") <= cut), cr.filter(F.col("issue_at") <= cut), CFG)
     table.upsert(old.drop("control_subject", "control_name")
                  .withColumn(INC.DETAILED_PARTITION, INC.partition_value("control_controled_issue_at", CFG)))
@@ -226,7 +227,7 @@ def q_schema_evolution_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw_co, _ = fixture_sources(spark, sf_dir)
     path = work_path(spark, "fixture", "evolution_sync", unique=True)
     table = INC.controlled_table(spark, path)
-    old = stage_controlled(raw_co.filter(F.col("data_eventdate") <= F.lit(FIRST_RUN_CUT)))
+    old = stage_controlled(raw_co.filter(F.col("data_eventdate") <= ts_ntz(FIRST_RUN_CUT)))
     table.upsert(old.drop("control_subject").withColumn("legacy_score", F.col("control_score"))
                  .withColumn(INC.CONTROLLED_PARTITION, INC.partition_value("receipt_at", CFG)))
     INC.load_controlled(spark, path, raw_co, CFG, policy="sync_all_columns")
@@ -315,7 +316,7 @@ def q_stg_controlled_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw_co, _ = fixture_sources(spark, sf_dir)
     root = work_path(spark, "fixture", "stream", unique=True)
     landing, table, ckpt = f"{root}/landing", f"{root}/stg_documents_controlled", f"{root}/_checkpoint"
-    cut = F.col("data_eventdate") <= F.lit(FIRST_RUN_CUT)
+    cut = F.col("data_eventdate") <= ts_ntz(FIRST_RUN_CUT)
     raw_co.filter(cut).write.parquet(f"{landing}/part=1")
     ingest_controlled(spark, landing, table, ckpt, CFG)
     raw_co.filter(~cut).write.parquet(f"{landing}/part=2")

@@ -57,7 +57,7 @@ def documents_controlled_detailed(co: DataFrame, cr: DataFrame, cfg: Config,
     handled by AQE's skew-join split of the larger (control) side.
     """
     keep = co.filter(X.lookback("issue_at", cfg.as_of, cfg.lookback_days)) if issue_after is None else co.filter(
-        F.col("issue_at") > F.lit(issue_after)
+        F.col("issue_at") > X.ts_ntz(issue_after)
     )
     controls = keep.select(
         DOC,
@@ -389,7 +389,7 @@ def control_monthly_trends(co: DataFrame, cfg: Config) -> DataFrame:
     """
     start = dt.datetime.combine(cfg.trend_start, dt.time())
     monthly = (
-        co.filter(F.col("issue_at") >= F.lit(start))
+        co.filter(F.col("issue_at") >= X.ts_ntz(start))
         .select(
             X.month_start("issue_at").alias("issue_month"),
             F.coalesce(F.col("control_score"), F.lit(SCORE_NA)).alias("control_score"),

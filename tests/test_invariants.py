@@ -6,6 +6,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
+from docsentinel.functions.exprs import ts_ntz
 from docsentinel.plans import history as H
 from docsentinel.plans import incremental as INC
 from docsentinel.plans import models as M
@@ -45,7 +46,7 @@ def test_document_count_bounded_by_status_counts(spark):
 def test_two_incremental_loads_equal_one_full_load(spark):
     co, cr = staged(spark, SF_SMALL)
     path = work_path(spark, "test", "incremental", unique=True)
-    cut = F.lit(dt.datetime(2001, 1, 1))
+    cut = ts_ntz(dt.datetime(2001, 1, 1))
     INC.load_detailed(spark, path, co.filter(F.col("issue_at") <= cut), cr, CFG)
     INC.load_detailed(spark, path, co, cr, CFG)
     got = INC.read_without_partition(INC.detailed_table(spark, path))

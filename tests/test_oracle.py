@@ -58,3 +58,19 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert "control_score" in df.columns and "metrics_json" not in df.columns
+
+
+@pytest.mark.parametrize("name", ["documents_controled_detailed", "control_monthly_trends",
+                                  "documents_detailed_incremental", "freshness_report"])
+def test_results_do_not_depend_on_session_time_zone(spark, duck, name):
+    """Timestamp bounds are wall-clock literals: a session zone other than the process zone changes nothing."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        df = QUERIES[name](spark, SF_SMALL)
+        got = [tuple(r) for r in df.collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    res = duck.execute(ORACLE[name])
+    ocols = [d[0] for d in res.description]
+    assert _rows(df.columns, got) == _rows(ocols, res.fetchall())
