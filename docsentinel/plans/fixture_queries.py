@@ -317,10 +317,11 @@ def q_stg_controlled_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = work_path(spark, "fixture", "stream", unique=True)
     landing, table, ckpt = f"{root}/landing", f"{root}/stg_documents_controlled", f"{root}/_checkpoint"
     cut = F.col("data_eventdate") <= ts_ntz(FIRST_RUN_CUT)
+    cores = spark.sparkContext.defaultParallelism  # state partitions sized to this fixture
     raw_co.filter(cut).write.parquet(f"{landing}/part=1")
-    ingest_controlled(spark, landing, table, ckpt, CFG)
+    ingest_controlled(spark, landing, table, ckpt, CFG, state_partitions=cores)
     raw_co.filter(~cut).write.parquet(f"{landing}/part=2")
-    ingest_controlled(spark, landing, table, ckpt, CFG)
+    ingest_controlled(spark, landing, table, ckpt, CFG, state_partitions=cores)
     return INC.read_without_partition(INC.controlled_table(spark, table))
 
 

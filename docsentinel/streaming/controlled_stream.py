@@ -22,8 +22,15 @@ from docsentinel.sources.schemas import RAW_CONTROLLED
 
 def ingest_controlled(spark: SparkSession, landing_path: str, table_path: str, checkpoint_location: str,
                       cfg: Config, dedup_delay: str = "2 days", max_files_per_trigger: int = 1000,
-                      policy: str = "sync_all_columns") -> None:
-    """Run the stream until all landed files are processed."""
+                      policy: str = "sync_all_columns", state_partitions: int | None = None) -> None:
+    """Run the stream until all landed files are processed.
+
+    The dedupe state has one partition per ``spark.sql.shuffle.partitions`` as
+    set when the stream first starts (it is then fixed in the checkpoint).
+    ``state_partitions`` sets it for this stream only: the query clones the
+    session's configuration at ``start()``, and the session value is restored
+    right after.
+    """
     raw = (
         spark.readStream.schema(RAW_CONTROLLED)
         .option("maxFilesPerTrigger", max_files_per_trigger)
@@ -42,12 +49,18 @@ def ingest_controlled(spark: SparkSession, landing_path: str, table_path: str, c
         rows = batch.drop("_event_time")
         table.upsert(rows.withColumn(INC.CONTROLLED_PARTITION, INC.partition_value("receipt_at", cfg)), policy)
 
-    query = (
-        staged.writeStream.foreachBatch(upsert)
-        .option("checkpointLocation", checkpoint_location)
-        .trigger(availableNow=True)
-        .start()
-    )
+    previous = spark.conf.get("spark.sql.shuffle.partitions")
+    if state_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    try:
+        query = (
+            staged.writeStream.foreachBatch(upsert)
+            .option("checkpointLocation", checkpoint_location)
+            .trigger(availableNow=True)
+            .start()
+        )
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", previous)
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
