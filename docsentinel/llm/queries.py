@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from docsentinel.llm.licences import op8_licences
 from docsentinel.llm.sharding import op9_rendezvous
 
 QUERIES = {
+    "op8_licences": op8_licences,
     "op9_rendezvous": op9_rendezvous,
 }
 
