@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from docsentinel.llm.licences import op8_licences
+from docsentinel.llm.lz_fingerprint import op1_lz_fingerprint
 from docsentinel.llm.sharding import op9_rendezvous
 
 QUERIES = {
+    "op1_lz_fingerprint": op1_lz_fingerprint,
     "op8_licences": op8_licences,
     "op9_rendezvous": op9_rendezvous,
 }
