@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from docsentinel.llm.fm_index import op10_fm_decontaminate
 from docsentinel.llm.licences import op8_licences
 from docsentinel.llm.lz_fingerprint import op1_lz_fingerprint
 from docsentinel.llm.sharding import op9_rendezvous
 from docsentinel.llm.simhash import op4_simhash
 
 QUERIES = {
+    "op10_fm_decontaminate": op10_fm_decontaminate,
     "op4_simhash": op4_simhash,
     "op1_lz_fingerprint": op1_lz_fingerprint,
     "op8_licences": op8_licences,
