@@ -6,10 +6,12 @@ from docsentinel.llm.fm_index import op10_fm_decontaminate
 from docsentinel.llm.licences import op8_licences
 from docsentinel.llm.lz_fingerprint import op1_lz_fingerprint
 from docsentinel.llm.packing import op6_pack
+from docsentinel.llm.quality_gam import op5_quality
 from docsentinel.llm.sharding import op9_rendezvous
 from docsentinel.llm.simhash import op4_simhash
 
 QUERIES = {
+    "op5_quality": op5_quality,
     "op6_pack": op6_pack,
     "op10_fm_decontaminate": op10_fm_decontaminate,
     "op4_simhash": op4_simhash,
