@@ -9,8 +9,10 @@ from docsentinel.llm.packing import op6_pack
 from docsentinel.llm.quality_gam import op5_quality
 from docsentinel.llm.sharding import op9_rendezvous
 from docsentinel.llm.simhash import op4_simhash
+from docsentinel.llm.toxicity import op7_toxicity
 
 QUERIES = {
+    "op7_toxicity": op7_toxicity,
     "op5_quality": op5_quality,
     "op6_pack": op6_pack,
     "op10_fm_decontaminate": op10_fm_decontaminate,
