@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +35,11 @@ def bucket_of(n: int, *cols: str | Column) -> Column:
     return F.pmod(F.xxhash64(*cols), F.lit(n)).cast("int")
 
 
+def held_out(key: str, folds: int, out: int) -> Column:
+    """Whether the checksum of the key's text leaves ``out`` modulo ``folds`` (null key: the empty text)."""
+    return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % folds == out
+
+
 def words_any_space(data: bytes) -> list[bytes]:
     """Lower-cased (A-Z) words between ASCII white space: ``[^\\x20\\x09-\\x0D]+``."""
     return data.translate(LOWER_ASCII).split()
@@ -44,6 +50,39 @@ def words_alnum(data: bytes) -> list[bytes]:
     return data.translate(WORD_ASCII).split()
 
 
+def text_blocks(docs: DataFrame, key: str, text: str, block_bytes: int, *extra: Column) -> DataFrame:
+    """(``doc_id``, ``data``, ``block``, *extra*) dealt by block: about ``block_bytes`` of text share one.
+
+    A block is a hash of the key, so it holds the same documents whenever it is computed
+    again; the number of blocks follows the size of the table.
+    """
+    total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    blocks = int(total // block_bytes) + 1
+    rows = docs.select(F.col(key).cast("long").alias("doc_id"), utf8(text).alias("data"), *extra)
+    placed = rows.withColumn("block", bucket_of(blocks, "doc_id"))
+    return placed.repartition(min(blocks, 4 * task_partitions(docs.sparkSession)), "block")
+
+
+def to_planes(a: np.ndarray) -> bytes:
+    """An array's bytes, all first bytes first: sorted numbers then compress well in a shuffle."""
+    return np.ascontiguousarray(a.view(np.uint8).reshape(len(a), a.itemsize).T).tobytes()
+
+
+def from_planes(raw: bytes, kind: str) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, -1).T).view(kind).ravel()
+
+
+def count_sorted(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, with their counts summed."""
+    if not len(keys):
+        return keys, counts
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[first], np.add.reduceat(counts[order], first)
+
+
 def map_rows(df: DataFrame, schema: str, make: Callable[[], Callable[[list], dict[str, list]]], chunk: int = 256) -> DataFrame:
     """Apply a batch function inside tasks.
 

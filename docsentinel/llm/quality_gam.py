@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docsentinel.llm.common import map_rows, table, utf8
+from docsentinel.llm.common import held_out, map_rows, table, utf8
 from docsentinel.session import ensure_checkpoint_dir
 
 FEATURES = (
@@ -201,11 +201,6 @@ class PairwiseGam:
         return 1 / (1 + np.exp(-margin))
 
 
-def held_out(key: str, folds: int, out: int):
-    """Whether the checksum of the key's text leaves ``out`` modulo ``folds`` (null key: the empty text)."""
-    return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % folds == out
-
-
 def sample_labels(labels: DataFrame, label: str, folds: int, out: int, most: int, key: str = "doc_id") -> DataFrame:
     """(``doc_id``, ``y``): one row for each labelled key outside the held-out fold, at most
     ``most`` of them, the first by key hash. Several labels of a key count as their largest."""

@@ -13,8 +13,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docsentinel.llm.common import map_rows, table, utf8, words_alnum
-from docsentinel.llm.quality_gam import held_out
+from docsentinel.llm.common import held_out, map_rows, table, utf8, words_alnum
 
 WINDOW = 32
 HIDDEN = 8  # states of each direction
