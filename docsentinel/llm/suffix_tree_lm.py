@@ -31,7 +31,7 @@ from docsentinel.session import ensure_checkpoint_dir
 DEPTH = 6
 #: A state's context makes up at least this share of the training bytes, so there are at
 #: most DEPTH / LEAST_SHARE states, however large the corpus.
-LEAST_SHARE = 2e-5
+LEAST_SHARE = 2e-6
 BLOCK_BYTES = 8 << 20
 _END, _SPACE = 10, 32
 _PIECE = 1 << 20
