@@ -9,10 +9,12 @@ from docsentinel.llm.packing import op6_pack
 from docsentinel.llm.quality_gam import op5_quality
 from docsentinel.llm.sharding import op9_rendezvous
 from docsentinel.llm.simhash import op4_simhash
+from docsentinel.llm.suffix_dedup import op2_suffix_dedup
 from docsentinel.llm.suffix_tree_lm import op3_suffix_tree
 from docsentinel.llm.toxicity import op7_toxicity
 
 QUERIES = {
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_suffix_tree": op3_suffix_tree,
     "op7_toxicity": op7_toxicity,
     "op5_quality": op5_quality,

@@ -198,26 +198,37 @@ class ToxicNet:
         return loss, g
 
     @staticmethod
-    def fit(texts: list[bytes], y: np.ndarray, epochs: int = 8, batch: int = 48, rate: float = 0.01, seed: int = 7) -> ToxicNet:
-        """Adam on shuffled batches, with a falling rate."""
+    def fit(
+        texts: list[bytes], y: np.ndarray, steps: int = 450, batch: int = 48, rate: float = 0.01,
+        drop: float = 0.5, decay: float = 1e-4, seed: int = 7,
+    ) -> ToxicNet:
+        """Adam with a falling rate over shuffled batches.
+
+        Each step hides a random part of the word rows, so that no text is learnt by its
+        rare words and characters carry their share; embeddings decay towards zero.
+        """
         net, rng = ToxicNet.fresh(seed), np.random.default_rng(seed)
         if not len(y) or y.min() == y.max():
             return net
         first = {k: np.zeros_like(v) for k, v in net.p.items()}
         second = {k: np.zeros_like(v) for k, v in net.p.items()}
-        steps, total = 0, epochs * -(-len(y) // batch)
-        for _ in range(epochs):
-            order = rng.permutation(len(y))
-            for at in range(0, len(y), batch):
-                part = order[at: at + batch]
-                _, g = net.gradients([texts[i] for i in part], y[part].astype(np.float32))
-                steps += 1
-                now = rate * (1 - 0.9 * steps / total)
-                for k, v in g.items():
-                    first[k] += 0.1 * (v - first[k])
-                    second[k] += 0.01 * (v * v - second[k])
-                    fix = np.sqrt(1 - 0.99**steps) / (1 - 0.9**steps)
-                    net.p[k] -= (now * fix * first[k] / (np.sqrt(second[k]) + 1e-7)).astype(np.float32)
+        order = np.empty(0, np.int64)
+        for step in range(1, steps + 1):
+            if len(order) < min(batch, len(y)):
+                order = np.concatenate([order, rng.permutation(len(y))])
+            part, order = order[:batch], order[batch:]
+            hidden, whole = rng.random(WORD_ROWS) < drop, net.p["word"]
+            net.p["word"] = np.where(hidden[:, None], np.float32(0), whole)
+            _, g = net.gradients([texts[i] for i in part], y[part].astype(np.float32))
+            net.p["word"] = whole
+            g["word"][hidden] = 0
+            for k in ("word", "char"):
+                g[k] += decay * net.p[k]
+            now = rate * (1 - 0.9 * step / steps) * np.sqrt(1 - 0.99**step) / (1 - 0.9**step)
+            for k, v in g.items():
+                first[k] += 0.1 * (v - first[k])
+                second[k] += 0.01 * (v * v - second[k])
+                net.p[k] -= (now * first[k] / (np.sqrt(second[k]) + 1e-7)).astype(np.float32)
         return net
 
     def text_logits(self, texts: list[bytes], most: int = 4096) -> np.ndarray:
