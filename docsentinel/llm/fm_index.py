@@ -9,6 +9,7 @@ a document are merged into removal spans. Nothing is shuffled.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import repeat
@@ -17,8 +18,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from docsentinel.llm.common import bucket_of, pa_schema, table, utf8, words_alnum
+from docsentinel.llm.common import WORD_ASCII, bucket_of, pa_schema, table, utf8, words_alnum
 
 SAMPLE = 8  # one suffix position in so many is stored
 SHARD_BYTES = 8 << 20
@@ -216,12 +218,12 @@ _FOUND = "n_words long, span_start array<long>, span_end array<long>, items arra
 
 
 def _search_block(docs: DataFrame, phrases: Phrases) -> DataFrame:
-    """One pass over (``doc_id``, ``data``, found so far) rows with one block of phrases."""
+    """One pass over (``doc_id``, ``data``, found so far, carried) rows with one block of phrases."""
     shared = docs.sparkSession.sparkContext.broadcast(phrases)
-    schema = f"doc_id long, data binary, {_FOUND}"
-    out_schema = pa_schema(schema)
+    found_schema = pa_schema(f"doc_id long, data binary, {_FOUND}")
+    carried = docs.columns[len(found_schema):]
 
-    def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Schema, list[tuple]]]:
         rows, size = [], 0
         for batch in batches:
             for at in range(0, batch.num_rows, 128):
@@ -230,22 +232,23 @@ def _search_block(docs: DataFrame, phrases: Phrases) -> DataFrame:
                     rows.append(row)
                     size += len(row[1])
                     if size >= SHARD_BYTES:
-                        yield rows
+                        yield batch.schema, rows
                         rows, size = [], 0
         if rows:
-            yield rows
+            yield batch.schema, rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in shards(batches):
+        for schema, rows in shards(batches):
+            out_schema = pa.schema([*found_schema, *[schema.field(c) for c in carried]])
             out = []
             for row, (n, starts, ends, items) in zip(rows, search_shard(shared.value, [r[1] for r in rows])):
                 starts = np.concatenate([starts, np.asarray(row[3], np.int64)])
                 ends = np.concatenate([ends, np.asarray(row[4], np.int64)])
-                out.append((row[0], row[1], n, *merge_spans(starts, ends), sorted(items.union(row[5]))))
+                out.append((row[0], row[1], n, *merge_spans(starts, ends), sorted(items.union(row[5])), *row[6:]))
             columns = zip(*out)
             yield pa.RecordBatch.from_arrays([pa.array(c, x.type) for c, x in zip(columns, out_schema)], schema=out_schema)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(run, docs.schema)
 
 
 def find_passages(
@@ -257,6 +260,7 @@ def find_passages(
     item: str = "item_id",
     item_text: str = "text",
     block_bytes: int = BLOCK_BYTES,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """(``doc_id``, ``data``, ``n_words``, ``span_start``, ``span_end``, ``items``) of every document.
 
@@ -265,8 +269,8 @@ def find_passages(
     is checked first: each block of about ``block_bytes`` of it is broadcast and searched
     in a pass of its own, so a large benchmark costs passes, not memory. Null and blank
     texts have no words; items without an id are skipped; equal item ids count once;
-    repeated documents are searched one by one; extra columns are ignored; empty tables
-    give no rows or no spans.
+    repeated documents are searched one by one; columns named in ``carry`` come along, others
+    are ignored; empty tables give no rows or no spans.
     """
     items = benchmark.where(F.col(item).isNotNull()).select(F.col(item).cast("long").alias("i"), utf8(item_text).alias("d"))
     total = items.agg(F.sum(F.octet_length("d"))).first()[0] or 0
@@ -274,7 +278,7 @@ def find_passages(
     none = F.array().cast("array<long>")
     found = docs.select(
         F.col(key).cast("long").alias("doc_id"), utf8(text).alias("data"), F.lit(0).cast("long").alias("n_words"),
-        none.alias("span_start"), none.alias("span_end"), none.alias("items"),
+        none.alias("span_start"), none.alias("span_end"), none.alias("items"), *carry,
     )
     for b in range(blocks):
         rows = items.where(bucket_of(blocks, "i") == b).collect()
@@ -282,6 +286,39 @@ def find_passages(
     return found
 
 
+def cut_words(data: bytes, starts: list[int], ends: list[int]) -> bytes:
+    """The text without the given word ranges, each from its first word's start to its last word's end."""
+    places = [m.span() for m in re.finditer(rb"[^ ]+", data.translate(WORD_ASCII))]
+    out, at = [], 0
+    for a, b in zip(starts, ends):
+        out.append(data[at: places[a][0]])
+        at = places[b - 1][1]
+    return b"".join([*out, data[at:]])
+
+
+def remove_passages(
+    docs: DataFrame, benchmark: DataFrame, window: int = 10, key: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """The rows, with all their columns, their texts without benchmark passages.
+
+    Texts without a hit stay as they are, null ones too.
+    """
+    others = F.struct(F.when(F.col(text).isNull(), True).alias("_null"), *[c for c in docs.columns if c != text])
+    packed = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"), others.alias("_row"))
+    found = find_passages(packed, benchmark, window, "_key", "_text", carry=("_row",))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = (batch.column(c).to_pylist() for c in ("data", "span_start", "span_end"))
+            cut = [cut_words(*r).decode("utf-8", "replace") for r in zip(*columns)]
+            yield pa.RecordBatch.from_arrays([pa.array(cut, pa.string()), batch.column("_row")], names=["text", "row"])
+
+    result = StructType([StructField("text", StringType()), StructField("row", found.schema["_row"].dataType)])
+    done = found.select("data", "span_start", "span_end", "_row").mapInArrow(run, result)
+    new_text = F.when(F.col("row._null"), F.lit(None)).otherwise(F.col("text"))
+    return done.select(*[(new_text if c == text else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+
+
 def op10_fm_decontaminate(spark, sf_dir: str) -> DataFrame:
     """Words of each document inside 10-word windows of the benchmark."""
     found = find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

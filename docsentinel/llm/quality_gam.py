@@ -11,11 +11,11 @@ from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docsentinel.llm.common import held_out, map_rows, table, utf8
-from docsentinel.session import ensure_checkpoint_dir
 
 FEATURES = (
     "log_words", "mean_word", "symbols", "punctuation", "upper", "digits", "other_bytes", "entropy",
@@ -68,15 +68,6 @@ def text_features(data: bytes) -> list[float]:
     ]
 
 
-def with_features(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(``doc_id``, ``features``) of every whole text."""
-    def make():
-        return lambda cols: {"doc_id": cols[0], "features": [text_features(x) for x in cols[1]]}
-
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), utf8(text).alias("data"))
-    return map_rows(rows, "doc_id long, features array<double>", make)
-
-
 def _best_cuts(grad: np.ndarray, hess: np.ndarray, splits: int, ridge: float) -> list[int]:
     """Greedy cuts of a row of bins that gain most: a shallow tree over one feature."""
     g, h = np.concatenate([[0], np.cumsum(grad)]), np.concatenate([[0], np.cumsum(hess)])
@@ -209,6 +200,42 @@ def sample_labels(labels: DataFrame, label: str, folds: int, out: int, most: int
     return one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
 
 
+def fit_quality(
+    docs: DataFrame,
+    labels: DataFrame,
+    folds: int = 3,
+    out: int = 1,
+    max_train_rows: int = 20_000,
+    key: str = "doc_id",
+    text: str = "text",
+) -> PairwiseGam:
+    """The model of at most ``max_train_rows`` labelled rows outside the held-out fold, fit on the driver."""
+    chosen = F.broadcast(sample_labels(labels, "quality", folds, out, max_train_rows, key))  # bounded by the sample
+    rows = docs.select(F.col(key).cast("long").alias("doc_id"), utf8(text).alias("data")).join(chosen, "doc_id")
+
+    def make():
+        return lambda cols: {"doc_id": cols[0], "y": cols[2], "features": [text_features(x) for x in cols[1]]}
+
+    seen = map_rows(rows.select("doc_id", "data", "y"), "doc_id long, y int, features array<double>", make)
+    train = sorted((r["doc_id"], r["features"], r["y"]) for r in seen.dropDuplicates(["doc_id", "features"]).collect())
+    x = np.array([r[1] for r in train], float).reshape(-1, len(FEATURES))
+    return PairwiseGam.fit(x, np.array([r[2] for r in train], float))
+
+
+def keep_good(docs: DataFrame, model: PairwiseGam, threshold: float = 0.5, text: str = "text") -> DataFrame:
+    """The rows, with all their columns, whose whole text scores at least ``threshold``."""
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                texts = [x.as_py() or b"" for x in part.column("_data")]
+                x = np.array([text_features(t) for t in texts], float).reshape(-1, len(FEATURES))
+                good = part.filter(pa.array(model.score(x) >= threshold))
+                yield good.drop_columns(["_data"])
+
+    return docs.withColumn("_data", utf8(text)).mapInArrow(run, docs.schema)
+
+
 def score_quality(
     docs: DataFrame,
     labels: DataFrame,
@@ -221,31 +248,23 @@ def score_quality(
 ) -> DataFrame:
     """(``doc_id``, ``held_out``, ``score``, ``predicted``) of every whole text.
 
-    The model is fit on the driver from at most ``max_train_rows`` labelled rows outside
-    the held-out fold. Only text features enter a score. Null and blank texts score as
-    texts without words; without usable labels every score is the same. Repeated rows
-    are scored one by one; an empty table gives none; extra columns are ignored.
+    Only text features enter a score. Null and blank texts score as texts without words;
+    without usable labels every score is the same. Repeated rows are scored one by one;
+    an empty table gives none; extra columns are ignored.
     """
-    ensure_checkpoint_dir(docs.sparkSession)
-    rows = with_features(docs, key, text).checkpoint()
-    chosen = sample_labels(labels, "quality", folds, out, max_train_rows)
-    train = rows.join(chosen, "doc_id").select("doc_id", "features", "y").dropDuplicates(["doc_id"])
-    fitted = train.select("features", "y").collect()  # at most max_train_rows
-    x = np.array([r["features"] for r in fitted], float).reshape(-1, len(FEATURES))
-    order = np.lexsort(x.T) if len(x) else []
-    model = PairwiseGam.fit(x[order], np.array([r["y"] for r in fitted], float)[order])
+    model = fit_quality(docs, labels, folds, out, max_train_rows, key, text)
 
     def make():
         def batch(cols):
-            p = model.score(np.array(cols[1], float).reshape(-1, len(FEATURES)))
+            p = model.score(np.array([text_features(x) for x in cols[1]], float).reshape(-1, len(FEATURES)))
             return {"doc_id": cols[0], "held_out": cols[2], "score": p, "predicted": (p >= threshold).astype(np.int32)}
 
         return batch
 
-    return map_rows(
-        rows.select("doc_id", "features", held_out("doc_id", folds, out).alias("held_out")),
-        "doc_id long, held_out boolean, score double, predicted int", make, chunk=4096,
+    rows = docs.select(
+        F.col(key).cast("long").alias("doc_id"), utf8(text).alias("data"), held_out(key, folds, out).alias("held_out")
     )
+    return map_rows(rows, "doc_id long, held_out boolean, score double, predicted int", make)
 
 
 def op5_quality(spark, sf_dir: str) -> DataFrame:

@@ -208,6 +208,18 @@ def near_duplicates(
     return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
+def keep_first_of_each(docs: DataFrame, shingle: int, max_bits: int, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows, with all their columns, of one document of each component: the smallest key.
+
+    Rows without a key cannot be told apart by it and all stay; rows that repeat a key are
+    one document and leave one row.
+    """
+    found = near_duplicates(docs, shingle, max_bits, key, text)
+    first = found.where("doc_id = component_id").select(F.col("doc_id").alias("_first")).distinct()
+    named = docs.join(first, docs[key] == first["_first"], "left_semi").dropDuplicates([key])
+    return named.unionByName(docs.where(F.col(key).isNull()))
+
+
 def op4_simhash(spark, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document: 4-word shingles, at most 4 bits apart."""
     found = near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
