@@ -1,6 +1,6 @@
 """Incremental-load operators: high-water mark, delete+insert by key, schema evolution.
 
-Pure ``DataFrame -> DataFrame`` pieces; ``sources.tables.PartitionedTable``
+Pure ``DataFrame -> DataFrame`` pieces; ``sources.tables.VersionedTable``
 persists their result.
 """
 
@@ -17,17 +17,6 @@ from docsentinel.functions.exprs import ts_ntz
 SCHEMA_POLICIES = ("ignore", "append_new_columns", "sync_all_columns", "fail")
 
 
-def high_water_mark(target: DataFrame | None, column: str):
-    """``max(column)`` of the target, or None if there is no target or it is empty.
-
-    One scalar comes back to the driver, and it becomes a literal in the batch
-    filter, which parquet can push down (row-group min/max skipping).
-    """
-    if target is None:
-        return None
-    return target.agg(F.max(column)).first()[0]
-
-
 def after_mark(source: DataFrame, column: str, mark, late: dt.timedelta | None = None) -> DataFrame:
     """Rows strictly after ``mark`` (optionally re-reading a trailing ``late`` window).
 

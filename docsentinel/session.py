@@ -15,9 +15,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.shuffle.partitions": "8",
     "spark.driver.memory": "16g",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -34,9 +32,11 @@ def build_session(app: str = "docsentinel", master: str | None = None, **conf: s
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared ``spark.checkpoint.dir``; a private temp dir only when unset (tests)."""
+    """The cluster's shared ``spark.checkpoint.dir``; a private temp dir only where it is unset in local mode."""
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="docsentinel-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():

@@ -14,7 +14,6 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docsentinel.sources.readers import spread_small_input
 from docsentinel.sources.schemas import RAW_CONTROLLED, RAW_CREATED
 
 # Fixture run date: the latest order date at every scale factor.
@@ -50,16 +49,32 @@ def _pick(expr: str, values: tuple[str, ...]) -> str:
     return f"CASE {expr} {arms} END"
 
 
+CONTROL_ITEM = (
+    "concat('{\"identifier\":\"', " + _pick("l_partkey % 12", IDENTIFIERS)
+    + ", '\",\"status\":', CASE WHEN l_returnflag = 'A' THEN '\"OK\"' WHEN l_returnflag = 'R' "
+    "THEN '\"KO\"' WHEN l_linestatus = 'O' THEN '\"NA\"' ELSE 'null' END, "
+    "',\"scores\":[\"a\",\"b\"]}')"
+)
+# Control payloads of suppliers by ``l_suppkey % 97``; all others are an array of one item.
+CONTROL_SHAPES = {
+    5: "'[]'",
+    11: f"concat('[', {CONTROL_ITEM}, ',5]')",
+    17: f"concat('[', {CONTROL_ITEM}, ',{{\"identifier\":\"Document.Other\",\"status\":\"KO\"}},\"x\"]')",
+    23: CONTROL_ITEM,
+    29: "'[{\"identifier\":\"Document.DateValidation\"'",
+    31: "'null'",
+    37: f"concat(chr(10), chr(9), '[', {CONTROL_ITEM}, ']')",
+    41: "'[{\"identifier\":{\"n\":\"Document.DateValidation\"},\"status\":[\"OK\"]}]'",
+    43: "'[7]'",
+    47: "'[null]'",
+}
 CONTROLLED_EXPRS: dict[str, str] = {
     "id": "concat_ws('-', cast(l_orderkey as string), cast(l_linenumber as string), "
     "cast(l_partkey as string), cast(l_suppkey as string), cast(cast(l_shipdate as date) as string))",
     "doc_id": "cast(l_orderkey as string)",
     "data_documentcontrolsdata_documentcontrols_anonymized": (
-        "CASE WHEN l_suppkey % 97 = 5 THEN '[]' ELSE concat('[{\"identifier\":\"', "
-        + _pick("l_partkey % 12", IDENTIFIERS)
-        + ", '\",\"status\":', CASE WHEN l_returnflag = 'A' THEN '\"OK\"' WHEN l_returnflag = 'R' "
-        "THEN '\"KO\"' WHEN l_linestatus = 'O' THEN '\"NA\"' ELSE 'null' END, "
-        "',\"scores\":[\"a\",\"b\"]}]') END"
+        "CASE l_suppkey % 97 " + " ".join(f"WHEN {k} THEN {e}" for k, e in CONTROL_SHAPES.items())
+        + f" ELSE concat('[', {CONTROL_ITEM}, ']') END"
     ),
     "data_documentcontrolsdata_documentfaceids": (
         "concat('[{\"id\":\"f', cast(l_linenumber as string), '\",\"type\":\"', "
@@ -116,8 +131,7 @@ def fixture_sources(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
     """``(raw_controlled, raw_created)`` derived from ``sf_dir``'s parquet tables."""
     lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(*LINEITEM_COLUMNS)
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(*ORDERS_COLUMNS)
-    return (raw_controlled_from_lineitem(spread_small_input(spark, lineitem)),
-            raw_created_from_orders(spread_small_input(spark, orders)))
+    return raw_controlled_from_lineitem(lineitem), raw_created_from_orders(orders)
 
 
 def oracle_raw_ctes() -> str:

@@ -1,4 +1,4 @@
-"""Parquet tables on the shared filesystem: existence checks, partitioned upserts.
+"""Parquet tables on the shared filesystem: versioned folders, partitioned upserts.
 
 Paths may be any Hadoop-supported URI (``file:``, ``hdfs:``, object stores);
 filesystem calls go through the JVM's Hadoop ``FileSystem``, as PySpark jobs
@@ -7,15 +7,21 @@ usually do for existence checks and deletes.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+import re
+import uuid
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+from pyspark.sql import types as T
 
 from docsentinel.operators.incremental import delete_insert, evolve_columns
 from docsentinel.session import work_path
 
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+_COMMIT = "commit_id"
+
 
 def _fs_path(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -33,149 +39,199 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(p, True)) if fs.exists(p) else False
 
 
-def list_dirs(spark: SparkSession, path: str) -> list[str]:
+def list_names(spark: SparkSession, path: str) -> list[str]:
     fs, p = _fs_path(spark, path)
-    if not fs.exists(p):
-        return []
-    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table at ``path``, or None when it does not exist (yet)."""
-    if not path_exists(spark, path):
-        return None
-    try:
-        # Every file of a table shares one schema: a schema change rewrites all partitions.
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+class VersionedTable:
+    """A parquet table whose current state is named by its newest manifest.
 
+    Every write goes to a folder of its own (``data/commit_id=...``); a manifest
+    (``versions/v0000000001.json``) lists the schema and, for each partition value,
+    the folder that holds it. Moving the next manifest into place is the only step
+    that changes what readers see, so a job lost before it leaves the table as it
+    was and a rerun starts from there. Files older than a schema change are read
+    with the current schema: added columns are NULL in them, removed ones are not
+    read. Folders that neither of the last two versions names are deleted.
+    """
 
-def _partition_dir_values(spark: SparkSession, path: str, partition_col: str) -> list[str]:
-    prefix = f"{partition_col}="
-    return [d[len(prefix):] for d in list_dirs(spark, path) if d.startswith(prefix)]
+    def __init__(self, spark: SparkSession, path: str, key: str | None = None, partition_col: str | None = None,
+                 key_determines_partition: bool = False):
+        self.spark, self.path, self.key, self.partition_col = spark, path.rstrip("/"), key, partition_col
+        self.key_determines_partition = key_determines_partition
 
+    # -- state ---------------------------------------------------------------------
 
-# Broadcast a batch's keys for the old-copy lookup only up to this many batch rows.
-BROADCAST_KEYS_LIMIT = 2_000_000
+    def _versions(self) -> list[int]:
+        names = list_names(self.spark, f"{self.path}/versions")
+        return [int(m[1]) for n in names if (m := re.fullmatch(r"v(\d{10})\.json", n))]
 
+    def _manifest_path(self, version: int) -> str:
+        return f"{self.path}/versions/v{version:010d}.json"
 
-class PartitionedTable:
-    """A parquet table partitioned by one column, maintained by key-replacing upserts.
+    def _manifest(self, version: int | None = None) -> dict | None:
+        version = version or max(self._versions(), default=0)
+        if not version:
+            return None
+        text = self.spark.read.text(self._manifest_path(version), wholetext=True).first()[0]
+        return {"version": version, **json.loads(text)}
 
-    An upsert rewrites only the partitions it touches (dynamic partition
-    overwrite): the batch's partitions, plus, unless the key determines the
-    partition, those holding an older row with a batch key (found by a
-    semi join reading just the key and partition columns). The rewritten
-    partitions are first staged in the shared checkpoint folder, so the job
-    never overwrites a path it is reading; a rerun after a failure repeats the
-    same delete+insert, which is idempotent.
-    """
+    def exists(self) -> bool:
+        return bool(self._versions())
 
-    def __init__(self, spark: SparkSession, path: str, key: str, partition_col: str,
-                 key_determines_partition: bool = False):
-        self.spark, self.path, self.key, self.partition_col = spark, path, key, partition_col
-        self.key_determines_partition = key_determines_partition
+    def _leaf(self, value: str, folder: str) -> str:
+        base = f"{self.path}/data/{_COMMIT}={folder}"
+        return f"{base}/{self.partition_col}={value}" if self.partition_col else base
 
     def read(self) -> DataFrame | None:
-        return read_table(self.spark, self.path)
+        """The table's current state; None before the first load, no rows after an empty one."""
+        m = self._manifest()
+        if m is None:
+            return None
+        schema = T.StructType.fromJson(m["schema"])
+        if not m["folders"]:
+            return self.spark.createDataFrame([], schema)
+        leaves = [self._leaf(v, f) for v, f in m["folders"].items()]
+        stored = T.StructType([*schema.fields, T.StructField(_COMMIT, T.StringType())])
+        files = self.spark.read.schema(stored).option("basePath", f"{self.path}/data").parquet(*leaves)
+        return files.select(*schema.names)
 
     def partition_values(self) -> list[str]:
-        """Partition values present, from the directory names (metadata only)."""
-        return _partition_dir_values(self.spark, self.path, self.partition_col)
+        """Partition values present, NULL left out, from the manifest (metadata only)."""
+        return sorted(v for v in (self._manifest() or {"folders": {}})["folders"] if v != NULL_PARTITION)
+
+    def folder(self) -> str | None:
+        """Where an unpartitioned table's current files are."""
+        m = self._manifest()
+        return None if m is None or not m["folders"] else self._leaf("", m["folders"][""])
 
     def max_in_last_partition(self, column: str):
         """``max(column)`` when the partition value is monotone in ``column``.
 
-        The partition column is the day (or month) of ``column``, so the
-        maximum lies in the greatest partition: only that one is read,
-        not the whole table. Returns None when the table is absent or empty.
+        The partition column is the day (or month) of ``column``, so the maximum lies in
+        the greatest partition that is not NULL: only that one is read. None when the
+        table is absent or has no such partition.
         """
-        target = self.read()
         values = self.partition_values()
-        if target is None or not values:
+        if not values:
             return None
-        last = max(values)  # ISO dates order as strings
-        return target.filter(F.col(self.partition_col) == F.lit(last).cast("date")).agg(F.max(column)).first()[0]
-
-    def _rebalanced(self, df: DataFrame) -> DataFrame:
-        # AQE sizes the write tasks: small partitions are coalesced, a skewed one
-        # split, so files per partition stay few without one task per partition.
-        return df.hint("rebalance", self.partition_col)
-
-    def _write(self, df: DataFrame, mode: str) -> None:
-        (self._rebalanced(df).write.mode(mode).option("partitionOverwriteMode", "dynamic")
-         .partitionBy(self.partition_col).parquet(self.path))
-
-    def _stage(self, df: DataFrame) -> tuple[DataFrame, str]:
-        """Write ``df`` under the shared checkpoint folder and read it back (schema kept)."""
-        staging = work_path(self.spark, "staging", unique=True)
-        self._rebalanced(df).write.mode("errorifexists").partitionBy(self.partition_col).parquet(staging)
-        return self.spark.read.schema(df.schema).parquet(staging), staging
+        last = F.col(self.partition_col) == F.lit(max(values)).cast("date")  # ISO dates order as strings
+        return self.read().filter(last).agg(F.max(column)).first()[0]
+
+    # -- writes --------------------------------------------------------------------
+
+    def stage(self, df: DataFrame) -> str:
+        """Write ``df`` to a folder that no version names yet; its id."""
+        folder = uuid.uuid4().hex
+        writer = df
+        if self.partition_col:
+            # AQE sizes the write tasks: small partitions are coalesced, a skewed one
+            # split, so files per partition stay few without one task per partition.
+            writer = df.hint("rebalance", self.partition_col)
+        w = writer.write.mode("errorifexists")
+        if self.partition_col:
+            w = w.partitionBy(self.partition_col)
+        w.parquet(f"{self.path}/data/{_COMMIT}={folder}")
+        return folder
+
+    def staged(self, folder: str, schema: T.StructType) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(f"{self.path}/data/{_COMMIT}={folder}")
+
+    def discard(self, folder: str) -> None:
+        delete_path(self.spark, f"{self.path}/data/{_COMMIT}={folder}")
+
+    def _values_in(self, folder: str) -> list[str]:
+        names = list_names(self.spark, f"{self.path}/data/{_COMMIT}={folder}")
+        if not self.partition_col:
+            return [""]
+        prefix = f"{self.partition_col}="
+        return [n[len(prefix):] for n in names if n.startswith(prefix)]
+
+    def publish(self, folder: str, schema: T.StructType, replaced: Iterable[str] | None = None,
+                dropped: Sequence[str] = ()) -> None:
+        """Make a staged folder current: it replaces the ``replaced`` partitions (None: all) and its own."""
+        before = self._manifest() or {"version": 0, "folders": {}, "dropped": []}
+        kept = {} if replaced is None else {v: f for v, f in before["folders"].items() if v not in set(replaced)}
+        folders = kept | {v: folder for v in self._values_in(folder)}
+        body = {"schema": schema.jsonValue(), "folders": folders, "dropped": sorted(set(dropped))}
+        self._swap_in(before["version"] + 1, json.dumps(body))
+        self._forget({*folders.values(), *before["folders"].values()}, before["version"])
+
+    def _swap_in(self, version: int, text: str) -> None:
+        fs, target = _fs_path(self.spark, self._manifest_path(version))
+        _, fresh = _fs_path(self.spark, f"{self.path}/versions/new-{uuid.uuid4().hex}")
+        out = fs.create(fresh, False)
+        out.write(bytearray(text.encode()))
+        out.close()
+        if fs.exists(target) or not fs.rename(fresh, target):
+            raise RuntimeError(f"version {version} of {self.path} was written by another job")
+
+    def _forget(self, live: set[str], oldest: int) -> None:
+        for name in list_names(self.spark, f"{self.path}/data"):
+            if name.removeprefix(f"{_COMMIT}=") not in live:
+                delete_path(self.spark, f"{self.path}/data/{name}")
+        for version in self._versions():
+            if version < oldest:
+                delete_path(self.spark, self._manifest_path(version))
+
+    def replace(self, df: DataFrame) -> DataFrame:
+        """Full refresh; the new state."""
+        self.publish(self.stage(df), df.schema)
+        return self.read()
 
     def upsert(self, batch: DataFrame, policy: str = "ignore") -> None:
         """delete+insert ``batch`` by ``key`` with schema policy ``policy``.
 
-        The batch is computed once (written to staging); partitions to touch
-        and the merge are derived from that copy.
+        The batch is computed once (written to the checkpoint folder); the partitions to
+        rewrite are the batch's own plus, unless the key determines the partition, those
+        that hold an older row with a batch key. A column that comes back after it was
+        removed is the one case in which all partitions are rewritten: older files may
+        still hold its old values.
         """
         if self.partition_col not in batch.columns:
             raise ValueError(f"batch lacks partition column {self.partition_col}")
         target = self.read()
         if target is None:
-            self._write(batch, "errorifexists")
+            self.publish(self.stage(batch), batch.schema)
             return
-        staged_batch, batch_path = self._stage(batch)
+        rows, path = checkpoint_table(self.spark, batch, "batch", [self.partition_col])
         try:
             data_cols = [c for c in target.columns if c != self.partition_col]
-            batch_cols = [c for c in staged_batch.columns if c != self.partition_col]
-            if evolve_columns(data_cols, batch_cols, policy) != data_cols:
-                scope = target  # schema change: every partition is rewritten with the new column list
-                touched = self.partition_values()
-            else:
-                touched = self._touched_partitions(target, staged_batch)
-                if not touched:
-                    return  # empty batch: nothing to delete or insert
-                scope = target.filter(F.col(self.partition_col).isin(touched))
-            merged = delete_insert(scope, staged_batch, self.key, policy)
-            staged, staging = self._stage(merged)
-            written = set(_partition_dir_values(self.spark, staging, self.partition_col))
-            self._write(staged, "overwrite")
-            # Dynamic overwrite replaces only partitions present in the output; a
-            # touched partition whose rows all moved or went is removed here.
-            for value in {str(v) for v in touched} - written:
-                delete_path(self.spark, f"{self.path}/{self.partition_col}={value}")
-            delete_path(self.spark, staging)
+            batch_cols = [c for c in rows.columns if c != self.partition_col]
+            columns = evolve_columns(data_cols, batch_cols, policy)
+            gone = set(self._manifest()["dropped"])
+            returning = gone & set(columns)
+            values = None if returning else self._touched_partitions(target, rows)
+            if values == [] and columns == data_cols:
+                return  # empty batch: nothing to delete or insert
+            scope = target if values is None else target.filter(self._in_partitions(values))
+            merged = delete_insert(scope, rows, self.key, policy)
+            dropped = (gone | set(data_cols)) - set(columns)
+            names = None if values is None else [NULL_PARTITION if v is None else str(v) for v in values]
+            self.publish(self.stage(merged), merged.schema, names, sorted(dropped))
         finally:
-            delete_path(self.spark, batch_path)
+            delete_path(self.spark, path)
+
+    def _in_partitions(self, values: list) -> F.Column:
+        known = F.col(self.partition_col).isin([v for v in values if v is not None])
+        return known | F.col(self.partition_col).isNull() if None in values else known
 
     def _touched_partitions(self, target: DataFrame, batch: DataFrame) -> list:
-        """Partition values to rewrite: a small list (one value per partition).
+        """Partition values to rewrite, NULL included: one value per partition.
 
         Finding partitions that hold older copies of batch keys reads only the
-        target's key and partition columns. The batch's row count (cheap on
-        the staged parquet) bounds its key set; below ``BROADCAST_KEYS_LIMIT``
-        the keys are broadcast, so the target's key column is scanned but
-        never shuffled; above it, a shuffled semi join does the same work.
+        target's key and partition columns.
         """
         parts = batch.select(self.partition_col)
         if not self.key_determines_partition:
             keys = batch.select(self.key).distinct()
-            if batch.count() <= BROADCAST_KEYS_LIMIT:
-                keys = F.broadcast(keys)
             holders = target.select(self.key, self.partition_col).join(keys, self.key, "left_semi")
             parts = parts.unionByName(holders.select(self.partition_col))
         return [r[0] for r in parts.distinct().collect()]
 
-    def overwrite(self, df: DataFrame) -> None:
-        """Full refresh (dbt ``--full-refresh`` / first build)."""
-        if self.read() is None:
-            self._write(df, "errorifexists")
-            return
-        staged, staging = self._stage(df)
-        (self._rebalanced(staged).write.mode("overwrite").option("partitionOverwriteMode", "static")
-         .partitionBy(self.partition_col).parquet(self.path))
-        delete_path(self.spark, staging)
+    def drop(self) -> None:
+        delete_path(self.spark, self.path)
 
 
 def checkpoint_table(spark: SparkSession, df: DataFrame, name: str,

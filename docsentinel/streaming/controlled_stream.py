@@ -2,65 +2,53 @@
 
 The batch form picks new rows by a high-water mark, so a row arriving late
 (at or below the mark) is never loaded. Here the file source tracks which
-files were processed, so any new file is read; a watermark on ``receipt_at``
-bounds the deduplication state, and every micro-batch is delete+inserted by
-``event_id`` into the same day-partitioned table, which makes a replayed batch
-(after a failure) idempotent. ``trigger(availableNow=True)`` turns one run
-into "process everything that has landed, then stop", i.e. a nightly job.
+files were processed, so any new file is read whatever its events' times: there
+is no watermark and no state. Each micro-batch keeps the latest row of every
+event and is delete+inserted by ``event_id`` into the same partitioned table,
+which makes a replayed batch (after a failure) idempotent.
+``trigger(availableNow=True)`` turns one run into "process everything that has
+landed, then stop", i.e. a nightly job.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from docsentinel.config import Config
+from docsentinel.operators.dedupe import latest_per_key
 from docsentinel.plans import incremental as INC
 from docsentinel.plans.staging import stage_controlled
 from docsentinel.sources.schemas import RAW_CONTROLLED
 
 
 def ingest_controlled(spark: SparkSession, landing_path: str, table_path: str, checkpoint_location: str,
-                      cfg: Config, dedup_delay: str = "2 days", max_files_per_trigger: int = 1000,
-                      policy: str = "sync_all_columns", state_partitions: int | None = None) -> None:
+                      cfg: Config, max_files_per_trigger: int = 1000, policy: str = "sync_all_columns") -> None:
     """Run the stream until all landed files are processed.
 
-    The dedupe state has one partition per ``spark.sql.shuffle.partitions`` as
-    set when the stream first starts (it is then fixed in the checkpoint).
-    ``state_partitions`` sets it for this stream only: the query clones the
-    session's configuration at ``start()``, and the session value is restored
-    right after.
+    ``max_files_per_trigger`` only cuts a backlog into micro-batches; no row depends on it.
+    Of several rows of one event in a micro-batch the one with the greatest receipt and
+    issue time stays, then by the other columns.
     """
     raw = (
         spark.readStream.schema(RAW_CONTROLLED)
         .option("maxFilesPerTrigger", max_files_per_trigger)
         .parquet(landing_path)
     )
-    # Watermarks need a zoned TIMESTAMP; receipt_at is wall-clock (NTZ), read in the session zone.
-    staged = (
-        stage_controlled(raw)
-        .withColumn("_event_time", F.col("receipt_at").cast("timestamp"))
-        .withWatermark("_event_time", dedup_delay)
-        .dropDuplicatesWithinWatermark(["event_id"])
-    )
+    staged = stage_controlled(raw)
+    columns = staged.columns
+    order = ["receipt_at", "issue_at", *[c for c in columns if c not in ("event_id", "receipt_at", "issue_at")]]
     table = INC.controlled_table(spark, table_path)
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.drop("_event_time")
+        rows = latest_per_key(batch, ["event_id"], order).select(*columns)
         table.upsert(rows.withColumn(INC.CONTROLLED_PARTITION, INC.partition_value("receipt_at", cfg)), policy)
 
-    previous = spark.conf.get("spark.sql.shuffle.partitions")
-    if state_partitions:
-        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
-    try:
-        query = (
-            staged.writeStream.foreachBatch(upsert)
-            .option("checkpointLocation", checkpoint_location)
-            .trigger(availableNow=True)
-            .start()
-        )
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", previous)
+    query = (
+        staged.writeStream.foreachBatch(upsert)
+        .option("checkpointLocation", checkpoint_location)
+        .trigger(availableNow=True)
+        .start()
+    )
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()

@@ -9,31 +9,32 @@ from docsentinel.functions.exprs import to_json_keep_nulls
 from docsentinel.plans import history as H
 from docsentinel.plans import models as M
 from docsentinel.plans.fixture_queries import CFG, staged
-from docsentinel.plans.nightly import replace_table
 from docsentinel.session import work_path
-from docsentinel.sources.tables import path_exists
+from docsentinel.sources.tables import VersionedTable, path_exists
 
 
 def test_migrate_verify_rollback(spark):
     co, cr = staged(spark, SF_SMALL)
     root = work_path(spark, "test", "migration", unique=True)
-    results = replace_table(spark, M.results_control_score_2(M.latest_control_base(co, cr, CFG), CFG),
-                            f"{root}/results")
+    stored = VersionedTable(spark, f"{root}/results")
+    results = stored.replace(M.results_control_score_2(M.latest_control_base(co, cr, CFG), CFG))
     hist = H.SnapshotHistory(spark, f"{root}/{H.HISTORY_TABLE}", CFG)
-    H.migrate(spark, hist, results)
-    H.migrate(spark, hist, results)  # idempotent
-    before = {r["objet"]: r["existe"] for r in H.verify(spark, hist, f"{root}/results").collect()}
+    H.migrate(spark, hist, stored, "t_")
+    H.migrate(spark, hist, stored, "t_")  # idempotent
+    before = {r["objet"]: r["existe"] for r in H.verify(spark, hist, stored, "t_").collect()}
     assert before["Partitions (0)"] is False and all(v for k, v in before.items() if not k.startswith("Partitions"))
     hist.archive(results)
-    after = {r["objet"]: r["existe"] for r in H.verify(spark, hist, f"{root}/results").collect()}
+    after = {r["objet"]: r["existe"] for r in H.verify(spark, hist, stored, "t_").collect()}
     assert after["Partitions (1)"] is True
-    parts = hist.partitions().collect()
-    assert [(p["partition_name"], p["row_count"]) for p in parts] == [
-        ("results_control_score_2_history_2001_08", results.count())]
-    H.rollback(spark, hist)
+    parts = {p["partition_name"]: p["row_count"] for p in hist.partitions().collect()}
+    assert len(parts) == 19 and parts["results_control_score_2_history_2001_08"] == results.count()
+    assert sum(n > 0 for n in parts.values()) == 1
+    latest, summary = H.view_names("t_")
+    assert spark.table(latest).count() == results.count()
+    H.rollback(spark, hist, "t_")
     assert not path_exists(spark, hist.path)
-    assert not spark.catalog.tableExists(H.LATEST_VIEW) and not spark.catalog.tableExists(H.SUMMARY_VIEW)
-    gone = {r["objet"]: r["existe"] for r in H.verify(spark, hist, f"{root}/results").collect()}
+    assert not spark.catalog.tableExists(latest) and not spark.catalog.tableExists(summary)
+    gone = {r["objet"]: r["existe"] for r in H.verify(spark, hist, stored, "t_").collect()}
     assert gone["Table historique"] is False and gone["Vue v_results_control_latest"] is False
 
 

@@ -1,46 +1,124 @@
-"""Readers and table helpers."""
+"""Readers and versioned tables."""
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
 from docsentinel.session import work_path
+from docsentinel.sources import RAW_CONTROLLED, RAW_CREATED, read_raw_controlled, read_raw_created
 from docsentinel.sources import tables as TB
-from docsentinel.sources.readers import spread_small_input
 
+D1, D2 = dt.date(2001, 1, 1), dt.date(2001, 1, 2)
+SCHEMA = "k string, v int, d date"
 
-def test_small_single_file_input_is_spread(spark):
-    df = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
-    spread = spread_small_input(spark, df)
-    assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert sorted(map(tuple, spread.limit(0).collect())) == [] and spread.count() == df.count()
 
+@pytest.fixture
+def table(spark):
+    path = work_path(spark, "test", "versioned", unique=True)
+    return TB.VersionedTable(spark, path, key="k", partition_col="d")
 
-def test_many_file_input_is_not_spread(spark):
-    path = work_path(spark, "test", "many_files", unique=True)
-    n = spark.sparkContext.defaultParallelism + 1
-    spark.range(0, 1000, numPartitions=n).write.parquet(path)
-    df = spark.read.parquet(path)
-    assert spread_small_input(spark, df) is df
 
+def rows(table):
+    return sorted(((r["k"], r["v"], r["d"]) for r in table.read().collect()), key=str)
 
-def test_upsert_moves_a_key_across_partitions(spark):
+
+def test_readers_use_the_declared_schemas(spark):
+    root = work_path(spark, "test", "raw", unique=True)
+    spark.createDataFrame([], RAW_CONTROLLED).write.parquet(f"{root}/co")
+    spark.createDataFrame([], RAW_CREATED).write.parquet(f"{root}/cr")
+    assert read_raw_controlled(spark, f"{root}/co").schema.names == RAW_CONTROLLED.names
+    assert read_raw_created(spark, f"{root}/cr").schema.names == RAW_CREATED.names
+
+
+def test_upsert_moves_a_key_across_partitions(spark, table):
     """A re-delivered key in another day replaces its old copy (lookup by key)."""
-    path = work_path(spark, "test", "moved_key", unique=True)
-    t = TB.PartitionedTable(spark, path, key="k", partition_col="d")
-    d1, d2 = dt.date(2001, 1, 1), dt.date(2001, 1, 2)
-    t.upsert(spark.createDataFrame([("a", 1, d1), ("b", 2, d1)], "k string, v int, d date"))
-    t.upsert(spark.createDataFrame([("a", 3, d2)], "k string, v int, d date"))
-    rows = sorted((r["k"], r["v"], r["d"]) for r in t.read().collect())
-    assert rows == [("a", 3, d2), ("b", 2, d1)]
-    t.upsert(spark.createDataFrame([], "k string, v int, d date"))  # empty batch: no change
-    assert t.read().count() == 2
-    old = TB.BROADCAST_KEYS_LIMIT
-    TB.BROADCAST_KEYS_LIMIT = 0  # the shuffled lookup gives the same result
-    try:
-        t.upsert(spark.createDataFrame([("b", 4, d2)], "k string, v int, d date"))
-    finally:
-        TB.BROADCAST_KEYS_LIMIT = old
-    assert sorted((r["k"], r["v"]) for r in t.read().collect()) == [("a", 3), ("b", 4)]
-    assert t.read().filter(F.col("d") == F.lit(d1)).count() == 0
+    table.upsert(spark.createDataFrame([("a", 1, D1), ("b", 2, D1)], SCHEMA))
+    table.upsert(spark.createDataFrame([("a", 3, D2)], SCHEMA))
+    assert rows(table) == [("a", 3, D2), ("b", 2, D1)]
+    table.upsert(spark.createDataFrame([], SCHEMA))  # empty batch: no change
+    assert table.read().count() == 2
+    table.upsert(spark.createDataFrame([("b", 4, D2)], SCHEMA))
+    assert rows(table) == [("a", 3, D2), ("b", 4, D2)]
+    assert table.partition_values() == [str(D2)]
+
+
+def test_null_partition_is_kept_and_left_out_of_the_mark(spark, table):
+    table.upsert(spark.createDataFrame([("n1", 1, None), ("a", 9, D1)], SCHEMA))
+    table.upsert(spark.createDataFrame([("n2", 2, None)], SCHEMA))
+    assert rows(table) == [("a", 9, D1), ("n1", 1, None), ("n2", 2, None)]
+    assert table.max_in_last_partition("v") == 9
+    table.upsert(spark.createDataFrame([("n1", 3, D2)], SCHEMA))
+    assert rows(table) == [("a", 9, D1), ("n1", 3, D2), ("n2", 2, None)]
+
+
+def test_empty_first_load_is_a_table(spark, table):
+    assert table.read() is None and not table.exists() and table.max_in_last_partition("v") is None
+    table.upsert(spark.createDataFrame([], SCHEMA))
+    assert table.exists() and rows(table) == [] and table.max_in_last_partition("v") is None
+    table.upsert(spark.createDataFrame([("a", 1, D1)], SCHEMA))
+    assert rows(table) == [("a", 1, D1)]
+
+
+@pytest.mark.parametrize("step", ["stage", "_swap_in"])
+def test_a_job_lost_before_the_swap_changes_nothing(spark, table, monkeypatch, step):
+    """The write is killed before or after the data is staged; a rerun reaches the same table."""
+    table.upsert(spark.createDataFrame([("a", 1, D1), ("b", 2, D2)], SCHEMA))
+    batch = spark.createDataFrame([("a", 5, D2), ("c", 6, D1)], SCHEMA)
+    real = getattr(TB.VersionedTable, step)
+
+    def lost(self, *args):
+        if step == "stage":
+            real(self, *args)
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(TB.VersionedTable, step, lost)
+        with pytest.raises(RuntimeError, match="lost"):
+            table.upsert(batch)
+    assert rows(table) == [("a", 1, D1), ("b", 2, D2)]
+    table.upsert(batch)
+    assert rows(table) == [("a", 5, D2), ("b", 2, D2), ("c", 6, D1)]
+
+
+def test_schema_change_rewrites_only_touched_partitions(spark, table):
+    table.upsert(spark.createDataFrame([("a", 1, D1), ("b", 2, D2)], SCHEMA))
+    before = table._manifest()["folders"]
+    table.upsert(spark.createDataFrame([("c", "x", D2)], "k string, w string, d date"), "sync_all_columns")
+    after = table._manifest()["folders"]
+    assert after[str(D1)] == before[str(D1)] and after[str(D2)] != before[str(D2)]
+    assert sorted(map(tuple, table.read().select("k", "w").collect())) == [("a", None), ("b", None), ("c", "x")]
+    assert sorted(table.read().columns) == ["d", "k", "w"]
+    # a column that comes back does not bring its old values back
+    table.upsert(spark.createDataFrame([("c", "y", 7, D2)], "k string, w string, v int, d date"), "append_new_columns")
+    assert sorted(map(tuple, table.read().select("k", "v").collect())) == [("a", None), ("b", None), ("c", 7)]
+
+
+def test_two_writers_of_one_version(spark, table, monkeypatch):
+    table.upsert(spark.createDataFrame([("a", 1, D1)], SCHEMA))
+    other = TB.VersionedTable(spark, table.path, key="k", partition_col="d")
+    stale = table._manifest()
+    other.upsert(spark.createDataFrame([("b", 2, D1)], SCHEMA))
+    monkeypatch.setattr(table, "_manifest", lambda version=None: stale)
+    with pytest.raises(RuntimeError, match="another job"):
+        table.publish(table.stage(spark.createDataFrame([("c", 3, D1)], SCHEMA)), other.read().schema, [str(D1)])
+    assert rows(other) == [("a", 1, D1), ("b", 2, D1)]
+
+
+def test_full_refresh_keeps_the_last_two_versions(spark):
+    t = TB.VersionedTable(spark, work_path(spark, "test", "refresh", unique=True))
+    for n in range(4):
+        assert t.replace(spark.range(n).withColumn("v", F.lit(n))).count() == n
+    assert len(TB.list_names(spark, f"{t.path}/data")) == 2
+    assert t.folder().endswith(t._manifest()["folders"][""])
+
+
+def test_checkpoint_folder_must_be_named_off_local_mode(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from docsentinel.session import ensure_checkpoint_dir
+
+    conf = SimpleNamespace(get=lambda k, d=None: d)
+    context = SimpleNamespace(getCheckpointDir=lambda: None, master="yarn")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(SimpleNamespace(conf=conf, sparkContext=context))
