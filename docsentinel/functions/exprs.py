@@ -155,15 +155,14 @@ def json_first(json_text: ColumnOrName, fields: Sequence[str]) -> Column:
 
     Same result as ``col #>> '{0, field}'`` per field: a missing key, JSON null,
     an empty array, a non-array document or malformed text give NULL, and a
-    nested value comes back as compact JSON text. The text is parsed once for
-    all fields (``from_json``) instead of once per field.
+    nested value comes back as compact JSON text. Element 0 is taken by path, so
+    later elements may be of any type; its fields are then parsed at once.
     """
+    schema = T.StructType([T.StructField(f, T.StringType()) for f in fields])
+    # Spark's paths also find $[0] of a bare object; in the source only arrays have an element 0.
     c = _col(json_text)
-    schema = T.ArrayType(T.StructType([T.StructField(f, T.StringType()) for f in fields]))
-    # from_json would wrap a bare object into a one-element array; a path
-    # lookup on an object finds no element 0, so only arrays are parsed.
-    parsed = F.when(F.ltrim(c).startswith("["), F.from_json(c, schema))
-    return F.get(parsed, 0)
+    first = F.when(F.regexp_like(c, F.lit(r"^\s*\[")), F.get_json_object(c, "$[0]"))
+    return F.from_json(first, schema)
 
 
 def to_json_keep_nulls(struct_col: Column) -> Column:

@@ -19,7 +19,7 @@ from docsentinel.config import CHANNEL_NA, SCORE_NA, STATUS_NULL_LABEL, Config
 from docsentinel.functions import exprs as X
 from docsentinel.operators.dedupe import latest_per_key
 from docsentinel.operators.snapshot import latest_snapshot
-from docsentinel.operators.spine import densify_pivot, month_spine, spine_size
+from docsentinel.operators.spine import densify_pivot, month_spine
 from docsentinel.operators.status import COUNT_COLUMNS, FLAGS, count_flagged, distinct_status_counts, document_flags
 from docsentinel.operators.trend import month_over_month
 
@@ -55,12 +55,15 @@ def documents_controlled_detailed(co: DataFrame, cr: DataFrame, cfg: Config,
     strictly after ``issue_after`` (the target's high-water mark). This is the
     detailed fact, so the fan-out is the output itself; a hot document is
     handled by AQE's skew-join split of the larger (control) side.
+    ``document_id`` is the creation side's: NULL, and empty in the key, for a
+    control event of a document that was never created.
     """
+    control_doc = "control_document_id"
     keep = co.filter(X.lookback("issue_at", cfg.as_of, cfg.lookback_days)) if issue_after is None else co.filter(
         F.col("issue_at") > X.ts_ntz(issue_after)
     )
     controls = keep.select(
-        DOC,
+        F.col(DOC).alias(control_doc),
         F.col("event_id").alias("event_control_id"),
         "control_applied_status",
         F.col("receipt_at").alias("control_receipt_at"),
@@ -78,7 +81,7 @@ def documents_controlled_detailed(co: DataFrame, cr: DataFrame, cfg: Config,
         "acquisition_type", "document_subtype", "document_category", "document_issuing_country",
         "document_issue_year",
     )
-    joined = controls.join(creations, DOC, "left")
+    joined = controls.join(creations, F.col(control_doc) == F.col(DOC), "left")
     key = X.surrogate_key("event_control_id", DOC, F.col("control_controled_issue_at").cast("string"))
     return joined.select(*[c for c in DETAILED_COLUMNS if c != "unique_key"], key.alias("unique_key"))
 
@@ -89,7 +92,23 @@ CONTROL_SIDE_DIMENSIONS = ("control_name", "channel_acquisition_id")
 CREATION_SIDE_DIMENSIONS = ("document_category", "document_issuing_country", "document_issue_year")
 
 
+FLAG_KEYS = ("issue_date", "channel_acquisition_id", "control_name")
+
+
+def control_flags(co: DataFrame, cfg: Config) -> DataFrame:
+    """Status flags per (document, month, channel, control) of the lookback: what M4 and M5 both need."""
+    # A NULL document never joins a creation event.
+    rows = co.filter(X.lookback("issue_at", cfg.as_of, cfg.lookback_days) & F.col(DOC).isNotNull()).select(
+        DOC, STATUS, X.month_start("issue_at").alias("issue_date"), "channel_acquisition_id", "control_name"
+    )
+    return document_flags(rows, FLAG_KEYS)
+
+
 def control_results(co: DataFrame, cr: DataFrame, cfg: Config) -> DataFrame:
+    return control_results_from_flags(control_flags(co, cfg), cr, cfg)
+
+
+def control_results_from_flags(flags: DataFrame, cr: DataFrame, cfg: Config) -> DataFrame:
     """M4: distinct-document status counts per value of five dimensions.
 
     Row-level definition: ``co ⋈ cr`` (inner, on document) within the lookback,
@@ -97,35 +116,39 @@ def control_results(co: DataFrame, cr: DataFrame, cfg: Config) -> DataFrame:
     join is on the document alone, a document counts for a creation-side value
     iff it has that value on some creation event and a control event in the
     window; and for a control-side value iff it has that value on a control
-    event and any creation event. Both halves are computed on per-document
-    reductions and stacked, so the fan-out is never materialised.
+    event and any creation event.
+
+    Both sides are reduced to tagged rows of one shape (control rows with flags,
+    creation rows without) and grouped by document: one scan of each input and one
+    shuffle by document. Each document then yields its distinct values with flags: its
+    control values with their own, its creation values with the document's maxima. The
+    lists are bounded by a document's distinct values, not by its events.
     ``dimension_name`` is appended last: without it the output is ambiguous.
     """
-    # A NULL document never joins; filtering it here, once, keeps both consumers
-    # of co_flags identical (so they share one shuffle) instead of each getting
-    # its own inferred not-null filter at a different depth.
-    co_l = co.filter(X.lookback("issue_at", cfg.as_of, cfg.lookback_days) & F.col(DOC).isNotNull()).select(
-        DOC, STATUS, *CONTROL_SIDE_DIMENSIONS
+    zero = F.lit(0)
+
+    def tagged(df: DataFrame, names, flag_of) -> DataFrame:
+        entries = [F.struct(F.lit(n).alias("dimension_name"), F.col(n).alias("dimension_value")) for n in names]
+        return df.select(DOC, F.lit(names is CONTROL_SIDE_DIMENSIONS).alias("control"), F.inline(F.array(*entries)),
+                         *[flag_of(f).alias(f) for f in FLAGS])
+
+    per_value = document_level(tagged(flags, CONTROL_SIDE_DIMENSIONS, F.col)).unionByName(
+        document_level(tagged(cr.filter(F.col(DOC).isNotNull()), CREATION_SIDE_DIMENSIONS, lambda f: zero))
     )
-    co_long = co_l.unpivot([DOC, STATUS], list(CONTROL_SIDE_DIMENSIONS), "dimension_name", "dimension_value")
-    co_flags = document_flags(co_long, ["dimension_name", "dimension_value"])
-    # Every control row appears once per dimension, so the per-document maximum
-    # over all of a document's rows equals the one over any single dimension.
-    # No filter here: both consumers then share co_flags' shuffle (one scan).
-    per_doc = co_flags.groupBy(DOC).agg(*[F.max(f).alias(f) for f in FLAGS])
-    cr_long = (
-        cr.filter(F.col(DOC).isNotNull())
-        .select(DOC, *CREATION_SIDE_DIMENSIONS)
-        .unpivot([DOC], list(CREATION_SIDE_DIMENSIONS), "dimension_name", "dimension_value")
-        .distinct()
+    value = F.struct("control", "dimension_name", "dimension_value", *FLAGS)
+    whole = per_value.groupBy(DOC).agg(
+        F.max("control").alias("controlled"), F.min("control").alias("only_controlled"),
+        F.collect_list(value).alias("entries"), *[F.max(f).alias(f"doc_{f}") for f in FLAGS],
     )
-    # Every creation row yields a row for each dimension (NULL values included).
-    created_docs = cr_long.select(DOC).distinct()
-    # An inner join with the (distinct) document list, not a semi join: Catalyst
-    # would push a semi join below co_flags' aggregate and shuffle raw rows.
-    control_side = co_flags.join(created_docs, DOC, "inner")
-    creation_side = cr_long.join(per_doc, DOC, "inner")
-    counts = count_flagged(control_side.unionByName(creation_side), ["dimension_name", "dimension_value"])
+    # Both sides present: a control event in the window and a creation event.
+    joined = whole.filter("controlled AND NOT only_controlled").select(
+        DOC, F.explode("entries").alias("v"), *[f"doc_{f}" for f in FLAGS]
+    )
+    rows = joined.select(
+        DOC, "v.dimension_name", "v.dimension_value",
+        *[F.when(F.col("v.control"), F.col(f"v.{f}")).otherwise(F.col(f"doc_{f}")).alias(f) for f in FLAGS],
+    )
+    counts = count_flagged(rows, ["dimension_name", "dimension_value"])
     key = X.surrogate_key("dimension_name", "dimension_value", _date_text(cfg.as_of))
     return counts.select(
         F.col("dimension_value").alias("control_client_document"),
@@ -139,6 +162,11 @@ def control_results(co: DataFrame, cr: DataFrame, cfg: Config) -> DataFrame:
     )
 
 
+def document_level(tagged: DataFrame) -> DataFrame:
+    """One row per (document, side, dimension, value) with the maxima of its flags."""
+    return tagged.groupBy(DOC, "control", "dimension_name", "dimension_value").agg(*[F.max(f).alias(f) for f in FLAGS])
+
+
 # -- M5 ---------------------------------------------------------------------------
 
 
@@ -146,31 +174,25 @@ def control_prefixes(cfg: Config) -> list[str]:
     return [f"ctl{i:02d}" for i in range(1, len(cfg.control_names) + 1)]
 
 
-def monthly_control_facts(spark: SparkSession, co: DataFrame, cr: DataFrame, cfg: Config) -> DataFrame:
+def monthly_control_facts(spark: SparkSession, flags: DataFrame, cr: DataFrame, cfg: Config) -> DataFrame:
     """Per (month, channel, category, control) distinct-document status counts.
 
     Row-level definition: ``co ⟕ cr`` in the lookback, month of ``issue_at``,
     NULL channel as ``client na``. Only spine values (configured channels,
     categories and controls, months up to ``as_of``) can survive the spine
     join, so each side is restricted to them first, by semi joins against the
-    (broadcast, fixed-size) value lists rather than by filters, which Catalyst
+    (fixed-size) value lists rather than by filters, which Catalyst
     would push below the JSON parsing of raw inputs and so evaluate it twice.
     A document counts for (month, channel, control, category) iff it has a
     control event there and a creation event of that category, so each side
     is reduced per document before the join. The result has at most one row
     per (spine row, control).
     """
-    co_l = (
-        co.filter(X.lookback("issue_at", cfg.as_of, cfg.lookback_days))
-        .select(
-            DOC, STATUS, "control_name",
-            X.month_start("issue_at").alias("issue_date"),
-            F.coalesce(F.col("channel_acquisition_id"), F.lit(CHANNEL_NA)).alias("channel_acquisition_id"),
-        )
-        .filter(F.col("issue_date") <= F.lit(cfg.as_of))
+    named = flags.filter(F.col("issue_date") <= F.lit(cfg.as_of)).withColumn(
+        "channel_acquisition_id", F.coalesce(F.col("channel_acquisition_id"), F.lit(CHANNEL_NA))
     )
-    co_flags = document_flags(co_l, ["issue_date", "channel_acquisition_id", "control_name"])
-    co_flags = in_values(spark, in_values(spark, co_flags, "channel_acquisition_id", cfg.channels),
+    merged = named.groupBy(DOC, *FLAG_KEYS).agg(*[F.max(f).alias(f) for f in FLAGS])
+    co_flags = in_values(spark, in_values(spark, merged, "channel_acquisition_id", cfg.channels),
                          "control_name", cfg.control_names)
     cr_cat = in_values(spark, cr.select(DOC, "document_category").distinct(), "document_category",
                        cfg.document_categories)
@@ -194,43 +216,46 @@ def in_values(spark: SparkSession, df: DataFrame, column: str, values) -> DataFr
 SPINE_KEYS = ["issue_date", "channel_acquisition_id", "document_category"]
 
 
-def control_spine(spark: SparkSession, cfg: Config) -> tuple[DataFrame, int]:
-    """Month x channel x category spine of the lookback window, and its row count."""
-    first_month = cfg.lookback_start.replace(day=1)
-    dims = {"channel_acquisition_id": cfg.channels, "document_category": cfg.document_categories}
-    return month_spine(spark, first_month, cfg.as_of, **dims), spine_size(first_month, cfg.as_of, **dims)
+def control_spine(spark: SparkSession, cfg: Config) -> DataFrame:
+    """Month x channel x category spine of the lookback window."""
+    return month_spine(spark, cfg.lookback_start.replace(day=1), cfg.as_of, channel_acquisition_id=cfg.channels,
+                       document_category=cfg.document_categories)
 
 
 def ctl_control_results_over_time(spark: SparkSession, co: DataFrame, cr: DataFrame, cfg: Config) -> DataFrame:
+    return over_time_from_flags(spark, control_flags(co, cfg), cr, cfg)
+
+
+def over_time_from_flags(spark: SparkSession, flags: DataFrame, cr: DataFrame, cfg: Config) -> DataFrame:
     """M5: month x channel x category spine with 5 counts for each of the 11 controls.
 
-    The facts are aggregated before the spine join (one pivot, not one join per
-    control) and their size is bounded by the spine size times the number of
-    controls, which is known before the run: that bound is what makes
-    broadcasting them into the spine join safe.
+    The facts are aggregated before the spine join: one pivot, not one join per control.
     """
-    spine, n_spine = control_spine(spark, cfg)
-    facts = monthly_control_facts(spark, co, cr, cfg)
+    facts = monthly_control_facts(spark, flags, cr, cfg)
     dense = densify_pivot(
-        spine, facts, SPINE_KEYS, "control_name", cfg.control_names, COUNT_COLUMNS, control_prefixes(cfg),
-        max_broadcast_rows=n_spine,
+        control_spine(spark, cfg), facts, SPINE_KEYS, "control_name", cfg.control_names, COUNT_COLUMNS,
+        control_prefixes(cfg),
     )
     key = X.surrogate_key(F.col("issue_date").cast("string"), "channel_acquisition_id", "document_category",
                           null_as_empty=False)
     return dense.select("*", key.alias("unique_key"))
 
 
+def order_over_time(df: DataFrame) -> DataFrame:
+    """Presentation order: newest month first, then channel and category."""
+    return df.orderBy(F.col("issue_date").desc(), "channel_acquisition_id", "document_category")
+
+
 def control_aggregation(spark: SparkSession, co: DataFrame, cr: DataFrame, cfg: Config, control: str,
                         prefix: str) -> DataFrame:
     """A14: status counts of one control per spine cell that has data (``{prefix}_count_*``).
 
     The source macro left-joins the spine to the base and then filters on the
     control name, which turns it into an inner join: cells without data do not
-    appear. The spine has unique keys, so that join is a (broadcast) semi join.
+    appear. The spine has unique keys, so that join is a semi join.
     """
-    spine, _ = control_spine(spark, cfg)
-    facts = in_values(spark, monthly_control_facts(spark, co, cr, cfg), "control_name", [control])
-    on_spine = facts.join(F.broadcast(spine), SPINE_KEYS, "left_semi")
+    facts = in_values(spark, monthly_control_facts(spark, control_flags(co, cfg), cr, cfg), "control_name", [control])
+    on_spine = facts.join(control_spine(spark, cfg), SPINE_KEYS, "left_semi")
     return on_spine.select(*SPINE_KEYS, *[F.col(c).alias(f"{prefix}_{c}") for c in COUNT_COLUMNS])
 
 
@@ -266,6 +291,20 @@ def latest_control_base(co: DataFrame, cr: DataFrame, cfg: Config) -> DataFrame:
     )
 
 
+def with_cardinalities(base: DataFrame, counted: DataFrame, keys, columns: dict[str, str]) -> DataFrame:
+    """``counted`` with the number of distinct non-NULL values of each attribute per ``keys`` (NULL keys match).
+
+    The attributes' distinct combinations shrink before the shuffle (their domains are
+    small); the values are then told apart as a set per key, so no row is multiplied.
+    """
+    combos = base.select(*keys, *columns.values()).distinct()
+    sizes = combos.groupBy(*keys).agg(
+        *[F.size(F.collect_set(c)).cast("long").alias(n) for n, c in columns.items()]
+    )
+    on = [counted[k].eqNullSafe(sizes[k]) for k in keys]
+    return counted.join(sizes, on, "left").select(*[counted[c] for c in counted.columns], *columns)
+
+
 RESULTS_SCORE_COLUMNS = (
     "control_score", "total_documents", "count_ok", "perc_ok", "count_ko", "perc_ko", "count_na", "perc_na",
     "count_null", "perc_null", "first_issue_date", "last_issue_date", "days_span", "unique_categories",
@@ -275,20 +314,16 @@ RESULTS_SCORE_COLUMNS = (
 
 def results_control_score(base: DataFrame, cfg: Config) -> DataFrame:
     """M6: per score, distinct documents overall and per status, dates, attributes, JSON."""
-    # One aggregate over the base (as written in the source): the base is then
-    # computed once; the distinct counts share one expanded partial aggregation.
-    d, s = F.col(DOC), F.col(STATUS)
-    m = base.groupBy("control_score").agg(
-        F.count_distinct(d).alias("total_documents"),
-        F.count_distinct(F.when(s == "OK", d)).alias("count_ok"),
-        F.count_distinct(F.when(s == "KO", d)).alias("count_ko"),
-        F.count_distinct(F.when(s == "NA", d)).alias("count_na"),
-        F.count_distinct(F.when(s.isNull(), d)).alias("count_null"),
-        F.max("issue_at").cast("date").alias("last_issue_date"),
-        F.min("issue_at").cast("date").alias("first_issue_date"),
-        F.count_distinct("document_category").alias("unique_categories"),
-        F.count_distinct("document_issuing_country").alias("unique_countries"),
+    per_doc = document_flags(base, ["control_score"], extra=(
+        F.min("issue_at").alias("_first"), F.max("issue_at").alias("_last")))
+    counted = per_doc.groupBy("control_score").agg(
+        F.count(DOC).alias("total_documents"),
+        *[F.sum(F.when(F.col(DOC).isNotNull(), F.col(f)).otherwise(0)).cast("long").alias(f"count_{f[3:]}") for f in FLAGS],
+        F.max("_last").cast("date").alias("last_issue_date"), F.min("_first").cast("date").alias("first_issue_date"),
     )
+    m = with_cardinalities(base, counted, ["control_score"], {
+        "unique_categories": "document_category", "unique_countries": "document_issuing_country",
+    })
     pcts = {k: X.pct(f"count_{k}", "total_documents") for k in ("ok", "ko", "na", "null")}
     span = X.days_between("last_issue_date", "first_issue_date")
     metrics = F.struct(
@@ -327,15 +362,17 @@ def results_control_score_2(base: DataFrame, cfg: Config) -> DataFrame:
     The per-score rollup (total, score date range) is a window over the small
     aggregated result rather than a self-join.
     """
-    agg = base.groupBy("control_score", STATUS).agg(
-        F.count_distinct(DOC).alias("document_count"),
-        F.max("issue_at").cast("date").alias("last_issue_date"),
-        F.min("issue_at").cast("date").alias("first_issue_date"),
-        F.count_distinct("document_category").alias("unique_categories"),
-        F.count_distinct("document_issuing_country").alias("unique_countries"),
-        F.count_distinct("control_name").alias("unique_control_names"),
-        F.count_distinct("channel_acquisition_id").alias("unique_channels"),
+    per_doc = base.groupBy("control_score", STATUS, DOC).agg(
+        F.min("issue_at").alias("_first"), F.max("issue_at").alias("_last")
+    )
+    counted = per_doc.groupBy("control_score", STATUS).agg(
+        F.count(DOC).alias("document_count"),
+        F.max("_last").cast("date").alias("last_issue_date"), F.min("_first").cast("date").alias("first_issue_date"),
     )
+    agg = with_cardinalities(base, counted, ["control_score", STATUS], {
+        "unique_categories": "document_category", "unique_countries": "document_issuing_country",
+        "unique_control_names": "control_name", "unique_channels": "channel_acquisition_id",
+    })
     per_score = Window.partitionBy("control_score")
     rolled = agg.select(
         "*",

@@ -3,6 +3,7 @@
 import dataclasses
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -31,7 +32,7 @@ def test_summary_totals_equal_results_totals(spark):
 
 def test_over_time_is_dense(spark):
     co, cr = staged(spark, SF_SMALL)
-    _, n = M.control_spine(spark, CFG)
+    n = M.control_spine(spark, CFG).count()
     m5 = M.ctl_control_results_over_time(spark, co, cr, CFG)
     assert m5.count() == n == 25 * 3 * 10
     assert m5.select("unique_key").distinct().count() == n
@@ -91,15 +92,18 @@ def test_archive_twice_is_idempotent_and_keeps_first_dates(spark):
 
 def test_archive_rejects_dates_outside_window(spark):
     co, cr = staged(spark, SF_SMALL)
-    path = work_path(spark, "test", "history_guard", unique=True)
-    cfg = dataclasses.replace(CFG, history_months_back=0, history_months_ahead=0)
-    hist = H.SnapshotHistory(spark, path, cfg)
-    assert H.partition_window(cfg) == [dt.date(2001, 8, 1)]
-    assert len(H.partition_window(CFG)) == 19
-    assert H.partition_label(dt.date(2001, 8, 1)) == "results_control_score_2_history_2001_08"
-    # the archive month is always inside a window around as_of; a foreign snapshot date is filtered out
-    m7 = M.results_control_score_2(M.latest_control_base(co, cr, CFG), dataclasses.replace(CFG, as_of=dt.date(2001, 7, 1)))
-    hist.archive(m7)
+    hist = H.SnapshotHistory(spark, work_path(spark, "test", "history_guard", unique=True), CFG)
+    window = H.partition_window(CFG)
+    assert (len(window), window[0], window[-1]) == (19, dt.date(2000, 8, 1), dt.date(2002, 2, 1))
+    for day in (dt.date(2000, 7, 31), dt.date(2002, 3, 1)):
+        late = dataclasses.replace(CFG, as_of=day)
+        m7 = M.results_control_score_2(M.latest_control_base(co, cr, late), late)
+        with pytest.raises(ValueError, match="outside the history window"):
+            hist.archive(m7, day)
+    assert not hist.table.exists()
+    # results of another day hold no row of the archived snapshot
+    other = dataclasses.replace(CFG, as_of=dt.date(2001, 7, 1))
+    hist.archive(M.results_control_score_2(M.latest_control_base(co, cr, other), other))
     assert hist.read().count() == 0
 
 

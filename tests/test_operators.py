@@ -8,8 +8,8 @@ import pytest
 from docsentinel.functions.exprs import status_counts
 from docsentinel.operators.dedupe import latest_per_key
 from docsentinel.operators.incremental import delete_insert, evolve_columns, merge_on_conflict
-from docsentinel.operators.spine import densify_pivot, month_spine, spine_size
-from docsentinel.operators.status import distinct_status_counts, multi_dimension_status_counts
+from docsentinel.operators.spine import densify_pivot, month_spine
+from docsentinel.operators.status import distinct_status_counts
 from docsentinel.operators.trend import month_over_month
 
 
@@ -35,16 +35,6 @@ def test_two_phase_counts_equal_count_distinct(spark):
     assert two == one
 
 
-def test_multi_dimension_keeps_null_values(spark):
-    rows = [("d1", "OK", "x", None), ("d2", "KO", "x", "p"), ("d2", "OK", None, "p")]
-    df = spark.createDataFrame(rows, "document_id string, control_status string, a string, b string")
-    out = {(r["dimension_name"], r["dimension_value"]): r for r in multi_dimension_status_counts(df, ["a", "b"]).collect()}
-    assert out[("a", "x")]["count_document"] == 2 and out[("a", "x")]["count_ok"] == 1
-    assert out[("a", None)]["count_document"] == 1
-    assert out[("b", None)]["count_ok"] == 1
-    assert out[("b", "p")]["count_ok"] == 1 and out[("b", "p")]["count_ko"] == 1
-
-
 def test_month_over_month_golden(spark):
     rows = [("s", dt.date(2001, 1, 1), 40), ("s", dt.date(2001, 3, 1), 50), ("t", dt.date(2001, 1, 1), 0),
             ("t", dt.date(2001, 2, 1), 5)]
@@ -62,12 +52,12 @@ def test_month_over_month_golden(spark):
 
 def test_spine_and_densify(spark):
     spine = month_spine(spark, dt.date(2001, 1, 1), dt.date(2001, 3, 15), ch=["a", "b"])
-    assert spine.count() == spine_size(dt.date(2001, 1, 1), dt.date(2001, 3, 15), ch=["a", "b"]) == 6
+    assert spine.count() == 6
     facts = spark.createDataFrame(
         [(dt.date(2001, 2, 1), "a", "x", 3), (dt.date(2001, 2, 1), "a", "y", 4), (dt.date(2001, 2, 1), "a", "z", 9),
          (dt.date(2001, 9, 1), "a", "x", 1)],
         "issue_date date, ch string, name string, n long")
-    dense = densify_pivot(spine, facts, ["issue_date", "ch"], "name", ["x", "y"], ["n"], ["c1", "c2"], 6)
+    dense = densify_pivot(spine, facts, ["issue_date", "ch"], "name", ["x", "y"], ["n"], ["c1", "c2"])
     rows = {(r["issue_date"], r["ch"]): r for r in dense.collect()}
     assert len(rows) == 6
     assert (rows[(dt.date(2001, 2, 1), "a")]["c1_n"], rows[(dt.date(2001, 2, 1), "a")]["c2_n"]) == (3, 4)
@@ -110,15 +100,51 @@ def test_merge_on_conflict_partial_update(spark):
     assert out[("t", "OK")]["n"] == 7
 
 
-def test_high_water_mark_and_after_mark(spark):
-    from docsentinel.operators.incremental import after_mark, high_water_mark
+def test_after_mark(spark):
+    from docsentinel.operators.incremental import after_mark
 
     t = [dt.datetime(2001, 1, d) for d in (1, 2, 3)]
     df = spark.createDataFrame([(x,) for x in t], "ts timestamp_ntz")
-    assert high_water_mark(None, "ts") is None
-    assert high_water_mark(df.limit(0), "ts") is None
-    mark = high_water_mark(df.filter(df.ts < t[2]), "ts")
-    assert mark == t[1]
+    mark = t[1]
     assert [r[0] for r in after_mark(df, "ts", mark).collect()] == [t[2]]  # strict: the mark itself is not re-read
     assert sorted(r[0] for r in after_mark(df, "ts", mark, dt.timedelta(days=1)).collect()) == t[1:]
     assert after_mark(df, "ts", None).count() == 3
+
+
+def _final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_status_models_have_no_expand_and_one_scan_an_input(spark):
+    """On stored staging tables: one scan of each input for M4, no row multiplied for M6 and M7."""
+    from docsentinel.plans import models as M
+    from docsentinel.plans.fixture_queries import CFG, staged
+    from docsentinel.sources.tables import checkpoint_table
+    from conftest import SF_SMALL
+
+    co, cr = (checkpoint_table(spark, df, "stored")[0] for df in staged(spark, SF_SMALL))
+    final = _final_plan(M.control_results(co, cr, CFG)).split("== Initial Plan ==")[0]
+    assert final.count("FileScan parquet") == 2
+    base = M.latest_control_base(co, cr, CFG)
+    for model in (M.results_control_score, M.results_control_score_2):
+        assert "Expand" not in _final_plan(model(base, CFG))
+
+
+def test_presentation_orders(spark):
+    from docsentinel.plans import fixture_queries as Q
+    from conftest import SF_SMALL
+
+    rank = {"OK": 1, "KO": 2, "NA": 3, None: 4}
+    rows = Q.q_results_control_score_2(spark, SF_SMALL).collect()
+    keys = [(r["control_score"], rank.get(r["control_status"], 5)) for r in rows]
+    assert keys == sorted(keys)
+    for query, key in (
+        (Q.q_results_control_score, lambda r: r["control_score"]),
+        (Q.q_results_control_summary, lambda r: r["control_score"]),
+        (Q.q_control_monthly_trends, lambda r: (r["control_score"], -r["issue_month_date"].toordinal())),
+        (Q.q_ctl_control_results_over_time,
+         lambda r: (-r["issue_date"].toordinal(), r["channel_acquisition_id"], r["document_category"])),
+    ):
+        found = [key(r) for r in query(spark, SF_SMALL).collect()]
+        assert found == sorted(found) and len(found) > 5

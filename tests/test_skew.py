@@ -35,7 +35,7 @@ def skewed(spark, tmp_path_factory):
         F.min("o_orderkey")).first()[0]
     li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
     third = F.pmod(F.xxhash64("l_orderkey", "l_linenumber", "l_partkey"), F.lit(3)) == 0
-    li.withColumn("l_orderkey", F.when(third, F.lit(hot)).otherwise(F.col("l_orderkey"))).write.parquet(
+    li.withColumn("l_orderkey", F.when(third, F.lit(hot)).otherwise(F.col("l_orderkey"))).repartition(8).write.parquet(
         f"{d}/lineitem.parquet")
     orders.write.parquet(f"{d}/orders.parquet")
     con = duckdb.connect()
