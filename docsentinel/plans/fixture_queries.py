@@ -17,18 +17,20 @@ from pyspark.sql import types as T
 
 import dataclasses
 import datetime as dt
+import uuid
 
 from docsentinel.config import Config
 from docsentinel.functions.exprs import ts_ntz
 from docsentinel.plans import history as H
 from docsentinel.plans import incremental as INC
-from docsentinel.operators.quality import run_checks
+from docsentinel.operators.quality import accepted_values, freshness, not_null, run_checks, unique
 from docsentinel.plans import models as M
 from docsentinel.plans import nightly as P
 from docsentinel.plans import quality_checks as QC
 from docsentinel.plans.staging import stage_controlled, stage_created
 from docsentinel.session import work_path
 from docsentinel.sources.fixtures import FIXTURE_AS_OF, fixture_sources
+from docsentinel.sources.tables import VersionedTable
 
 CFG = Config(as_of=FIXTURE_AS_OF, partition_granularity="month")
 # The source "as it was" at the first of two incremental runs.
@@ -143,9 +145,7 @@ def q_control_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_ctl_control_results_over_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     co, cr = staged(spark, sf_dir)
-    return M.ctl_control_results_over_time(spark, co, cr, CFG).orderBy(
-        F.col("issue_date").desc(), "channel_acquisition_id", "document_category"
-    )
+    return M.order_over_time(M.ctl_control_results_over_time(spark, co, cr, CFG))
 
 
 def q_control_aggregation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -239,23 +239,52 @@ FRESHNESS_NOW = dt.datetime(2001, 8, 2, 12, 0, 0)
 
 
 def q_quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Declared checks of the sources, staging, detailed fact and score results."""
+    """All declared checks but freshness, over every relation they are declared on."""
     raw_co, raw_cr = fixture_sources(spark, sf_dir)
     co, cr = stage_controlled(raw_co), stage_created(raw_cr)
-    m7 = M.results_control_score_2(M.latest_control_base(co, cr, CFG), CFG)
+    base = M.latest_control_base(co, cr, CFG)
+    m7 = M.results_control_score_2(base, CFG)
     relations = {
         "raw_controlled": raw_co, "raw_created": raw_cr,
         "stg_documents_controlled": co, "stg_documents_created": cr,
         "documents_controled_detailed": M.documents_controlled_detailed(co, cr, CFG),
-        "results_control_score_2": m7, "control_score_summary": M.control_score_summary(m7),
+        "control_results": M.control_results(co, cr, CFG),
+        "ctl_control_results_over_time": M.ctl_control_results_over_time(spark, co, cr, CFG),
+        "results_control_score": M.results_control_score(base, CFG), "results_control_score_2": m7,
+        "control_monthly_trends": M.control_monthly_trends(co, CFG), "control_score_summary": M.control_score_summary(m7),
     }
-    checks = [
-        c for c in QC.source_checks(CFG) + QC.staging_checks(CFG) + QC.detailed_checks(CFG) + QC.model_checks(CFG)
-        if c.relation in relations and c.columns != ("created_at",)
-    ]
+    checks = QC.source_checks(CFG) + QC.staging_checks(CFG) + QC.detailed_checks(CFG) + QC.model_checks(CFG)
     return run_checks(relations, checks, FRESHNESS_NOW)
 
 
+def seeded_violations(co: DataFrame) -> DataFrame:
+    """Staged control events with repeated and missing keys and a control name that is not declared."""
+    number = F.col("document_id").cast("long")
+    seeded = co.select(
+        F.when(number % 11 == 0, F.lit(None)).when(number % 13 == 0, F.col("document_id")).otherwise(F.col("event_id")).alias("event_id"),
+        F.when(number % 17 == 0, F.lit(None)).otherwise(F.col("document_id")).alias("document_id"),
+        F.when(number % 19 == 0, F.concat(F.lit("undeclared_"), (number % 3).cast("string")))
+        .otherwise(F.col("control_name")).alias("control_name"),
+        "issue_at",
+    )
+    return seeded
+
+
+VIOLATION_CHECKS = [
+    unique("seeded", "event_id"), unique("seeded", "event_id", "control_name", severity="warn"),
+    *not_null("seeded", "event_id", "document_id"), *not_null("seeded", "document_id", severity="warn"),
+    accepted_values("seeded", "control_name", CFG.control_names),
+    accepted_values("seeded", "control_name", CFG.control_names, "warn"),
+    freshness("seeded", "issue_at", 24, 48),
+]
+
+
+def q_quality_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every type of check over seeded violations: each row fails or warns."""
+    co, _ = staged(spark, sf_dir)
+    return run_checks({"seeded": seeded_violations(co)}, VIOLATION_CHECKS, dt.datetime(2002, 1, 1))
+
+
 def q_freshness_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw_co, raw_cr = fixture_sources(spark, sf_dir)
     return run_checks({"raw_controlled": raw_co, "raw_created": raw_cr}, QC.freshness_checks(CFG), FRESHNESS_NOW)
@@ -280,48 +309,104 @@ def q_archive_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_partition_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """History partitions after archiving two run dates in different months."""
+    """The 19 months of the history window, two of them with archived snapshots."""
     co, cr = staged(spark, sf_dir)
     path = work_path(spark, "fixture", "history_layout", unique=True)
+    history = H.SnapshotHistory(spark, path, CFG)
     for cfg in (CFG, dataclasses.replace(CFG, as_of=dt.date(2001, 6, 30))):
-        H.SnapshotHistory(spark, path, cfg).archive(M.results_control_score_2(M.latest_control_base(co, cr, cfg), cfg))
-    return H.SnapshotHistory(spark, path, CFG).partitions()
+        history.archive(M.results_control_score_2(M.latest_control_base(co, cr, cfg), cfg), cfg.as_of)
+    return history.partitions()
+
+
+def _migrated(spark: SparkSession, sf_dir: str, name: str):
+    """Results table, migrated and archived history, and the prefix of their catalog objects."""
+    co, cr = staged(spark, sf_dir)
+    root = work_path(spark, "fixture", name, unique=True)
+    results = VersionedTable(spark, f"{root}/results_control_score_2")
+    written = results.replace(M.results_control_score_2(M.latest_control_base(co, cr, CFG), CFG))
+    history = H.SnapshotHistory(spark, f"{root}/{H.HISTORY_TABLE}", CFG)
+    prefix = f"fx_{uuid.uuid4().hex}_"
+    H.migrate(spark, history, results, prefix)
+    history.archive(written)
+    return results, history, prefix
 
 
 def q_verify_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Migrate + archive over the results table, then the existence report."""
+    results, history, prefix = _migrated(spark, sf_dir, "verify")
+    return H.verify(spark, history, results, prefix)
+
+
+def q_rollback_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The existence report after a rollback: the results table alone is left."""
+    results, history, prefix = _migrated(spark, sf_dir, "rollback")
+    H.rollback(spark, history, prefix)
+    return H.verify(spark, history, results, prefix)
+
+
+def q_summary_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalog's summary view, read by name."""
+    _, _, prefix = _migrated(spark, sf_dir, "views")
+    return comparable(spark.table(H.view_names(prefix)[1]))
+
+
+def q_latest_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalog's view of the latest snapshot, read by name."""
+    _, _, prefix = _migrated(spark, sf_dir, "views")
+    return json_leaves(comparable(spark.table(H.view_names(prefix)[0])), "metrics_json", M7_JSON)
+
+
+def q_column_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NULL counts of the score results' columns as ANALYZE stored them in the catalog."""
     co, cr = staged(spark, sf_dir)
-    root = work_path(spark, "fixture", "verify", unique=True)
-    results = P.replace_table(spark, M.results_control_score_2(M.latest_control_base(co, cr, CFG), CFG),
-                              f"{root}/results_control_score_2")
-    history = H.SnapshotHistory(spark, f"{root}/{H.HISTORY_TABLE}", CFG)
-    H.migrate(spark, history, results)
-    history.archive(results)
-    return H.verify(spark, history, f"{root}/results_control_score_2")
+    table = VersionedTable(spark, work_path(spark, "fixture", "analyzed", unique=True))
+    table.replace(M.results_control_score_2(M.latest_control_base(co, cr, CFG), CFG))
+    stats = H.analyze(spark, f"fx_{uuid.uuid4().hex}_results", table).filter("statistic = 'num_nulls'")
+    return stats.select("column_name", F.col("value").cast("long").alias("num_nulls"))
 
 
 def q_nightly_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole nightly run on the derived sources; returns the archived history."""
     raw_co, raw_cr = fixture_sources(spark, sf_dir)
     root = work_path(spark, "fixture", "nightly", unique=True)
-    P.run_nightly(spark, CFG, raw_co, raw_cr, root, analyze=False)
+    P.run_nightly(spark, CFG, raw_co, raw_cr, root, prefix=f"fx_{uuid.uuid4().hex}_")
     hist = H.SnapshotHistory(spark, f"{root}/{H.HISTORY_TABLE}", CFG).read()
     return json_leaves(comparable(hist), "metrics_json", M7_JSON)
 
 
+def q_incremental_null_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two upserts into the NULL partition; the second moves some of the first's rows out of it."""
+    co, _ = staged(spark, sf_dir)
+    number = F.col("document_id").cast("long")
+    blank = co.withColumn("receipt_at", F.when(number % 7 != 0, F.col("receipt_at")))
+    table = INC.controlled_table(spark, work_path(spark, "fixture", "null_partition", unique=True))
+    second = blank.filter(number % 2 == 1).unionByName(co.filter(number % 6 == 0))
+    for batch in (blank.filter(number % 2 == 0), second):
+        table.upsert(batch.withColumn(INC.CONTROLLED_PARTITION, INC.partition_value("receipt_at", CFG)))
+    return INC.read_without_partition(table)
+
+
+def q_incremental_empty_first_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A first load without rows, then one with all of them."""
+    raw_co, _ = fixture_sources(spark, sf_dir)
+    path = work_path(spark, "fixture", "empty_first", unique=True)
+    INC.load_controlled(spark, path, raw_co.filter("doc_id = 'none'"), CFG)
+    INC.load_controlled(spark, path, raw_co, CFG)
+    return INC.read_without_partition(INC.controlled_table(spark, path))
+
+
 def q_stg_controlled_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two nightly stream runs over files landing in two parts; returns the staged table."""
+    """Two stream runs, a file a trigger, over files that land out of order; returns the staged table."""
     from docsentinel.streaming import ingest_controlled
 
     raw_co, _ = fixture_sources(spark, sf_dir)
     root = work_path(spark, "fixture", "stream", unique=True)
     landing, table, ckpt = f"{root}/landing", f"{root}/stg_documents_controlled", f"{root}/_checkpoint"
-    cut = F.col("data_eventdate") <= ts_ntz(FIRST_RUN_CUT)
-    cores = spark.sparkContext.defaultParallelism  # state partitions sized to this fixture
-    raw_co.filter(cut).write.parquet(f"{landing}/part=1")
-    ingest_controlled(spark, landing, table, ckpt, CFG, state_partitions=cores)
-    raw_co.filter(~cut).write.parquet(f"{landing}/part=2")
-    ingest_controlled(spark, landing, table, ckpt, CFG, state_partitions=cores)
+    year = F.year("data_eventdate")
+    for part, rows in enumerate((year % 3 == 1, year % 3 == 2, year % 3 == 0)):
+        raw_co.filter(rows).coalesce(1).write.parquet(f"{landing}/part={part}")
+        if part:
+            ingest_controlled(spark, landing, table, ckpt, CFG, max_files_per_trigger=1)
     return INC.read_without_partition(INC.controlled_table(spark, table))
 
 
@@ -348,6 +433,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "freshness_report": q_freshness_report,
     "partition_layout": q_partition_layout,
     "verify_objects": q_verify_objects,
+    "rollback_report": q_rollback_report,
+    "summary_view": q_summary_view,
+    "latest_view": q_latest_view,
+    "column_statistics": q_column_statistics,
+    "quality_violations": q_quality_violations,
+    "incremental_null_partition": q_incremental_null_partition,
+    "incremental_empty_first_load": q_incremental_empty_first_load,
     "nightly_run": q_nightly_run,
     "stg_controlled_stream": q_stg_controlled_stream,
 }

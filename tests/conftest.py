@@ -13,5 +13,5 @@ SF_MEDIUM = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("docsentinel-tests", master="local[*]")
+    s = build_session("docsentinel-tests", master="local[*]", **{"spark.sql.shuffle.partitions": "8"})
     yield s
