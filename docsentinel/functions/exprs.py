@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -77,12 +76,6 @@ def _case_sql(arms: Sequence[tuple[str, str]]) -> str:
     return "CASE " + " ".join(f"WHEN {c} THEN {v}" for c, v in arms) + " END"
 
 
-def _first_match(pairs: Sequence[tuple[Column, Column]]) -> Column:
-    """``CASE WHEN c1 THEN v1 WHEN c2 THEN v2 ... END`` (NULL when none matches)."""
-    (cond0, val0), *rest = pairs
-    return reduce(lambda acc, cv: acc.when(cv[0], cv[1]), rest, F.when(cond0, val0))
-
-
 def lower_trim(c: ColumnOrName) -> Column:
     return F.lower(F.trim(_col(c)))
 
@@ -170,83 +163,49 @@ def to_json_keep_nulls(struct_col: Column) -> Column:
     return F.to_json(struct_col, {"ignoreNullFields": "false"})
 
 
-def control_subject(identifier: ColumnOrName) -> Column:
-    """Subject from a lower-cased identifier; first listed substring wins."""
-    if isinstance(identifier, str):
-        return F.expr(_case_sql([(f"contains({_q(identifier)}, {_lit_sql(a)})", _lit_sql(b))
-                                 for a, b in CONTROL_SUBJECT_RULES]))
-    c = _col(identifier)
-    return _first_match([(c.contains(sub), F.lit(name)) for sub, name in CONTROL_SUBJECT_RULES])
-
-
-def control_name(identifier: ColumnOrName) -> Column:
-    """Control name from a lower-cased identifier; first listed substring wins."""
-    if isinstance(identifier, str):
-        return F.expr(_case_sql([(f"contains({_q(identifier)}, {_lit_sql(a)})", _lit_sql(b))
-                                 for a, b in CONTROL_NAME_RULES]))
-    c = _col(identifier)
-    return _first_match([(c.contains(sub), F.lit(name)) for sub, name in CONTROL_NAME_RULES])
+def _first_substring(identifier: str, rules: Sequence[tuple[str, str]]) -> Column:
+    q = _q(identifier)
+    return F.expr(_case_sql([(f"contains({q}, {_lit_sql(part)})", _lit_sql(value)) for part, value in rules]))
 
 
-def _right(c: Column, n: int) -> Column:
-    # right(s, n) returns s whole when it is shorter than n.
-    return F.right(c, F.lit(n))
+def control_subject(identifier: str) -> Column:
+    """Subject from a lower-cased identifier column; first listed substring wins."""
+    return _first_substring(identifier, CONTROL_SUBJECT_RULES)
 
 
-def _left(c: Column, n: int) -> Column:
-    return F.left(c, F.lit(n))
+def control_name(identifier: str) -> Column:
+    """Control name from a lower-cased identifier column; first listed substring wins."""
+    return _first_substring(identifier, CONTROL_NAME_RULES)
 
 
-def issuing_country(subtype: ColumnOrName) -> Column:
-    """Issuing country decoded from the raw (case-sensitive) document subtype.
+def issuing_country(subtype: str) -> Column:
+    """Issuing country decoded from the raw (case-sensitive) document subtype column.
 
     First matching arm wins; ``_`` inside a LIKE pattern is a wildcard.
     """
-    if isinstance(subtype, str):
-        q = _q(subtype)
-
-        def like(p):
-            return f"{q} LIKE {_lit_sql(p)}"
-
-        no_xyz, dl = f"{q} NOT LIKE {_lit_sql(UNKNOWN_COUNTRY_PATTERN)}", like("%DRIVING_LICENSE%")
-        return F.expr(_case_sql([
-            ("(" + " OR ".join(like(p) for p in COUNTRY_SUFFIX_PATTERNS) + ")", f"right({q}, 3)"),
-            (f"{dl} AND {like('%CARD%')}", f"left(right({q}, 13), 3)"),
-            (f"{dl} AND {like('%PAPER%')}", f"left(right({q}, 14), 3)"),
-            (f"{like('%DRIVING_LICENSE_%')} AND {no_xyz}", f"left(right({q}, 8), 3)"),
-            (like(UNKNOWN_COUNTRY_PATTERN), _lit_sql(UNKNOWN_COUNTRY)),
-            (like("%ID_CARD%"), f"left(right({q}, 8), 3)"),
-            (f"{like('%PASSPORT%')} AND {no_xyz}", f"left(right({q}, 8), 3)"),
-            (f"{like('%RESIDENCE_PERMIT%')} AND {no_xyz}", f"left(right({q}, 8), 3)"),
-        ]))
-    s = _col(subtype)
-    no_xyz = ~s.like(UNKNOWN_COUNTRY_PATTERN)
-    suffix_doc = reduce(lambda a, b: a | b, [s.like(p) for p in COUNTRY_SUFFIX_PATTERNS])
-    dl = s.like("%DRIVING_LICENSE%")
-    return _first_match(
-        [
-            (suffix_doc, _right(s, 3)),
-            (dl & s.like("%CARD%"), _left(_right(s, 13), 3)),
-            (dl & s.like("%PAPER%"), _left(_right(s, 14), 3)),
-            (s.like("%DRIVING_LICENSE_%") & no_xyz, _left(_right(s, 8), 3)),
-            (s.like(UNKNOWN_COUNTRY_PATTERN), F.lit(UNKNOWN_COUNTRY)),
-            (s.like("%ID_CARD%"), _left(_right(s, 8), 3)),
-            (s.like("%PASSPORT%") & no_xyz, _left(_right(s, 8), 3)),
-            (s.like("%RESIDENCE_PERMIT%") & no_xyz, _left(_right(s, 8), 3)),
-        ]
-    )
-
-
-def issue_year(subtype: ColumnOrName) -> Column:
-    """Issue year: last four characters of an identity-document subtype."""
-    if isinstance(subtype, str):
-        q = _q(subtype)
-        identity = " OR ".join(f"{q} LIKE {_lit_sql(p)}" for p in YEAR_PATTERNS)
-        return F.expr(f"CASE WHEN ({identity}) AND {q} NOT LIKE {_lit_sql(UNKNOWN_COUNTRY_PATTERN)} "
-                      f"THEN right({q}, 4) END")
-    s = _col(subtype)
-    identity = reduce(lambda a, b: a | b, [s.like(p) for p in YEAR_PATTERNS])
-    return F.when(identity & ~s.like(UNKNOWN_COUNTRY_PATTERN), _right(s, 4))
+    q = _q(subtype)
+
+    def like(p):
+        return f"{q} LIKE {_lit_sql(p)}"
+
+    no_xyz, dl = f"{q} NOT LIKE {_lit_sql(UNKNOWN_COUNTRY_PATTERN)}", like("%DRIVING_LICENSE%")
+    return F.expr(_case_sql([
+        ("(" + " OR ".join(like(p) for p in COUNTRY_SUFFIX_PATTERNS) + ")", f"right({q}, 3)"),
+        (f"{dl} AND {like('%CARD%')}", f"left(right({q}, 13), 3)"),
+        (f"{dl} AND {like('%PAPER%')}", f"left(right({q}, 14), 3)"),
+        (f"{like('%DRIVING_LICENSE_%')} AND {no_xyz}", f"left(right({q}, 8), 3)"),
+        (like(UNKNOWN_COUNTRY_PATTERN), _lit_sql(UNKNOWN_COUNTRY)),
+        (like("%ID_CARD%"), f"left(right({q}, 8), 3)"),
+        (f"{like('%PASSPORT%')} AND {no_xyz}", f"left(right({q}, 8), 3)"),
+        (f"{like('%RESIDENCE_PERMIT%')} AND {no_xyz}", f"left(right({q}, 8), 3)"),
+    ]))
+
+
+def issue_year(subtype: str) -> Column:
+    """Issue year: last four characters of an identity-document subtype column."""
+    q = _q(subtype)
+    identity = " OR ".join(f"{q} LIKE {_lit_sql(p)}" for p in YEAR_PATTERNS)
+    return F.expr(f"CASE WHEN ({identity}) AND {q} NOT LIKE {_lit_sql(UNKNOWN_COUNTRY_PATTERN)} THEN right({q}, 4) END")
 
 
 # -- dates -----------------------------------------------------------------------

@@ -76,16 +76,6 @@ def test_country_and_year_decode(spark):
         assert r["acquisition_type"] == "scan"
 
 
-def test_country_decode_column_and_sql_paths_agree(spark):
-    df = _raw_created(spark, [s for s, _, _ in COUNTRY_YEAR])
-    sub = "data_documentclass_documentsubtype"
-    rows = df.select(
-        X.issuing_country(sub).alias("a"), X.issuing_country(F.col(sub)).alias("b"),
-        X.issue_year(sub).alias("c"), X.issue_year(F.col(sub)).alias("d"),
-    ).collect()
-    assert all(r["a"] == r["b"] and r["c"] == r["d"] for r in rows)
-
-
 def test_json_first_element_and_control_decode(spark):
     out = stage_controlled(_raw_controlled(spark, [c for c, *_ in CONTROLS])).collect()
     by_id = {r["event_id"]: r for r in out}
@@ -96,6 +86,15 @@ def test_json_first_element_and_control_decode(spark):
         assert r["document_face_id"] == "f1"
 
 
+def test_element_0_of_any_array(spark):
+    """Later elements of any type, blanks before the bracket; anything that is no array has no element 0."""
+    item = '{"identifier":"Document.DateValidation","status":"KO"}'
+    texts = [f"[{item}, 5]", f'[{item},"x",null]', f"\n\t [{item}]", "[]", item, "[5]", "[null]", f"[[{item}]]", "null",
+             f"[{item}", ""]
+    out = {r["event_id"]: r["control_status"] for r in stage_controlled(_raw_controlled(spark, texts)).collect()}
+    assert [out[f"e{i}"] for i in range(len(texts))] == ["KO"] * 3 + [None] * 8
+
+
 def test_nested_json_value_is_compact_text(spark):
     out = stage_controlled(_raw_controlled(spark, ['[{"identifier":"x","status":"OK","scores":["a", "b"]}]'])).first()
     assert out["control_scores"] == '["a","b"]'
