@@ -224,16 +224,20 @@ def fit_quality(
 
 def keep_good(docs: DataFrame, model: PairwiseGam, threshold: float = 0.5, text: str = "text") -> DataFrame:
     """The rows, with all their columns, whose whole text scores at least ``threshold``."""
+    hidden = "_data"
+    while hidden in docs.columns:
+        hidden += "_"
+
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                texts = [x.as_py() or b"" for x in part.column("_data")]
+                texts = [x.as_py() for x in part.column(hidden)]
                 x = np.array([text_features(t) for t in texts], float).reshape(-1, len(FEATURES))
                 good = part.filter(pa.array(model.score(x) >= threshold))
-                yield good.drop_columns(["_data"])
+                yield good.drop_columns([hidden])
 
-    return docs.withColumn("_data", utf8(text)).mapInArrow(run, docs.schema)
+    return docs.withColumn(hidden, utf8(text)).mapInArrow(run, docs.schema)
 
 
 def score_quality(
