@@ -50,17 +50,19 @@ def words_alnum(data: bytes) -> list[bytes]:
     return data.translate(WORD_ASCII).split()
 
 
-def text_blocks(docs: DataFrame, key: str, text: str, block_bytes: int, *extra: Column) -> DataFrame:
-    """(``doc_id``, ``data``, ``block``, *extra*) dealt by block: about ``block_bytes`` of text share one.
+def block_count(docs: DataFrame, text: str, block_bytes: int) -> int:
+    return int((docs.agg(F.sum(F.octet_length(text))).first()[0] or 0) // block_bytes) + 1
 
-    A block is a hash of the key, so it holds the same documents whenever it is computed
-    again; the number of blocks follows the size of the table.
+
+def text_blocks(docs: DataFrame, key: str, text: str, blocks: int, *extra: str | Column) -> DataFrame:
+    """(``doc_id``, ``data``, ``block``, *extra*) dealt over so many blocks.
+
+    A block is a hash of the key (null: of the text), so it holds the same documents
+    whenever it is computed again.
     """
-    total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    blocks = int(total // block_bytes) + 1
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), utf8(text).alias("data"), *extra)
-    placed = rows.withColumn("block", bucket_of(blocks, "doc_id"))
-    return placed.repartition(min(blocks, 4 * task_partitions(docs.sparkSession)), "block")
+    placed = rows.withColumn("block", bucket_of(blocks, F.coalesce("doc_id", F.xxhash64("data"))))
+    return placed.repartition(max(min(blocks, 4 * task_partitions(docs.sparkSession)), blocks // 16), "block")
 
 
 def to_planes(a: np.ndarray) -> bytes:
