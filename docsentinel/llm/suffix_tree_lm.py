@@ -7,13 +7,15 @@ from its parent's (the context without its oldest byte), or if a longer state ne
 Distributions are smoothed towards the parent's; the longest state that ends a position's
 context scores the next byte.
 
-Documents are dealt into blocks. A block sends its byte-gram counts and its distinct
-words' counts, already summed, to buckets; buckets sum them, grow their part of the tree
-and answer each block with the counts of its words.
+Tasks count the byte grams and words of the training texts they scan, a chunk at a time,
+and send the sums to buckets, which add them up and grow their part of the tree. For the
+unigram score, documents are dealt into blocks; a block asks each bucket for the counts of
+its distinct words.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -24,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docsentinel.llm.common import (
-    count_sorted, from_planes, held_out, pa_schema, table, task_partitions, text_blocks, to_planes, words_any_space,
+    block_count, count_sorted, from_planes, held_out, pa_schema, table, task_partitions, text_blocks, to_planes, utf8, words_any_space,
 )
 from docsentinel.session import ensure_checkpoint_dir
 
@@ -33,10 +35,12 @@ DEPTH = 6
 #: most DEPTH / LEAST_SHARE states, however large the corpus.
 LEAST_SHARE = 2e-6
 BLOCK_BYTES = 8 << 20
-_END, _SPACE = 10, 32
-_PIECE = 1 << 20
+CHUNK_BYTES = 16 << 20
+_END = 10
+_PIECE = 1 << 19
 _WORDS, _GRAMS, _TOTALS, _STATES = 0, 1, 2, 3
-_SCHEMA = "kind int, bucket int, block int, a binary, b binary, c binary, d binary"
+_SCHEMA = "kind int, bucket int, a binary, b binary, c binary, d binary"
+_ASKED = "block int, bucket int, a binary"
 
 
 def byte_sequence(words: list[bytes]) -> bytes:
@@ -44,14 +48,6 @@ def byte_sequence(words: list[bytes]) -> bytes:
     return b" ".join(words) + b" \n" if words else b"\n"
 
 
-def gram_keys(seq: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Context bytes, latest first, then the next byte, packed from the high end."""
-    key = np.zeros(len(at), np.uint64)
-    for back in range(1, DEPTH + 1):
-        key = (key << np.uint64(8)) | seq[at - back].astype(np.uint64)
-    return (key << np.uint64(8)) | seq[at].astype(np.uint64)
-
-
 def laid_out(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Sequences in a row, each after DEPTH end marks, and the first place of each one's own bytes."""
     pad = bytes([_END]) * DEPTH
@@ -60,49 +56,67 @@ def laid_out(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return seq, np.cumsum(sizes) - sizes + DEPTH
 
 
-def _own_places(seq: np.ndarray, starts: np.ndarray):
-    own = np.ones(len(seq), bool)
+def _own(n: int, starts: np.ndarray) -> np.ndarray:
+    own = np.ones(n, bool)
     for back in range(1, DEPTH + 1):
         own[starts - back] = False
-    return np.flatnonzero(own)
+    return own
+
+
+def gram_keys(seq: np.ndarray, at: int, stop: int) -> np.ndarray:
+    """For the places from ``at``: context bytes, latest first, then the byte itself, packed from the high end."""
+    key = np.zeros(stop - at, np.uint64)
+    for back in [*range(1, DEPTH + 1), 0]:
+        key <<= np.uint64(8)
+        key |= seq[at - back: stop - back]
+    return key
 
 
 def count_grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct gram keys in order, and how often each occurs."""
     seq, starts = laid_out(texts)
-    places = _own_places(seq, starts)
-    keys, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
-    for at in range(0, len(places), 4 * _PIECE):
-        new = np.sort(gram_keys(seq, places[at: at + 4 * _PIECE]))
-        first = np.flatnonzero(np.concatenate([[True], new[1:] != new[:-1]]))
-        size = np.diff(np.append(first, len(new)))
-        keys, counts = count_sorted(np.concatenate([keys, new[first]]), np.concatenate([counts, size]))
-    return keys, counts
+    own = _own(len(seq), starts)
+    keys, done = np.empty(int(own.sum()), np.uint64), 0
+    for at in range(DEPTH, len(seq), _PIECE):
+        stop = min(at + _PIECE, len(seq))
+        new = gram_keys(seq, at, stop)[own[at:stop]]
+        keys[done: done + len(new)] = new
+        done += len(new)
+    keys.sort()
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, np.int64)
+    return keys[first], np.diff(np.append(first, len(keys)))
 
 
 def _gram_bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
-    """By the two latest context bytes, so that a bucket has whole subtrees."""
-    return ((keys >> np.uint64(8 * (DEPTH - 1))) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)) % np.uint64(buckets)
+    """By the three latest context bytes, so that a bucket has whole subtrees."""
+    mixed = (keys >> np.uint64(8 * (DEPTH - 2))) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)
+    return (mixed % np.uint64(buckets)).astype(np.int64)
 
 
 @dataclass
 class BlockWords:
-    """Distinct words of a block by ascending hash; word ids of each text, the end mark last."""
+    """Distinct words of a block by ascending hash; word ids of each text, the end mark last; byte sequences."""
 
     hashes: np.ndarray
     ids: list[np.ndarray]
+    sequences: list[bytes]
 
     @staticmethod
-    def build(texts: list[list[bytes]]) -> BlockWords:
+    def build(texts: Iterable[bytes]) -> BlockWords:
         index: dict[bytes, int] = {b"": 0}
-        raw = []
-        for words in texts:
-            raw.append([index.setdefault(w, len(index)) for w in words] + [0])
-        digest = xxhash.xxh3_64_intdigest
-        hashes = np.fromiter(map(digest, index), np.uint64, len(index))
+        raw, sequences = [], []
+        for data in texts:
+            words = words_any_space(data)
+            raw.append(np.array([index.setdefault(w, len(index)) for w in words] + [0], np.int32))
+            sequences.append(byte_sequence(words))
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, index), np.uint64, len(index))
         order = np.argsort(hashes, kind="stable")
-        rank = np.empty(len(order), np.int64)
+        rank = np.empty(len(order), np.int32)
         rank[order] = np.arange(len(order))
-        return BlockWords(hashes[order], [rank[r] for r in raw])
+        return BlockWords(hashes[order], [rank[r] for r in raw], sequences)
+
+    def buckets(self, n: int) -> np.ndarray:
+        return (self.hashes % np.uint64(n)).astype(np.int64)
 
 
 def by_depth(keys: np.ndarray, counts: np.ndarray, depth: int):
@@ -149,12 +163,12 @@ def frequent(level, least: int):
 
 
 def grow(keys: np.ndarray, counts: np.ndarray, least: int, n_total: int) -> dict[int, tuple]:
-    """Levels of a bucket's part of the tree: all of depth 1 and frequent ones of depth 2; states from 3 on."""
-    levels = {1: by_depth(keys, counts, 1)}
-    for d in range(2, DEPTH + 1):
+    """Levels of a bucket's part of the tree: its share of depths 1 and 2, frequent contexts of 3, states from 4 on."""
+    levels = {d: by_depth(keys, counts, d) for d in (1, 2)}
+    for d in range(3, DEPTH + 1):
         levels[d] = frequent(by_depth(keys, counts, d), least)
     needed = np.empty(0, np.uint64)
-    for d in range(DEPTH, 2, -1):
+    for d in range(DEPTH, 3, -1):
         states = np.union1d(diverging(levels[d], levels[d - 1], n_total), needed)
         keep = np.isin(levels[d][0], states)
         levels[d] = tuple(x[keep] for x in levels[d])
@@ -169,8 +183,8 @@ class SuffixTree:
     levels: dict[int, tuple]
 
     @staticmethod
-    def assemble(parts: list[tuple], n_total: int) -> SuffixTree:
-        """The tree from the buckets' (depth, context, next, count) arrays."""
+    def assemble(parts: list[tuple], least: int, n_total: int) -> SuffixTree:
+        """The tree from the buckets' (depth, context, next, count) arrays; tests what needs several buckets."""
         if not parts:
             parts = [tuple(np.empty(0, t) for t in (np.uint8, np.uint64, np.uint64, np.int64))]
         depth, ctx, nxt, count = (np.concatenate(x) for x in zip(*parts))
@@ -178,9 +192,11 @@ class SuffixTree:
         for d in range(1, DEPTH + 1):
             on = depth == d
             levels[d] = _split(*count_sorted((ctx[on] << np.uint64(8)) | nxt[on], count[on]))
-        second = np.union1d(diverging(levels[2], levels[1], n_total), levels[3][0] >> np.uint64(8))
-        keep = np.isin(levels[2][0], second)
-        levels[2] = tuple(x[keep] for x in levels[2])
+        levels[2] = frequent(levels[2], least)
+        for d in (3, 2):
+            needed = np.unique(levels[d + 1][0] >> np.uint64(8))
+            keep = np.isin(levels[d][0], np.union1d(diverging(levels[d], levels[d - 1], n_total), needed))
+            levels[d] = tuple(x[keep] for x in levels[d])
         return SuffixTree(levels)
 
     @cached_property
@@ -212,16 +228,26 @@ class SuffixTree:
         return code, np.concatenate(children).astype(np.int32), np.log10(np.concatenate(probs)).astype(np.float32)
 
     def score(self, texts: list[bytes]) -> np.ndarray:
-        """log10 probabilities of byte sequences."""
-        if not texts:
-            return np.empty(0)
+        """log10 probabilities of byte sequences, a few MB of them at a time."""
+        out, part, size = [np.empty(0)], [], 0
+        for text in texts:
+            part.append(text)
+            size += len(text)
+            if size >= _PIECE:
+                out.append(self._score(part))
+                part, size = [], 0
+        if part:
+            out.append(self._score(part))
+        return np.concatenate(out)
+
+    def _score(self, texts: list[bytes]) -> np.ndarray:
         code, child, logp = self.tables
         width = child.shape[1]
         flat_child, flat_logp = child.ravel(), logp.ravel()
         seq, starts = laid_out(texts)
         symbols = code[seq]
         gained = np.zeros(len(seq))
-        own = _own_places(seq, starts)
+        own = np.flatnonzero(_own(len(seq), starts))
         for at in range(0, len(own), _PIECE):
             places = own[at: at + _PIECE]
             state = np.zeros(len(places), np.int64)
@@ -235,54 +261,95 @@ class SuffixTree:
         return np.add.reduceat(gained, starts - DEPTH)
 
 
-def _collect_counts(buckets: int):
-    """Per block: word counts and gram counts of its training texts, by bucket."""
+def _table(schema: pa.Schema, rows: list[tuple]) -> pa.Table:
+    columns = zip(*rows) if rows else [[]] * len(schema)
+    return pa.Table.from_arrays([pa.array(c, x.type) for c, x in zip(columns, schema)], schema=schema)
+
+
+def _count_chunks(buckets: int, chunk_bytes: int):
+    """Word and gram counts of the texts a task scans, by bucket, a chunk at a time."""
     schema = pa_schema(_SCHEMA)
 
-    def run(block: pa.Table) -> pa.Table:
-        number = block.column("block")[0].as_py()
-        train = np.array([not x for x in block.column("held_out").to_pylist()], bool)
-        words = [words_any_space(x) for x in block.column("data").to_pylist()]
-        known = BlockWords.build(words)
-        seen = [ids for ids, t in zip(known.ids, train) if t]
-        counts = np.bincount(np.concatenate(seen) if seen else np.empty(0, np.int64), minlength=len(known.hashes))
-        bucket = (known.hashes % np.uint64(buckets)).astype(np.int64)
+    def count(texts: list[bytes]) -> pa.RecordBatch:
+        known = BlockWords.build(texts)
+        counts = np.bincount(np.concatenate(known.ids), minlength=len(known.hashes))
         rows = []
-        for b in np.unique(bucket):
-            on = bucket == b
-            rows.append((_WORDS, int(b), number, to_planes(known.hashes[on]), to_planes(counts[on]), b"", b""))
-        keys, size = count_grams([byte_sequence(w) for w, t in zip(words, train) if t]) if train.any() else ([], [])
-        if len(keys):
-            bucket = _gram_bucket(keys, buckets).astype(np.int64)
-            for b in np.unique(bucket):
-                on = bucket == b
-                rows.append((_GRAMS, int(b), number, to_planes(keys[on]), to_planes(size[on]), b"", b""))
-        return pa.Table.from_arrays([pa.array(c, x.type) for c, x in zip(zip(*rows), schema)], schema=schema)
+        for kind, keys, size, bucket in (
+            (_WORDS, known.hashes, counts, known.buckets(buckets)), (_GRAMS, *(g := count_grams(known.sequences)), _gram_bucket(g[0], buckets)),
+        ):
+            order = np.argsort(bucket, kind="stable")
+            ends = np.cumsum(np.bincount(bucket, minlength=buckets))
+            for b, part in enumerate(np.split(order, ends[:-1])):
+                if len(part):
+                    rows.append((kind, b, to_planes(keys[part]), to_planes(size[part].astype(np.uint32)), b"", b""))
+        return _table(schema, rows).combine_chunks().to_batches()[0]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, size = [], 0
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                for data in batch.slice(at, 256).column(0).to_pylist():
+                    texts.append(data)
+                    size += len(data)
+                    if size >= chunk_bytes:
+                        yield count(texts)
+                        texts, size = [], 0
+        if texts:
+            yield count(texts)
 
     return run
 
 
 def _sum_bucket(least: int, n_total: int):
-    """Per bucket: answers to the blocks and word totals, or the bucket's part of the tree."""
+    """Per bucket: words' counts and totals, or the bucket's part of the tree."""
     schema = pa_schema(_SCHEMA)
 
     def run(group: pa.Table) -> pa.Table:
         kind, bucket = group.column("kind")[0].as_py(), group.column("bucket")[0].as_py()
-        keys = [from_planes(x, "u8") for x in group.column("a").to_pylist()]
-        counts = [from_planes(x, "i8") for x in group.column("b").to_pylist()]
-        total, n = count_sorted(np.concatenate(keys), np.concatenate(counts))
-        rows = []
+        keys = np.concatenate([from_planes(x.as_py(), "u8") for x in group.column("a")])
+        counts = np.concatenate([from_planes(x.as_py(), "u4") for x in group.column("b")])
+        keys, counts = count_sorted(keys, counts.astype(np.int64))
         if kind == _WORDS:
-            for block, k in zip(group.column("block").to_pylist(), keys):
-                rows.append((_WORDS, bucket, block, to_planes(n[np.searchsorted(total, k)]), b"", b"", b""))
-            totals = np.array([n.sum(), (n > 0).sum()], np.int64)
-            rows.append((_TOTALS, bucket, -1, to_planes(totals), b"", b"", b""))
-        else:
-            levels = grow(total, n, least, n_total)
-            depth = np.concatenate([np.full(len(x[0]), d, np.uint8) for d, x in levels.items()])
-            ctx, nxt, count = (np.concatenate([x[i] for x in levels.values()]) for i in range(3))
-            rows.append((_STATES, bucket, -1, to_planes(depth), to_planes(ctx), to_planes(nxt), to_planes(count)))
-        return pa.Table.from_arrays([pa.array(c, x.type) for c, x in zip(zip(*rows), schema)], schema=schema)
+            totals = np.array([counts.sum(), len(counts)], np.int64)
+            return _table(schema, [
+                (_WORDS, bucket, to_planes(keys), to_planes(counts), b"", b""),
+                (_TOTALS, bucket, to_planes(totals), b"", b"", b""),
+            ])
+        levels = grow(keys, counts, least, n_total)
+        depth = np.concatenate([np.full(len(x[0]), d, np.uint8) for d, x in levels.items()])
+        arrays = (depth, *(np.concatenate([x[i] for x in levels.values()]) for i in range(3)))
+        return _table(schema, [(_STATES, bucket, *map(to_planes, arrays))])
+
+    return run
+
+
+def _ask(buckets: int):
+    """Per block: its distinct words' hashes, for each bucket."""
+    schema = pa_schema(_ASKED)
+
+    def run(block: pa.Table) -> pa.Table:
+        known, number = BlockWords.build(x.as_py() for x in block.column("data")), block.column("block")[0].as_py()
+        bucket = known.buckets(buckets)
+        return _table(schema, [(number, int(b), to_planes(known.hashes[bucket == b])) for b in np.unique(bucket)])
+
+    return run
+
+
+def _answer():
+    """Per bucket: the training counts of the words each block asks for, in its order."""
+    schema = pa_schema(_ASKED)
+
+    def run(asked: pa.Table, counted: pa.Table) -> pa.Table:
+        keys, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
+        if counted.num_rows:
+            keys, counts = (from_planes(counted.column(c)[0].as_py(), t) for c, t in (("a", "u8"), ("b", "i8")))
+        rows = []
+        for block, bucket, raw in zip(*(asked.column(c).to_pylist() for c in ("block", "bucket", "a"))):
+            wanted = from_planes(raw, "u8")
+            at = np.minimum(np.searchsorted(keys, wanted), max(0, len(keys) - 1))
+            found = np.where(keys[at] == wanted, counts[at], 0) if len(keys) else np.zeros(len(wanted), np.int64)
+            rows.append((block, bucket, to_planes(found)))
+        return _table(schema, rows)
 
     return run
 
@@ -298,9 +365,8 @@ def _score_block(shared, buckets: int, n_words: int, n_kinds: int):
     def run(block: pa.Table, answers: pa.Table) -> pa.Table:
         if not block.num_rows:
             return schema.empty_table()
-        words = [words_any_space(x) for x in block.column("data").to_pylist()]
-        known = BlockWords.build(words)
-        bucket = (known.hashes % np.uint64(buckets)).astype(np.int64)
+        known = BlockWords.build(x.as_py() for x in block.column("data"))
+        bucket = known.buckets(buckets)
         count = np.zeros(len(known.hashes), np.int64)
         for b, raw in zip(answers.column("bucket").to_pylist(), answers.column("a").to_pylist()):
             count[bucket == b] = from_planes(raw, "i8")
@@ -309,7 +375,7 @@ def _score_block(shared, buckets: int, n_words: int, n_kinds: int):
             "doc_id": block.column("doc_id"), "held_out": block.column("held_out"),
             "n_tokens": [len(i) for i in known.ids], "n_known": [int((count[i] > 0).sum()) for i in known.ids],
             "train_tokens": [n_words] * block.num_rows, "base_score": [float(gain[i].sum()) for i in known.ids],
-            "score": shared.value.score([byte_sequence(w) for w in words]),
+            "score": shared.value.score(known.sequences),
         }
         made = [c if isinstance(c, pa.ChunkedArray) else pa.array(c, schema.field(k).type) for k, c in columns.items()]
         return pa.Table.from_arrays(made, schema=schema)
@@ -325,6 +391,7 @@ def score_texts(
     text: str = "text",
     least_share: float = LEAST_SHARE,
     block_bytes: int = BLOCK_BYTES,
+    chunk_bytes: int = CHUNK_BYTES,
 ) -> DataFrame:
     """Tree and unigram scores of every whole text; the held-out fold is not learnt from.
 
@@ -335,12 +402,13 @@ def score_texts(
     """
     spark = docs.sparkSession
     ensure_checkpoint_dir(spark)
-    buckets = task_partitions(spark)
-    n_total = docs.where(~held_out(key, folds, out)).agg(F.sum(F.octet_length(text))).first()[0] or 0
+    blocks = block_count(docs, text, block_bytes)
+    buckets = max(task_partitions(spark), 2 * blocks)
+    fold = held_out(key, folds, out)
+    training = docs.where(~fold)
+    n_total = training.agg(F.sum(F.octet_length(text))).first()[0] or 0
     least = max(2, int(np.ceil(least_share * n_total)))
-    fold = held_out(key, folds, out).alias("held_out")
-    blocks = text_blocks(docs, key, text, block_bytes, fold)
-    counted = blocks.groupBy("block").applyInArrow(_collect_counts(buckets), _SCHEMA)
+    counted = training.select(utf8(text).alias("data")).mapInArrow(_count_chunks(buckets, chunk_bytes), _SCHEMA)
     summed = counted.groupBy("kind", "bucket").applyInArrow(_sum_bucket(least, n_total), _SCHEMA).checkpoint()
     totals = [from_planes(bytes(r["a"]), "i8") for r in summed.where(F.col("kind") == _TOTALS).select("a").collect()]
     n_words, n_kinds = (int(x) for x in np.sum(totals, axis=0)) if totals else (0, 0)
@@ -349,9 +417,12 @@ def score_texts(
         tuple(from_planes(bytes(x), t) for x, t in zip(r, ("u1", "u8", "u8", "i8")))
         for r in summed.where(F.col("kind") == _STATES).select("a", "b", "c", "d").collect()
     ]
-    shared = spark.sparkContext.broadcast(SuffixTree.assemble(parts, n_total))
-    answers = summed.where(F.col("kind") == _WORDS).select("block", "bucket", "a")
-    both = blocks.groupBy("block").cogroup(answers.groupBy("block"))
+    shared = spark.sparkContext.broadcast(SuffixTree.assemble(parts, least, n_total))
+    by_block = text_blocks(docs, key, text, blocks, fold.alias("held_out")).groupBy("block")
+    words = summed.where(F.col("kind") == _WORDS).select("bucket", "a", "b")
+    asked = by_block.applyInArrow(_ask(buckets), _ASKED)
+    answers = asked.groupBy("bucket").cogroup(words.groupBy("bucket")).applyInArrow(_answer(), _ASKED)
+    both = by_block.cogroup(answers.groupBy("block"))
     return both.applyInArrow(_score_block(shared, buckets, n_words, n_kinds), _OUT)
 
 

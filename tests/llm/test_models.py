@@ -104,7 +104,7 @@ def test_toxicity_learns_and_handles_edges(spark, edge_docs, edge_rows, no_docs)
 # language model
 
 def test_base_scores_match_plain_version(spark, edge_docs, edge_rows, no_docs):
-    got = score_texts(edge_docs, block_bytes=5000).collect()
+    got = score_texts(edge_docs, block_bytes=5000, chunk_bytes=2000).collect()
     texts = [(k, [*ANY_SPACE.findall(lower(t)), None]) for k, t, *_ in edge_rows]
     count = Counter(w for k, words in texts if fold(k, 7) != 2 for w in words)
     n, v = sum(count.values()), len(count)
@@ -131,7 +131,7 @@ def test_tree_walk_matches_plain_suffix_search():
     total = int(counts.sum())
     levels = grow(keys, counts, 5, total)
     parts = [(np.full(len(x[0]), d, np.uint8), *x) for d, x in levels.items()]
-    tree = SuffixTree.assemble(parts, total)
+    tree = SuffixTree.assemble(parts, 5, total)
     states = {}
     for d, (ctx, nxt, count) in tree.levels.items():
         for c, x, n in zip(ctx.tolist(), nxt.tolist(), count.tolist()):
