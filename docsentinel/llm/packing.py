@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 import zlib
 from array import array
+from itertools import repeat
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
@@ -21,7 +22,8 @@ from docsentinel.session import ensure_checkpoint_dir
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
-_LATIN = re.compile("[a-zß-öø-ÿ]+")
+#: A run of plain lower-case Latin letters, then a run of ASCII signs that are no letters or digits.
+_PLAIN = re.compile("([a-zß-öø-ÿ]+)([!-/:-@\\[-`{-~]*)")
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -59,20 +61,26 @@ class WordEncoder:
     def _clear(self) -> None:
         """Forget the words; word 0 is the document's end."""
         self.index: dict[bytes, int] = {}
+        self.pieces: dict[str, list[int]] = {}
         self.flat, self.start, self.size = array("I", [self.end_id]), array("q", [0]), array("q", [1])
 
-    def _model_ids(self, data: bytes) -> list[int]:
-        return [t.id for t in self.tokenizer.model.tokenize("".join(map(self.alphabet.__getitem__, data)))]
+    def _model_ids(self, piece: str) -> list[int]:
+        """Ids of one run that the tokenizer would hand to its merge model."""
+        ids = self.pieces.get(piece)
+        if ids is None:
+            signs = piece if piece.isascii() else "".join(map(self.alphabet.__getitem__, piece.encode()))
+            ids = self.pieces[piece] = [t.id for t in self.tokenizer.model.tokenize(signs)]
+        return ids
 
     def _full_ids(self, data: bytes) -> list[int]:
         return self.tokenizer.encode(data.decode("utf-8", "replace"), add_special_tokens=False).ids
 
     def _word_ids(self, word: bytes) -> list[int]:
         text = word.decode("utf-8", "replace")
-        body = text[:-1] if text[-1] in ".," else text
-        if (letters := body.lower()) and len(letters) == len(body) and _LATIN.fullmatch(letters):
-            ids = self._model_ids(letters.encode())
-            return ids if len(body) == len(text) else ids + self._model_ids(word[-1:])
+        lowered = text.lower()
+        if len(lowered) == len(text) and (plain := _PLAIN.fullmatch(lowered)):
+            letters, signs = plain.groups()
+            return self._model_ids(letters) + self._model_ids(signs) if signs else self._model_ids(letters)
         return self._full_ids(word)
 
     def _add(self, word: bytes) -> int:
@@ -95,11 +103,12 @@ class WordEncoder:
                 rows.append(np.zeros(1, np.int64))
                 continue
             words = data.translate(LOWER_ASCII).split()
-            found = list(map(get, words))
-            if None in found:
-                found = [add(w) if (i := get(w)) is None else i for w in words]
-            found.append(0)
-            rows.append(np.array(found, np.int64))
+            found = np.zeros(len(words) + 1, np.int64)
+            found[:-1] = np.fromiter(map(get, words, repeat(-1)), np.int64, len(words))
+            for i in np.flatnonzero(found < 0).tolist():
+                at = get(words[i])
+                found[i] = add(words[i]) if at is None else at
+            rows.append(found)
         flat, start, size = (np.frombuffer(x, t) for x, t in ((self.flat, np.uint32), (self.start, np.int64), (self.size, np.int64)))
         out = []
         for k, row in enumerate(rows):
