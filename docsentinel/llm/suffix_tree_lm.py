@@ -8,9 +8,11 @@ Distributions are smoothed towards the parent's; the longest state that ends a p
 context scores the next byte.
 
 Tasks count the byte grams and words of the training texts they scan, a chunk at a time,
-and send the sums to buckets, which add them up and grow their part of the tree. For the
-unigram score, documents are dealt into blocks; a block asks each bucket for the counts of
-its distinct words.
+and send the sums to buckets, which add them up and grow their part of the tree. States of
+three bytes and more stay in their bucket; only contexts of up to two bytes, of which there
+are at most 65,792, are gathered. For the scores, documents are dealt into blocks; a block
+asks each bucket for the counts of its distinct words and the probabilities of its distinct
+byte grams.
 """
 
 from __future__ import annotations
@@ -31,16 +33,17 @@ from docsentinel.llm.common import (
 from docsentinel.session import ensure_checkpoint_dir
 
 DEPTH = 6
-#: A state's context makes up at least this share of the training bytes, so there are at
-#: most DEPTH / LEAST_SHARE states, however large the corpus.
-LEAST_SHARE = 2e-6
+#: A state's context occurs at least so often, however large the corpus.
+LEAST = 2
 BLOCK_BYTES = 8 << 20
 CHUNK_BYTES = 16 << 20
 _END = 10
 _PIECE = 1 << 19
-_WORDS, _GRAMS, _TOTALS, _STATES = 0, 1, 2, 3
+_RANGES = 6  # of contexts, that a block's grams are sorted in
+_ROWS = 64  # blocks that a bucket answers at once
+_WORDS, _GRAMS, _TOTALS, _SHORT, _STATES = 0, 1, 2, 3, 4
 _SCHEMA = "kind int, bucket int, a binary, b binary, c binary, d binary"
-_ASKED = "block int, bucket int, a binary"
+_ASKED = "block int, bucket int, a binary, b binary"
 
 
 def byte_sequence(words: list[bytes]) -> bytes:
@@ -63,28 +66,57 @@ def _own(n: int, starts: np.ndarray) -> np.ndarray:
     return own
 
 
-def gram_keys(seq: np.ndarray, at: int, stop: int) -> np.ndarray:
-    """For the places from ``at``: context bytes, latest first, then the byte itself, packed from the high end."""
-    key = np.zeros(stop - at, np.uint64)
+def gram_keys(seq: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """For each place: context bytes, latest first, then the byte itself, packed from the high end."""
+    key = np.zeros(len(places), np.uint64)
     for back in [*range(1, DEPTH + 1), 0]:
         key <<= np.uint64(8)
-        key |= seq[at - back: stop - back]
+        key |= seq[places - back]
     return key
 
 
+def parts_of(texts: Iterable[bytes], part_bytes: int) -> Iterator[list[bytes]]:
+    """Texts in a row, some at a time."""
+    part, size = [], 0
+    for text in texts:
+        part.append(text)
+        size += len(text)
+        if size >= part_bytes:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
+
+
 def count_grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct gram keys in order, and how often each occurs."""
+    """Distinct gram keys in order, and how often each occurs; a range of latest context bytes at a time."""
     seq, starts = laid_out(texts)
     own = _own(len(seq), starts)
-    keys, done = np.empty(int(own.sum()), np.uint64), 0
-    for at in range(DEPTH, len(seq), _PIECE):
-        stop = min(at + _PIECE, len(seq))
-        new = gram_keys(seq, at, stop)[own[at:stop]]
-        keys[done: done + len(new)] = new
-        done += len(new)
-    keys.sort()
-    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, np.int64)
-    return keys[first], np.diff(np.append(first, len(keys)))
+    pieces = [(at, min(at + _PIECE, len(seq))) for at in range(DEPTH, len(seq), _PIECE)]
+    latest = np.zeros(256, np.int64)
+    for at, stop in pieces:
+        latest += np.bincount(seq[at - 1: stop - 1][own[at:stop]], minlength=256)
+    part = (np.cumsum(latest) - latest) * _RANGES // max(1, len(seq))
+    keys, counts = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+    for r in np.unique(part):
+        chosen = part == r
+        n = int(latest[chosen].sum())
+        new, done = np.empty(n, np.uint64), 0
+        for at, stop in pieces:
+            places = at + np.flatnonzero(own[at:stop] & chosen[seq[at - 1: stop - 1]])
+            new[done: done + len(places)] = gram_keys(seq, places)
+            done += len(places)
+        new.sort()
+        first = np.flatnonzero(np.concatenate([np.ones(min(1, n), bool), new[1:] != new[:-1]]))
+        keys.append(new[first])
+        counts.append(np.diff(np.append(first, n)))
+    return np.concatenate(keys), np.concatenate(counts)
+
+
+def _by_bucket(bucket: np.ndarray, buckets: int) -> list[np.ndarray]:
+    """The places of each bucket's items, in order."""
+    ends = np.cumsum(np.bincount(bucket, minlength=buckets))
+    return np.split(np.argsort(bucket, kind="stable"), ends[:-1])
 
 
 def _gram_bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
@@ -162,103 +194,103 @@ def frequent(level, least: int):
     return ctx[keep], nxt[keep], count[keep]
 
 
+def states_of(levels: dict[int, tuple], d: int, n_total: int) -> tuple:
+    """Level ``d`` without contexts that neither diverge from their parent nor are needed by a state of the next level."""
+    needed = levels[d + 1][0] >> np.uint64(8) if d < DEPTH else np.empty(0, np.uint64)
+    keep = np.isin(levels[d][0], np.union1d(diverging(levels[d], levels[d - 1], n_total), needed))
+    return tuple(x[keep] for x in levels[d])
+
+
 def grow(keys: np.ndarray, counts: np.ndarray, least: int, n_total: int) -> dict[int, tuple]:
     """Levels of a bucket's part of the tree: its share of depths 1 and 2, frequent contexts of 3, states from 4 on."""
     levels = {d: by_depth(keys, counts, d) for d in (1, 2)}
     for d in range(3, DEPTH + 1):
         levels[d] = frequent(by_depth(keys, counts, d), least)
-    needed = np.empty(0, np.uint64)
     for d in range(DEPTH, 3, -1):
-        states = np.union1d(diverging(levels[d], levels[d - 1], n_total), needed)
-        keep = np.isin(levels[d][0], states)
-        levels[d] = tuple(x[keep] for x in levels[d])
-        needed = np.unique(states >> np.uint64(8))
+        levels[d] = states_of(levels, d, n_total)
     return levels
 
 
+def in_row(levels: dict[int, tuple]) -> tuple:
+    """(depth, context, next, count) arrays of levels."""
+    depth = np.concatenate([np.full(len(x[0]), d, np.uint8) for d, x in levels.items()])
+    return depth, *(np.concatenate([x[i] for x in levels.values()]) for i in range(3))
+
+
+def summed_levels(parts: list[tuple], depths: Iterable[int]) -> dict[int, tuple]:
+    """Levels from (depth, context, next, count) arrays, equal contexts summed."""
+    parts = parts or [tuple(np.empty(0, t) for t in (np.uint8, np.uint64, np.uint64, np.int64))]
+    depth, ctx, nxt, count = (np.concatenate(x) for x in zip(*parts))
+    return {d: _split(*count_sorted((ctx[depth == d] << np.uint64(8)) | nxt[depth == d], count[depth == d])) for d in depths}
+
+
 @dataclass
 class SuffixTree:
-    """States with next-byte counts, by depth; tables are built where they are used."""
+    """States with next-byte counts, by depth: a whole tree, or the part that a bucket's grams need."""
 
     levels: dict[int, tuple]
 
     @staticmethod
     def assemble(parts: list[tuple], least: int, n_total: int) -> SuffixTree:
-        """The tree from the buckets' (depth, context, next, count) arrays; tests what needs several buckets."""
-        if not parts:
-            parts = [tuple(np.empty(0, t) for t in (np.uint8, np.uint64, np.uint64, np.int64))]
-        depth, ctx, nxt, count = (np.concatenate(x) for x in zip(*parts))
-        levels = {}
-        for d in range(1, DEPTH + 1):
-            on = depth == d
-            levels[d] = _split(*count_sorted((ctx[on] << np.uint64(8)) | nxt[on], count[on]))
+        """The whole tree from the buckets' (depth, context, next, count) arrays."""
+        levels = summed_levels(parts, range(1, DEPTH + 1))
         levels[2] = frequent(levels[2], least)
         for d in (3, 2):
-            needed = np.unique(levels[d + 1][0] >> np.uint64(8))
-            keep = np.isin(levels[d][0], np.union1d(diverging(levels[d], levels[d - 1], n_total), needed))
-            levels[d] = tuple(x[keep] for x in levels[d])
+            levels[d] = states_of(levels, d, n_total)
         return SuffixTree(levels)
 
     @cached_property
-    def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Byte codes, children by (state, earlier byte code), and log10 probabilities by (state, next code)."""
-        nxt1, n1 = count_sorted(self.levels[1][1], self.levels[1][2])
-        code = np.full(256, len(nxt1), np.int64)
-        code[nxt1.astype(np.int64)] = np.arange(len(nxt1))
-        width = len(nxt1) + 1
-        root = np.ones(width)
-        root[: len(nxt1)] += n1
-        root /= n1.sum() + 257.0
-        probs, children = [root[None, :]], [np.zeros((1, width), np.int64)]
-        above, base, above_base = np.zeros(1, np.uint64), 1, 0
+    def tables(self) -> list[tuple]:
+        """By depth: contexts, their totals and numbers of next bytes; (context, next byte) and its counts."""
+        out = []
         for d in range(1, DEPTH + 1):
             ctx, nxt, count = self.levels[d]
             own, total, first = _totals(ctx, count)
+            out.append((own, total, np.diff(np.append(first, len(ctx))), (ctx << np.uint64(8)) | nxt, count))
+        return out
+
+    def log_probs(self, keys: np.ndarray) -> np.ndarray:
+        """log10 probabilities of the last bytes of grams, each by the longest state that ends its context."""
+        byte = keys & np.uint64(255)
+        seen, n = count_sorted(self.levels[1][1], self.levels[1][2])
+        root = np.ones(256)
+        root[seen.astype(np.int64)] += n
+        p = (root / (n.sum() + 257.0))[byte.astype(np.int64)]
+        going = np.arange(len(keys))
+        for d, (own, total, kinds, pairs, count) in enumerate(self.tables, 1):
             if not len(own):
                 break
-            row = np.repeat(np.arange(len(own)), np.diff(np.append(first, len(ctx))))
-            dense = np.zeros((len(own), width))
-            dense[row, code[nxt.astype(np.int64)]] = count
-            kinds = (dense > 0).sum(1)[:, None]
-            up = np.searchsorted(above, own >> np.uint64(8)) if d > 1 else np.zeros(len(own), np.int64)
-            probs.append((dense + kinds * probs[-1][up]) / (total[:, None] + kinds))
-            children[-1][up, code[(own & np.uint64(255)).astype(np.int64)]] = base + np.arange(len(own))
-            children.append(np.zeros((len(own), width), np.int64))
-            above, above_base, base = own, base, base + len(own)
-        return code, np.concatenate(children).astype(np.int32), np.log10(np.concatenate(probs)).astype(np.float32)
+            ctx = keys[going] >> np.uint64(8 * (DEPTH + 1 - d))
+            at = np.minimum(np.searchsorted(own, ctx), len(own) - 1)
+            deeper = own[at] == ctx
+            going, at, pair = going[deeper], at[deeper], (ctx[deeper] << np.uint64(8)) | byte[going[deeper]]
+            place = np.minimum(np.searchsorted(pairs, pair), len(pairs) - 1)
+            times = np.where(pairs[place] == pair, count[place], 0)
+            p[going] = (times + kinds[at] * p[going]) / (total[at] + kinds[at])
+        return np.log10(p)
 
     def score(self, texts: list[bytes]) -> np.ndarray:
-        """log10 probabilities of byte sequences, a few MB of them at a time."""
-        out, part, size = [np.empty(0)], [], 0
-        for text in texts:
-            part.append(text)
-            size += len(text)
-            if size >= _PIECE:
-                out.append(self._score(part))
-                part, size = [], 0
-        if part:
-            out.append(self._score(part))
-        return np.concatenate(out)
-
-    def _score(self, texts: list[bytes]) -> np.ndarray:
-        code, child, logp = self.tables
-        width = child.shape[1]
-        flat_child, flat_logp = child.ravel(), logp.ravel()
-        seq, starts = laid_out(texts)
-        symbols = code[seq]
-        gained = np.zeros(len(seq))
-        own = np.flatnonzero(_own(len(seq), starts))
-        for at in range(0, len(own), _PIECE):
-            places = own[at: at + _PIECE]
-            state = np.zeros(len(places), np.int64)
-            going = np.arange(len(places))
-            for back in range(1, DEPTH + 1):
-                following = flat_child[state[going] * width + symbols[places[going] - back]]
-                deeper = following > 0
-                going = going[deeper]
-                state[going] = following[deeper]
-            gained[places] = flat_logp[state * width + symbols[places]]
-        return np.add.reduceat(gained, starts - DEPTH)
+        """log10 probabilities of byte sequences."""
+        keys, _ = count_grams(texts)
+        return sequence_scores(texts, keys, self.log_probs(keys))
+
+
+def sequence_scores(texts: list[bytes], keys: np.ndarray, gains: np.ndarray) -> np.ndarray:
+    """Sums over byte sequences of their grams' gains, a few MB of texts at a time; ``keys`` has all grams in order."""
+    return np.concatenate([np.empty(0), *(_sums(part, keys, gains) for part in parts_of(texts, _PIECE))])
+
+
+def _sums(texts: list[bytes], keys: np.ndarray, gains: np.ndarray) -> np.ndarray:
+    seq, starts = laid_out(texts)
+    own = _own(len(seq), starts)
+    gained = np.zeros(len(seq))
+    for at in range(DEPTH, len(seq), _PIECE):
+        stop = min(at + _PIECE, len(seq))
+        places = at + np.flatnonzero(own[at:stop])
+        wanted = gram_keys(seq, places)
+        order = np.argsort(wanted)  # in order, lookups stay in the cache
+        gained[places[order]] = gains[np.searchsorted(keys, wanted[order])]
+    return np.add.reduceat(gained, starts - DEPTH)
 
 
 def _table(schema: pa.Schema, rows: list[tuple]) -> pa.Table:
@@ -277,9 +309,7 @@ def _count_chunks(buckets: int, chunk_bytes: int):
         for kind, keys, size, bucket in (
             (_WORDS, known.hashes, counts, known.buckets(buckets)), (_GRAMS, *(g := count_grams(known.sequences)), _gram_bucket(g[0], buckets)),
         ):
-            order = np.argsort(bucket, kind="stable")
-            ends = np.cumsum(np.bincount(bucket, minlength=buckets))
-            for b, part in enumerate(np.split(order, ends[:-1])):
+            for b, part in enumerate(_by_bucket(bucket, buckets)):
                 if len(part):
                     rows.append((kind, b, to_planes(keys[part]), to_planes(size[part].astype(np.uint32)), b"", b""))
         return _table(schema, rows).combine_chunks().to_batches()[0]
@@ -316,40 +346,83 @@ def _sum_bucket(least: int, n_total: int):
                 (_TOTALS, bucket, to_planes(totals), b"", b"", b""),
             ])
         levels = grow(keys, counts, least, n_total)
-        depth = np.concatenate([np.full(len(x[0]), d, np.uint8) for d, x in levels.items()])
-        arrays = (depth, *(np.concatenate([x[i] for x in levels.values()]) for i in range(3)))
-        return _table(schema, [(_STATES, bucket, *map(to_planes, arrays))])
+        return _table(schema, [
+            (kind, bucket, *map(to_planes, in_row({d: x for d, x in levels.items() if (d < 3) == (kind == _SHORT)})))
+            for kind in (_SHORT, _STATES)
+        ])
+
+    return run
+
+
+def _levels(row: tuple) -> tuple:
+    return tuple(from_planes(x, t) for x, t in zip(row, ("u1", "u8", "u8", "i8")))
+
+
+def _settled(batches: Iterator[pa.RecordBatch], short: dict[int, tuple], n_total: int) -> Iterator[tuple]:
+    """Buckets and their states of three bytes and more, once the counts of two bytes are known as a whole."""
+    for batch in batches:
+        for kind, bucket, *row in zip(*(c.to_pylist() for c in batch.columns)):
+            levels = summed_levels([_levels(row)], range(3, DEPTH + 1))
+            yield kind, bucket, levels | {3: states_of(short | levels, 3, n_total)}
+
+
+def _settle(short, n_total: int):
+    schema = pa_schema(_SCHEMA)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for kind, bucket, levels in _settled(batches, short.value, n_total):
+            yield from _table(schema, [(kind, bucket, *map(to_planes, in_row(levels)))]).to_batches()
+
+    return run
+
+
+def _needed(short, n_total: int):
+    """Contexts of two bytes that the buckets' states need."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, _, levels in _settled(batches, short.value, n_total):
+            above = np.unique(levels[3][0] >> np.uint64(8)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(above)], names=["ctx"])
 
     return run
 
 
 def _ask(buckets: int):
-    """Per block: its distinct words' hashes, for each bucket."""
+    """Per block: its distinct words' hashes and its distinct grams, for each bucket."""
     schema = pa_schema(_ASKED)
 
     def run(block: pa.Table) -> pa.Table:
         known, number = BlockWords.build(x.as_py() for x in block.column("data")), block.column("block")[0].as_py()
-        bucket = known.buckets(buckets)
-        return _table(schema, [(number, int(b), to_planes(known.hashes[bucket == b])) for b in np.unique(bucket)])
+        grams, _ = count_grams(known.sequences)
+        parts = zip(_by_bucket(known.buckets(buckets), buckets), _by_bucket(_gram_bucket(grams, buckets), buckets))
+        return _table(schema, [
+            (number, b, to_planes(known.hashes[w]), to_planes(grams[g])) for b, (w, g) in enumerate(parts) if len(w) or len(g)
+        ])
 
     return run
 
 
-def _answer():
-    """Per bucket: the training counts of the words each block asks for, in its order."""
+def _answer(shared):
+    """Per bucket: the words' training counts and the grams' log10 probabilities that each block asks for, in its order."""
     schema = pa_schema(_ASKED)
 
-    def run(asked: pa.Table, counted: pa.Table) -> pa.Table:
+    def run(asked: pa.Table, kept: pa.Table) -> pa.Table:
+        rows = {kind: row for kind, *row in zip(*(kept.column(c).to_pylist() for c in ("kind", "a", "b", "c", "d")))}
         keys, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
-        if counted.num_rows:
-            keys, counts = (from_planes(counted.column(c)[0].as_py(), t) for c, t in (("a", "u8"), ("b", "i8")))
-        rows = []
-        for block, bucket, raw in zip(*(asked.column(c).to_pylist() for c in ("block", "bucket", "a"))):
-            wanted = from_planes(raw, "u8")
-            at = np.minimum(np.searchsorted(keys, wanted), max(0, len(keys) - 1))
-            found = np.where(keys[at] == wanted, counts[at], 0) if len(keys) else np.zeros(len(wanted), np.int64)
-            rows.append((block, bucket, to_planes(found)))
-        return _table(schema, rows)
+        if _WORDS in rows:
+            keys, counts = (from_planes(x, t) for x, t in zip(rows[_WORDS], ("u8", "i8")))
+        parts = [_levels(rows[_STATES])] if _STATES in rows else []
+        tree, out = SuffixTree(shared.value | summed_levels(parts, range(3, DEPTH + 1))), []
+        for at in range(0, asked.num_rows, _ROWS):
+            block, bucket, words, grams = (asked.slice(at, _ROWS).column(c).to_pylist() for c in ("block", "bucket", "a", "b"))
+            grams = [from_planes(x, "u8") for x in grams]
+            distinct, which = np.unique(np.concatenate(grams), return_inverse=True)
+            gains = np.split(tree.log_probs(distinct).astype(np.float32)[which], np.cumsum([len(x) for x in grams])[:-1])
+            for number, b, raw, gain in zip(block, bucket, words, gains):
+                wanted = from_planes(raw, "u8")
+                place = np.minimum(np.searchsorted(keys, wanted), max(0, len(keys) - 1))
+                found = np.where(keys[place] == wanted, counts[place], 0) if len(keys) else np.zeros(len(wanted), np.int64)
+                out.append((number, b, to_planes(found), to_planes(gain)))
+        return _table(schema, out)
 
     return run
 
@@ -359,23 +432,25 @@ _OUT = (
 )
 
 
-def _score_block(shared, buckets: int, n_words: int, n_kinds: int):
+def _score_block(buckets: int, n_words: int, n_kinds: int):
     schema = pa_schema(_OUT)
 
     def run(block: pa.Table, answers: pa.Table) -> pa.Table:
         if not block.num_rows:
             return schema.empty_table()
         known = BlockWords.build(x.as_py() for x in block.column("data"))
-        bucket = known.buckets(buckets)
-        count = np.zeros(len(known.hashes), np.int64)
-        for b, raw in zip(answers.column("bucket").to_pylist(), answers.column("a").to_pylist()):
-            count[bucket == b] = from_planes(raw, "i8")
+        grams, _ = count_grams(known.sequences)
+        words_of, grams_of = (_by_bucket(x, buckets) for x in (known.buckets(buckets), _gram_bucket(grams, buckets)))
+        count, gains = np.zeros(len(known.hashes), np.int64), np.zeros(len(grams), np.float32)
+        for b, raw, raw_gains in zip(*(answers.column(c).to_pylist() for c in ("bucket", "a", "b"))):
+            count[words_of[b]] = from_planes(raw, "i8")
+            gains[grams_of[b]] = from_planes(raw_gains, "f4")
         gain = np.log10((count + 1.0) / (n_words + n_kinds + 1.0))
         columns = {
             "doc_id": block.column("doc_id"), "held_out": block.column("held_out"),
             "n_tokens": [len(i) for i in known.ids], "n_known": [int((count[i] > 0).sum()) for i in known.ids],
             "train_tokens": [n_words] * block.num_rows, "base_score": [float(gain[i].sum()) for i in known.ids],
-            "score": shared.value.score(known.sequences),
+            "score": sequence_scores(known.sequences, grams, gains),
         }
         made = [c if isinstance(c, pa.ChunkedArray) else pa.array(c, schema.field(k).type) for k, c in columns.items()]
         return pa.Table.from_arrays(made, schema=schema)
@@ -389,7 +464,7 @@ def score_texts(
     out: int = 2,
     key: str = "doc_id",
     text: str = "text",
-    least_share: float = LEAST_SHARE,
+    least: int = LEAST,
     block_bytes: int = BLOCK_BYTES,
     chunk_bytes: int = CHUNK_BYTES,
 ) -> DataFrame:
@@ -407,23 +482,28 @@ def score_texts(
     fold = held_out(key, folds, out)
     training = docs.where(~fold)
     n_total = training.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    least = max(2, int(np.ceil(least_share * n_total)))
     counted = training.select(utf8(text).alias("data")).mapInArrow(_count_chunks(buckets, chunk_bytes), _SCHEMA)
     summed = counted.groupBy("kind", "bucket").applyInArrow(_sum_bucket(least, n_total), _SCHEMA).checkpoint()
     totals = [from_planes(bytes(r["a"]), "i8") for r in summed.where(F.col("kind") == _TOTALS).select("a").collect()]
     n_words, n_kinds = (int(x) for x in np.sum(totals, axis=0)) if totals else (0, 0)
-    # At most DEPTH / least_share states and the contexts of up to two bytes, whatever the input.
-    parts = [
-        tuple(from_planes(bytes(x), t) for x, t in zip(r, ("u1", "u8", "u8", "i8")))
-        for r in summed.where(F.col("kind") == _STATES).select("a", "b", "c", "d").collect()
-    ]
-    shared = spark.sparkContext.broadcast(SuffixTree.assemble(parts, least, n_total))
+    # Contexts of up to two bytes, whatever the input.
+    short = summed_levels([
+        _levels(tuple(map(bytes, r))) for r in summed.where(F.col("kind") == _SHORT).select("a", "b", "c", "d").collect()
+    ], (1, 2))
+    short[2] = frequent(short[2], least)
+    context = spark.sparkContext
+    both_bytes, grown = context.broadcast(short), summed.where(F.col("kind") == _STATES)
+    above = grown.mapInArrow(_needed(both_bytes, n_total), "ctx long").distinct().collect()
+    needed = np.array([r["ctx"] for r in above], np.uint64)
+    states = grown.mapInArrow(_settle(both_bytes, n_total), _SCHEMA)
+    keep = np.isin(short[2][0], np.union1d(diverging(short[2], short[1], n_total), needed))
+    shared = context.broadcast(short | {2: tuple(x[keep] for x in short[2])})
     by_block = text_blocks(docs, key, text, blocks, fold.alias("held_out")).groupBy("block")
-    words = summed.where(F.col("kind") == _WORDS).select("bucket", "a", "b")
+    kept = summed.where(F.col("kind") == _WORDS).union(states)
     asked = by_block.applyInArrow(_ask(buckets), _ASKED)
-    answers = asked.groupBy("bucket").cogroup(words.groupBy("bucket")).applyInArrow(_answer(), _ASKED)
+    answers = asked.groupBy("bucket").cogroup(kept.groupBy("bucket")).applyInArrow(_answer(shared), _ASKED)
     both = by_block.cogroup(answers.groupBy("block"))
-    return both.applyInArrow(_score_block(shared, buckets, n_words, n_kinds), _OUT)
+    return both.applyInArrow(_score_block(buckets, n_words, n_kinds), _OUT)
 
 
 def op3_suffix_tree(spark, sf_dir: str) -> DataFrame:
