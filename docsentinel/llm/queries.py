@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from docsentinel.llm.divergence_rules import op11_divergence_rules
 from docsentinel.llm.fm_index import op10_fm_decontaminate
 from docsentinel.llm.licences import op8_licences
 from docsentinel.llm.lz_fingerprint import op1_lz_fingerprint
@@ -9,6 +10,7 @@ from docsentinel.llm.packing import op6_pack
 from docsentinel.llm.quality_gam import op5_quality
 from docsentinel.llm.sharding import op9_rendezvous
 from docsentinel.llm.simhash import op4_simhash
+from docsentinel.llm.sql import DIVERGENCE_RULES
 from docsentinel.llm.suffix_dedup import op2_suffix_dedup
 from docsentinel.llm.suffix_tree_lm import op3_suffix_tree
 from docsentinel.llm.toxicity import op7_toxicity
@@ -24,6 +26,9 @@ QUERIES = {
     "op1_lz_fingerprint": op1_lz_fingerprint,
     "op8_licences": op8_licences,
     "op9_rendezvous": op9_rendezvous,
+    "op11_divergence_rules": op11_divergence_rules,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op11_divergence_rules": DIVERGENCE_RULES,
+}
