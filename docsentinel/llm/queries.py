@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from docsentinel.llm.divergence_rules import op11_divergence_rules
+from docsentinel.llm.dual_tree import op12_dual_tree
 from docsentinel.llm.fm_index import op10_fm_decontaminate
 from docsentinel.llm.licences import op8_licences
 from docsentinel.llm.lz_fingerprint import op1_lz_fingerprint
@@ -10,9 +11,10 @@ from docsentinel.llm.packing import op6_pack
 from docsentinel.llm.quality_gam import op5_quality
 from docsentinel.llm.sharding import op9_rendezvous
 from docsentinel.llm.simhash import op4_simhash
-from docsentinel.llm.sql import DIVERGENCE_RULES
+from docsentinel.llm.sql import DIVERGENCE_RULES, RANKED_SEARCH
 from docsentinel.llm.suffix_dedup import op2_suffix_dedup
 from docsentinel.llm.suffix_tree_lm import op3_suffix_tree
+from docsentinel.llm.token_alignment import op13_align
 from docsentinel.llm.toxicity import op7_toxicity
 
 QUERIES = {
@@ -27,8 +29,11 @@ QUERIES = {
     "op8_licences": op8_licences,
     "op9_rendezvous": op9_rendezvous,
     "op11_divergence_rules": op11_divergence_rules,
+    "op12_dual_tree": op12_dual_tree,
+    "op13_align": op13_align,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op11_divergence_rules": DIVERGENCE_RULES,
+    "op12_dual_tree": RANKED_SEARCH,
 }

@@ -86,3 +86,30 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   round(sqrt(cjs), 6) as class_distance, round(sqrt(wjs), 6) as word_distance
 from judged
 """
+
+_TERMS = (
+    "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+)
+
+RANKED_SEARCH = f"""
+with d as (select doc_id, unnest({_TERMS}) as term from documents),
+tf as (select doc_id, term, count(*) as tf from d group by doc_id, term),
+lengths as (select doc_id, count(*) as n from d group by doc_id),
+corpus as (select count(*) as docs, sum(n)::bigint as terms from lengths),
+norms as (select doc_id, 100 - 25 + ((25 * n * docs) // terms) as m from lengths, corpus),
+items as (select item_id, unnest({_TERMS}) as term from benchmark),
+asked as (select item_id, term, count(*) as times from items group by item_id, term),
+df as (select term, count(*) as df from tf where term in (select term from asked) group by term),
+weights as (select term, floor(1000 * ln((2 * docs + 2) / (2 * df + 1)))::bigint as w from df, corpus),
+scores as (
+  select item_id, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::bigint as score
+  from asked join weights using (term) join tf using (term) join norms using (doc_id)
+  group by item_id, doc_id
+),
+ranked as (
+  select item_id, row_number() over (partition by item_id order by score desc, doc_id)::int as rank, doc_id, score
+  from scores where score > 0
+)
+select item_id, rank, doc_id, score from ranked where rank <= 20
+"""

@@ -94,3 +94,84 @@ def passages(docs, items, window=10):
         names = ",".join(sorted(map(str, found)))
         out.append((key, len(words), len(hit), len(found), sha(names.encode()), bool(hit)))
     return out
+
+
+def ranked(docs, items, k=20):
+    """(item number, rank, doc_id, score) of (doc_id, text) and item texts."""
+    import math
+    from collections import Counter
+
+    term = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+    bags = [(d, Counter(term.findall(lower(t)))) for d, t in docs]
+    n_docs = sum(1 for _, b in bags if b)
+    total = sum(b.total() for _, b in bags)
+    df = Counter(t for _, b in bags for t in b)
+    out = []
+    for i, text in enumerate(items):
+        asked = Counter(term.findall(lower(text)))
+        found = []
+        for d, bag in bags:
+            m = 75 + 25 * bag.total() * n_docs // total if bag else 0
+            score = sum(
+                times * math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1)))
+                * (1_000_000_000 * bag[t] // (1000 * bag[t] + 12 * m)) for t, times in asked.items() if t in bag
+            )
+            if score > 0:
+                found.append((-score, d is not None, d or 0, d))
+        found.sort(key=lambda x: x[:3])
+        out += [(i, r + 1, x[3], -x[0]) for r, x in enumerate(found[:k])]
+    return out
+
+
+def aligned(rows):
+    """Counts and group texts of (doc_id, text) by whole encodings and one walk along both."""
+    from collections import Counter
+
+    import public_tokenizers
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    from docsentinel.llm.packing import byte_alphabet
+
+    a = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    a.encode_special_tokens = True
+    b = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    to_byte = {c: x for x, c in byte_alphabet().items()}
+
+    def bytes_b(i):
+        p = b.id_to_piece(i)
+        return bytes([int(p[3:5], 16)]) if b.is_byte(i) else p.replace("▁", " ").encode()
+
+    docs = []
+    for doc, text in rows:
+        ids_a = a.encode(" " + text, add_special_tokens=False).ids if text else []
+        ids_b = b.encode(text) if text else []
+        parts_a = [bytes(to_byte[c] for c in a.id_to_token(i)) for i in ids_a]
+        parts_b = [bytes_b(i) for i in ids_b]
+        if not text or not b"".join(parts_a) == b"".join(parts_b) == (" " + text).encode():
+            docs.append((doc, 0, 0, [], []))
+            continue
+        groups, links, i, j, at_a, at_b = [], [], 0, 0, 0, 0
+        left_a, left_b = [], []
+        while i < len(ids_a) or j < len(ids_b):
+            if at_a <= at_b:
+                left_a.append(ids_a[i])
+                at_a, i = at_a + len(parts_a[i]), i + 1
+            else:
+                left_b.append(ids_b[j])
+                at_b, j = at_b + len(parts_b[j]), j + 1
+            if at_a == at_b:
+                groups.append((left_a, left_b))
+                links.append((left_a[-1], left_b[-1]))
+                left_a, left_b = [], []
+        docs.append((doc, len(ids_a), len(ids_b), groups, links))
+    counts = Counter(x for d in docs for x in d[4])
+    most = Counter()
+    for (_, y), n in counts.items():
+        most[y] = max(most[y], n)
+    out = []
+    for doc, n_a, n_b, groups, links in docs:
+        text = ";".join(f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in groups)
+        out.append((doc, n_a, n_b, len(groups), len(links), sum(counts[x] == most[x[1]] for x in links),
+                    sum(counts[x] for x in links), sha(text.encode()) if n_a else "", text))
+    return out
