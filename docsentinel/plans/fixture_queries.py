@@ -209,6 +209,27 @@ def q_stg_controlled_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return INC.read_without_partition(INC.controlled_table(spark, path))
 
 
+def q_concurrent_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two jobs upsert into one staged table from the same version; the one that comes second merges again."""
+    co, _ = staged(spark, sf_dir)
+    number = F.col("document_id").cast("long")
+    co = co.withColumn(INC.CONTROLLED_PARTITION, INC.partition_value("receipt_at", CFG))
+    table = INC.controlled_table(spark, work_path(spark, "fixture", "concurrent", unique=True))
+    table.upsert(co.filter(number % 3 == 0))
+    revised = co.filter(number % 6 == 0).withColumn("control_score", F.lit("revised"))
+    first_job = revised.unionByName(co.filter(number % 3 == 1))
+    second_job = INC.controlled_table(spark, table.path)
+
+    def merged_late(version: int):
+        change = table.merge(first_job, "ignore", version)
+        if version == 1:  # between this job's read and its commit
+            second_job.upsert(co.filter(number % 3 == 2))
+        return change
+
+    table.change(merged_late)
+    return INC.read_without_partition(table)
+
+
 def q_schema_evolution_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An older fact version lacking two columns, then a run under ``append_new_columns``."""
     co, cr = staged(spark, sf_dir)
@@ -426,6 +447,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "results_control_summary": q_results_control_summary,
     "documents_detailed_incremental": q_documents_detailed_incremental,
     "stg_controlled_incremental": q_stg_controlled_incremental,
+    "concurrent_loads": q_concurrent_loads,
     "schema_evolution_append": q_schema_evolution_append,
     "schema_evolution_sync": q_schema_evolution_sync,
     "archive_upsert": q_archive_upsert,

@@ -8,9 +8,13 @@ usually do for existence checks and deletes.
 from __future__ import annotations
 
 import json
+import os
 import re
+import time
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
+from dataclasses import dataclass
+from urllib.parse import unquote, urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,22 +48,48 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
 
+#: File systems whose rename fails if the target exists; others cannot hold a versioned table.
+_EXCLUSIVE_RENAME = ("file", "hdfs", "viewfs", "ofs", "abfs", "abfss")
+
+
+class ConcurrentWrite(RuntimeError):
+    """Another job published a version after the one this change was made from."""
+
+
+@dataclass(frozen=True)
+class Change:
+    """A staged write: it may become the version after ``based_on`` and no other."""
+
+    based_on: int
+    folder: str
+    schema: T.StructType
+    replaced: tuple[str, ...] | None  # partitions it takes the place of; None: all
+    dropped: tuple[str, ...] = ()
+
+
 class VersionedTable:
     """A parquet table whose current state is named by its newest manifest.
 
     Every write goes to a folder of its own (``data/commit_id=...``); a manifest
     (``versions/v0000000001.json``) lists the schema and, for each partition value,
-    the folder that holds it. Moving the next manifest into place is the only step
-    that changes what readers see, so a job lost before it leaves the table as it
-    was and a rerun starts from there. Files older than a schema change are read
-    with the current schema: added columns are NULL in them, removed ones are not
-    read. Folders that neither of the last two versions names are deleted.
+    the folder that holds it. Creating the next manifest, which only one job can, is
+    the only step that changes what readers see: a job lost before it leaves the table
+    as it was. A change carries the version it was made from. If another job has
+    published since, it is made again from the new version, so no job's rows are lost.
+
+    Files older than a schema change are read with the current schema: added columns
+    are NULL in them, removed ones are not read. A version stays readable for
+    ``lease_hours`` after it was replaced, and so does a staged folder that no version
+    names yet; older ones are deleted. The lease must exceed the longest job.
+
+    The table's file system must refuse to rename onto an existing file (HDFS, ABFS
+    with a hierarchical namespace, local files); S3-like stores are an error.
     """
 
     def __init__(self, spark: SparkSession, path: str, key: str | None = None, partition_col: str | None = None,
-                 key_determines_partition: bool = False):
+                 key_determines_partition: bool = False, lease_hours: float = 24.0):
         self.spark, self.path, self.key, self.partition_col = spark, path.rstrip("/"), key, partition_col
-        self.key_determines_partition = key_determines_partition
+        self.key_determines_partition, self.lease_hours = key_determines_partition, lease_hours
 
     # -- state ---------------------------------------------------------------------
 
@@ -74,9 +104,18 @@ class VersionedTable:
         version = version or max(self._versions(), default=0)
         if not version:
             return None
-        text = self.spark.read.text(self._manifest_path(version), wholetext=True).first()[0]
+        fs, p = _fs_path(self.spark, self._manifest_path(version))
+        stream = fs.open(p)
+        try:
+            text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
         return {"version": version, **json.loads(text)}
 
+    def version(self) -> int:
+        """The current version's number; 0 before the first load."""
+        return max(self._versions(), default=0)
+
     def exists(self) -> bool:
         return bool(self._versions())
 
@@ -84,9 +123,9 @@ class VersionedTable:
         base = f"{self.path}/data/{_COMMIT}={folder}"
         return f"{base}/{self.partition_col}={value}" if self.partition_col else base
 
-    def read(self) -> DataFrame | None:
-        """The table's current state; None before the first load, no rows after an empty one."""
-        m = self._manifest()
+    def read(self, version: int | None = None) -> DataFrame | None:
+        """The current state, or that of a version; None before the first load, no rows after an empty one."""
+        m = None if version == 0 else self._manifest(version)
         if m is None:
             return None
         schema = T.StructType.fromJson(m["schema"])
@@ -142,77 +181,138 @@ class VersionedTable:
         delete_path(self.spark, f"{self.path}/data/{_COMMIT}={folder}")
 
     def _values_in(self, folder: str) -> list[str]:
-        names = list_names(self.spark, f"{self.path}/data/{_COMMIT}={folder}")
+        path = f"{self.path}/data/{_COMMIT}={folder}"
+        if not path_exists(self.spark, path):
+            raise RuntimeError(f"staged folder {path} is gone: its job outlasted the lease")
         if not self.partition_col:
             return [""]
         prefix = f"{self.partition_col}="
-        return [n[len(prefix):] for n in names if n.startswith(prefix)]
+        return [n[len(prefix):] for n in list_names(self.spark, path) if n.startswith(prefix)]
 
-    def publish(self, folder: str, schema: T.StructType, replaced: Iterable[str] | None = None,
-                dropped: Sequence[str] = ()) -> None:
-        """Make a staged folder current: it replaces the ``replaced`` partitions (None: all) and its own."""
+    def publish(self, change: Change) -> None:
+        """Make a staged change current: the version after the one it was made from, or ``ConcurrentWrite``."""
         before = self._manifest() or {"version": 0, "folders": {}, "dropped": []}
-        kept = {} if replaced is None else {v: f for v, f in before["folders"].items() if v not in set(replaced)}
-        folders = kept | {v: folder for v in self._values_in(folder)}
-        body = {"schema": schema.jsonValue(), "folders": folders, "dropped": sorted(set(dropped))}
-        self._swap_in(before["version"] + 1, json.dumps(body))
-        self._forget({*folders.values(), *before["folders"].values()}, before["version"])
-
-    def _swap_in(self, version: int, text: str) -> None:
+        if before["version"] != change.based_on:
+            raise ConcurrentWrite(f"{self.path} is at version {before['version']}, the change at {change.based_on}")
+        gone = set(change.replaced or ())
+        kept = {} if change.replaced is None else {v: f for v, f in before["folders"].items() if v not in gone}
+        folders = kept | {v: change.folder for v in self._values_in(change.folder)}
+        body = {"schema": change.schema.jsonValue(), "folders": folders, "dropped": sorted(set(change.dropped))}
+        self._create_manifest(change.based_on + 1, json.dumps(body))
+        self._forget()
+
+    def _create_manifest(self, version: int, text: str) -> None:
+        """Write a version's manifest; of several jobs only one can."""
         fs, target = _fs_path(self.spark, self._manifest_path(version))
+        scheme = fs.getUri().getScheme()
+        if scheme not in _EXCLUSIVE_RENAME:
+            raise ValueError(f"{scheme}: renames overwrite there, so two jobs could publish one version")
         _, fresh = _fs_path(self.spark, f"{self.path}/versions/new-{uuid.uuid4().hex}")
         out = fs.create(fresh, False)
         out.write(bytearray(text.encode()))
         out.close()
-        if fs.exists(target) or not fs.rename(fresh, target):
-            raise RuntimeError(f"version {version} of {self.path} was written by another job")
-
-    def _forget(self, live: set[str], oldest: int) -> None:
-        for name in list_names(self.spark, f"{self.path}/data"):
-            if name.removeprefix(f"{_COMMIT}=") not in live:
-                delete_path(self.spark, f"{self.path}/data/{name}")
-        for version in self._versions():
-            if version < oldest:
-                delete_path(self.spark, self._manifest_path(version))
+        if scheme == "file":  # a hard link, as a local rename would overwrite
+            source, link = (unquote(urlparse(x.toUri().toString()).path) for x in (fresh, target))
+            try:
+                os.link(source, link)
+                made = True
+            except FileExistsError:
+                made = False
+            fs.delete(fresh, False)
+        else:
+            made = fs.rename(fresh, target)
+            if not made:
+                fs.delete(fresh, False)
+        if not made:
+            raise ConcurrentWrite(f"version {version} of {self.path} was written by another job")
+
+    def _forget(self) -> None:
+        """Delete versions and folders that have been out of use for longer than the lease."""
+        fs, data = _fs_path(self.spark, f"{self.path}/data")
+        _, versions = _fs_path(self.spark, f"{self.path}/versions")
+        horizon = (time.time() - 3600 * self.lease_hours) * 1000
+        written = {s.getPath().getName(): s.getModificationTime() for s in fs.listStatus(versions)}
+        numbers = self._versions()
+        live, over = set(), []
+        for v, successor in zip(numbers, [*numbers[1:], None]):
+            if successor is None or written.get(f"v{successor:010d}.json", horizon) >= horizon:
+                live.update((self._manifest(v) or {"folders": {}})["folders"].values())
+            else:
+                over.append(v)
+        for s in fs.listStatus(data):
+            if s.getModificationTime() < horizon and s.getPath().getName().removeprefix(f"{_COMMIT}=") not in live:
+                fs.delete(s.getPath(), True)
+        for v in over:
+            delete_path(self.spark, self._manifest_path(v))
+        for name, at in written.items():
+            if name.startswith("new-") and at < horizon:
+                delete_path(self.spark, f"{self.path}/versions/{name}")
+
+    def change(self, make: Callable[[int], Change | None], attempts: int = 8) -> None:
+        """Publish what ``make`` stages from the current version, made again whenever another job came first."""
+        for left in reversed(range(attempts)):
+            staged = make(self.version())
+            if staged is None:
+                return
+            try:
+                self.publish(staged)
+                return
+            except ConcurrentWrite:
+                self.discard(staged.folder)
+                if not left:
+                    raise
 
     def replace(self, df: DataFrame) -> DataFrame:
-        """Full refresh; the new state."""
-        self.publish(self.stage(df), df.schema)
-        return self.read()
+        """Full refresh; the new state. It does not depend on the old one, so it is staged once."""
+        folder = self.stage(df)
+        for left in reversed(range(8)):
+            try:
+                self.publish(Change(self.version(), folder, df.schema, None))
+                return self.read()
+            except ConcurrentWrite:
+                if not left:
+                    raise
 
     def upsert(self, batch: DataFrame, policy: str = "ignore") -> None:
         """delete+insert ``batch`` by ``key`` with schema policy ``policy``.
 
-        The batch is computed once (written to the checkpoint folder); the partitions to
-        rewrite are the batch's own plus, unless the key determines the partition, those
-        that hold an older row with a batch key. A column that comes back after it was
-        removed is the one case in which all partitions are rewritten: older files may
-        still hold its old values.
+        The batch is computed once (written to the checkpoint folder); the merge is made
+        from the version read, and again if another job published meanwhile.
         """
         if self.partition_col not in batch.columns:
             raise ValueError(f"batch lacks partition column {self.partition_col}")
-        target = self.read()
-        if target is None:
-            self.publish(self.stage(batch), batch.schema)
-            return
+        if not self.version():
+            try:
+                self.publish(Change(0, self.stage(batch), batch.schema, None))
+                return
+            except ConcurrentWrite:
+                pass  # another job made the table: merge into it
         rows, path = checkpoint_table(self.spark, batch, "batch", [self.partition_col])
         try:
-            data_cols = [c for c in target.columns if c != self.partition_col]
-            batch_cols = [c for c in rows.columns if c != self.partition_col]
-            columns = evolve_columns(data_cols, batch_cols, policy)
-            gone = set(self._manifest()["dropped"])
-            returning = gone & set(columns)
-            values = None if returning else self._touched_partitions(target, rows)
-            if values == [] and columns == data_cols:
-                return  # empty batch: nothing to delete or insert
-            scope = target if values is None else target.filter(self._in_partitions(values))
-            merged = delete_insert(scope, rows, self.key, policy)
-            dropped = (gone | set(data_cols)) - set(columns)
-            names = None if values is None else [NULL_PARTITION if v is None else str(v) for v in values]
-            self.publish(self.stage(merged), merged.schema, names, sorted(dropped))
+            self.change(lambda version: self.merge(rows, policy, version))
         finally:
             delete_path(self.spark, path)
 
+    def merge(self, rows: DataFrame, policy: str, version: int) -> Change | None:
+        """Stage the upsert of ``rows`` into a version; None if it changes nothing.
+
+        The partitions to rewrite are the batch's own plus, unless the key determines the
+        partition, those that hold an older row with a batch key. A column that comes back
+        after it was removed is the one case in which all partitions are rewritten: older
+        files may still hold its old values.
+        """
+        target, state = self.read(version), self._manifest(version)
+        data_cols = [c for c in target.columns if c != self.partition_col]
+        columns = evolve_columns(data_cols, [c for c in rows.columns if c != self.partition_col], policy)
+        gone = set(state["dropped"])
+        values = None if gone & set(columns) else self._touched_partitions(target, rows)
+        if values == [] and columns == data_cols:
+            return None  # empty batch: nothing to delete or insert
+        scope = target if values is None else target.filter(self._in_partitions(values))
+        merged = delete_insert(scope, rows, self.key, policy)
+        names = None if values is None else tuple(NULL_PARTITION if v is None else str(v) for v in values)
+        return Change(version, self.stage(merged), merged.schema, names, tuple(sorted((gone | set(data_cols)) - set(columns))))
+
     def _in_partitions(self, values: list) -> F.Column:
         known = F.col(self.partition_col).isin([v for v in values if v is not None])
         return known | F.col(self.partition_col).isNull() if None in values else known

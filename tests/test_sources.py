@@ -60,7 +60,7 @@ def test_empty_first_load_is_a_table(spark, table):
     assert rows(table) == [("a", 1, D1)]
 
 
-@pytest.mark.parametrize("step", ["stage", "_swap_in"])
+@pytest.mark.parametrize("step", ["stage", "_create_manifest"])
 def test_a_job_lost_before_the_swap_changes_nothing(spark, table, monkeypatch, step):
     """The write is killed before or after the data is staged; a rerun reaches the same table."""
     table.upsert(spark.createDataFrame([("a", 1, D1), ("b", 2, D2)], SCHEMA))
@@ -94,23 +94,86 @@ def test_schema_change_rewrites_only_touched_partitions(spark, table):
     assert sorted(map(tuple, table.read().select("k", "v").collect())) == [("a", None), ("b", None), ("c", 7)]
 
 
-def test_two_writers_of_one_version(spark, table, monkeypatch):
+def test_only_one_job_can_write_a_version(spark, table):
     table.upsert(spark.createDataFrame([("a", 1, D1)], SCHEMA))
     other = TB.VersionedTable(spark, table.path, key="k", partition_col="d")
-    stale = table._manifest()
+    late = table.merge(spark.createDataFrame([("c", 3, D1)], SCHEMA), "ignore", table.version())
     other.upsert(spark.createDataFrame([("b", 2, D1)], SCHEMA))
-    monkeypatch.setattr(table, "_manifest", lambda version=None: stale)
-    with pytest.raises(RuntimeError, match="another job"):
-        table.publish(table.stage(spark.createDataFrame([("c", 3, D1)], SCHEMA)), other.read().schema, [str(D1)])
+    with pytest.raises(TB.ConcurrentWrite):
+        table.publish(late)
+    with pytest.raises(TB.ConcurrentWrite, match="another job"):
+        table._create_manifest(2, "{}")
     assert rows(other) == [("a", 1, D1), ("b", 2, D1)]
 
 
-def test_full_refresh_keeps_the_last_two_versions(spark):
-    t = TB.VersionedTable(spark, work_path(spark, "test", "refresh", unique=True))
-    for n in range(4):
-        assert t.replace(spark.range(n).withColumn("v", F.lit(n))).count() == n
-    assert len(TB.list_names(spark, f"{t.path}/data")) == 2
-    assert t.folder().endswith(t._manifest()["folders"][""])
+def test_interleaved_upserts_keep_both_jobs_rows(spark, table):
+    """Each job publishes between the other's read and its commit."""
+    table.upsert(spark.createDataFrame([("a", 1, D1), ("b", 1, D1)], SCHEMA))
+    other = TB.VersionedTable(spark, table.path, key="k", partition_col="d")
+    batches = iter([[("b", 2, D1), ("x", 2, D2)], [("y", 3, D1)]])
+    tried = []
+
+    def merge(version):
+        change = table.merge(spark.createDataFrame([("a", 9, D1), ("c", 9, D2)], SCHEMA), "ignore", version)
+        tried.append(version)
+        for batch in [next(batches, None)]:
+            if batch:
+                other.upsert(spark.createDataFrame(batch, SCHEMA))
+        return change
+
+    table.change(merge)
+    assert tried == [1, 2, 3]
+    assert rows(table) == [("a", 9, D1), ("b", 2, D1), ("c", 9, D2), ("x", 2, D2), ("y", 3, D1)]
+
+
+def test_writers_in_threads_lose_no_row(spark, table):
+    from concurrent.futures import ThreadPoolExecutor
+
+    def job(n):
+        mine = TB.VersionedTable(spark, table.path, key="k", partition_col="d")
+        mine.upsert(spark.createDataFrame([(f"k{n}", n, D1 if n % 2 else D2)], SCHEMA))
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(job, range(4)))
+    assert rows(table) == [(f"k{n}", n, D1 if n % 2 else D2) for n in range(4)]
+
+
+def test_a_reader_of_a_replaced_version_still_ends(spark, table):
+    table.upsert(spark.createDataFrame([("a", 1, D1)], SCHEMA))
+    early = table.read()
+    for n in range(2, 5):
+        table.upsert(spark.createDataFrame([("a", n, D1)], SCHEMA))
+    assert [r["v"] for r in early.collect()] == [1]
+    assert rows(table) == [("a", 4, D1)]
+    assert [r["v"] for r in table.read(version=2).collect()] == [2]
+
+
+def test_a_staged_folder_that_is_gone_is_an_error(spark, table):
+    table.upsert(spark.createDataFrame([("a", 1, D1)], SCHEMA))
+    late = table.merge(spark.createDataFrame([("c", 3, D1)], SCHEMA), "ignore", 1)
+    table.discard(late.folder)
+    with pytest.raises(RuntimeError, match="is gone"):
+        table.publish(late)
+    assert rows(table) == [("a", 1, D1)]
+
+
+def test_versions_older_than_the_lease_go(spark):
+    path = work_path(spark, "test", "refresh", unique=True)
+    kept = TB.VersionedTable(spark, path)
+    for n in range(3):
+        assert kept.replace(spark.range(n).withColumn("v", F.lit(n))).count() == n
+    assert len(TB.list_names(spark, f"{path}/data")) == 3
+    short = TB.VersionedTable(spark, path, lease_hours=-1.0)
+    assert short.replace(spark.range(5).withColumn("v", F.lit(5))).count() == 5
+    assert len(TB.list_names(spark, f"{path}/data")) == 1
+    assert TB.list_names(spark, f"{path}/versions") == ["v0000000004.json"]
+    assert short.folder().endswith(short._manifest()["folders"][""])
+
+
+def test_stores_that_overwrite_on_rename_are_refused(spark, table, monkeypatch):
+    monkeypatch.setattr(TB, "_EXCLUSIVE_RENAME", ("hdfs",))
+    with pytest.raises(ValueError, match="overwrite"):
+        table.upsert(spark.createDataFrame([("a", 1, D1)], SCHEMA))
 
 
 def test_checkpoint_folder_must_be_named_off_local_mode(spark, monkeypatch):
