@@ -148,14 +148,13 @@ def json_first(json_text: ColumnOrName, fields: Sequence[str]) -> Column:
 
     Same result as ``col #>> '{0, field}'`` per field: a missing key, JSON null,
     an empty array, a non-array document or malformed text give NULL, and a
-    nested value comes back as compact JSON text. Element 0 is taken by path, so
-    later elements may be of any type; its fields are then parsed at once.
+    nested value comes back as compact JSON text. The text is parsed once, element 0
+    again for its fields.
     """
     schema = T.StructType([T.StructField(f, T.StringType()) for f in fields])
-    # Spark's paths also find $[0] of a bare object; in the source only arrays have an element 0.
-    c = _col(json_text)
-    first = F.when(F.regexp_like(c, F.lit(r"^\s*\[")), F.get_json_object(c, "$[0]"))
-    return F.from_json(first, schema)
+    # As an array of texts: anything that is no valid array is NULL, and elements may be of any type.
+    elements = F.from_json(_col(json_text), T.ArrayType(T.StringType()))
+    return F.from_json(F.get(elements, 0), schema)
 
 
 def to_json_keep_nulls(struct_col: Column) -> Column:

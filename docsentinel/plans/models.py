@@ -291,18 +291,20 @@ def latest_control_base(co: DataFrame, cr: DataFrame, cfg: Config) -> DataFrame:
     )
 
 
-def with_cardinalities(base: DataFrame, counted: DataFrame, keys, columns: dict[str, str]) -> DataFrame:
-    """``counted`` with the number of distinct non-NULL values of each attribute per ``keys`` (NULL keys match).
+def _first_of(*keys: str) -> F.Column:
+    """1 on one row of each ``keys`` and document, 0 on the others and on rows without a document.
 
-    The attributes' distinct combinations shrink before the shuffle (their domains are
-    small); the values are then told apart as a set per key, so no row is multiplied.
+    Its sum counts distinct documents, so that one aggregate can take the attributes' sets
+    and the dates from the same rows. The base has a row a (document, raw score): the sort
+    under the window meets no long group.
     """
-    combos = base.select(*keys, *columns.values()).distinct()
-    sizes = combos.groupBy(*keys).agg(
-        *[F.size(F.collect_set(c)).cast("long").alias(n) for n, c in columns.items()]
-    )
-    on = [counted[k].eqNullSafe(sizes[k]) for k in keys]
-    return counted.join(sizes, on, "left").select(*[counted[c] for c in counted.columns], *columns)
+    place = F.row_number().over(Window.partitionBy(DOC, *keys).orderBy("issue_at"))
+    return F.when(F.col(DOC).isNotNull() & (place == 1), 1).otherwise(0)
+
+
+def _sizes(columns: dict[str, str]) -> list[F.Column]:
+    """Numbers of distinct non-NULL values; the sets are small and are merged map-side."""
+    return [F.size(F.collect_set(c)).cast("long").alias(n) for n, c in columns.items()]
 
 
 RESULTS_SCORE_COLUMNS = (
@@ -314,16 +316,15 @@ RESULTS_SCORE_COLUMNS = (
 
 def results_control_score(base: DataFrame, cfg: Config) -> DataFrame:
     """M6: per score, distinct documents overall and per status, dates, attributes, JSON."""
-    per_doc = document_flags(base, ["control_score"], extra=(
-        F.min("issue_at").alias("_first"), F.max("issue_at").alias("_last")))
-    counted = per_doc.groupBy("control_score").agg(
-        F.count(DOC).alias("total_documents"),
-        *[F.sum(F.when(F.col(DOC).isNotNull(), F.col(f)).otherwise(0)).cast("long").alias(f"count_{f[3:]}") for f in FLAGS],
-        F.max("_last").cast("date").alias("last_issue_date"), F.min("_first").cast("date").alias("first_issue_date"),
-    )
-    m = with_cardinalities(base, counted, ["control_score"], {
-        "unique_categories": "document_category", "unique_countries": "document_issuing_country",
+    marked = base.select("*", *X.status_flags(STATUS)).withColumns({
+        "_of_status": _first_of("control_score", STATUS), "_of_score": _first_of("control_score"),
     })
+    m = marked.groupBy("control_score").agg(
+        F.sum("_of_score").cast("long").alias("total_documents"),
+        *[F.sum(F.col("_of_status") * F.col(f)).cast("long").alias(f"count_{f[3:]}") for f in FLAGS],
+        F.max("issue_at").cast("date").alias("last_issue_date"), F.min("issue_at").cast("date").alias("first_issue_date"),
+        *_sizes({"unique_categories": "document_category", "unique_countries": "document_issuing_country"}),
+    )
     pcts = {k: X.pct(f"count_{k}", "total_documents") for k in ("ok", "ko", "na", "null")}
     span = X.days_between("last_issue_date", "first_issue_date")
     metrics = F.struct(
@@ -362,17 +363,14 @@ def results_control_score_2(base: DataFrame, cfg: Config) -> DataFrame:
     The per-score rollup (total, score date range) is a window over the small
     aggregated result rather than a self-join.
     """
-    per_doc = base.groupBy("control_score", STATUS, DOC).agg(
-        F.min("issue_at").alias("_first"), F.max("issue_at").alias("_last")
-    )
-    counted = per_doc.groupBy("control_score", STATUS).agg(
-        F.count(DOC).alias("document_count"),
-        F.max("_last").cast("date").alias("last_issue_date"), F.min("_first").cast("date").alias("first_issue_date"),
+    agg = base.withColumn("_of_status", _first_of("control_score", STATUS)).groupBy("control_score", STATUS).agg(
+        F.sum("_of_status").cast("long").alias("document_count"),
+        F.max("issue_at").cast("date").alias("last_issue_date"), F.min("issue_at").cast("date").alias("first_issue_date"),
+        *_sizes({
+            "unique_categories": "document_category", "unique_countries": "document_issuing_country",
+            "unique_control_names": "control_name", "unique_channels": "channel_acquisition_id",
+        }),
     )
-    agg = with_cardinalities(base, counted, ["control_score", STATUS], {
-        "unique_categories": "document_category", "unique_countries": "document_issuing_country",
-        "unique_control_names": "control_name", "unique_channels": "channel_acquisition_id",
-    })
     per_score = Window.partitionBy("control_score")
     rolled = agg.select(
         "*",
@@ -467,11 +465,15 @@ def _status_sums(null_bucket: F.Column) -> list[F.Column]:
     ]
 
 
+def _latest_rollup(results: DataFrame, null_bucket: F.Column, date_name: str) -> DataFrame:
+    """Status sums per score of the newest snapshot; rolled up per day first, so little is left to pick from."""
+    daily = results.groupBy("snapshot_date", "control_score").agg(*_status_sums(null_bucket))
+    return latest_snapshot(daily).withColumnRenamed("snapshot_date", date_name)
+
+
 def control_score_summary(results: DataFrame) -> DataFrame:
     """M9: latest snapshot of M7 rolled up per score (NULL bucket: ``IS NULL``)."""
-    rolled = latest_snapshot(results).groupBy("control_score").agg(
-        *_status_sums(F.col(STATUS).isNull()), F.max("snapshot_date").alias("last_update")
-    )
+    rolled = _latest_rollup(results, F.col(STATUS).isNull(), "last_update")
     return rolled.select(
         "control_score", "total_documents", "count_ok", "count_ko", "count_na", "count_null",
         X.pct("count_ok", "total_documents").alias("perc_ok"), X.pct("count_ko", "total_documents").alias("perc_ko"),
@@ -487,9 +489,7 @@ def results_control_latest(results: DataFrame) -> DataFrame:
 def results_control_summary(results: DataFrame) -> DataFrame:
     """H2: like M9, but the NULL bucket also takes the ``'NULL'`` label; sorted by score."""
     s = F.col(STATUS)
-    rolled = latest_snapshot(results).groupBy("control_score").agg(
-        *_status_sums(s.isNull() | (s == STATUS_NULL_LABEL)), F.max("snapshot_date").alias("last_snapshot")
-    )
+    rolled = _latest_rollup(results, s.isNull() | (s == STATUS_NULL_LABEL), "last_snapshot")
     return rolled.select(
         "control_score", "total_documents", "count_ok", "count_ko", "count_na", "count_null",
         X.pct("count_ok", "total_documents").alias("perc_ok"), X.pct("count_ko", "total_documents").alias("perc_ko"),
