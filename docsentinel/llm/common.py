@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,11 +59,12 @@ def block_count(docs: DataFrame, text: str, block_bytes: int) -> int:
 def text_blocks(docs: DataFrame, key: str, text: str, blocks: int, *extra: str | Column) -> DataFrame:
     """(``doc_id``, ``data``, ``block``, *extra*) dealt over so many blocks.
 
-    A block is a hash of the key (null: of the text), so it holds the same documents
-    whenever it is computed again.
+    A block is a hash of key and text, so it holds the same documents whenever it is
+    computed again, and one key's different texts are dealt out too; rows equal in both
+    share a block.
     """
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), utf8(text).alias("data"), *extra)
-    placed = rows.withColumn("block", bucket_of(blocks, F.coalesce("doc_id", F.xxhash64("data"))))
+    placed = rows.withColumn("block", bucket_of(blocks, "doc_id", "data"))
     return placed.repartition(max(min(blocks, 4 * task_partitions(docs.sparkSession)), blocks // 16), "block")
 
 
@@ -85,11 +88,48 @@ def count_sorted(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.n
     return keys[first], np.add.reduceat(counts[order], first)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: Python workers live on and would keep it through later stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass
+
+
+def tidy(run: Callable) -> Callable:
+    """A function of one or two groups that gives memory back after each call."""
+
+    def call(*groups):
+        try:
+            return run(*groups)
+        finally:
+            give_back()
+
+    # Spark counts the parameters.
+    return (lambda a: call(a)) if run.__code__.co_argcount == 1 else (lambda a, b: call(a, b))
+
+
+def slices(batch: pa.RecordBatch, rows: int = 256, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch of at most ``rows`` rows and about ``size`` bytes of text; a longer text is one part."""
+    total = np.zeros(batch.num_rows, np.int64)
+    for column in batch.columns:
+        if pa.types.is_binary(column.type) or pa.types.is_string(column.type):
+            total += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    ends, at = np.cumsum(total), 0
+    while at < batch.num_rows:
+        until = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, side="right"))
+        until = min(max(until, at + 1), at + rows, batch.num_rows)
+        yield batch.slice(at, until - at)
+        at = until
+
+
 def map_rows(df: DataFrame, schema: str, make: Callable[[], Callable[[list], dict[str, list]]], chunk: int = 256) -> DataFrame:
     """Apply a batch function inside tasks.
 
     ``make()`` runs once per task and returns a function from the columns of a
-    slice of rows (a list of Python lists) to a dict of output columns.
+    slice of rows (a list of Python lists) to a dict of output columns. Slices are
+    bounded by rows and by bytes.
     """
     out_schema = pa_schema(schema)
     names = df.columns
@@ -97,12 +137,13 @@ def map_rows(df: DataFrame, schema: str, make: Callable[[], Callable[[list], dic
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = make()
         for batch in batches:
-            for at in range(0, batch.num_rows, chunk):
-                part = batch.slice(at, chunk)
+            for part in slices(batch, chunk):
                 cols = f([part.column(n).to_pylist() for n in names])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(cols[x.name], type=x.type) for x in out_schema], schema=out_schema
                 )
+        del f
+        give_back()
 
     return df.mapInArrow(run, schema)
 

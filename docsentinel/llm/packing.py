@@ -43,7 +43,7 @@ class WordEncoder:
     the whole tokenizer.
     """
 
-    def __init__(self, path: str | None, end_id: int, max_words: int = 600_000):
+    def __init__(self, path: str | None, end_id: int, max_words: int = 300_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -61,34 +61,34 @@ class WordEncoder:
     def _clear(self) -> None:
         """Forget the words; word 0 is the document's end."""
         self.index: dict[bytes, int] = {}
-        self.pieces: dict[str, list[int]] = {}
+        self.pieces: dict[str, bytes] = {}  # ids as 32-bit numbers
         self.flat, self.start, self.size = array("I", [self.end_id]), array("q", [0]), array("q", [1])
 
-    def _model_ids(self, piece: str) -> list[int]:
+    def _model_ids(self, piece: str) -> bytes:
         """Ids of one run that the tokenizer would hand to its merge model."""
         ids = self.pieces.get(piece)
         if ids is None:
             signs = piece if piece.isascii() else "".join(map(self.alphabet.__getitem__, piece.encode()))
-            ids = self.pieces[piece] = [t.id for t in self.tokenizer.model.tokenize(signs)]
+            ids = self.pieces[piece] = array("I", [t.id for t in self.tokenizer.model.tokenize(signs)]).tobytes()
         return ids
 
     def _full_ids(self, data: bytes) -> list[int]:
         return self.tokenizer.encode(data.decode("utf-8", "replace"), add_special_tokens=False).ids
 
-    def _word_ids(self, word: bytes) -> list[int]:
+    def _word_ids(self, word: bytes) -> bytes:
         text = word.decode("utf-8", "replace")
         lowered = text.lower()
         if len(lowered) == len(text) and (plain := _PLAIN.fullmatch(lowered)):
             letters, signs = plain.groups()
             return self._model_ids(letters) + self._model_ids(signs) if signs else self._model_ids(letters)
-        return self._full_ids(word)
+        return array("I", self._full_ids(word)).tobytes()
 
     def _add(self, word: bytes) -> int:
         ids = self._word_ids(word)
         at = self.index[word] = len(self.start)
         self.start.append(len(self.flat))
-        self.size.append(len(ids))
-        self.flat.extend(ids)
+        self.size.append(len(ids) // self.flat.itemsize)
+        self.flat.frombytes(ids)
         return at
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
