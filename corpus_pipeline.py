@@ -16,6 +16,7 @@ from docsentinel.llm.quality_gam import fit_quality, keep_good
 from docsentinel.llm.simhash import keep_first_of_each
 from docsentinel.llm.suffix_dedup import drop_repeats
 from docsentinel.session import work_path
+from docsentinel.sources.tables import delete_path
 
 
 def _recounted(docs: DataFrame) -> DataFrame:
@@ -60,11 +61,29 @@ STAGES = [
 ORACLE_SQL = None
 
 
+#: Text that goes to a Python worker at once, while the stages run.
+BATCH_BYTES = "8m"
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; every result but the last is written and read again."""
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        path = work_path(spark, "pipeline", name, unique=True)
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
-    return STAGES[-1][1](spark, docs, sf_dir)
+    """All stages over ``documents``; every result but the last is written and read again.
+
+    A stage's corpus is deleted once the next one is written; the one that the last stage
+    reads stays, as its result may still be read. Executors keep Python workers of earlier
+    stages, so Arrow batches are kept small.
+    """
+    before = spark.conf.get(_BATCH)
+    spark.conf.set(_BATCH, BATCH_BYTES)
+    try:
+        docs, last = table(spark, sf_dir, "documents"), None
+        for name, stage in STAGES[:-1]:
+            path = work_path(spark, "pipeline", name, unique=True)
+            stage(spark, docs, sf_dir).write.parquet(path)
+            docs = spark.read.parquet(path)
+            if last:
+                delete_path(spark, last)
+            last = path
+        return STAGES[-1][1](spark, docs, sf_dir)
+    finally:
+        spark.conf.set(_BATCH, before)
