@@ -12,6 +12,7 @@ import hashlib
 import re
 from array import array
 from collections.abc import Iterator
+from itertools import chain, islice, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -19,16 +20,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docsentinel.llm.common import from_planes, pa_schema, table, to_planes
+from docsentinel.llm.common import from_planes, give_back, pa_schema, slices, table, tidy, to_planes
 from docsentinel.llm.packing import byte_alphabet
 from docsentinel.session import work_path
 
 TOKENIZER_A = "byte_bpe_50k.json"
 TOKENIZER_B = "piece_bpe_32k.model"
-#: Characters that begin a unit when no white space stands before them.
-UNIT_STARTS = " \n\t"
-#: A unit is white space and what follows it; other white space inside a unit does not end it.
-UNIT = re.compile(rf"\s+\S*(?:[^\S{UNIT_STARTS}]\s*\S*)*")
+#: White space that begins a unit when none stands before it, and signs that do so after a letter A-Z or a-z.
+SPACES, SIGNS = " \n\t", r"!-/:-@\[-`{-~"
+_CORE = rf"[^\sA-Za-z]*(?:[A-Za-z]+(?:[^\sA-Za-z{SIGNS}][^\sA-Za-z]*)?)*"
+UNIT = re.compile(rf"\s*{_CORE}(?:[^\S{SPACES}]\s*{_CORE})*")
+_AT_ONCE = 1 << 19  # characters of a text whose units are listed at once
 #: Places around an interval's middle that are tried before all its ends are.
 _TRIES = (0, 1, -1, 2, -2)
 
@@ -56,11 +58,10 @@ def shared_groups(ends_a: np.ndarray, ends_b: np.ndarray, spans: np.ndarray) ->
             if not len(open_):
                 break
         stubborn = open_[inner[open_] > len(_TRIES)]
-        halves = []
         split = np.flatnonzero(cut_a >= 0)
-        if len(split):
-            halves.append(np.column_stack([a0[split], cut_a[split] + 1, b0[split], cut_b[split] + 1]))
-            halves.append(np.column_stack([cut_a[split] + 1, a1[split], cut_b[split] + 1, b1[split]]))
+        halves = np.empty((2 * len(split), 4), np.int64)  # in order, so that the next ends looked for are ascending
+        halves[:, :2] = np.column_stack([a0[split], cut_a[split] + 1, cut_a[split] + 1, a1[split]]).reshape(-1, 2)
+        halves[:, 2:] = np.column_stack([b0[split], cut_b[split] + 1, cut_b[split] + 1, b1[split]]).reshape(-1, 2)
         for i in stubborn.tolist():  # long and hardly shared: all inner ends at once, none searched again
             at = np.arange(a0[i], a1[i] - 1)
             to = np.searchsorted(ends_b, ends_a[at])
@@ -71,7 +72,7 @@ def shared_groups(ends_a: np.ndarray, ends_b: np.ndarray, spans: np.ndarray) ->
         leaf = cut_a < 0
         leaf[stubborn] = False
         leaves.append(spans[leaf])
-        spans = np.concatenate(halves) if halves else spans[:0]
+        spans = halves
     out = np.concatenate(leaves) if leaves else np.empty((0, 4), np.int64)
     return out[np.argsort(out[:, 0], kind="stable")]
 
@@ -79,12 +80,12 @@ def shared_groups(ends_a: np.ndarray, ends_b: np.ndarray, spans: np.ndarray) ->
 class UnitTokens:
     """Both tokenizers' ids of whole texts, with each distinct unit encoded once.
 
-    Neither tokenizer has a token across the start of a unit: A's pattern never joins other
-    characters to white space behind them, and B's vocabulary is looked through for pieces
-    that do.
+    Neither tokenizer has a token across the start of a unit: A's pattern joins neither
+    other characters to white space behind them nor letters to signs, and B's vocabulary is
+    looked through for pieces that do. New units wait until ``settle``.
     """
 
-    def __init__(self, path_a: str | None, path_b: str | None, max_units: int = 250_000, max_bytes: int = 16 << 20):
+    def __init__(self, path_a: str | None, path_b: str | None, max_units: int = 300_000, max_bytes: int = 16 << 20):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -104,15 +105,15 @@ class UnitTokens:
         for token, i in vocabulary.items():
             self.bytes_a[i] = bytes(to_byte.get(c, 0) for c in token)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
-        across = re.compile(rf"[^▁\s][▁{UNIT_STARTS}]|▁[{UNIT_STARTS.replace(' ', '')}]")
-        if any(across.search(p) for p in pieces):
-            raise ValueError("tokenizer B joins characters across white space")
+        across = re.compile(rf"[^▁\s][▁{SPACES}]|▁[\n\t]|\n.|[A-Za-z][{SIGNS}]")
+        if any(across.search(p) for i, p in enumerate(pieces) if not (self.b.is_byte(i) or self.b.is_control(i) or self.b.is_unknown(i))):
+            raise ValueError("tokenizer B joins characters across the start of a unit")
         self.bytes_b = [
             bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)
         ]
-        self.space_b = self.b.piece_to_id("▁")
-        self.length_a = np.array([len(x) for x in self.bytes_a])
-        self.length_b = np.array([len(x) for x in self.bytes_b])
+        self.space_a, self.space_b = byte_alphabet()[32], self.b.piece_to_id("▁")
+        self.length_a, self.length_b = ([len(x) for x in y] for y in (self.bytes_a, self.bytes_b))
+        self.size_a, self.size_b = np.array(self.length_a), np.array(self.length_b)
         self.max_units, self.max_bytes = max_units, max_bytes
         self.clear()
 
@@ -122,44 +123,67 @@ class UnitTokens:
         self.start = array("q"), array("q")
         self.size = array("q"), array("q")
         self.bad: set[int] = set()
+        self.pending: list[str] = []
         self.held = 0
 
     def full(self) -> bool:
         return len(self.index) > self.max_units or self.held > self.max_bytes
 
-    def _encode(self, unit: str) -> tuple[list[int], list[int]]:
-        """Ids of a unit; none where the tokens' bytes are not the unit's."""
-        data = unit.encode("utf-8", "surrogatepass")
-        ids_a = self.a.encode(unit, add_special_tokens=False).ids
-        if unit == " ":
-            ids_b = [self.space_b]
-        elif unit[0] == " ":
-            ids_b = self.b.encode(unit[1:])
-        else:  # B puts a space first; no piece joins it to the white space behind it
-            ids_b = self.b.encode(unit)[1:]
-        same = b"".join(map(self.bytes_a.__getitem__, ids_a)) == data == b"".join(map(self.bytes_b.__getitem__, ids_b))
-        return (ids_a, ids_b) if same else ([], [])
-
-    def _add(self, unit: str) -> int:
-        ids = self._encode(unit)
-        at = self.index[unit] = len(self.start[0])
-        if not ids[0]:
-            self.bad.add(at)
+    def _encode_a(self, units: list[str]) -> list[list[int]]:
+        out: list = [None] * len(units)
+        other, tokenize, signs = [], self.a.model.tokenize, self.space_a
+        for k, u in enumerate(units):
+            word = u[1:]
+            if u[0] == " " and word.isascii() and word.isalpha():  # one word of A's pattern
+                out[k] = [t.id for t in tokenize(signs + word)]
+            else:
+                other.append(k)
+        for k, e in zip(other, self.a.encode_batch_fast([units[k] for k in other], add_special_tokens=False)):
+            out[k] = e.ids
+        return out
+
+    def _encode_b(self, units: list[str]) -> list[list[int]]:
+        # B puts a space first: the unit's own, or a piece of its own before a line feed or tab. Nothing
+        # joins what follows a line feed to it.
+        skip = [0 if u[0] == " " else 1 if u[0] in SPACES else 2 for u in units]
+        out = self.b.encode([("", "", "\n")[n] + u[1 - min(n, 1):] for u, n in zip(units, skip)], num_threads=1)
+        return [[self.space_b] if u == " " else ids[n:] if n else ids for u, ids, n in zip(units, out, skip)]
+
+    def settle(self) -> None:
+        """Encode the units that wait; those whose tokens' bytes are not the unit's get no ids."""
+        units, self.pending = self.pending, []
+        if not units:
+            return
+        data = [u.encode("utf-8", "surrogatepass") for u in units]
+        both = self._encode_a(units), self._encode_b(units)
+        whole, lengths = b"".join(data), list(map(len, data))
+        wrong: set[int] = set()
+        for ids, name, length in zip(both, (self.bytes_a, self.bytes_b), (self.length_a, self.length_b)):
+            sizes = [sum(map(length.__getitem__, i)) for i in ids]
+            if sizes != lengths or b"".join([name[i] for x in ids for i in x]) != whole:
+                wrong.update(k for k, x in enumerate(ids) if b"".join(map(name.__getitem__, x)) != data[k])
+        at = len(self.start[0])
+        self.bad.update(at + k for k in wrong)
         for k in (0, 1):
-            self.start[k].append(len(self.flat[k]))
-            self.size[k].append(len(ids[k]))
-            self.flat[k].extend(ids[k])
-        self.held += len(unit) + 8 * len(ids[0])
-        return at
+            ids = [[] if i in wrong else x for i, x in enumerate(both[k])] if wrong else both[k]
+            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+            ends = np.cumsum(sizes) + len(self.flat[k])
+            self.start[k].frombytes((ends - sizes).tobytes())
+            self.size[k].frombytes(sizes.tobytes())
+            self.flat[k].extend(chain.from_iterable(ids))
+        self.held += len(whole) + 4 * sum(map(len, both[0])) + 4 * sum(map(len, both[1]))
 
     def units(self, found: list[str]) -> np.ndarray:
-        get = self.index.get
-        out = [get(u, -1) for u in found]
-        for i, u in enumerate(found):
-            if out[i] < 0:
-                at = get(u)
-                out[i] = self._add(u) if at is None else at
-        return np.array(out, np.int64)
+        """The units' numbers; new ones get the next numbers."""
+        out = np.fromiter(map(self.index.get, found, repeat(-1)), np.int64, len(found))
+        missing = np.flatnonzero(out < 0).tolist()
+        if missing:
+            new = list(dict.fromkeys(map(found.__getitem__, missing)))
+            at = len(self.index)
+            self.index.update(zip(new, range(at, at + len(new))))
+            self.pending += new
+            out[missing] = [self.index[found[i]] for i in missing]
+        return out
 
     def ids(self, units: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """The units' ids one after the other, and the number of each unit's."""
@@ -209,23 +233,18 @@ class Aligner:
 
     def document(self, doc, text: str | None) -> Alignment:
         out = Alignment(doc, self.with_groups)
-        if text:
-            found = []
-            for m in UNIT.finditer(" " + text):
-                found.append(m.group())
-                if len(found) >= self.most:
-                    self._part(out, found)
-                    found = []
+        if not text:
+            return out
+        if len(text) < _AT_ONCE:
+            self._part(out, UNIT.findall(" " + text))
+            return out
+        places = (m.group() for m in UNIT.finditer(" " + text))
+        while found := list(islice(places, self.most)):
             self._part(out, found)
         return out
 
     def _part(self, out: Alignment, found: list[str]) -> None:
-        if not found or out.bad:
-            return
-        units = self.tokens.units(found)
-        if self.tokens.bad and not self.tokens.bad.isdisjoint(units.tolist()):
-            out.bad = True
-            return
+        units = self.tokens.units([u for u in found if u])
         self.parts.append((out, units))
         self.waiting += len(units)
         if self.waiting >= self.most:
@@ -233,8 +252,14 @@ class Aligner:
 
     def flush(self) -> None:
         """Align the parts that wait; afterwards the unit numbers may be forgotten."""
-        if self.parts:
-            self._align([p[0] for p in self.parts], [p[1] for p in self.parts])
+        self.tokens.settle()
+        if self.tokens.bad:
+            wrong = np.array(sorted(self.tokens.bad))
+            for out, units in self.parts:
+                out.bad = out.bad or bool(np.isin(units, wrong).any())
+        parts = [p for p in self.parts if not p[0].bad and len(p[1])]
+        if parts:
+            self._align(*map(list, zip(*parts)))
         self.parts, self.waiting = [], 0
         if self.tokens.full():
             self.tokens.clear()
@@ -245,7 +270,7 @@ class Aligner:
         until = np.cumsum([len(u) for u in units])
         part_a = np.concatenate([[0], np.cumsum(n_a)[until - 1]])
         part_b = np.concatenate([[0], np.cumsum(n_b)[until - 1]])
-        ends_a, ends_b = np.cumsum(self.tokens.length_a[ids_a]), np.cumsum(self.tokens.length_b[ids_b])
+        ends_a, ends_b = np.cumsum(self.tokens.size_a[ids_a]), np.cumsum(self.tokens.size_b[ids_b])
         groups = shared_groups(ends_a, ends_b, np.column_stack([part_a[:-1], part_a[1:], part_b[:-1], part_b[1:]]))
         a0, a1, b0, b1 = groups.T
         links = ids_a[a1 - 1] * len(self.tokens.bytes_b) + ids_b[b1 - 1]
@@ -295,8 +320,7 @@ def _aligned(docs: DataFrame, tokenizer_a, tokenizer_b, chunk_bytes: int, with_g
             ], schema)], schema=schema)
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 32):
-                part = batch.slice(at, 32)
+            for part in slices(batch):
                 for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                     docs_.append(aligner.document(doc, text))
                     size += len(text or "") + 64
@@ -305,6 +329,8 @@ def _aligned(docs: DataFrame, tokenizer_a, tokenizer_b, chunk_bytes: int, with_g
                         number, size, docs_ = number + 1, 0, []
         if docs_:
             yield chunk()
+        del aligner
+        give_back()
 
     return docs.mapInArrow(run, _ALIGNED)
 
@@ -315,7 +341,7 @@ def align(
     text: str = "text",
     tokenizer_a: str | None = None,
     tokenizer_b: str | None = None,
-    chunk_bytes: int = 16 << 20,
+    chunk_bytes: int = 6 << 20,
     with_groups: bool = False,
 ) -> DataFrame:
     """Tokens, groups and links of every whole text under both tokenizers.
@@ -364,7 +390,7 @@ def align(
         return pa.Table.from_arrays([*same, *new, rows.column("groups_sha256"), rows.column("groups")], schema=out_schema)
 
     rows = done.drop("pairs", "counts")
-    out = rows.groupBy("chunk").cogroup(answers.groupBy("asker")).applyInArrow(settle, schema)
+    out = rows.groupBy("chunk").cogroup(answers.groupBy("asker")).applyInArrow(tidy(settle), schema)
     return out if with_groups else out.drop("groups")
 
 
