@@ -136,12 +136,16 @@ def quality_rules(
         *[F.col(c).alias(f"_carry_{c}") for c in carry],
     )
     if refs.count() <= BROADCAST_LANGUAGES:
-        joined = rows.join(F.broadcast(refs.withColumnRenamed("_lang", "_of")), F.col("_lang").eqNullSafe(F.col("_of")))
+        joined = rows.join(F.broadcast(refs.withColumnRenamed("_lang", "_of")), F.col("_lang").eqNullSafe(F.col("_of")), "left")
     else:  # salted: no task holds all rows of a common language
         salts = 64
         rows = rows.withColumn("_salt", F.pmod(F.xxhash64("_text"), F.lit(salts)))
         each = refs.withColumnRenamed("_lang", "_of").withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        joined = rows.join(each, F.col("_lang").eqNullSafe(F.col("_of")) & (F.col("_salt") == F.col("_s")))
+        joined = rows.join(each, F.col("_lang").eqNullSafe(F.col("_of")) & (F.col("_salt") == F.col("_s")), "left")
+    joined = joined.withColumns({  # a language without a word has no reference
+        "_ref_n": F.coalesce("_ref_n", F.lit(0)), "_ref_words": F.coalesce("_ref_words", F.array().cast("array<bigint>")),
+        "_ref_counts": F.coalesce("_ref_counts", F.array().cast("array<bigint>")),
+    })
     split = joined.withColumn("_words", words_of("_text")).withColumn("_chars", F.array_join("_words", ""))
     # Words are compared by their 64-bit hashes from here on.
     hashed = split.withColumn("_hashes", F.transform("_words", lambda w: F.xxhash64(w))).drop("_words")
@@ -157,7 +161,7 @@ def quality_rules(
         return F.sqrt(raw), F.sqrt(F.greatest(raw - (bins - 1) / (8 * math.log(2) * n), F.lit(0.0)))
 
     chars = F.length("_chars")
-    known = F.col("_ref_n") >= least_reference
+    known = (F.col("_ref_n") >= least_reference) & (F.col("_ref_n") > 0)
     word_ok, class_ok = known & (F.col("_n") >= least_words), known & (chars >= least_chars)
     ref_rest = F.col("_ref_n") - _total(F.col("_ref_counts"))
     word_js = js_divergence(
