@@ -24,6 +24,7 @@ from docsentinel.functions.exprs import ts_ntz
 from docsentinel.plans import history as H
 from docsentinel.plans import incremental as INC
 from docsentinel.operators.quality import accepted_values, freshness, not_null, run_checks, unique
+from docsentinel.plans import latest_rows as LR
 from docsentinel.plans import models as M
 from docsentinel.plans import nightly as P
 from docsentinel.plans import quality_checks as QC
@@ -173,6 +174,28 @@ def q_results_control_score_2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return json_leaves(comparable(M.order_results_score_2(_m7(spark, sf_dir))), "metrics_json", M7_JSON)
 
 
+#: Receipt times after which the kept rows are brought up to date, the last time on everything.
+KEPT_CUTS = (dt.datetime(2000, 9, 1), dt.datetime(2001, 6, 1))
+
+
+def q_results_score_2_from_kept_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M7 from the kept latest rows: three runs, each on a later lookback window, some events delivered again."""
+    co, cr = staged(spark, sf_dir)
+    path = work_path(spark, "fixture", "latest_rows", unique=True)
+    early = F.col("event_id").isNotNull() & (F.col("document_id").cast("long") % 5 == 0)
+    for n, cut in enumerate(KEPT_CUTS):
+        # Until they come again, some events have another score and a later time.
+        other = co.filter(F.col("receipt_at") <= ts_ntz(cut)).withColumns({
+            "control_score": F.when(early, F.lit("interim")).otherwise(F.col("control_score")),
+            "issue_at": F.when(early, F.expr("issue_at + INTERVAL '3' DAY")).otherwise(F.col("issue_at")),
+        })
+        LR.update_latest(spark, path, other, dataclasses.replace(CFG, as_of=cut.date(), late_days=400))
+    LR.update_latest(spark, path, co, dataclasses.replace(CFG, late_days=800))
+    LR.expire(spark, path, CFG)
+    base = M.base_of_latest(LR.read_latest(spark, path, CFG), cr)
+    return json_leaves(comparable(M.results_control_score_2(base, CFG)), "metrics_json", M7_JSON)
+
+
 def q_control_monthly_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
     co, _ = staged(spark, sf_dir)
     m8 = M.control_monthly_trends(co, CFG).orderBy("control_score", F.col("issue_month_date").desc())
@@ -441,6 +464,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "status_bundle": q_status_bundle,
     "results_control_score": q_results_control_score,
     "results_control_score_2": q_results_control_score_2,
+    "results_score_2_from_kept_rows": q_results_score_2_from_kept_rows,
     "control_monthly_trends": q_control_monthly_trends,
     "control_score_summary": q_control_score_summary,
     "results_control_latest": q_results_control_latest,

@@ -277,7 +277,11 @@ def latest_control_base(co: DataFrame, cr: DataFrame, cfg: Config) -> DataFrame:
     controls = co.filter(X.lookback("issue_at", cfg.as_of, cfg.lookback_days)).select(
         DOC, "control_score", "issue_at", "event_id", STATUS, "control_name", "channel_acquisition_id"
     )
-    latest = latest_per_key(controls, [DOC, "control_score"], ["issue_at", "event_id"])
+    return base_of_latest(latest_per_key(controls, [DOC, "control_score"], ["issue_at", "event_id"]), cr)
+
+
+def base_of_latest(latest: DataFrame, cr: DataFrame) -> DataFrame:
+    """The score models' base from the latest control rows, computed or kept (``plans.latest_rows``)."""
     creations = latest_per_key(
         cr.select(DOC, "event_id", "document_category", "document_issuing_country", "document_issue_year"),
         [DOC], ["event_id"],

@@ -61,10 +61,11 @@ class Change:
     """A staged write: it may become the version after ``based_on`` and no other."""
 
     based_on: int
-    folder: str
+    folder: str | None  # None: partitions only go
     schema: T.StructType
     replaced: tuple[str, ...] | None  # partitions it takes the place of; None: all
     dropped: tuple[str, ...] = ()
+    note: dict | None = None  # what the writer wants to find again; None: as it was
 
 
 class VersionedTable:
@@ -116,6 +117,16 @@ class VersionedTable:
         """The current version's number; 0 before the first load."""
         return max(self._versions(), default=0)
 
+    def schema(self, version: int | None = None) -> T.StructType:
+        return T.StructType.fromJson(self._manifest(version)["schema"])
+
+    def dropped(self, version: int | None = None) -> tuple[str, ...]:
+        return tuple(self._manifest(version)["dropped"])
+
+    def note(self, version: int | None = None) -> dict:
+        """What the version's writer left with it; empty before the first load."""
+        return (self._manifest(version) or {}).get("note", {})
+
     def exists(self) -> bool:
         return bool(self._versions())
 
@@ -196,8 +207,9 @@ class VersionedTable:
             raise ConcurrentWrite(f"{self.path} is at version {before['version']}, the change at {change.based_on}")
         gone = set(change.replaced or ())
         kept = {} if change.replaced is None else {v: f for v, f in before["folders"].items() if v not in gone}
-        folders = kept | {v: change.folder for v in self._values_in(change.folder)}
-        body = {"schema": change.schema.jsonValue(), "folders": folders, "dropped": sorted(set(change.dropped))}
+        folders = kept | ({v: change.folder for v in self._values_in(change.folder)} if change.folder else {})
+        body = {"schema": change.schema.jsonValue(), "folders": folders, "dropped": sorted(set(change.dropped)),
+                "note": before.get("note", {}) if change.note is None else change.note}
         self._create_manifest(change.based_on + 1, json.dumps(body))
         self._forget()
 
@@ -258,7 +270,8 @@ class VersionedTable:
                 self.publish(staged)
                 return
             except ConcurrentWrite:
-                self.discard(staged.folder)
+                if staged.folder:
+                    self.discard(staged.folder)
                 if not left:
                     raise
 
@@ -293,7 +306,7 @@ class VersionedTable:
         finally:
             delete_path(self.spark, path)
 
-    def merge(self, rows: DataFrame, policy: str, version: int) -> Change | None:
+    def merge(self, rows: DataFrame, policy: str, version: int, note: dict | None = None) -> Change | None:
         """Stage the upsert of ``rows`` into a version; None if it changes nothing.
 
         The partitions to rewrite are the batch's own plus, unless the key determines the
@@ -311,7 +324,7 @@ class VersionedTable:
         scope = target if values is None else target.filter(self._in_partitions(values))
         merged = delete_insert(scope, rows, self.key, policy)
         names = None if values is None else tuple(NULL_PARTITION if v is None else str(v) for v in values)
-        return Change(version, self.stage(merged), merged.schema, names, tuple(sorted((gone | set(data_cols)) - set(columns))))
+        return Change(version, self.stage(merged), merged.schema, names, tuple(sorted((gone | set(data_cols)) - set(columns))), note)
 
     def _in_partitions(self, values: list) -> F.Column:
         known = F.col(self.partition_col).isin([v for v in values if v is not None])
