@@ -48,10 +48,35 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _fs_path(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file that appears whole: under another name first, then renamed."""
+    fs, target = _fs_path(spark, path)
+    _, fresh = _fs_path(spark, f"{path}.{uuid.uuid4().hex}")
+    out = fs.create(fresh, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if not fs.rename(fresh, target):
+        fs.delete(fresh, False)
+        raise RuntimeError(f"{path} could not be written")
+
+
 #: File systems whose rename fails if the target exists; others cannot hold a versioned table.
 _EXCLUSIVE_RENAME = ("file", "hdfs", "viewfs", "ofs", "abfs", "abfss")
 
 
+#: Takes the rows that are about to be written and the version they are made from; gives them back to be written.
+Watch = Callable[[DataFrame, "int | None"], DataFrame]
+
+
 class ConcurrentWrite(RuntimeError):
     """Another job published a version after the one this change was made from."""
 
@@ -105,13 +130,7 @@ class VersionedTable:
         version = version or max(self._versions(), default=0)
         if not version:
             return None
-        fs, p = _fs_path(self.spark, self._manifest_path(version))
-        stream = fs.open(p)
-        try:
-            text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-        return {"version": version, **json.loads(text)}
+        return {"version": version, **json.loads(read_text(self.spark, self._manifest_path(version)))}
 
     def version(self) -> int:
         """The current version's number; 0 before the first load."""
@@ -275,9 +294,9 @@ class VersionedTable:
                 if not left:
                     raise
 
-    def replace(self, df: DataFrame) -> DataFrame:
+    def replace(self, df: DataFrame, watch: Watch | None = None) -> DataFrame:
         """Full refresh; the new state. It does not depend on the old one, so it is staged once."""
-        folder = self.stage(df)
+        folder = self.stage(watch(df, None) if watch else df)
         for left in reversed(range(8)):
             try:
                 self.publish(Change(self.version(), folder, df.schema, None))
@@ -286,7 +305,23 @@ class VersionedTable:
                 if not left:
                     raise
 
-    def upsert(self, batch: DataFrame, policy: str = "ignore") -> None:
+    def annotate(self, name: str, value) -> None:
+        """Leave a value in the note of a new version; the rows stay as they are."""
+        self.change(lambda v: Change(v, None, self.schema(v), (), self.dropped(v), {**self.note(v), name: value}))
+
+    def changed_since(self, version: int) -> list[str] | None:
+        """Partitions that the current version holds in other folders than ``version`` did; None if that is forgotten."""
+        if version not in self._versions():
+            return None
+        before, now = self._manifest(version)["folders"], self._manifest()["folders"]
+        return sorted(v for v, folder in now.items() if before.get(v) != folder)
+
+    def read_partitions(self, values: Sequence[str]) -> DataFrame:
+        """The rows of some partitions, named as in the manifest."""
+        known = [None if v == NULL_PARTITION else v for v in values]
+        return self.read().filter(self._in_partitions(known))
+
+    def upsert(self, batch: DataFrame, policy: str = "ignore", watch: Watch | None = None) -> None:
         """delete+insert ``batch`` by ``key`` with schema policy ``policy``.
 
         The batch is computed once (written to the checkpoint folder); the merge is made
@@ -296,18 +331,19 @@ class VersionedTable:
             raise ValueError(f"batch lacks partition column {self.partition_col}")
         if not self.version():
             try:
-                self.publish(Change(0, self.stage(batch), batch.schema, None))
+                self.publish(Change(0, self.stage(watch(batch, 0) if watch else batch), batch.schema, None))
                 return
             except ConcurrentWrite:
                 pass  # another job made the table: merge into it
         rows, path = checkpoint_table(self.spark, batch, "batch", [self.partition_col])
         try:
-            self.change(lambda version: self.merge(rows, policy, version))
+            self.change(lambda version: self.merge(rows, policy, version, watch=watch))
         finally:
             delete_path(self.spark, path)
 
-    def merge(self, rows: DataFrame, policy: str, version: int, note: dict | None = None) -> Change | None:
-        """Stage the upsert of ``rows`` into a version; None if it changes nothing.
+    def merge(self, rows: DataFrame, policy: str, version: int, note: dict | None = None,
+              watch: Watch | None = None) -> Change | None:
+        """Stage the upsert of ``rows`` into a version; None if it changes nothing. ``watch`` sees what is written.
 
         The partitions to rewrite are the batch's own plus, unless the key determines the
         partition, those that hold an older row with a batch key. A column that comes back
@@ -324,10 +360,11 @@ class VersionedTable:
         scope = target if values is None else target.filter(self._in_partitions(values))
         merged = delete_insert(scope, rows, self.key, policy)
         names = None if values is None else tuple(NULL_PARTITION if v is None else str(v) for v in values)
-        return Change(version, self.stage(merged), merged.schema, names, tuple(sorted((gone | set(data_cols)) - set(columns))), note)
+        folder = self.stage(watch(merged, version) if watch else merged)
+        return Change(version, folder, merged.schema, names, tuple(sorted((gone | set(data_cols)) - set(columns))), note)
 
     def _in_partitions(self, values: list) -> F.Column:
-        known = F.col(self.partition_col).isin([v for v in values if v is not None])
+        known = F.col(self.partition_col).cast("string").isin([str(v) for v in values if v is not None])
         return known | F.col(self.partition_col).isNull() if None in values else known
 
     def _touched_partitions(self, target: DataFrame, batch: DataFrame) -> list:
