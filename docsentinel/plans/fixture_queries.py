@@ -23,7 +23,7 @@ from docsentinel.config import Config
 from docsentinel.functions.exprs import ts_ntz
 from docsentinel.plans import history as H
 from docsentinel.plans import incremental as INC
-from docsentinel.operators.quality import accepted_values, freshness, not_null, run_checks, unique
+from docsentinel.operators.quality import REPORT_COLUMNS, accepted_values, freshness, not_null, run_checks, unique
 from docsentinel.plans import latest_rows as LR
 from docsentinel.plans import models as M
 from docsentinel.plans import nightly as P
@@ -409,6 +409,17 @@ def q_column_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.select("column_name", F.col("value").cast("long").alias("num_nulls"))
 
 
+def _two_nights(spark: SparkSession, sf_dir: str) -> tuple[str, P.NightlyResult]:
+    """The nightly run on the events received by a day, then on all of them; the second one's root and result."""
+    raw_co, raw_cr = fixture_sources(spark, sf_dir)
+    root = work_path(spark, "fixture", "nightly", unique=True)
+    prefix = f"fx_{uuid.uuid4().hex}_"
+    until = dt.datetime(2001, 7, 15)
+    early = raw_co.filter(F.col("data_eventdate") < ts_ntz(until))
+    P.run_nightly(spark, CFG, early, raw_cr, root, until, analyze=False, prefix=prefix)
+    return root, P.run_nightly(spark, CFG, raw_co, raw_cr, root, prefix=prefix)
+
+
 def q_nightly_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole nightly run on the derived sources; returns the archived history."""
     raw_co, raw_cr = fixture_sources(spark, sf_dir)
@@ -418,6 +429,31 @@ def q_nightly_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return json_leaves(comparable(hist), "metrics_json", M7_JSON)
 
 
+def q_nightly_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second night's report, most of it counted while the tables were written."""
+    _, res = _two_nights(spark, sf_dir)
+    schema = "relation string, test string, column_name string, severity string, failures long, status string, observed_hours double"
+    return spark.createDataFrame([tuple(r[c] for c in REPORT_COLUMNS) for r in res.quality], schema).filter("test <> 'freshness'")
+
+
+def q_nightly_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and documents of every model that the second night stored."""
+    root, _ = _two_nights(spark, sf_dir)
+    counted = {
+        "control_results": "count_document", "ctl_control_results_over_time": "ctl07_count_document",
+        "results_control_score": "total_documents", "results_control_score_2": "document_count",
+    }
+    out = None
+    for name, column in counted.items():
+        rows = VersionedTable(spark, f"{root}/{name}").read().agg(
+            F.lit(name).alias("model"), F.count(F.lit(1)).alias("n_rows"), F.sum(column).cast("long").alias("n_documents"))
+        out = rows if out is None else out.unionByName(rows)
+    fact = INC.detailed_table(spark, f"{root}/documents_controled_detailed").read().agg(
+        F.lit("documents_controled_detailed").alias("model"), F.count(F.lit(1)).alias("n_rows"),
+        F.count("document_id").alias("n_documents"))
+    return out.unionByName(fact)
+
+
 def q_incremental_null_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two upserts into the NULL partition; the second moves some of the first's rows out of it."""
     co, _ = staged(spark, sf_dir)
@@ -440,17 +476,17 @@ def q_incremental_empty_first_load(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 def q_stg_controlled_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two stream runs, a file a trigger, over files that land out of order; returns the staged table."""
+    """Two stream runs, some files a trigger, over files that land out of order; returns the staged table."""
     from docsentinel.streaming import ingest_controlled
 
     raw_co, _ = fixture_sources(spark, sf_dir)
     root = work_path(spark, "fixture", "stream", unique=True)
     landing, table, ckpt = f"{root}/landing", f"{root}/stg_documents_controlled", f"{root}/_checkpoint"
-    year = F.year("data_eventdate")
-    for part, rows in enumerate((year % 3 == 1, year % 3 == 2, year % 3 == 0)):
-        raw_co.filter(rows).coalesce(1).write.parquet(f"{landing}/part={part}")
+    part_of = F.coalesce(F.year("data_eventdate") % 3, F.lit(0))  # events without a date land last
+    for part, rows in enumerate((part_of == 1, part_of == 2, part_of == 0)):
+        raw_co.filter(rows).write.parquet(f"{landing}/part={part}")
         if part:
-            ingest_controlled(spark, landing, table, ckpt, CFG, max_files_per_trigger=1)
+            ingest_controlled(spark, landing, table, ckpt, CFG, max_files_per_trigger=6)
     return INC.read_without_partition(INC.controlled_table(spark, table))
 
 
@@ -487,5 +523,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "incremental_null_partition": q_incremental_null_partition,
     "incremental_empty_first_load": q_incremental_empty_first_load,
     "nightly_run": q_nightly_run,
+    "nightly_quality": q_nightly_quality,
+    "nightly_models": q_nightly_models,
     "stg_controlled_stream": q_stg_controlled_stream,
 }
