@@ -22,7 +22,8 @@ CLASSES = (
     ("lower", "[a-z]+"), ("stop", "[-.,;:'\"?!()]+"), ("upper", "[A-Z]+"), ("digit", "[0-9]+"), ("sign", r"[\x00-\x7F]+"),
     ("other", None),
 )
-#: A reference has ``top`` words and some 20 bytes a word: this many languages stay under 8 MB.
+SLOTS = 1024
+#: A reference has ``top`` words of some 20 bytes and a byte a slot: this many languages stay under 16 MB.
 BROADCAST_LANGUAGES = 8_000
 
 
@@ -61,7 +62,10 @@ def language_references(docs: DataFrame, text: str, lang: str, top: int) -> Data
     )
     return totals.join(common, F.col("_lang").eqNullSafe(F.col("_of"))).select(
         "_lang", "_ref_n", "_ref_classes", F.col("_best._hash").alias("_ref_words"), F.col("_best._c").alias("_ref_counts")
-    )
+    ).withColumn("_slots", F.transform("_ref_words", lambda h: F.pmod(h, F.lit(SLOTS)))).withColumn(
+        # Where a word's hash may lie: most other words are told apart by one look.
+        "_ref_slots", F.transform(F.sequence(F.lit(0), F.lit(SLOTS - 1)), lambda i: F.array_contains("_slots", i.cast("long")))
+    ).drop("_slots")
 
 
 def _total(a: Column) -> Column:
@@ -81,18 +85,25 @@ def js_divergence(counts: Column, n: Column, ref: Column, ref_n: Column) -> Colu
 def with_repeats(rows: DataFrame, hashes: str) -> DataFrame:
     """Adds ``_repeats``: words inside 8-word runs that the same row holds twice or more.
 
-    A run's hash joins those of its halves. Rows without a repeated run stop after one set
-    build; in others the hashes are sorted with their places.
+    An 8-word run that comes twice holds 4-word runs that do. Rows without one stop after a
+    set of their hashes; in others the hashes of 8-word runs, joined from those of their
+    halves, are sorted with their places.
     """
-    out = rows.withColumn("_run1", F.col(hashes))
-    for size in (1, 2, 4):
-        here = F.col(f"_run{size}")
-        joined = F.transform(F.slice(here, 1, F.greatest(F.size(here) - size, F.lit(0))), lambda h, i: F.xxhash64(
-            h, F.get(F.col(f"_run{size}"), i + size)))
-        out = out.withColumn(f"_run{2 * size}", joined)
-    placed = F.sort_array(F.transform("_run8", lambda h, p: F.struct(h.alias("h"), p.alias("p"))))
+
+    def later(runs: str, i: Column, by: int) -> Column:
+        return F.get(F.col(runs), i + by)
+
+    def first(runs: str, n: Column) -> Column:
+        return F.slice(runs, 1, F.greatest(n, F.lit(0)))
+
+    n = F.size(hashes)
+    fours = F.transform(first(hashes, n - 3), lambda h, i: F.xxhash64(h, *[later(hashes, i, k) for k in (1, 2, 3)]))
+    out = rows.withColumn("_fours", fours)
+    eights = F.transform(first("_fours", n - 7), lambda h, i: F.struct(
+        F.xxhash64(h, later("_fours", i, 4)).alias("h"), i.alias("p")))
     none = F.array().cast("array<struct<h:bigint,p:int>>")
-    out = out.withColumn("_sorted", F.when(F.size(F.array_distinct("_run8")) < F.size("_run8"), placed).otherwise(none))
+    repeated = F.size(F.array_distinct("_fours")) < F.size("_fours")
+    out = out.withColumn("_sorted", F.when(repeated, F.sort_array(eights)).otherwise(none))
 
     def twice(x, i):
         return x["h"].eqNullSafe(F.get("_sorted", i - 1)["h"]) | x["h"].eqNullSafe(F.get("_sorted", i + 1)["h"])
@@ -145,12 +156,14 @@ def quality_rules(
     joined = joined.withColumns({  # a language without a word has no reference
         "_ref_n": F.coalesce("_ref_n", F.lit(0)), "_ref_words": F.coalesce("_ref_words", F.array().cast("array<bigint>")),
         "_ref_counts": F.coalesce("_ref_counts", F.array().cast("array<bigint>")),
+        "_ref_slots": F.coalesce("_ref_slots", F.array().cast("array<boolean>")),
     })
     split = joined.withColumn("_words", words_of("_text")).withColumn("_chars", F.array_join("_words", ""))
     # Words are compared by their 64-bit hashes from here on.
     hashed = split.withColumn("_hashes", F.transform("_words", lambda w: F.xxhash64(w))).drop("_words")
     counted = with_classes(hashed, "_chars").withColumn("_n", F.size("_hashes").cast("long"))
-    common = counted.withColumn("_common", F.filter("_hashes", lambda w: F.array_contains("_ref_words", w)))
+    common = counted.withColumn("_common", F.filter("_hashes", lambda w: (
+        F.get("_ref_slots", F.pmod(w, F.lit(SLOTS)).cast("int")) & F.array_contains("_ref_words", w))))
     hits = common.withColumn("_hits", F.transform(
         "_ref_words", lambda w: (F.size("_common") - F.size(F.array_remove("_common", w))).cast("long")
     )).withColumn("_rest", F.col("_n") - F.size("_common"))
