@@ -24,11 +24,13 @@ from functools import cached_property
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docsentinel.llm.common import (
-    block_count, count_sorted, from_planes, held_out, pa_schema, table, task_partitions, text_blocks, to_planes, utf8, words_any_space,
+    block_count, count_sorted, from_planes, give_back, held_out, pa_schema, slices, table, task_partitions, text_blocks, tidy,
+    to_planes, utf8, words_any_space,
 )
 from docsentinel.session import ensure_checkpoint_dir
 
@@ -41,8 +43,10 @@ _END = 10
 _PIECE = 1 << 19
 _RANGES = 6  # of contexts, that a block's grams are sorted in
 _ROWS = 64  # blocks that a bucket answers at once
+FAN = 256  # chunks summed, and blocks answered, by one group
 _WORDS, _GRAMS, _TOTALS, _SHORT, _STATES = 0, 1, 2, 3, 4
 _SCHEMA = "kind int, bucket int, a binary, b binary, c binary, d binary"
+_COUNTED = "kind int, bucket int, part long, a binary, b binary"
 _ASKED = "block int, bucket int, a binary, b binary"
 
 
@@ -299,46 +303,76 @@ def _table(schema: pa.Schema, rows: list[tuple]) -> pa.Table:
 
 
 def _count_chunks(buckets: int, chunk_bytes: int):
-    """Word and gram counts of the texts a task scans, by bucket, a chunk at a time."""
-    schema = pa_schema(_SCHEMA)
+    """Word and gram counts of the texts a task scans, by bucket, a chunk at a time; ``part`` numbers the chunk."""
+    schema = pa_schema(_COUNTED)
 
-    def count(texts: list[bytes]) -> pa.RecordBatch:
+    def count(texts: list[bytes], part: int) -> pa.RecordBatch:
         known = BlockWords.build(texts)
         counts = np.bincount(np.concatenate(known.ids), minlength=len(known.hashes))
         rows = []
         for kind, keys, size, bucket in (
             (_WORDS, known.hashes, counts, known.buckets(buckets)), (_GRAMS, *(g := count_grams(known.sequences)), _gram_bucket(g[0], buckets)),
         ):
-            for b, part in enumerate(_by_bucket(bucket, buckets)):
-                if len(part):
-                    rows.append((kind, b, to_planes(keys[part]), to_planes(size[part].astype(np.uint32)), b"", b""))
+            for b, on in enumerate(_by_bucket(bucket, buckets)):
+                if len(on):
+                    rows.append((kind, b, part, to_planes(keys[on]), to_planes(size[on].astype(np.int64))))
         return _table(schema, rows).combine_chunks().to_batches()[0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts, size = [], 0
+        texts, size, part = [], 0, TaskContext.get().partitionId() << 24
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                for data in batch.slice(at, 256).column(0).to_pylist():
+            for rows in slices(batch):
+                for data in rows.column(0).to_pylist():
                     texts.append(data)
                     size += len(data)
                     if size >= chunk_bytes:
-                        yield count(texts)
-                        texts, size = [], 0
+                        yield count(texts, part)
+                        texts, size, part = [], 0, part + 1
         if texts:
-            yield count(texts)
+            yield count(texts, part)
+        give_back()
 
     return run
 
 
+def _summed(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    keys = np.concatenate([from_planes(x.as_py(), "u8") for x in group.column("a")])
+    return count_sorted(keys, np.concatenate([from_planes(x.as_py(), "i8") for x in group.column("b")]))
+
+
+def _merge_parts():
+    """Some chunks' counts of one bucket, summed."""
+    schema = pa_schema(_COUNTED)
+
+    def run(group: pa.Table) -> pa.Table:
+        kind, bucket, part = (group.column(c)[0].as_py() for c in ("kind", "bucket", "group"))
+        return _table(schema, [(kind, bucket, part, *map(to_planes, _summed(group)))])
+
+    return tidy(run)
+
+
+def counted_chunks(training: DataFrame, buckets: int, chunk_bytes: int, n_total: int) -> DataFrame:
+    """Word and gram counts by bucket, in at most about ``FAN`` parts each.
+
+    A bucket's grams follow one another in the tree, and those after a common trigram are
+    one bucket: chunks are summed in rounds, so that no group reads a part of every chunk.
+    """
+    counted = training.mapInArrow(_count_chunks(buckets, chunk_bytes), _COUNTED)
+    parts = n_total // chunk_bytes + 1
+    while parts > FAN:
+        parts = -(-parts // FAN)
+        grouped = counted.withColumn("group", F.pmod(F.xxhash64("part"), F.lit(parts)))
+        counted = grouped.groupBy("kind", "bucket", "group").applyInArrow(_merge_parts(), _COUNTED)
+    return counted
+
+
 def _sum_bucket(least: int, n_total: int):
     """Per bucket: words' counts and totals, or the bucket's part of the tree."""
     schema = pa_schema(_SCHEMA)
 
     def run(group: pa.Table) -> pa.Table:
         kind, bucket = group.column("kind")[0].as_py(), group.column("bucket")[0].as_py()
-        keys = np.concatenate([from_planes(x.as_py(), "u8") for x in group.column("a")])
-        counts = np.concatenate([from_planes(x.as_py(), "u4") for x in group.column("b")])
-        keys, counts = count_sorted(keys, counts.astype(np.int64))
+        keys, counts = _summed(group)
         if kind == _WORDS:
             totals = np.array([counts.sum(), len(counts)], np.int64)
             return _table(schema, [
@@ -351,7 +385,14 @@ def _sum_bucket(least: int, n_total: int):
             for kind in (_SHORT, _STATES)
         ])
 
-    return run
+    return tidy(run)
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words and distinct words of each bucket."""
+    for batch in batches:
+        both = [from_planes(x, "i8").tolist() for x in batch.column(0).to_pylist()]
+        yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in both], pa.int64()) for i in (0, 1)], names=["n", "k"])
 
 
 def _levels(row: tuple) -> tuple:
@@ -398,7 +439,7 @@ def _ask(buckets: int):
             (number, b, to_planes(known.hashes[w]), to_planes(grams[g])) for b, (w, g) in enumerate(parts) if len(w) or len(g)
         ])
 
-    return run
+    return tidy(run)
 
 
 def _answer(shared):
@@ -424,7 +465,7 @@ def _answer(shared):
                 out.append((number, b, to_planes(found), to_planes(gain)))
         return _table(schema, out)
 
-    return run
+    return tidy(run)
 
 
 _OUT = (
@@ -455,7 +496,7 @@ def _score_block(buckets: int, n_words: int, n_kinds: int):
         made = [c if isinstance(c, pa.ChunkedArray) else pa.array(c, schema.field(k).type) for k, c in columns.items()]
         return pa.Table.from_arrays(made, schema=schema)
 
-    return run
+    return tidy(run)
 
 
 def score_texts(
@@ -482,10 +523,10 @@ def score_texts(
     fold = held_out(key, folds, out)
     training = docs.where(~fold)
     n_total = training.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    counted = training.select(utf8(text).alias("data")).mapInArrow(_count_chunks(buckets, chunk_bytes), _SCHEMA)
+    counted = counted_chunks(training.select(utf8(text).alias("data")), buckets, chunk_bytes, n_total)
     summed = counted.groupBy("kind", "bucket").applyInArrow(_sum_bucket(least, n_total), _SCHEMA).checkpoint()
-    totals = [from_planes(bytes(r["a"]), "i8") for r in summed.where(F.col("kind") == _TOTALS).select("a").collect()]
-    n_words, n_kinds = (int(x) for x in np.sum(totals, axis=0)) if totals else (0, 0)
+    totals = summed.where(F.col("kind") == _TOTALS).select("a").mapInArrow(_unpacked, "n long, k long")
+    n_words, n_kinds = totals.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("k"), F.lit(0))).first()
     # Contexts of up to two bytes, whatever the input.
     short = summed_levels([
         _levels(tuple(map(bytes, r))) for r in summed.where(F.col("kind") == _SHORT).select("a", "b", "c", "d").collect()
@@ -500,8 +541,11 @@ def score_texts(
     shared = context.broadcast(short | {2: tuple(x[keep] for x in short[2])})
     by_block = text_blocks(docs, key, text, blocks, fold.alias("held_out")).groupBy("block")
     kept = summed.where(F.col("kind") == _WORDS).union(states)
-    asked = by_block.applyInArrow(_ask(buckets), _ASKED)
-    answers = asked.groupBy("bucket").cogroup(kept.groupBy("bucket")).applyInArrow(_answer(shared), _ASKED)
+    # A bucket answers at most about FAN blocks in one group; its part of the tree goes to each of its groups.
+    groups = -(-blocks // FAN)
+    asked = by_block.applyInArrow(_ask(buckets), _ASKED).withColumn("group", F.pmod("block", F.lit(groups)))
+    each = kept.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    answers = asked.groupBy("bucket", "group").cogroup(each.groupBy("bucket", "group")).applyInArrow(_answer(shared), _ASKED)
     both = by_block.cogroup(answers.groupBy("block"))
     return both.applyInArrow(_score_block(buckets, n_words, n_kinds), _OUT)
 

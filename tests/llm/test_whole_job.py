@@ -21,3 +21,27 @@ def test_tree_keeps_every_diverging_context(spark):
     got = {r["doc_id"]: r["score"] for r in op3_suffix_tree(spark, SF_MEDIUM).collect()}
     assert got.keys() == want.keys()
     assert [got[k] for k in want] == pytest.approx(list(want.values()), rel=1e-5)
+
+
+def test_rounds_and_groups_change_nothing(spark, edge_docs, monkeypatch):
+    """Chunks summed in rounds and blocks answered in groups give the same scores as all at once."""
+    from docsentinel.llm import suffix_tree_lm as T
+
+    def scores():
+        rows = T.score_texts(edge_docs, block_bytes=5000, chunk_bytes=2000).collect()
+        return sorted((tuple(r)[:6] + (round(r["score"], 4),) for r in rows), key=str)
+
+    want = scores()
+    monkeypatch.setattr(T, "FAN", 3)
+    assert scores() == want
+
+
+def test_held_out_texts_score_above_the_unigram_base(spark):
+    """At sf0.1 the tree's held-out log10 probability a token is over that of single words."""
+    from pyspark.sql import functions as F
+
+    from docsentinel.llm.suffix_tree_lm import op3_suffix_tree
+
+    out = op3_suffix_tree(spark, "/root/testdata/sf0.1").where("held_out")
+    tree, base = out.agg(F.sum("score") / F.sum("n_tokens"), F.sum("base_score") / F.sum("n_tokens")).first()
+    assert tree > base + 0.1 and tree > -4.1
