@@ -82,35 +82,37 @@ def js_divergence(counts: Column, n: Column, ref: Column, ref_n: Column) -> Colu
     return F.aggregate(parts, F.lit(0.0), lambda x, y: x + y) / 2
 
 
-def with_repeats(rows: DataFrame, hashes: str) -> DataFrame:
-    """Adds ``_repeats``: words inside 8-word runs that the same row holds twice or more.
-
-    An 8-word run that comes twice holds 4-word runs that do. Rows without one stop after a
-    set of their hashes; in others the hashes of 8-word runs, joined from those of their
-    halves, are sorted with their places.
-    """
+def run_hashes(hashes: str) -> Column:
+    """Hashes of the 4-word runs of a column of word hashes."""
+    n = F.size(hashes)
+    starts = F.slice(hashes, 1, F.greatest(n - 3, F.lit(0)))
+    return F.transform(starts, lambda h, i: F.xxhash64(h, *[F.get(F.col(hashes), i + k) for k in (1, 2, 3)]))
 
-    def later(runs: str, i: Column, by: int) -> Column:
-        return F.get(F.col(runs), i + by)
 
-    def first(runs: str, n: Column) -> Column:
-        return F.slice(runs, 1, F.greatest(n, F.lit(0)))
+def repeated_runs(fours: str) -> Column:
+    """(``h``, ``p``) of the 8-word runs by hash and place, if some 4-word run comes twice; else none.
 
-    n = F.size(hashes)
-    fours = F.transform(first(hashes, n - 3), lambda h, i: F.xxhash64(h, *[later(hashes, i, k) for k in (1, 2, 3)]))
-    out = rows.withColumn("_fours", fours)
-    eights = F.transform(first("_fours", n - 7), lambda h, i: F.struct(
-        F.xxhash64(h, later("_fours", i, 4)).alias("h"), i.alias("p")))
+    An 8-word run that comes twice holds 4-word runs that do, so that most rows stop after a
+    set of their hashes. An 8-word run's hash joins those of its halves.
+    """
+    starts = F.slice(fours, 1, F.greatest(F.size(fours) - 4, F.lit(0)))
+    eights = F.transform(starts, lambda h, i: F.struct(F.xxhash64(h, F.get(F.col(fours), i + 4)).alias("h"), i.alias("p")))
     none = F.array().cast("array<struct<h:bigint,p:int>>")
-    repeated = F.size(F.array_distinct("_fours")) < F.size("_fours")
-    out = out.withColumn("_sorted", F.when(repeated, F.sort_array(eights)).otherwise(none))
+    return F.when(F.size(F.array_distinct(fours)) < F.size(fours), F.sort_array(eights)).otherwise(none)
+
+
+def places_of_repeats(runs: str) -> Column:
+    """The places, in order, of the runs that the same row holds twice or more."""
 
     def twice(x, i):
-        return x["h"].eqNullSafe(F.get("_sorted", i - 1)["h"]) | x["h"].eqNullSafe(F.get("_sorted", i + 1)["h"])
+        return x["h"].eqNullSafe(F.get(runs, i - 1)["h"]) | x["h"].eqNullSafe(F.get(runs, i + 1)["h"])
+
+    return F.sort_array(F.transform(F.filter(runs, twice), lambda x: x["p"]))
+
 
-    out = out.withColumn("_at", F.sort_array(F.transform(F.filter("_sorted", twice), lambda x: x["p"])))
-    covered = F.transform("_at", lambda p, i: F.least(F.lit(8), F.coalesce(F.get("_at", i + 1) - p, F.lit(8))).cast("long"))
-    return out.select(*rows.columns, _total(covered).alias("_repeats"))
+def words_inside(places: str) -> Column:
+    """Words in the union of 8-word runs at some places."""
+    return _total(F.transform(places, lambda p, i: F.least(F.lit(8), F.coalesce(F.get(places, i + 1) - p, F.lit(8))).cast("long")))
 
 
 def quality_rules(
@@ -142,38 +144,52 @@ def quality_rules(
     spark = docs.sparkSession
     ensure_checkpoint_dir(spark)
     refs = language_references(docs, text, lang, top).checkpoint()
+    kept = [f"_carry_{c}" for c in carry]
     rows = docs.select(
         F.col(key).alias("doc_id"), F.col(lang).alias("_lang"), F.coalesce(text, F.lit("")).alias("_text"),
-        *[F.col(c).alias(f"_carry_{c}") for c in carry],
+        *[F.col(c).alias(k) for c, k in zip(carry, kept)],
     )
+    # Each step keeps only what later ones read: rows are copied between steps with lambdas.
+    lines = F.array_remove(F.split(F.regexp_replace("_text", r"(?md)^[\x20\x09\x0B-\x0D]+$", ""), "\n"), "")
+    split = rows.select(
+        "doc_id", "_lang", *kept, words_of("_text").alias("_words"),
+        (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("_dup_lines"),
+    ).withColumn("_chars", F.array_join("_words", ""))
+    classed = with_classes(split, "_chars").select(
+        "doc_id", "_lang", *kept, "_words", "_dup_lines", "_classes", "_signs", F.length("_chars").cast("long").alias("_n_chars"))
+    # Words are compared by their 64-bit hashes from here on.
+    hashed = classed.withColumn("_hashes", F.transform("_words", lambda w: F.xxhash64(w))).drop("_words")
     if refs.count() <= BROADCAST_LANGUAGES:
-        joined = rows.join(F.broadcast(refs.withColumnRenamed("_lang", "_of")), F.col("_lang").eqNullSafe(F.col("_of")), "left")
+        joined = hashed.join(F.broadcast(refs.withColumnRenamed("_lang", "_of")), F.col("_lang").eqNullSafe(F.col("_of")), "left")
     else:  # salted: no task holds all rows of a common language
         salts = 64
-        rows = rows.withColumn("_salt", F.pmod(F.xxhash64("_text"), F.lit(salts)))
+        hashed = hashed.withColumn("_salt", F.pmod(F.xxhash64("_hashes"), F.lit(salts)))
         each = refs.withColumnRenamed("_lang", "_of").withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        joined = rows.join(each, F.col("_lang").eqNullSafe(F.col("_of")) & (F.col("_salt") == F.col("_s")), "left")
-    joined = joined.withColumns({  # a language without a word has no reference
-        "_ref_n": F.coalesce("_ref_n", F.lit(0)), "_ref_words": F.coalesce("_ref_words", F.array().cast("array<bigint>")),
-        "_ref_counts": F.coalesce("_ref_counts", F.array().cast("array<bigint>")),
-        "_ref_slots": F.coalesce("_ref_slots", F.array().cast("array<boolean>")),
-    })
-    split = joined.withColumn("_words", words_of("_text")).withColumn("_chars", F.array_join("_words", ""))
-    # Words are compared by their 64-bit hashes from here on.
-    hashed = split.withColumn("_hashes", F.transform("_words", lambda w: F.xxhash64(w))).drop("_words")
-    counted = with_classes(hashed, "_chars").withColumn("_n", F.size("_hashes").cast("long"))
-    common = counted.withColumn("_common", F.filter("_hashes", lambda w: (
-        F.get("_ref_slots", F.pmod(w, F.lit(SLOTS)).cast("int")) & F.array_contains("_ref_words", w))))
-    hits = common.withColumn("_hits", F.transform(
-        "_ref_words", lambda w: (F.size("_common") - F.size(F.array_remove("_common", w))).cast("long")
-    )).withColumn("_rest", F.col("_n") - F.size("_common"))
-    measured = with_repeats(hits, "_hashes")
+        joined = hashed.join(each, F.col("_lang").eqNullSafe(F.col("_of")) & (F.col("_salt") == F.col("_s")), "left")
+    sides = ["doc_id", *kept, "_dup_lines", "_classes", "_signs", "_n_chars", "_ref_n", "_ref_words", "_ref_counts", "_ref_classes"]
+    empty = F.array().cast("array<bigint>")
+    joined = joined.select(  # a language without a word has no reference
+        *[c for c in sides if c not in ("_ref_n", "_ref_words", "_ref_counts")], "_hashes", "_ref_slots",
+        F.coalesce("_ref_n", F.lit(0)).alias("_ref_n"), F.coalesce("_ref_words", empty).alias("_ref_words"),
+        F.coalesce("_ref_counts", empty).alias("_ref_counts"),
+    )
+    # Common words first, so that each count reads few.
+    common = F.filter("_hashes", lambda w: F.get("_ref_slots", F.pmod(w, F.lit(SLOTS)).cast("int")) & F.array_contains("_ref_words", w))
+    found = joined.select(
+        *sides, F.size("_hashes").cast("long").alias("_n"), common.alias("_common"), run_hashes("_hashes").alias("_fours"))
+    hits = F.transform("_ref_words", lambda w: (F.size("_common") - F.size(F.array_remove("_common", w))).cast("long"))
+    sides.remove("_ref_words")
+    measured = found.select(
+        *sides, "_n", F.size("_ref_words").alias("_bins"), hits.alias("_hits"),
+        F.coalesce(F.col("_n") - F.size("_common"), "_n").alias("_rest"), repeated_runs("_fours").alias("_runs"))
+    measured = measured.withColumn("_at", places_of_repeats("_runs")).drop("_runs")
+    measured = measured.withColumn("_repeats", words_inside("_at")).drop("_at")
 
     def distance(divergence: Column, bins: Column, n: Column) -> tuple[Column, Column]:
         raw = F.greatest(divergence, F.lit(0.0))
         return F.sqrt(raw), F.sqrt(F.greatest(raw - (bins - 1) / (8 * math.log(2) * n), F.lit(0.0)))
 
-    chars = F.length("_chars")
+    chars = F.col("_n_chars")
     known = (F.col("_ref_n") >= least_reference) & (F.col("_ref_n") > 0)
     word_ok, class_ok = known & (F.col("_n") >= least_words), known & (chars >= least_chars)
     ref_rest = F.col("_ref_n") - _total(F.col("_ref_counts"))
@@ -181,17 +197,16 @@ def quality_rules(
         F.concat("_hits", F.array("_rest")), F.col("_n"), F.concat("_ref_counts", F.array(ref_rest)), F.col("_ref_n")
     )
     class_js = js_divergence(F.col("_classes"), chars, F.col("_ref_classes"), _total(F.col("_ref_classes")))
-    word_raw, word_net = distance(word_js, F.size("_ref_words") + 1, F.col("_n"))
+    word_raw, word_net = distance(word_js, F.col("_bins") + 1, F.col("_n"))
     class_raw, class_net = distance(class_js, F.lit(len(CLASSES)), chars)
-    lines = F.filter(F.split("_text", "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     judged = measured.select(
-        "doc_id", F.col("_n").alias("n_words"), chars.cast("long").alias("word_chars"), F.col("_signs").alias("n_symbols"),
-        (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
+        "doc_id", F.col("_n").alias("n_words"), chars.alias("word_chars"), F.col("_signs").alias("n_symbols"),
+        F.col("_dup_lines").alias("n_dup_lines"),
         F.col("_repeats").alias("n_repeat_words"),
         F.when(class_ok, class_raw).alias("class_distance"), F.when(word_ok, word_raw).alias("word_distance"),
         (F.when(class_ok, class_net > max_class_distance).otherwise(False)
          | F.when(word_ok, word_net > max_word_distance).otherwise(False)).alias("_far"),
-        *[F.col(f"_carry_{c}").alias(c) for c in carry],
+        *[F.col(k).alias(c) for c, k in zip(carry, kept)],
     )
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     return judged.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & ~F.col("_far")).drop("_far")

@@ -16,15 +16,16 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from docsentinel.llm.common import WORD_ASCII, bucket_of, pa_schema, table, utf8, words_alnum
+from docsentinel.llm.common import WORD_ASCII, bucket_of, give_back, table, utf8, words_alnum
 
 SAMPLE = 8  # one suffix position in so many is stored
 SHARD_BYTES = 8 << 20
-BLOCK_BYTES = 16 << 20  # benchmark text searched, and broadcast, at a time
+BLOCK_BYTES = 4 << 20  # benchmark text searched, and broadcast, at a time: some 50 MB of windows
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
@@ -132,27 +133,43 @@ class FMIndex:
 
 @dataclass
 class Phrases:
-    """Benchmark windows: vocabulary, right-aligned word ids, and the items that have them."""
+    """Benchmark windows: vocabulary, right-aligned word ids, and the items that have them.
+
+    Window ``w`` belongs to the items ``names[owner[first[w]:first[w + 1]]]``. Items without an
+    id are searched like others, but have no name: they are in no window's list.
+    """
 
     vocabulary: dict[bytes, int]
     words: np.ndarray
     sizes: np.ndarray
-    items: list[list[int]]
+    names: list[str]
+    first: np.ndarray
+    owner: np.ndarray
 
     @staticmethod
-    def build(rows: list[tuple[int, bytes]], window: int) -> Phrases:
+    def build(rows: list[tuple[str | None, bytes]], window: int) -> Phrases:
         vocabulary: dict[bytes, int] = {}
-        owners: dict[tuple, set] = {}
+        parts, of_item = [np.empty((0, window), np.int32)], []
+        names = sorted({item for item, _ in rows if item is not None})
+        number = {item: i for i, item in enumerate(names)} | {None: -1}
         for item, data in rows:
-            ids = [vocabulary.setdefault(w, len(vocabulary) + 1) for w in words_alnum(data)]
-            size = min(window, len(ids))
-            for at in range(len(ids) - size + 1 if size else 0):
-                owners.setdefault(tuple(ids[at: at + size]), set()).add(item)
-        words = np.zeros((len(owners), window), np.int32)
-        for row, phrase in enumerate(owners):
-            words[row, window - len(phrase):] = phrase
-        sizes = np.array([len(p) for p in owners], np.int64)
-        return Phrases(vocabulary, words, sizes, [sorted(x, key=str) for x in owners.values()])
+            ids = np.array([vocabulary.setdefault(w, len(vocabulary) + 1) for w in words_alnum(data)], np.int32)
+            if not len(ids):
+                continue
+            if len(ids) < window:
+                ids = np.concatenate([np.zeros(window - len(ids), np.int32), ids])
+            windows = sliding_window_view(ids, window)
+            parts.append(windows)
+            of_item.append(np.full(len(windows), number[item], np.int32))
+        words, which = np.unique(np.concatenate(parts), axis=0, return_inverse=True)
+        item = np.concatenate(of_item) if of_item else np.empty(0, np.int32)
+        pairs = np.unique(np.column_stack([which.ravel(), item])[item >= 0], axis=0)
+        first = np.searchsorted(pairs[:, 0], np.arange(len(words) + 1))
+        return Phrases(vocabulary, words, (words > 0).sum(axis=1), names, first, pairs[:, 1].astype(np.int32))
+
+    def items_of(self, windows: np.ndarray) -> set[str]:
+        found = [self.owner[self.first[w]: self.first[w + 1]] for w in np.unique(windows)]
+        return {self.names[i] for i in np.unique(np.concatenate(found)).tolist()} if found else set()
 
 
 def _runs(ids: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
@@ -195,9 +212,7 @@ def search_shard(phrases: Phrases, docs: list[bytes]) -> list[tuple[int, np.ndar
     order = np.argsort(doc, kind="stable")
     for part in np.split(order, np.flatnonzero(np.diff(doc[order])) + 1):
         if len(part):
-            found = set()
-            for p in np.unique(which[part]):
-                found.update(phrases.items[p])
+            found = phrases.items_of(which[part])
             k = int(doc[part[0]])
             out[k] = (n_words[k], start[part], start[part] + phrases.sizes[which[part]], found)
     return out
@@ -214,14 +229,11 @@ def merge_spans(starts: np.ndarray, ends: np.ndarray) -> tuple[list[int], list[i
     return s[new].tolist(), reach[last].tolist()
 
 
-_FOUND = "n_words long, span_start array<long>, span_end array<long>, items array<long>"
 
 
 def _search_block(docs: DataFrame, phrases: Phrases) -> DataFrame:
     """One pass over (``doc_id``, ``data``, found so far, carried) rows with one block of phrases."""
     shared = docs.sparkSession.sparkContext.broadcast(phrases)
-    found_schema = pa_schema(f"doc_id long, data binary, {_FOUND}")
-    carried = docs.columns[len(found_schema):]
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Schema, list[tuple]]]:
         rows, size = [], 0
@@ -239,14 +251,13 @@ def _search_block(docs: DataFrame, phrases: Phrases) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for schema, rows in shards(batches):
-            out_schema = pa.schema([*found_schema, *[schema.field(c) for c in carried]])
             out = []
             for row, (n, starts, ends, items) in zip(rows, search_shard(shared.value, [r[1] for r in rows])):
                 starts = np.concatenate([starts, np.asarray(row[3], np.int64)])
                 ends = np.concatenate([ends, np.asarray(row[4], np.int64)])
                 out.append((row[0], row[1], n, *merge_spans(starts, ends), sorted(items.union(row[5])), *row[6:]))
-            columns = zip(*out)
-            yield pa.RecordBatch.from_arrays([pa.array(c, x.type) for c, x in zip(columns, out_schema)], schema=out_schema)
+            yield pa.RecordBatch.from_arrays([pa.array(c, x.type) for c, x in zip(zip(*out), schema)], schema=schema)
+        give_back()
 
     return docs.mapInArrow(run, docs.schema)
 
@@ -268,20 +279,21 @@ def find_passages(
     words of an item (a shorter item that has words is one window). The benchmark's size
     is checked first: each block of about ``block_bytes`` of it is broadcast and searched
     in a pass of its own, so a large benchmark costs passes, not memory. Null and blank
-    texts have no words; items without an id are skipped; equal item ids count once;
+    texts have no words; items without an id are searched, but are in no list; equal item
+    ids count once; document keys keep their type, item ids are given as text;
     repeated documents are searched one by one; columns named in ``carry`` come along, others
     are ignored; empty tables give no rows or no spans.
     """
-    items = benchmark.where(F.col(item).isNotNull()).select(F.col(item).cast("long").alias("i"), utf8(item_text).alias("d"))
+    items = benchmark.select(F.col(item).cast("string").alias("i"), utf8(item_text).alias("d"))
     total = items.agg(F.sum(F.octet_length("d"))).first()[0] or 0
     blocks = max(1, -(-total // block_bytes))
     none = F.array().cast("array<long>")
     found = docs.select(
-        F.col(key).cast("long").alias("doc_id"), utf8(text).alias("data"), F.lit(0).cast("long").alias("n_words"),
-        none.alias("span_start"), none.alias("span_end"), none.alias("items"), *carry,
+        F.col(key).alias("doc_id"), utf8(text).alias("data"), F.lit(0).cast("long").alias("n_words"),
+        none.alias("span_start"), none.alias("span_end"), F.array().cast("array<string>").alias("items"), *carry,
     )
     for b in range(blocks):
-        rows = items.where(bucket_of(blocks, "i") == b).collect()
+        rows = items.where(bucket_of(blocks, "i", "d") == b).collect()
         found = _search_block(found, Phrases.build([(r["i"], bytes(r["d"])) for r in rows], window))
     return found
 
@@ -325,8 +337,8 @@ def op10_fm_decontaminate(spark, sf_dir: str) -> DataFrame:
     n_hit = F.aggregate(
         F.zip_with("span_start", "span_end", lambda a, b: b - a), F.lit(0).cast("long"), lambda x, y: x + y
     )
-    names = F.array_join(F.array_sort(F.transform("items", lambda x: x.cast("string"))), ",")
+    names = F.array_join(F.array_sort("items"), ",")
     return found.select(
-        "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.col("doc_id").cast("long"), "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
         F.sha2(names, 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"),
     )

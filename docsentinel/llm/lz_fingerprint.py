@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,8 +12,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docsentinel.llm.common import pa_schema, table, task_partitions, utf8
+from docsentinel.llm.common import give_back, pa_schema, slices, table, task_partitions, utf8
 
+LONG = 4 << 20  # bytes; the phrase tree of a longer text is kept in flat arrays
 SIGNATURE = 128  # smallest phrase hashes kept
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -72,6 +74,46 @@ def parse(data: bytes, start: int, root: dict, node: dict, undo: list | None = N
     return cuts, node
 
 
+def long_cuts(data: bytes) -> array:
+    """The ends of ``parse`` for a long text, with the phrase tree in flat arrays (some 20 bytes a phrase).
+
+    A node's children are a chain, the earliest and so the likeliest first.
+    """
+    top = [0] * 256
+    child, sibling, label, cuts = array("i", [0]), array("i", [0]), bytearray(1), array("q")
+    node = 0
+    for at, c in enumerate(data, 1):
+        last, following = 0, child[node] if node else top[c]
+        while following and label[following] != c:
+            last, following = following, sibling[following]
+        if following:
+            node = following
+            continue
+        new = len(label)
+        if last:
+            sibling[last] = new
+        elif node:
+            child[node] = new
+        else:
+            top[c] = new
+        child.append(0)
+        sibling.append(0)
+        label.append(c)
+        cuts.append(at)
+        node = 0
+    return cuts
+
+
+def long_signature(data: bytes, hasher: PhraseHasher, size: int = SIGNATURE, step: int = 1 << 16) -> np.ndarray:
+    """The signature of a long text, its phrases hashed some at a time."""
+    cuts, best, start = long_cuts(data), np.empty(0, np.uint32), 0
+    for at in range(0, len(cuts), step):
+        part = cuts[at: at + step]
+        best = np.union1d(best, signature(hasher(data, part, start), size))[:size]
+        start = part[-1]
+    return best
+
+
 def signature(hashes: np.ndarray, size: int = SIGNATURE) -> np.ndarray:
     """The ``size`` smallest distinct hashes, as 32-bit values."""
     return np.unique((hashes >> np.uint64(32)).astype(np.uint32))[:size]
@@ -99,6 +141,8 @@ def fingerprint_pair(data: bytes, keep: int, tail: bytes, hasher: PhraseHasher)
     A last phrase that the text's end cuts short is in the tree already, so it adds
     nothing to the set.
     """
+    if len(data) > LONG or keep + len(tail) > LONG:
+        return long_signature(data, hasher), long_signature(data[:keep] + tail, hasher)
     root: dict = {}
     head_cuts, node = parse(data[:keep], 0, root, root)
     undo: list = []
@@ -115,6 +159,8 @@ def fingerprint_pair(data: bytes, keep: int, tail: bytes, hasher: PhraseHasher)
 
 
 def fingerprint(data: bytes, hasher: PhraseHasher | None = None) -> np.ndarray:
+    if len(data) > LONG:
+        return long_signature(data, hasher or PhraseHasher())
     root: dict = {}
     cuts, _ = parse(data, 0, root, root)
     return signature((hasher or PhraseHasher())(data, cuts))
@@ -125,8 +171,10 @@ def fingerprint_texts(docs: DataFrame, key: str = "doc_id", text: str = "text")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, schema = PhraseHasher(), pa_schema("doc_id long, fingerprint string")
         for batch in batches:
-            prints = [as_hex(fingerprint(x, hasher)) for x in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints, pa.string())], schema=schema)
+            for part in slices(batch):
+                prints = [as_hex(fingerprint(x, hasher)) for x in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(prints, pa.string())], schema=schema)
+        give_back()
 
     return docs.select(F.col(key).cast("long").alias("doc_id"), utf8(text).alias("data")).mapInArrow(
         run, "doc_id long, fingerprint string"
@@ -245,12 +293,12 @@ def compare_with_edits(docs: DataFrame, key: str = "doc_id", text: str = "text")
             return pa.RecordBatch.from_arrays([pa.array(c, x.type) for c, x in zip(columns, out_schema)], schema=out_schema)
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for part in slices(batch):
                 for row in zip(*(part.column(c).to_pylist() for c in ("_block", "_guest", "doc_id", "data"))):
                     done += stream.push(*row)
                 yield flush()
                 done.clear()
+        give_back()
 
     return ordered.select("_block", "_guest", "doc_id", "data").mapInArrow(run, schema)
 

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docsentinel.llm.common import held_out, map_rows, table, utf8
+from docsentinel.llm.common import give_back, held_out, map_rows, slices, table, utf8
 
 FEATURES = (
     "log_words", "mean_word", "symbols", "punctuation", "upper", "digits", "other_bytes", "entropy",
@@ -217,7 +217,9 @@ def fit_quality(
         return lambda cols: {"doc_id": cols[0], "y": cols[2], "features": [text_features(x) for x in cols[1]]}
 
     seen = map_rows(rows.select("doc_id", "data", "y"), "doc_id long, y int, features array<double>", make)
-    train = sorted((r["doc_id"], r["features"], r["y"]) for r in seen.dropDuplicates(["doc_id", "features"]).collect())
+    # One row a labelled key, however often it comes: at most ``max_train_rows`` reach the driver.
+    one = seen.groupBy("doc_id").agg(F.min(F.struct("features", "y")).alias("r")).select("doc_id", "r.features", "r.y")
+    train = sorted(map(tuple, one.collect()))
     x = np.array([r[1] for r in train], float).reshape(-1, len(FEATURES))
     return PairwiseGam.fit(x, np.array([r[2] for r in train], float))
 
@@ -230,12 +232,12 @@ def keep_good(docs: DataFrame, model: PairwiseGam, threshold: float = 0.5, text:
 
     def run(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            for part in slices(batch, 512):
                 texts = [x.as_py() for x in part.column(hidden)]
                 x = np.array([text_features(t) for t in texts], float).reshape(-1, len(FEATURES))
                 good = part.filter(pa.array(model.score(x) >= threshold))
                 yield good.drop_columns([hidden])
+        give_back()
 
     return docs.withColumn(hidden, utf8(text)).mapInArrow(run, docs.schema)
 

@@ -11,7 +11,7 @@ from docsentinel.llm.packing import op6_pack
 from docsentinel.llm.quality_gam import op5_quality
 from docsentinel.llm.sharding import op9_rendezvous
 from docsentinel.llm.simhash import op4_simhash
-from docsentinel.llm.sql import DIVERGENCE_RULES, RANKED_SEARCH
+from docsentinel.llm.sql import DECONTAMINATION, DIVERGENCE_RULES, RANKED_SEARCH, REPEATS
 from docsentinel.llm.suffix_dedup import op2_suffix_dedup
 from docsentinel.llm.suffix_tree_lm import op3_suffix_tree
 from docsentinel.llm.token_alignment import op13_align
@@ -36,4 +36,6 @@ QUERIES = {
 ORACLE_SQL: dict[str, str] = {
     "op11_divergence_rules": DIVERGENCE_RULES,
     "op12_dual_tree": RANKED_SEARCH,
+    "op2_suffix_dedup": REPEATS,
+    "op10_fm_decontaminate": DECONTAMINATION,
 }

@@ -51,16 +51,17 @@ def simhash(data: bytes, shingle: int) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(``doc_id``, ``fp``): the fingerprint of every whole text, as a signed long."""
+    """(``doc_id``, ``fp``, ``text_hash``): the fingerprint of every whole text, as a signed long, and its text's hash."""
     def make():
         def batch(cols):
             prints = np.array([simhash(x, shingle) for x in cols[1]], np.uint64).view(np.int64)
-            return {"doc_id": cols[0], "fp": prints}
+            return {"doc_id": cols[0], "fp": prints, "text_hash": cols[2]}
 
         return batch
 
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), utf8(text).alias("data"))
-    return map_rows(rows, "doc_id long, fp long", make)
+    data = utf8(text)
+    rows = docs.select(F.col(key).cast("long").alias("doc_id"), data.alias("data"), F.xxhash64(data).alias("text_hash"))
+    return map_rows(rows, "doc_id long, fp long, text_hash long", make)
 
 
 def _bytes_of(x: np.ndarray) -> np.ndarray:
@@ -154,7 +155,9 @@ def similar_links(nodes: DataFrame, max_bits: int) -> DataFrame:
         a, b, c = (byte(p) for p in t)
         return F.lit(i << 24).cast("long") + F.shiftleft(a, 16) + F.shiftleft(b, 8) + c
 
-    postings = nodes.select("fp", F.explode(F.array(*[posting(i, t) for i, t in enumerate(_TRIPLES)])).alias("key"))
+    # Dealt out first: each fingerprint becomes 35 postings.
+    spread = nodes.repartition(task_partitions(nodes.sparkSession), "fp")
+    postings = spread.select("fp", F.explode(F.array(*[posting(i, t) for i, t in enumerate(_TRIPLES)])).alias("key"))
     lists = postings.repartition(task_partitions(nodes.sparkSession), "key").sortWithinPartitions("key", "fp")
     schema = pa_schema("u long, v long")
 
@@ -188,7 +191,7 @@ def similar_links(nodes: DataFrame, max_bits: int) -> DataFrame:
 def near_duplicates(
     docs: DataFrame, shingle: int, max_bits: int, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """(``doc_id``, ``fp``, ``component_id``) of every document.
+    """(``doc_id``, ``fp``, ``component_id``, ``root``, ``text_hash``) of every document.
 
     Documents are linked when their fingerprints differ in at most ``max_bits`` bits;
     ``component_id`` is the smallest key reachable. Null and blank texts have fingerprint
@@ -204,19 +207,23 @@ def near_duplicates(
         "fp", "first_id", F.coalesce("root", "fp").alias("root")
     )
     named = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    classes = rooted.join(named, "root").select("fp", "component_id")
-    return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
+    classes = rooted.join(named, "root").select("fp", "component_id", "root")
+    return prints.join(classes, "fp").select("doc_id", "fp", "component_id", "root", "text_hash")
 
 
 def keep_first_of_each(docs: DataFrame, shingle: int, max_bits: int, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows, with all their columns, of one document of each component: the smallest key.
 
-    Rows without a key cannot be told apart by it and all stay; rows that repeat a key are
-    one document and leave one row.
+    Rows without a key cannot be told apart by it and all stay. Where a key has several
+    texts in a component, the one with the smallest hash stays; texts of one key in different
+    components are judged apart. Rows equal in key and text leave one.
     """
     found = near_duplicates(docs, shingle, max_bits, key, text)
-    first = found.where("doc_id = component_id").select(F.col("doc_id").alias("_first")).distinct()
-    named = docs.join(first, docs[key] == first["_first"], "left_semi").dropDuplicates([key])
+    first = found.where("doc_id = component_id").groupBy("root").agg(
+        F.min(F.struct("doc_id", "text_hash")).alias("_first")
+    ).select("_first").distinct()
+    rows = docs.withColumn("_chosen", F.struct(F.col(key).cast("long").alias("doc_id"), F.xxhash64(utf8(text)).alias("text_hash")))
+    named = rows.join(first, rows["_chosen"] == first["_first"], "left_semi").dropDuplicates(["_chosen"]).drop("_chosen")
     return named.unionByName(docs.where(F.col(key).isNull()))
 
 

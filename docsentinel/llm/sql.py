@@ -113,3 +113,69 @@ ranked as (
 )
 select item_id, rank, doc_id, score from ranked where rank <= 20
 """
+
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"coalesce(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), [])"
+
+DECONTAMINATION = f"""
+with d as (select doc_id, {_WORDS} as ws from documents),
+items as (select item_id, {_WORDS} as ws from benchmark),
+windows as (
+  select distinct item_id, size, array_to_string(ws[i:i + size - 1], ' ') as phrase
+  from (
+    select item_id, ws, least(10, len(ws)) as size, unnest(range(1, len(ws) - least(10, len(ws)) + 2)) as i
+    from items where len(ws) > 0
+  )
+),
+places as (
+  select doc_id, i, size, array_to_string(ws[i:i + size - 1], ' ') as phrase
+  from (
+    select doc_id, ws, size, unnest(range(1, greatest(len(ws) - size + 2, 1))) as i
+    from d, (select distinct size from windows)
+  )
+),
+hits as (
+  select doc_id, i, size, item_id from places join windows using (size, phrase)
+),
+covered as (
+  select doc_id, count(distinct word)::bigint as n_hit
+  from (select doc_id, unnest(range(i, i + size)) as word from hits) group by doc_id
+),
+found as (
+  select doc_id, count(*)::bigint as n_items, string_agg(item, ',' order by item) as names
+  from (select distinct doc_id, item_id::varchar as item from hits where item_id is not null) group by doc_id
+)
+select doc_id, len(ws)::bigint as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+  sha256(coalesce(names, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join covered using (doc_id) left join found using (doc_id)
+"""
+
+REPEATS = """
+with d as (select doc_id, hex(encode(coalesce(text, ''))) as h, strlen(coalesce(text, '')) as n from documents),
+places as (select doc_id, h, unnest(range(0, greatest(n - 49, 0))) as pos from d),
+hashed as materialized (select doc_id, pos, hash(substr(h, 2 * pos + 1, 100)) as k from places),
+shared as materialized (select k from hashed group by k having min(doc_id) < max(doc_id)),
+w as materialized (
+  select doc_id, pos, substr(h, 2 * pos + 1, 100) as bytes from hashed semi join shared using (k) join d using (doc_id)
+),
+firsts as (select bytes, min(doc_id) as first_doc from w group by bytes having min(doc_id) < max(doc_id)),
+gone as (select doc_id, pos from w join firsts using (bytes) where first_doc < doc_id),
+marked as (
+  select doc_id, pos, case when pos - lag(pos) over (partition by doc_id order by pos) <= 50 then 0 else 1 end as opens from gone
+),
+runs as (
+  select doc_id, min(pos) as a, max(pos) + 50 as z
+  from (select doc_id, pos, sum(opens) over (partition by doc_id order by pos) as run from marked) group by doc_id, run
+),
+gaps as (
+  select doc_id, a, z, coalesce(lag(z) over (partition by doc_id order by a), 0) as prev_end from runs
+),
+cut as (
+  select doc_id, sum(z - a)::bigint as n_removed, count(*)::bigint as n_spans, max(z) as last_end,
+    string_agg(substr(h, 2 * prev_end + 1, 2 * (a - prev_end)), '' order by a) as head
+  from gaps join d using (doc_id) group by doc_id
+)
+select doc_id, n::bigint as n_bytes, coalesce(n_removed, 0) as n_removed, coalesce(n_spans, 0) as n_spans,
+  sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last_end, 0) + 1))) as kept_sha256
+from d left join cut using (doc_id)
+"""

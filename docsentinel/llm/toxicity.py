@@ -288,7 +288,8 @@ def score_toxicity(
     ]
     chosen = F.broadcast(picked[0].union(picked[1]))  # at most sum(max_of_class) rows
     source = docs.select(F.col(key).cast("long").alias("doc_id"), utf8(text).alias("data"))
-    sample = source.where(F.octet_length("data") <= max_train_bytes).join(chosen, "doc_id").dropDuplicates(["doc_id"]).collect()
+    sample = source.where(F.octet_length("data") <= max_train_bytes).join(chosen, "doc_id")
+    sample = sample.groupBy("doc_id", "y").agg(F.min("data").alias("data")).select("doc_id", "data", "y").collect()  # one text a key
     sample.sort(key=lambda r: (r["doc_id"], r["data"]))
     y = np.array([r["y"] for r in sample], np.float32)
     net = ToxicNet.fit([bytes(r["data"]) for r in sample], y)

@@ -91,6 +91,7 @@ def passages(docs, items, window=10):
                 if got := owners.get(tuple(words[at:at + n])):
                     hit.update(range(at, at + n))
                     found |= got
+        found.discard(None)
         names = ",".join(sorted(map(str, found)))
         out.append((key, len(words), len(hit), len(found), sha(names.encode()), bool(hit)))
     return out

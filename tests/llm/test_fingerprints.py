@@ -54,3 +54,41 @@ def test_likeness_estimates_phrase_set_overlap():
 def test_equal_texts_have_equal_fingerprints(edge_docs):
     got = {r["doc_id"]: r["fingerprint"] for r in fingerprint_texts(edge_docs).collect()}
     assert got[7] == got[14] and got[0] == got[1] == "" and as_hex(from_hex(got[7])) == got[7]
+
+
+def test_long_texts_have_the_same_phrases(monkeypatch):
+    """The flat tree cuts like the nested one; several slices of phrases give one signature."""
+    import random
+
+    from docsentinel.llm import lz_fingerprint as L
+
+    rng = random.Random(6)
+    for data in (b"", b"a", b"aaaa" * 500, bytes(rng.choices(b"abc", k=5000)), "été ñandú ".encode() * 700, rng.randbytes(20_000)):
+        root: dict = {}
+        assert L.long_cuts(data).tolist() == L.parse(data, 0, root, root)[0]
+        assert as_hex(L.long_signature(data, L.PhraseHasher(), step=100)) == as_hex(fingerprint(data))
+
+
+def test_pairs_of_long_texts(monkeypatch, spark, edge_docs, edge_rows):
+    from docsentinel.llm import lz_fingerprint as L
+
+    want = order(expected([r[:2] for r in edge_rows]))
+    monkeypatch.setattr(L, "LONG", 100)
+    assert order(compare_with_edits(edge_docs).collect()) == want
+
+
+def test_long_texts_stay_small():
+    """Parsing a text of random words needs a few dozen bytes a phrase."""
+    import random
+    import tracemalloc
+
+    from docsentinel.llm import lz_fingerprint as L
+
+    rng = random.Random(1)
+    words = [bytes(rng.choices(b"abcdefghijklmnop", k=rng.randint(2, 9))) for _ in range(5000)]
+    data = b" ".join(rng.choices(words, k=300_000))
+    tracemalloc.start()
+    cuts = L.long_cuts(data)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 * len(cuts)

@@ -25,7 +25,7 @@ def items(spark, edge_rows):
     words = edge_rows[7][1].split()
     rows = [(1, " ".join(words[:14])), (2, "word word word"), (3, None), (4, ""), (5, " ".join(words[5:25]).upper()),
             (5, "text ω"), (None, "one"), (10, "nice 12"), (11, "the of the of the of the of the of the of no such")]
-    return spark.createDataFrame(rows, ITEMS), [r for r in rows if r[0] is not None]
+    return spark.createDataFrame(rows, ITEMS), rows
 
 
 @pytest.mark.parametrize("block_bytes", [1 << 24, 60])
@@ -35,6 +35,17 @@ def test_edge_rows_match_plain_version(edge_docs, edge_rows, items, block_bytes)
     assert got == sorted(passages([r[:2] for r in edge_rows], items[1]), key=str)
 
 
+def test_ids_of_any_type(spark):
+    """Text ids of items and documents, and a passage of an item without an id."""
+    passage = "one two three four five six seven eight nine ten eleven"
+    items = spark.createDataFrame([("mmlu-7", passage), (None, "red orange yellow green blue indigo violet white black grey")], "item_id string, text string")
+    docs = spark.createDataFrame([("d-1", f"x {passage} y"), ("d-2", "red orange yellow green blue indigo violet white black grey"), ("d-3", "no")], "doc_id string, text string")
+    rows = {r["doc_id"]: (r["span_start"], r["span_end"], r["items"]) for r in M.find_passages(docs, items).collect()}
+    assert rows == {"d-1": ([1], [12], ["mmlu-7"]), "d-2": ([0], [10], []), "d-3": ([], [], [])}
+    left = {r["doc_id"]: r["text"] for r in M.remove_passages(docs, items).collect()}
+    assert left["d-2"].strip() == "" and left["d-3"] == "no"
+
+
 def test_empty_tables_and_null_keys(spark, no_docs, null_key_docs, items):
     assert M.find_passages(no_docs, items[0]).collect() == []
     assert all(r[2] == 0 for r in digest(M.find_passages(null_key_docs, spark.createDataFrame([], ITEMS))))
@@ -70,6 +81,7 @@ def test_stage_cuts_passages_and_keeps_columns(edge_docs, edge_rows, items):
     out = M.remove_passages(edge_docs, items[0])
     assert out.columns == edge_docs.columns
     rows = [(r["doc_id"], r["text"]) for r in out.collect()]
-    assert len(rows) == len(edge_rows) and (0, None) in rows and (3, "one") in rows
+    assert len(rows) == len(edge_rows) and (0, None) in rows
+    assert (3, "") in rows  # all of it is the passage of an item without an id
     assert all(not r[5] or r[2] < 10 for r in passages([x for x in rows if x[0] == 7], items[1]))
     assert M.cut_words(b"a, b c. d", [1], [3]) == b"a, . d"

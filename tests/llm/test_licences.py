@@ -53,3 +53,45 @@ def test_null_keys_empty_table_and_query(spark, null_key_docs, no_docs):
         starts = [s for _, s in found]
         assert tuple(r)[:6] == (r["doc_id"], n, len(found), min(starts, default=None), max(starts, default=None), labels)
         assert set(labels.split(",")) - {""} <= set(r["labels"].split(",")) and 0 <= r["score"] <= 1
+
+
+def test_edited_and_cut_notices_are_found(spark, no_docs):
+    """Recall at least 0.9 on notices with one word in twenty changed or cut to a half; no label on plain prose."""
+    import random
+
+    from docsentinel.llm.licences import TEMPLATES
+
+    rng = random.Random(4)
+    rows, want = [], {}
+    prose = "the report says that this software was used for any purpose by the authors and the copyright was not limited to them".split()
+
+    def put(text, label):
+        at = len(rows)
+        around = [" ".join(rng.choice(prose) for _ in range(30)) for _ in range(2)]
+        rows.append((at, f"{around[0]}. {text}. {around[1]}", None, None, None))
+        want[at] = label
+
+    for label, text in TEMPLATES:
+        words = text.split()
+        put(text, label)
+        if len(words) >= 24:
+            for _ in range(3):
+                put(" ".join(rng.choice(prose) if rng.random() < 0.05 else w for w in words), label)
+                half = rng.randrange(len(words) // 2)
+                put(" ".join(words[half: half + len(words) // 2]), label)
+    for _ in range(60):
+        put(" ".join(rng.choice(prose) for _ in range(200)), None)
+    found = {r["doc_id"]: set(r["span_label"]) for r in scan_licences(spark.createDataFrame(rows, no_docs.schema)).collect()}
+    wanted = [i for i, label in want.items() if label]
+    assert sum(want[i] in found[i] for i in wanted) >= 0.9 * len(wanted)
+    assert not any(found[i] for i, label in want.items() if label is None)
+
+
+def test_short_notices(spark, no_docs):
+    texts = {"mit": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
+             "apache-2.0": "Licensed under the Apache License v2.", "gpl": "// SPDX-License-Identifier: GPL-2.0-only",
+             "cc-by-sa": "Text is available under the Creative Commons Attribution-ShareAlike License; additional terms may apply.",
+             "lgpl": "under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License"}
+    rows = [(i, t, None, None, None) for i, t in enumerate(texts.values())]
+    found = {r["doc_id"]: r["span_label"] for r in scan_licences(spark.createDataFrame(rows, no_docs.schema)).collect()}
+    assert all(label in found[i] for i, label in enumerate(texts))
