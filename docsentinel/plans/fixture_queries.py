@@ -375,17 +375,29 @@ def _migrated(spark: SparkSession, sf_dir: str, name: str):
     return results, history, prefix
 
 
+def _with_rows(spark: SparkSession, report: DataFrame, results, history, prefix: str) -> DataFrame:
+    """The existence report with each object's rows (partitions: their number), NULL where it is missing."""
+    counts = {H.VERIFY_LABELS[0]: results.read().count()}
+    if history.table.exists():
+        counts[H.VERIFY_LABELS[1]] = history.read().count()
+    for label, view in zip(H.VERIFY_LABELS[2:], H.view_names(prefix)):
+        if spark.catalog.tableExists(view):
+            counts[label] = spark.table(view).count()
+    sizes = spark.createDataFrame(list(counts.items()), "objet string, n_rows long")
+    return report.join(sizes, "objet", "left")
+
+
 def q_verify_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Migrate + archive over the results table, then the existence report."""
     results, history, prefix = _migrated(spark, sf_dir, "verify")
-    return H.verify(spark, history, results, prefix)
+    return _with_rows(spark, H.verify(spark, history, results, prefix), results, history, prefix)
 
 
 def q_rollback_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The existence report after a rollback: the results table alone is left."""
+    """The existence report after a rollback: the results table alone is left, with all its rows."""
     results, history, prefix = _migrated(spark, sf_dir, "rollback")
     H.rollback(spark, history, prefix)
-    return H.verify(spark, history, results, prefix)
+    return _with_rows(spark, H.verify(spark, history, results, prefix), results, history, prefix)
 
 
 def q_summary_view(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -113,9 +113,10 @@ class VersionedTable:
     """
 
     def __init__(self, spark: SparkSession, path: str, key: str | None = None, partition_col: str | None = None,
-                 key_determines_partition: bool = False, lease_hours: float = 24.0):
+                 key_determines_partition: bool = False, lease_hours: float = 24.0, sort_by: Sequence[str] = ()):
+        """``sort_by`` orders the rows within files, so that row groups are skipped by those columns' statistics."""
         self.spark, self.path, self.key, self.partition_col = spark, path.rstrip("/"), key, partition_col
-        self.key_determines_partition, self.lease_hours = key_determines_partition, lease_hours
+        self.key_determines_partition, self.lease_hours, self.sort_by = key_determines_partition, lease_hours, list(sort_by)
 
     # -- state ---------------------------------------------------------------------
 
@@ -198,6 +199,9 @@ class VersionedTable:
             # AQE sizes the write tasks: small partitions are coalesced, a skewed one
             # split, so files per partition stay few without one task per partition.
             writer = df.hint("rebalance", self.partition_col)
+        if self.sort_by:
+            order = [c for c in [self.partition_col, *self.sort_by] if c in df.columns]
+            writer = writer.sortWithinPartitions(*order)
         w = writer.write.mode("errorifexists")
         if self.partition_col:
             w = w.partitionBy(self.partition_col)

@@ -185,3 +185,39 @@ def test_checkpoint_folder_must_be_named_off_local_mode(spark, monkeypatch):
     context = SimpleNamespace(getCheckpointDir=lambda: None, master="yarn")
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         ensure_checkpoint_dir(SimpleNamespace(conf=conf, sparkContext=context))
+
+
+def test_row_groups_outside_a_lookback_are_skipped(spark):
+    """Rows sorted by issue_at: each row group covers a narrow span of it, and a lookback reads the last ones only."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from docsentinel.functions.exprs import lookback
+
+    path = work_path(spark, "test", "sorted", unique=True)
+    before = spark.conf.get("parquet.block.size", None)
+    rows = spark.range(200_000).select(
+        F.col("id").cast("string").alias("k"), F.lit(D1).alias("d"),
+        F.expr("TIMESTAMP_NTZ '2001-01-01 00:00:00' - make_dt_interval(cast(pmod(xxhash64(id), 2000) as int))").alias("issue_at"),
+    ).repartition(1)
+    groups = {}
+    try:
+        spark.conf.set("parquet.block.size", str(64 << 10))
+        for name, by in (("sorted", ["issue_at"]), ("dealt", [])):
+            t = TB.VersionedTable(spark, f"{path}/{name}", key="k", partition_col="d", sort_by=by)
+            t.replace(rows)
+            spans = []
+            for file in glob.glob(f"{t._leaf(str(D1), t._manifest()['folders'][str(D1)])}/*.parquet".removeprefix("file:")):
+                meta = pq.ParquetFile(file).metadata
+                for g in range(meta.num_row_groups):
+                    column = next(meta.row_group(g).column(c) for c in range(meta.num_columns)
+                                  if meta.row_group(g).column(c).path_in_schema == "issue_at")
+                    spans.append(column.statistics.max)
+            edge = dt.date(2001, 1, 1) - dt.timedelta(days=100)
+            groups[name] = (len(spans), sum(x >= dt.datetime.combine(edge, dt.time()) for x in spans))
+            assert t.read().filter(lookback("issue_at", dt.date(2001, 1, 1), 100)).count() > 5000
+    finally:
+        spark.conf.unset("parquet.block.size") if before is None else spark.conf.set("parquet.block.size", before)
+    total, read = groups["sorted"]
+    assert total >= 4 and read <= total // 3 and groups["dealt"][1] == groups["dealt"][0]
