@@ -134,8 +134,8 @@ def fixture_sources(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
     many files, so the rows are dealt out first. Filters still reach the scan.
     """
     tasks = spark.sparkContext.defaultParallelism
-    lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(*LINEITEM_COLUMNS).repartition(tasks)
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(*ORDERS_COLUMNS).repartition(tasks)
+    lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(*LINEITEM_COLUMNS).repartition(tasks, "l_orderkey", "l_partkey", "l_suppkey")
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(*ORDERS_COLUMNS).repartition(tasks, "o_orderkey")
     return raw_controlled_from_lineitem(lineitem), raw_created_from_orders(orders)
 
 

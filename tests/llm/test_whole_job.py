@@ -45,3 +45,14 @@ def test_held_out_texts_score_above_the_unigram_base(spark):
     out = op3_suffix_tree(spark, "/root/testdata/sf0.1").where("held_out")
     tree, base = out.agg(F.sum("score") / F.sum("n_tokens"), F.sum("base_score") / F.sum("n_tokens")).first()
     assert tree > base + 0.1 and tree > -4.1
+
+
+def test_toxicity_on_held_out_labels(spark):
+    """Given labels of the held-out fold at sf0.1: recall and precision of the 0.3 cut."""
+    from docsentinel.llm.toxicity import op7_toxicity
+
+    sf = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "toxic").where("toxic is not null")
+    rows = op7_toxicity(spark, sf).where("held_out").join(labels, "doc_id").select("predicted", "toxic").collect()
+    both = sum(r["predicted"] == 1 and r["toxic"] == 1 for r in rows)
+    assert both >= 0.85 * sum(r["toxic"] == 1 for r in rows) and both >= 0.85 * sum(r["predicted"] == 1 for r in rows)
