@@ -25,6 +25,7 @@ from docsentinel.session import work_path
 
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 _COMMIT = "commit_id"
+_CLEAN_EVERY = 16
 
 
 def _fs_path(spark: SparkSession, path: str):
@@ -234,7 +235,9 @@ class VersionedTable:
         body = {"schema": change.schema.jsonValue(), "folders": folders, "dropped": sorted(set(change.dropped)),
                 "note": before.get("note", {}) if change.note is None else change.note}
         self._create_manifest(change.based_on + 1, json.dumps(body))
-        self._forget()
+        # Looking through a lease's manifests is left to a share of the versions: a stream makes many.
+        if (change.based_on + 1) % _CLEAN_EVERY == 0 or self.lease_hours <= 0:
+            self._forget()
 
     def _create_manifest(self, version: int, text: str) -> None:
         """Write a version's manifest; of several jobs only one can."""
