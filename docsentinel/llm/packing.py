@@ -43,7 +43,7 @@ class WordEncoder:
     the whole tokenizer.
     """
 
-    def __init__(self, path: str | None, end_id: int, max_words: int = 300_000):
+    def __init__(self, path: str | None, end_id: int, max_words: int = 600_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -138,6 +138,7 @@ def decompose(
     tokenizer: str | None = None,
     end_id: int = END_ID,
     with_ids: bool = False,
+    max_words: int = 600_000,
 ) -> DataFrame:
     """Pieces of every whole document; ``with_ids`` adds their token ids.
 
@@ -150,7 +151,7 @@ def decompose(
     schema += ", ids array<long>" if with_ids else ""
 
     def make():
-        encoder = WordEncoder(tokenizer, end_id)
+        encoder = WordEncoder(tokenizer, end_id, max_words)
 
         def batch(cols):
             out: dict[str, list] = {c.split()[0]: [] for c in schema.split(", ")}
@@ -179,6 +180,7 @@ def pack(
     tokenizer: str | None = None,
     end_id: int = END_ID,
     with_ids: bool = False,
+    max_words: int = 600_000,
 ) -> DataFrame:
     """All pieces with the sequence each one fills: dense ids, longest bucket first.
 
@@ -189,7 +191,7 @@ def pack(
     spark = docs.sparkSession
     ensure_checkpoint_dir(spark)
     subs = min(4096, task_partitions(spark))
-    pieces = decompose(docs, most, key, text, tokenizer, end_id, with_ids).checkpoint()
+    pieces = decompose(docs, most, key, text, tokenizer, end_id, with_ids, max_words).checkpoint()
     grouped = pieces.withColumn("_sub", bucket_of(subs, "doc_id", "start"))
     counts = grouped.groupBy("length", "_sub").agg(F.count(F.lit(1)).alias("_n"))
     # One row a length: as many as ``most`` has bits, and one more.
