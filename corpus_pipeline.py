@@ -46,7 +46,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Power-of-two pieces of every document and the sequences they fill."""
-    return pack(docs)
+    return pack(docs, max_words=300_000)  # beside the memory that earlier stages left
 
 
 STAGES = [
