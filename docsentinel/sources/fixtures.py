@@ -19,6 +19,9 @@ from docsentinel.sources.schemas import RAW_CONTROLLED, RAW_CREATED
 # Fixture run date: the latest order date at every scale factor.
 FIXTURE_AS_OF = dt.date(2001, 8, 1)
 
+# Rows of a task when a table is dealt out: the number of tasks grows with the table.
+DEALT_ROWS = 2_000_000
+
 # Fixture value lists (indexed by the integer expressions below).
 SCORES = (
     "advanced", "ADVANCEDPF", "efficient", "EFFICIENTPF", "EFFICIENTPLUS",
@@ -130,13 +133,28 @@ def raw_created_from_orders(orders: DataFrame) -> DataFrame:
 def fixture_sources(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """``(raw_controlled, raw_created)`` derived from ``sf_dir``'s parquet tables.
 
-    Each benchmark table is one parquet row group, which one task reads; raw events land as
-    many files, so the rows are dealt out first. Filters still reach the scan.
+    Raw events land as many files. A table in a few parquet row groups, each of which one task
+    reads, is dealt out first; others are read as they lie. Filters still reach the scan.
+    """
+    lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(*LINEITEM_COLUMNS)
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(*ORDERS_COLUMNS)
+    return (
+        raw_controlled_from_lineitem(dealt(lineitem, "l_orderkey", "l_partkey", "l_suppkey")),
+        raw_created_from_orders(dealt(orders, "o_orderkey")),
+    )
+
+
+def dealt(table: DataFrame, *keys: str) -> DataFrame:
+    """``table`` over all tasks: dealt by ``keys`` if the largest scan task has over twice its share of the rows.
+
+    The rows a scan task would read are counted from the file footers, without a column.
     """
-    tasks = spark.sparkContext.defaultParallelism
-    lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(*LINEITEM_COLUMNS).repartition(tasks, "l_orderkey", "l_partkey", "l_suppkey")
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(*ORDERS_COLUMNS).repartition(tasks, "o_orderkey")
-    return raw_controlled_from_lineitem(lineitem), raw_created_from_orders(orders)
+    tasks = table.sparkSession.sparkContext.defaultParallelism
+    scan = table.select(F.spark_partition_id().alias("task")).groupBy("task").count()
+    largest, rows = scan.agg(F.max("count"), F.sum("count")).first()
+    if not rows or largest * tasks <= 2 * rows:
+        return table
+    return table.repartition(max(tasks, -(-rows // DEALT_ROWS)), *keys)
 
 
 def oracle_raw_ctes() -> str:

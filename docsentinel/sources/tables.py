@@ -26,6 +26,8 @@ from docsentinel.session import work_path
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 _COMMIT = "commit_id"
 _CLEAN_EVERY = 16
+#: A partition of so many folders is put together by the next write to it.
+_MOST_FOLDERS = 8
 
 
 def _fs_path(spark: SparkSession, path: str):
@@ -78,6 +80,16 @@ _EXCLUSIVE_RENAME = ("file", "hdfs", "viewfs", "ofs", "abfs", "abfss")
 Watch = Callable[[DataFrame, "int | None"], DataFrame]
 
 
+def _listed(held: str | list[str]) -> list[str]:
+    """The folders of a partition, of which a manifest names one as text."""
+    return [held] if isinstance(held, str) else held
+
+
+def _name(value) -> str:
+    """A partition value as manifests name it."""
+    return NULL_PARTITION if value is None else str(value)
+
+
 class ConcurrentWrite(RuntimeError):
     """Another job published a version after the one this change was made from."""
 
@@ -89,7 +101,7 @@ class Change:
     based_on: int
     folder: str | None  # None: partitions only go
     schema: T.StructType
-    replaced: tuple[str, ...] | None  # partitions it takes the place of; None: all
+    replaced: tuple[str, ...] | None  # partitions it takes the place of, others it adds to; None: all
     dropped: tuple[str, ...] = ()
     note: dict | None = None  # what the writer wants to find again; None: as it was
 
@@ -99,7 +111,9 @@ class VersionedTable:
 
     Every write goes to a folder of its own (``data/commit_id=...``); a manifest
     (``versions/v0000000001.json``) lists the schema and, for each partition value,
-    the folder that holds it. Creating the next manifest, which only one job can, is
+    the folder that holds it, or a list of them: rows without an older copy are added in a
+    folder of their own, so a load reads and writes again only partitions that hold old copies
+    of its keys, or that have come to ``_MOST_FOLDERS`` folders. Creating the next manifest, which only one job can, is
     the only step that changes what readers see: a job lost before it leaves the table
     as it was. A change carries the version it was made from. If another job has
     published since, it is made again from the new version, so no job's rows are lost.
@@ -163,7 +177,7 @@ class VersionedTable:
         schema = T.StructType.fromJson(m["schema"])
         if not m["folders"]:
             return self.spark.createDataFrame([], schema)
-        leaves = [self._leaf(v, f) for v, f in m["folders"].items()]
+        leaves = [self._leaf(v, f) for v, held in m["folders"].items() for f in _listed(held)]
         stored = T.StructType([*schema.fields, T.StructField(_COMMIT, T.StringType())])
         files = self.spark.read.schema(stored).option("basePath", f"{self.path}/data").parquet(*leaves)
         return files.select(*schema.names)
@@ -231,7 +245,9 @@ class VersionedTable:
             raise ConcurrentWrite(f"{self.path} is at version {before['version']}, the change at {change.based_on}")
         gone = set(change.replaced or ())
         kept = {} if change.replaced is None else {v: f for v, f in before["folders"].items() if v not in gone}
-        folders = kept | ({v: change.folder for v in self._values_in(change.folder)} if change.folder else {})
+        folders = dict(kept)
+        for v in self._values_in(change.folder) if change.folder else ():
+            folders[v] = [*_listed(kept[v]), change.folder] if v in kept else change.folder
         body = {"schema": change.schema.jsonValue(), "folders": folders, "dropped": sorted(set(change.dropped)),
                 "note": before.get("note", {}) if change.note is None else change.note}
         self._create_manifest(change.based_on + 1, json.dumps(body))
@@ -274,7 +290,8 @@ class VersionedTable:
         live, over = set(), []
         for v, successor in zip(numbers, [*numbers[1:], None]):
             if successor is None or written.get(f"v{successor:010d}.json", horizon) >= horizon:
-                live.update((self._manifest(v) or {"folders": {}})["folders"].values())
+                for held in (self._manifest(v) or {"folders": {}})["folders"].values():
+                    live.update(_listed(held))
             else:
                 over.append(v)
         for s in fs.listStatus(data):
@@ -336,13 +353,18 @@ class VersionedTable:
         """
         if self.partition_col not in batch.columns:
             raise ValueError(f"batch lacks partition column {self.partition_col}")
-        if not self.version():
+        before = self._manifest()
+        if before is None or not before["folders"]:  # no rows yet: the batch is written once
+            first = (Change(0, self.stage(watch(batch, 0) if watch else batch), batch.schema, None) if before is None
+                     else self.merge(batch, policy, before["version"], watch=watch))
             try:
-                self.publish(Change(0, self.stage(watch(batch, 0) if watch else batch), batch.schema, None))
+                if first is not None:
+                    self.publish(first)
                 return
-            except ConcurrentWrite:
-                pass  # another job made the table: merge into it
-        rows, path = checkpoint_table(self.spark, batch, "batch", [self.partition_col])
+            except ConcurrentWrite:  # another job came first: merge into its version
+                if first.folder:
+                    self.discard(first.folder)
+        rows, path = checkpoint_table(self.spark, batch, "batch")
         try:
             self.change(lambda version: self.merge(rows, policy, version, watch=watch))
         finally:
@@ -352,40 +374,50 @@ class VersionedTable:
               watch: Watch | None = None) -> Change | None:
         """Stage the upsert of ``rows`` into a version; None if it changes nothing. ``watch`` sees what is written.
 
-        The partitions to rewrite are the batch's own plus, unless the key determines the
-        partition, those that hold an older row with a batch key. A column that comes back
-        after it was removed is the one case in which all partitions are rewritten: older
-        files may still hold its old values.
+        The partitions to rewrite are those that hold an older row with a batch key; to others
+        the batch's rows are added. A column that comes back after it was removed is the one
+        case in which all partitions are rewritten: older files may still hold its old values.
         """
         target, state = self.read(version), self._manifest(version)
         data_cols = [c for c in target.columns if c != self.partition_col]
         columns = evolve_columns(data_cols, [c for c in rows.columns if c != self.partition_col], policy)
         gone = set(state["dropped"])
-        values = None if gone & set(columns) else self._touched_partitions(target, rows)
-        if values == [] and columns == data_cols:
-            return None  # empty batch: nothing to delete or insert
-        scope = target if values is None else target.filter(self._in_partitions(values))
+        values = None
+        if not state["folders"]:
+            values = []
+        elif not gone & set(columns):
+            values, own = self._touched_partitions(target, rows)
+            if not own and columns == data_cols:
+                return None  # empty batch: nothing to delete or insert
+            values += [v for v in own if v not in values and len(_listed(state["folders"].get(_name(v), []))) >= _MOST_FOLDERS]
+        scope = target if values is None else target.filter(self._in_partitions(values)) if values else target.limit(0)
         merged = delete_insert(scope, rows, self.key, policy)
-        names = None if values is None else tuple(NULL_PARTITION if v is None else str(v) for v in values)
+        names = None if values is None else tuple(_name(v) for v in values)
         folder = self.stage(watch(merged, version) if watch else merged)
+        if not state["folders"] and columns == data_cols and not self._values_in(folder):
+            self.discard(folder)
+            return None
         return Change(version, folder, merged.schema, names, tuple(sorted((gone | set(data_cols)) - set(columns))), note)
 
     def _in_partitions(self, values: list) -> F.Column:
         known = F.col(self.partition_col).cast("string").isin([str(v) for v in values if v is not None])
         return known | F.col(self.partition_col).isNull() if None in values else known
 
-    def _touched_partitions(self, target: DataFrame, batch: DataFrame) -> list:
-        """Partition values to rewrite, NULL included: one value per partition.
+    def _touched_partitions(self, target: DataFrame, batch: DataFrame) -> tuple[list, list]:
+        """Partition values that hold an older copy of a batch key, and the batch's own, NULL included.
 
-        Finding partitions that hold older copies of batch keys reads only the
-        target's key and partition columns.
+        Keys meet as 64-bit hashes: a false match has a partition rewritten, which changes no
+        row of it. Only the target's key and partition columns are read, and of the batch's own
+        partitions only, if the key determines the partition.
         """
-        parts = batch.select(self.partition_col)
-        if not self.key_determines_partition:
-            keys = batch.select(self.key).distinct()
-            holders = target.select(self.key, self.partition_col).join(keys, self.key, "left_semi")
-            parts = parts.unionByName(holders.select(self.partition_col))
-        return [r[0] for r in parts.distinct().collect()]
+        own = [r[0] for r in batch.select(self.partition_col).distinct().collect()]
+        if not own:
+            return [], own
+        if self.key_determines_partition:
+            target = target.filter(self._in_partitions(own))
+        keys = batch.filter(F.col(self.key).isNotNull()).select(F.xxhash64(self.key).alias("_key"))
+        holders = target.filter(F.col(self.key).isNotNull()).select(F.xxhash64(self.key).alias("_key"), self.partition_col)
+        return [r[0] for r in holders.join(keys, "_key", "left_semi").select(self.partition_col).distinct().collect()], own
 
     def drop(self) -> None:
         delete_path(self.spark, self.path)

@@ -221,3 +221,61 @@ def test_row_groups_outside_a_lookback_are_skipped(spark):
         spark.conf.unset("parquet.block.size") if before is None else spark.conf.set("parquet.block.size", before)
     total, read = groups["sorted"]
     assert total >= 4 and read <= total // 3 and groups["dealt"][1] == groups["dealt"][0]
+
+
+def test_rows_without_an_older_copy_are_added(spark, table):
+    """An upsert writes again only the partitions that hold old copies of its keys."""
+    table.upsert(spark.createDataFrame([("a", 1, D1), ("b", 2, D2)], SCHEMA))
+    before = table._manifest()["folders"]
+    table.upsert(spark.createDataFrame([("c", 3, D1), (None, 9, D1), ("b", 4, D2)], SCHEMA))
+    after = table._manifest()["folders"]
+    assert after[str(D1)][0] == before[str(D1)] and len(after[str(D1)]) == 2
+    assert isinstance(after[str(D2)], str) and after[str(D2)] != before[str(D2)]
+    assert sorted(rows(table), key=str) == sorted([("a", 1, D1), ("c", 3, D1), (None, 9, D1), ("b", 4, D2)], key=str)
+    # a NULL key has no older copy; a key that moves leaves its old partition
+    table.upsert(spark.createDataFrame([(None, 9, D1), ("a", 5, D2)], SCHEMA))
+    assert sorted(rows(table), key=str) == sorted(
+        [("c", 3, D1), (None, 9, D1), (None, 9, D1), ("b", 4, D2), ("a", 5, D2)], key=str)
+
+
+def test_a_partition_of_many_folders_is_put_together(spark, table, monkeypatch):
+    monkeypatch.setattr(TB, "_MOST_FOLDERS", 3)
+    held = []
+    for n in range(7):
+        table.upsert(spark.createDataFrame([(f"k{n}", n, D1)], SCHEMA))
+        held.append(len(TB._listed(table._manifest()["folders"][str(D1)])))
+    assert held == [1, 2, 3, 1, 2, 3, 1]
+    assert sorted(rows(table)) == [(f"k{n}", n, D1) for n in range(7)]
+
+
+def test_first_rows_of_an_empty_table_are_written_once(spark, table, monkeypatch):
+    empty = spark.createDataFrame([], SCHEMA)
+    table.upsert(empty)
+    table.upsert(empty)
+    assert table.version() == 1
+    monkeypatch.setattr(TB, "checkpoint_table", lambda *a: pytest.fail("the batch was written twice"))
+    table.upsert(spark.createDataFrame([("a", 1, D1), ("b", 2, None)], SCHEMA))
+    assert sorted(rows(table), key=str) == sorted([("a", 1, D1), ("b", 2, None)], key=str)
+
+
+def test_fixture_rows_are_dealt_out_only_where_the_scan_is_uneven(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from docsentinel.sources.fixtures import dealt
+
+    rows_ = pa.table({"k": list(range(60_000)), "v": [str(x * 7919 % 60_000) for x in range(60_000)]})
+    tasks = spark.sparkContext.defaultParallelism
+    for n in range(tasks):
+        pq.write_table(rows_.slice(n * (60_000 // tasks), 60_000 // tasks), tmp_path / f"even-{n}.parquet")
+    pq.write_table(rows_, tmp_path / "one.parquet")
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", str(128 << 20))  # a task a file
+    try:
+        even = spark.read.parquet(*[str(p) for p in tmp_path.glob("even-*")])
+        one = spark.read.parquet(str(tmp_path / "one.parquet"))
+        plans = [dealt(t, "k")._jdf.queryExecution().optimizedPlan().toString() for t in (even, one)]
+        assert "Repartition" not in plans[0] and (tasks <= 2 or "Repartition" in plans[1])
+        assert dealt(one, "k").count() == 60_000 and dealt(one.limit(0), "k").count() == 0
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", before)
