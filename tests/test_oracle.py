@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__ as E
 from conftest import SF_SMALL
 
-TABLES = ("lineitem", "orders")
+TABLES = ("lineitem", "orders", "documents", "benchmark")
 
 
 def _norm(v):
