@@ -25,3 +25,22 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_desc: Sequence[str]
     carried = order_desc + [c for c in payload if c not in order_desc]
     best = F.max(F.struct(*[F.col(c) for c in carried])).alias("_best")
     return df.groupBy(*keys).agg(best).select(*keys, *[F.col(f"_best.{c}").alias(c) for c in carried])
+
+
+def latest_where_repeated(df: DataFrame, keys: Sequence[str], order_desc: Sequence[str],
+                          repeated: DataFrame | None) -> DataFrame:
+    """``latest_per_key`` of ``df``, in which only rows with a hash in ``repeated`` (``repeated_hashes``) are grouped.
+
+    Rows of keys that occur once stay where they are. Keys with equal hashes are still told apart.
+    """
+    if repeated is None:
+        return df
+    hashed = df.withColumn("_hash", F.xxhash64(*keys))
+    several = latest_per_key(hashed.join(repeated, "_hash", "left_semi").select(*df.columns), keys, order_desc)
+    return hashed.join(repeated, "_hash", "left_anti").select(*df.columns).unionByName(several.select(*df.columns))
+
+
+def repeated_hashes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Hashes of ``keys`` that more than one row has; only the hashes are shuffled."""
+    counts = df.select(F.xxhash64(*keys).alias("_hash")).groupBy("_hash").agg(F.count(F.lit(1)).alias("n"))
+    return counts.filter("n > 1").select("_hash")

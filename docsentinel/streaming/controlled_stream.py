@@ -15,10 +15,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from docsentinel.config import Config
-from docsentinel.operators.dedupe import latest_per_key
+from docsentinel.operators.dedupe import latest_where_repeated, repeated_hashes
 from docsentinel.plans import incremental as INC
 from docsentinel.plans.staging import stage_controlled
 from docsentinel.sources.schemas import RAW_CONTROLLED
+from docsentinel.sources.tables import checkpoint_table, delete_path
 
 
 def ingest_controlled(spark: SparkSession, landing_path: str, table_path: str, checkpoint_location: str,
@@ -27,7 +28,8 @@ def ingest_controlled(spark: SparkSession, landing_path: str, table_path: str, c
 
     ``max_files_per_trigger`` only cuts a backlog into micro-batches; no row depends on it.
     Of several rows of one event in a micro-batch the one with the greatest receipt and
-    issue time stays, then by the other columns.
+    issue time stays, then by the other columns. Which events have several rows is found from
+    their ids' hashes alone, so that only those events' rows are grouped.
     """
     raw = (
         spark.readStream.schema(RAW_CONTROLLED)
@@ -40,8 +42,13 @@ def ingest_controlled(spark: SparkSession, landing_path: str, table_path: str, c
     table = INC.controlled_table(spark, table_path)
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        rows = latest_per_key(batch, ["event_id"], order).select(*columns)
-        table.upsert(rows.withColumn(INC.CONTROLLED_PARTITION, INC.partition_value("receipt_at", cfg)), policy)
+        # Stored, so that Spark knows how small they are.
+        repeated, path = checkpoint_table(spark, repeated_hashes(batch, ["event_id"]), "repeated")
+        try:
+            rows = latest_where_repeated(batch, ["event_id"], order, repeated if repeated.limit(1).collect() else None)
+            table.upsert(rows.withColumn(INC.CONTROLLED_PARTITION, INC.partition_value("receipt_at", cfg)), policy)
+        finally:
+            delete_path(spark, path)
 
     query = (
         staged.writeStream.foreachBatch(upsert)

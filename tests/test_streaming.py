@@ -38,3 +38,37 @@ def test_stream_loads_late_file_that_the_mark_skips(spark):
     INC.load_controlled(spark, batch_path, _raw(spark, first + late), CFG)
     batched = INC.read_without_partition(INC.controlled_table(spark, batch_path))
     assert sorted(r["event_id"] for r in batched.collect()) == ["e1", "e2", "e4"]  # strict mark skips e3
+
+
+def test_only_repeated_events_are_grouped(spark):
+    from docsentinel.operators.dedupe import latest_per_key, latest_where_repeated, repeated_hashes
+
+    rows = [("a", 1), ("a", 3), ("b", 2), (None, 1), (None, 2), ("c", None), ("c", None), ("d", 5)]
+    df = spark.createDataFrame(rows, "k string, v int")
+    repeated = spark.createDataFrame(repeated_hashes(df, ["k"]).collect(), "_hash long")
+    assert repeated.count() == 3
+    found = latest_where_repeated(df, ["k"], ["v"], repeated)
+    assert sorted(map(str, found.collect())) == sorted(map(str, latest_per_key(df, ["k"], ["v"]).collect()))
+    # equal hashes of other keys change nothing
+    every = df.selectExpr("xxhash64(k) AS _hash").distinct()
+    assert sorted(map(str, latest_where_repeated(df, ["k"], ["v"], every).collect())) == sorted(map(str, found.collect()))
+
+
+def test_stream_of_single_events_groups_no_whole_rows(spark, monkeypatch):
+    from docsentinel.sources.tables import VersionedTable
+
+    plans, upsert = [], VersionedTable.upsert
+
+    def seen(self, batch, *args):
+        plans.append(batch._jdf.queryExecution().optimizedPlan().toString())
+        return upsert(self, batch, *args)
+
+    monkeypatch.setattr(VersionedTable, "upsert", seen)
+    t = dt.datetime(2001, 7, 1)
+    root = work_path(spark, "test", "stream", unique=True)
+    for part, rows in enumerate(([("e1", "d1", t), ("e2", "d1", t)], [("e3", "d2", t), ("e3", "d3", t + dt.timedelta(1))])):
+        _raw(spark, rows).write.parquet(f"{root}/landing/part={part}")
+        ingest_controlled(spark, f"{root}/landing", f"{root}/table", f"{root}/_ckpt", CFG)
+    assert ["Aggregate" in p for p in plans] == [False, True]
+    got = INC.read_without_partition(INC.controlled_table(spark, f"{root}/table")).select("event_id", "document_id").collect()
+    assert sorted(map(tuple, got)) == [("e1", "d1"), ("e2", "d1"), ("e3", "d3")]
