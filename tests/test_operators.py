@@ -131,6 +131,51 @@ def test_status_models_have_no_expand_and_one_scan_an_input(spark):
         assert "Expand" not in _final_plan(model(base, CFG))
 
 
+def test_status_counts_move_each_side_to_its_documents_once(spark):
+    from docsentinel.plans import models as M
+    from docsentinel.plans.fixture_queries import CFG, staged
+    from docsentinel.sources.tables import checkpoint_table
+    from conftest import SF_SMALL
+
+    co, cr = staged(spark, SF_SMALL)
+    stored, _ = checkpoint_table(spark, M.control_flags(co, CFG), "stored")
+    creations, _ = checkpoint_table(spark, cr, "stored")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as on large tables
+    try:
+        for model in (M.control_results_from_flags(stored, creations, CFG), M.monthly_control_facts(spark, stored, creations, CFG)):
+            final = _final_plan(model).split("== Initial Plan ==")[0]
+            moved = [line for line in final.splitlines() if "Exchange hashpartitioning" in line]
+            assert len([line for line in moved if "document_id" in line]) == 2
+            assert len(moved) == 3  # and the counts
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_status_counts_of_repeated_and_missing_values(spark):
+    """A document with the same value in several months and creation events counts once, with all its flags."""
+    from docsentinel.plans import models as M
+    from docsentinel.plans.fixture_queries import CFG
+
+    flags = "document_id string, issue_date date, channel_acquisition_id string, control_name string, "
+    flags = spark.createDataFrame(
+        [("d1", dt.date(2001, 1, 1), "c", "n", 1, 0, 0, 0), ("d1", dt.date(2001, 2, 1), "c", "n", 0, 1, 0, 0),
+         ("d2", dt.date(2001, 1, 1), None, "n", 0, 0, 0, 1), ("d3", dt.date(2001, 1, 1), "c", "n", 1, 0, 0, 0)],
+        flags + "is_ok int, is_ko int, is_na int, is_null int")
+    cr = spark.createDataFrame(
+        [("d1", "p", "fr", None), ("d1", "p", "be", None), ("d1", "p", "fr", None), ("d2", "p", "fr", "2001"), (None, "p", "x", "y")],
+        "document_id string, document_category string, document_issuing_country string, document_issue_year string")
+    rows = M.control_results_from_flags(flags, cr, CFG).collect()
+    found = {(r["dimension_name"], r["control_client_document"]): tuple(r[f"count_{k}"] for k in ("document", "ok", "ko", "na", "null"))
+             for r in rows}
+    assert found == {
+        ("control_name", "n"): (2, 1, 1, 0, 1), ("channel_acquisition_id", "c"): (1, 1, 1, 0, 0),
+        ("channel_acquisition_id", None): (1, 0, 0, 0, 1), ("document_category", "p"): (2, 1, 1, 0, 1),
+        ("document_issuing_country", "fr"): (2, 1, 1, 0, 1), ("document_issuing_country", "be"): (1, 1, 1, 0, 0),
+        ("document_issue_year", None): (1, 1, 1, 0, 0), ("document_issue_year", "2001"): (1, 0, 0, 0, 1),
+    }
+
+
 def test_presentation_orders(spark):
     from docsentinel.plans import fixture_queries as Q
     from conftest import SF_SMALL
