@@ -41,7 +41,10 @@ BLOCK_BYTES = 8 << 20
 CHUNK_BYTES = 16 << 20
 _END = 10
 _PIECE = 1 << 19
-_RANGES = 6  # of contexts, that a block's grams are sorted in
+_RANGES = 4  # of contexts, that a block's grams are sorted in
+_BEFORE = 7  # bytes before a place that are read with it, DEPTH of them its context
+_SPARE = 2  # slots a number has in a lookup table, at least
+_MIXES = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xFF51AFD7ED558CCD))
 _ROWS = 64  # blocks that a bucket answers at once
 FAN = 256  # chunks summed, and blocks answered, by one group
 _WORDS, _GRAMS, _TOTALS, _SHORT, _STATES = 0, 1, 2, 3, 4
@@ -57,25 +60,29 @@ def byte_sequence(words: list[bytes]) -> bytes:
 
 def laid_out(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Sequences in a row, each after DEPTH end marks, and the first place of each one's own bytes."""
-    pad = bytes([_END]) * DEPTH
-    seq = np.frombuffer(b"".join(pad + t for t in texts), np.uint8)
+    pad, front = bytes([_END]) * DEPTH, _BEFORE - DEPTH
+    seq = np.frombuffer(b"".join([pad[:front], *(pad + t for t in texts)]), np.uint8)
     sizes = np.fromiter((len(t) + DEPTH for t in texts), np.int64, len(texts))
-    return seq, np.cumsum(sizes) - sizes + DEPTH
+    return seq, np.cumsum(sizes) - sizes + _BEFORE
 
 
 def _own(n: int, starts: np.ndarray) -> np.ndarray:
     own = np.ones(n, bool)
+    own[:_BEFORE] = False
     for back in range(1, DEPTH + 1):
         own[starts - back] = False
     return own
 
 
-def gram_keys(seq: np.ndarray, places: np.ndarray) -> np.ndarray:
-    """For each place: context bytes, latest first, then the byte itself, packed from the high end."""
-    key = np.zeros(len(places), np.uint64)
-    for back in [*range(1, DEPTH + 1), 0]:
-        key <<= np.uint64(8)
-        key |= seq[places - back]
+def gram_keys(seq: np.ndarray, at: int, chosen: np.ndarray) -> np.ndarray:
+    """For each chosen place from ``at`` on: context bytes, latest first, then the byte itself, packed from the high end."""
+    # Overlapping 8-byte numbers whose highest byte is the place's own and the next ones its context.
+    eight = np.ndarray((len(chosen),), "<u8", seq, at - _BEFORE, (1,))[chosen]
+    key = eight << np.uint64(8)
+    key >>= np.uint64(64 - 8 * DEPTH)
+    key <<= np.uint64(8)
+    eight >>= np.uint64(56)
+    key |= eight
     return key
 
 
@@ -92,28 +99,35 @@ def parts_of(texts: Iterable[bytes], part_bytes: int) -> Iterator[list[bytes]]:
         yield part
 
 
+def _counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct numbers of a sorted row, and how often each occurs."""
+    first = np.flatnonzero(np.concatenate([np.ones(min(1, len(keys)), bool), keys[1:] != keys[:-1]]))
+    return keys[first], np.diff(np.append(first, len(keys)))
+
+
 def count_grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct gram keys in order, and how often each occurs; a range of latest context bytes at a time."""
     seq, starts = laid_out(texts)
     own = _own(len(seq), starts)
-    pieces = [(at, min(at + _PIECE, len(seq))) for at in range(DEPTH, len(seq), _PIECE)]
+    pieces = [(at, min(at + _PIECE, len(seq))) for at in range(_BEFORE, len(seq), _PIECE)]
     latest = np.zeros(256, np.int64)
     for at, stop in pieces:
         latest += np.bincount(seq[at - 1: stop - 1][own[at:stop]], minlength=256)
-    part = (np.cumsum(latest) - latest) * _RANGES // max(1, len(seq))
+    part = ((np.cumsum(latest) - latest) * _RANGES // max(1, len(seq))).astype(np.uint8)
+    of = np.full(len(seq), _RANGES, np.uint8)
+    for at, stop in pieces:
+        np.copyto(of[at:stop], part[seq[at - 1: stop - 1]], where=own[at:stop])
     keys, counts = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
     for r in np.unique(part):
-        chosen = part == r
-        n = int(latest[chosen].sum())
-        new, done = np.empty(n, np.uint64), 0
+        new = np.empty(int(latest[part == r].sum()), np.uint64)
+        done = 0
         for at, stop in pieces:
-            places = at + np.flatnonzero(own[at:stop] & chosen[seq[at - 1: stop - 1]])
-            new[done: done + len(places)] = gram_keys(seq, places)
-            done += len(places)
+            some = gram_keys(seq, at, of[at:stop] == r)
+            new[done: done + len(some)] = some
+            done += len(some)
         new.sort()
-        first = np.flatnonzero(np.concatenate([np.ones(min(1, n), bool), new[1:] != new[:-1]]))
-        keys.append(new[first])
-        counts.append(np.diff(np.append(first, n)))
+        for row, found in zip((keys, counts), _counted(new)):
+            row.append(found)
     return np.concatenate(keys), np.concatenate(counts)
 
 
@@ -125,34 +139,77 @@ def _by_bucket(bucket: np.ndarray, buckets: int) -> list[np.ndarray]:
 
 def _gram_bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
     """By the three latest context bytes, so that a bucket has whole subtrees."""
-    mixed = (keys >> np.uint64(8 * (DEPTH - 2))) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)
+    mixed = (keys >> np.uint64(8 * (DEPTH - 2))) * _MIXES[0] >> np.uint64(33)
     return (mixed % np.uint64(buckets)).astype(np.int64)
 
 
+@dataclass
+class Lookup:
+    """A value for each of a set of distinct numbers, found again without a search.
+
+    A table's slot that only one number falls on has its value; a slot of several has NaN,
+    and they are in the next table. What is left after the last table is searched.
+    """
+
+    tables: list[tuple[np.uint64, np.ndarray]]
+    keys: np.ndarray
+    values: np.ndarray
+
+    @staticmethod
+    def build(keys: np.ndarray, values: np.ndarray) -> Lookup:
+        """``keys`` in order; none of ``values`` is NaN."""
+        tables = []
+        for mix in _MIXES:
+            slots = np.full(1 << max(8, (_SPARE * len(keys) - 1).bit_length()), np.nan, values.dtype)
+            tables.append((mix, slots))
+            slot = Lookup._slot(keys, mix, slots)
+            alone = np.bincount(slot, minlength=len(slots))[slot] == 1
+            slots[slot[alone]] = values[alone]
+            keys, values = keys[~alone], values[~alone]
+        return Lookup(tables, keys, values)
+
+    @staticmethod
+    def _slot(keys: np.ndarray, mix: np.uint64, slots: np.ndarray) -> np.ndarray:
+        return ((keys * mix) >> np.uint64(65 - len(slots).bit_length())).view(np.int64)
+
+    def __call__(self, wanted: np.ndarray) -> np.ndarray:
+        """Values of numbers that are all in the set."""
+        (mix, slots), *others = self.tables
+        out = slots[self._slot(wanted, mix, slots)]
+        left = np.flatnonzero(np.isnan(out))
+        for mix, slots in others:
+            found = slots[self._slot(wanted[left], mix, slots)]
+            out[left] = found
+            left = left[np.isnan(found)]
+        out[left] = self.values[np.searchsorted(self.keys, wanted[left])]
+        return out
+
+
 @dataclass
 class BlockWords:
-    """Distinct words of a block by ascending hash; word ids of each text, the end mark last; byte sequences."""
+    """Hashes of all tokens in a row, end marks included; tokens of each text; byte sequences."""
 
     hashes: np.ndarray
-    ids: list[np.ndarray]
+    sizes: np.ndarray
     sequences: list[bytes]
 
     @staticmethod
     def build(texts: Iterable[bytes]) -> BlockWords:
-        index: dict[bytes, int] = {b"": 0}
-        raw, sequences = [], []
+        hashes, sequences = [np.empty(0, np.uint64)], []
         for data in texts:
             words = words_any_space(data)
-            raw.append(np.array([index.setdefault(w, len(index)) for w in words] + [0], np.int32))
             sequences.append(byte_sequence(words))
-        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, index), np.uint64, len(index))
-        order = np.argsort(hashes, kind="stable")
-        rank = np.empty(len(order), np.int32)
-        rank[order] = np.arange(len(order))
-        return BlockWords(hashes[order], [rank[r] for r in raw], sequences)
+            words.append(b"")
+            hashes.append(np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)))
+        return BlockWords(np.concatenate(hashes), np.array([len(x) for x in hashes[1:]], np.int64), sequences)
+
+    def counted(self) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct hashes in order, and how often each occurs."""
+        return _counted(np.sort(self.hashes))
+
 
-    def buckets(self, n: int) -> np.ndarray:
-        return (self.hashes % np.uint64(n)).astype(np.int64)
+def _word_bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    return (hashes % np.uint64(buckets)).astype(np.int64)
 
 
 def by_depth(keys: np.ndarray, counts: np.ndarray, depth: int):
@@ -281,19 +338,17 @@ class SuffixTree:
 
 def sequence_scores(texts: list[bytes], keys: np.ndarray, gains: np.ndarray) -> np.ndarray:
     """Sums over byte sequences of their grams' gains, a few MB of texts at a time; ``keys`` has all grams in order."""
-    return np.concatenate([np.empty(0), *(_sums(part, keys, gains) for part in parts_of(texts, _PIECE))])
+    gain_of = Lookup.build(keys, gains)
+    return np.concatenate([np.empty(0), *(_sums(part, gain_of) for part in parts_of(texts, _PIECE))])
 
 
-def _sums(texts: list[bytes], keys: np.ndarray, gains: np.ndarray) -> np.ndarray:
+def _sums(texts: list[bytes], gain_of: Lookup) -> np.ndarray:
     seq, starts = laid_out(texts)
     own = _own(len(seq), starts)
     gained = np.zeros(len(seq))
-    for at in range(DEPTH, len(seq), _PIECE):
+    for at in range(_BEFORE, len(seq), _PIECE):
         stop = min(at + _PIECE, len(seq))
-        places = at + np.flatnonzero(own[at:stop])
-        wanted = gram_keys(seq, places)
-        order = np.argsort(wanted)  # in order, lookups stay in the cache
-        gained[places[order]] = gains[np.searchsorted(keys, wanted[order])]
+        gained[at:stop][own[at:stop]] = gain_of(gram_keys(seq, at, own[at:stop]))
     return np.add.reduceat(gained, starts - DEPTH)
 
 
@@ -308,12 +363,11 @@ def _count_chunks(buckets: int, chunk_bytes: int):
 
     def count(texts: list[bytes], part: int) -> pa.RecordBatch:
         known = BlockWords.build(texts)
-        counts = np.bincount(np.concatenate(known.ids), minlength=len(known.hashes))
         rows = []
-        for kind, keys, size, bucket in (
-            (_WORDS, known.hashes, counts, known.buckets(buckets)), (_GRAMS, *(g := count_grams(known.sequences)), _gram_bucket(g[0], buckets)),
+        for kind, (keys, size), bucket_of in (
+            (_WORDS, known.counted(), _word_bucket), (_GRAMS, count_grams(known.sequences), _gram_bucket),
         ):
-            for b, on in enumerate(_by_bucket(bucket, buckets)):
+            for b, on in enumerate(_by_bucket(bucket_of(keys, buckets), buckets)):
                 if len(on):
                     rows.append((kind, b, part, to_planes(keys[on]), to_planes(size[on].astype(np.int64))))
         return _table(schema, rows).combine_chunks().to_batches()[0]
@@ -433,10 +487,10 @@ def _ask(buckets: int):
 
     def run(block: pa.Table) -> pa.Table:
         known, number = BlockWords.build(x.as_py() for x in block.column("data")), block.column("block")[0].as_py()
-        grams, _ = count_grams(known.sequences)
-        parts = zip(_by_bucket(known.buckets(buckets), buckets), _by_bucket(_gram_bucket(grams, buckets), buckets))
+        (words, _), (grams, _) = known.counted(), count_grams(known.sequences)
+        parts = zip(_by_bucket(_word_bucket(words, buckets), buckets), _by_bucket(_gram_bucket(grams, buckets), buckets))
         return _table(schema, [
-            (number, b, to_planes(known.hashes[w]), to_planes(grams[g])) for b, (w, g) in enumerate(parts) if len(w) or len(g)
+            (number, b, to_planes(words[w]), to_planes(grams[g])) for b, (w, g) in enumerate(parts) if len(w) or len(g)
         ])
 
     return tidy(run)
@@ -480,17 +534,19 @@ def _score_block(buckets: int, n_words: int, n_kinds: int):
         if not block.num_rows:
             return schema.empty_table()
         known = BlockWords.build(x.as_py() for x in block.column("data"))
-        grams, _ = count_grams(known.sequences)
-        words_of, grams_of = (_by_bucket(x, buckets) for x in (known.buckets(buckets), _gram_bucket(grams, buckets)))
-        count, gains = np.zeros(len(known.hashes), np.int64), np.zeros(len(grams), np.float32)
+        (words, _), (grams, _) = known.counted(), count_grams(known.sequences)
+        words_of, grams_of = (_by_bucket(x, buckets) for x in (_word_bucket(words, buckets), _gram_bucket(grams, buckets)))
+        count, gains = np.zeros(len(words)), np.zeros(len(grams), np.float32)
         for b, raw, raw_gains in zip(*(answers.column(c).to_pylist() for c in ("bucket", "a", "b"))):
             count[words_of[b]] = from_planes(raw, "i8")
             gains[grams_of[b]] = from_planes(raw_gains, "f4")
-        gain = np.log10((count + 1.0) / (n_words + n_kinds + 1.0))
+        ends = np.cumsum(known.sizes)[:-1]
+        times = Lookup.build(words, count)(known.hashes)
+        gain = np.split(np.log10((times + 1.0) / (n_words + n_kinds + 1.0)), ends)
         columns = {
             "doc_id": block.column("doc_id"), "held_out": block.column("held_out"),
-            "n_tokens": [len(i) for i in known.ids], "n_known": [int((count[i] > 0).sum()) for i in known.ids],
-            "train_tokens": [n_words] * block.num_rows, "base_score": [float(gain[i].sum()) for i in known.ids],
+            "n_tokens": known.sizes, "n_known": [np.count_nonzero(x) for x in np.split(times, ends)],
+            "train_tokens": [n_words] * block.num_rows, "base_score": [float(x.sum()) for x in gain],
             "score": sequence_scores(known.sequences, grams, gains),
         }
         made = [c if isinstance(c, pa.ChunkedArray) else pa.array(c, schema.field(k).type) for k, c in columns.items()]

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 from docsentinel.llm.quality_gam import FEATURES, PairwiseGam, keep_good, fit_quality, op5_quality, score_quality, text_features
-from docsentinel.llm.suffix_tree_lm import SuffixTree, byte_sequence, count_grams, grow, score_texts
+from docsentinel.llm.suffix_tree_lm import Lookup, SuffixTree, byte_sequence, count_grams, grow, score_texts, sequence_scores
 from docsentinel.llm.toxicity import ToxicNet, op7_toxicity, score_toxicity, windows_of
 from tests.conftest import SF_MEDIUM
 from tests.llm.brute import ANY_SPACE, fold, lower
@@ -157,3 +157,36 @@ def test_tree_walk_matches_plain_suffix_search():
             state += padded[i - 1 - len(state): i - len(state)]
         want += math.log10(prob(state, padded[i]))
     assert tree.score([text])[0] == pytest.approx(want, rel=1e-4)
+
+
+def test_grams_and_their_gains_match_plain_counts(monkeypatch):
+    """Whole texts of one block, and hardly a place looked up by search."""
+    rng = random.Random(3)
+    texts = [byte_sequence([rng.choice([b"the", "é".encode(), b"x" * 9, b"%d" % rng.randrange(9999)]) for _ in range(n)])
+             for n in (0, 1, 2, 700, 3000, 0)]
+    plain = Counter()
+    of = []
+    for text in texts:
+        padded = b"\n" * 6 + text
+        of.append([int.from_bytes(padded[i - 6: i][::-1] + padded[i: i + 1], "big") for i in range(6, len(padded))])
+        plain.update(of[-1])
+    keys, counts = count_grams(texts)
+    assert dict(zip(keys.tolist(), counts.tolist())) == plain and (keys[1:] > keys[:-1]).all()
+    gains = np.log10(np.arange(1, len(keys) + 1))
+    gain_of, searched, search = dict(zip(keys.tolist(), gains)), [], np.searchsorted
+    monkeypatch.setattr(np, "searchsorted", lambda a, v, *rest, **named: searched.append(np.size(v)) or search(a, v, *rest, **named))
+    got = sequence_scores(texts, keys, gains)
+    assert got == pytest.approx([sum(gain_of[k] for k in row) for row in of])
+    assert sum(searched) < 0.05 * sum(map(len, of))
+    assert count_grams([])[0].size == 0
+
+
+def test_lookup_finds_keys_that_share_slots():
+    keys = np.unique(np.concatenate([np.arange(5000), np.arange(5000) << 43, np.arange(1, 300) * (2**56 - 1) // 300]).astype(np.uint64))
+    values = np.arange(len(keys)).astype(np.float32)
+    wanted = np.random.default_rng(0).integers(0, len(keys), 20_000)
+    assert (Lookup.build(keys, values)(keys[wanted]) == values[wanted]).all()
+    # All in one slot: left to the search.
+    few = np.arange(64).astype(np.uint64) * np.uint64(2**50)
+    one = Lookup([(np.uint64(1), np.full(2, np.nan))], few, np.arange(64.0))
+    assert (one(few[::-1]) == np.arange(64.0)[::-1]).all()
